@@ -40,6 +40,7 @@ TOWN = ["{}", "municipality of {}", "mun of {}", "bayan ng {}", "munisipalidad n
 PLACEHOLDERS = {"", "n a", "na", "none", "null", "nan", "unknown", "tba", "tbd", "to follow", "not available", "not applicable", "x", "yes", "no", "test", "city", "municipality", "town", "nil", "same", "see map", "various"}
 NOISE = re.compile(r"^(?:\d{4}|ph|phl|phils?|philippines|pilipinas|pob|poblacion|proper|city|cty|mun|municipality|(?:brgy|bgy|barangay|bgry|brg|zone|purok|sitio)(?: [a-z0-9]+)*)$")
 EDGE_NOISE = re.compile(r"^(?:\d{4} )+|(?: (?:\d{4}|ph|phl|phils?|philippines|pilipinas|pob|poblacion|proper))+$|^(?:pob|poblacion) ")
+TITLE_WORDS = set(itertools.chain(*TITLES.values(), *(t.replace("{}", " ").split() for t in CITY + TOWN)))
 PROVINCE_WORDS = re.compile(r"^(?:province of|prov of|prov|province|probinsya ng|lalawigan ng|provincia de) | (?:province|prov)$")
 
 
@@ -169,12 +170,13 @@ class Gazetteer:
 
     def places_near(self, segment: str, bound: int | None = None) -> dict[str, int]:
         key = segment.replace(" ", "")
-        words = segment.split(" ")
-        named = len(words[-1]) if len(words) > 1 and words[-1] not in ("city", "cty") else len(words[0])
-        most = edits_allowed(max(named, len(key) // 2)) if bound is None else bound
-        for k in range(most + 1):
-            if hits := self.places.within(key, k):
-                return hits
+        # the longest word stands for the name proper; words of titles and kinds earn no edits
+        most = edits_allowed(max((len(w) for w in segment.split(" ") if w not in TITLE_WORDS), default=0)) if bound is None else bound
+        # a slip inside n with tilde, written ny, is looked up as a slip of n
+        for word in (key, key.replace("ny", "n")) if "ny" in key else (key,):
+            for k in range(most + 1):
+                if hits := self.places.within(word, k):
+                    return hits
         return {}
 
     def candidates(self, value: str | None) -> frozenset:
@@ -219,8 +221,7 @@ class Gazetteer:
             if not inside:
                 # the nearest names lie elsewhere; a farther name in the stated province may be meant
                 for part in parts:
-                    key = part.replace(" ", "")
-                    wide = self.places.within(key, edits_allowed(max(4, len(key) // 2)))
+                    wide = self.places.within(part.replace(" ", ""), 1)
                     inside = {p: d for p, d in wide.items() if self.province_of[p] in said}
                     if inside:
                         break

@@ -6,8 +6,9 @@ writing.  Undominated observations form layer 1, what only they dominate layer 2
 survivor comes from the first layer that holds a value, by the policy recency of the identity, then
 completeness, then trust, then the text itself.
 
-All steps are partial aggregations except one window per (group, field, start of the text), which sees
-distinct writings only; a group that holds a third of all rows is therefore never held in one task.
+All steps are aggregations with map-side combine and a salted semi-join, except one window per (group,
+field, start of the text), which streams over distinct writings; a group that holds a third of all rows
+is never held in one task.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ PLACEHOLDERS = ["", "-", "--", ".", "?", "n/a", "na", "n.a.", "nan", "nil", "no"
 SHORT_FORMS = {"mgt": "management", "mgmt": "management", "intl": "international", "dev't": "development", "devt": "development", "bros": "brothers", "mfg": "manufacturing", "svcs": "services", "ent'prises": "enterprises", "ltd": "limited"}
 #: Characters of a normal form by which hot groups are split.
 SPLIT = 3
+#: Tasks over which the rows of one group are spread.
+SALTS = 8
 #: Trust of a row by its review state; rows of other states have trust 1.
 TRUST = {"verified": 2, "rejected": 0}
 
@@ -79,12 +82,18 @@ def best_values(df: DataFrame, key: str, text_fields: list[str], url_fields: lis
         F.array(*[F.col(f).cast("string") for f in fields]).alias("v"),
     ).filter("g IS NOT NULL")
 
+    # A group of one row has nothing to resolve.  The join is salted, so that a hot group is spread.
+    if conflicts_only:
+        several = rows.groupBy("g").count().filter("count > 1").select("g", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        rows = rows.withColumn("salt", F.pmod(F.hash("v", "seen"), F.lit(SALTS))).join(several, ["g", "salt"], "left_semi")
+
     # distinct contents of a field in a group; only what stands outside rejected rows is a value
     obs = rows.select("g", "seen", "trust", F.posexplode("v").alias("f", "v"))
-    writings = obs.groupBy("g", "f", "v").agg(F.max(F.when(F.col("trust") > 0, F.col("seen"))).alias("seen"), F.max("trust").alias("trust"))
-    is_url = F.col("f") >= len(text_fields)
+    contents = obs.groupBy("g", "f", "v").agg(F.max(F.when(F.col("trust") > 0, F.col("seen"))).alias("seen"), F.max("trust").alias("trust"))
     usable = F.col("v").isNotNull() & (F.col("trust") > 0) & ~is_placeholder(F.col("v"))
-    norm = F.when(usable, F.when(is_url, normal_url(F.col("v"))).otherwise(normal_text(F.col("v"))))
+    writings = contents.filter(usable)
+    is_url = F.col("f") >= len(text_fields)
+    norm = F.when(is_url, normal_url(F.col("v"))).otherwise(normal_text(F.col("v")))
     style = F.when(is_url, ordinary_url(F.col("v"))).otherwise(ordinary_text(F.col("v")))
     writings = writings.withColumn("norm", norm).withColumn("style", style).withColumn("part", F.substring("norm", 1, SPLIT))
 
@@ -104,30 +113,28 @@ def best_values(df: DataFrame, key: str, text_fields: list[str], url_fields: lis
         F.max_by(F.struct("style", "v"), F.struct(whole.cast("int"), F.length("norm"), F.col("style"), F.col("trust"), F.col("seen"), F.hash("v"))).alias("best"),
     )
 
-    # completeness of the best writing: nothing, an unidentifiable stump, or the style level
-    complete = F.when(F.col("identity").isNull(), 0).when(F.length("identity") < SPLIT, 1).otherwise(2 + F.col("best.style"))
-    points = identity.withColumn("complete", complete)
+    # completeness of the best writing: an unidentifiable stump, a restyled writing, an ordinary one
+    ordinary = F.col("best.style") >= F.when(is_url, 7).otherwise(3)
+    complete = F.when(F.length("identity") < SPLIT, 1).when(ordinary, 3).otherwise(2)
+    points = identity.select("g", "f", "contents", "recency", "trust", complete.alias("complete"), F.col("best.v").alias("v"))
+    others = contents.filter(~usable).select("g", "f", F.lit(1).cast("long").alias("contents"), F.lit(None).cast("timestamp").alias("recency"), F.lit(0).alias("trust"), F.lit(0).alias("complete"), F.lit(None).cast("string").alias("v"))
     # Completeness and trust have few levels, so the skyline of a group is among the latest points of
-    # each (completeness, trust): a bounded number, found by aggregation.
-    levels = points.groupBy("g", "f", "complete", "trust").agg(
-        F.sum("contents").alias("contents"), F.max(F.struct(F.col("recency"), F.col("best.v").alias("v"))).alias("latest"))
-    grouped = levels.groupBy("g", "f").agg(
-        F.sum("contents").alias("contents"),
-        F.collect_list(F.struct(F.col("latest.recency").alias("recency"), "complete", "trust", F.col("latest.v").alias("v"))).alias("points"))
+    # each (completeness, trust): a bounded number, found by one aggregation with map-side combine.
+    latest = [F.max(F.when((F.col("complete") == c) & (F.col("trust") == t), F.struct("recency", "complete", "trust", "v"))) for c in (1, 2, 3) for t in (1, 2)]
+    grouped = points.unionByName(others).groupBy("g", "f").agg(F.sum("contents").alias("contents"), F.array_compact(F.array(*latest)).alias("points"))
     if conflicts_only:
         grouped = grouped.filter("contents > 1")
 
     def dominates(q: Column, p: Column) -> Column:
-        at_least = (F.coalesce(q["recency"] >= p["recency"], p["recency"].isNull())) & (q["complete"] >= p["complete"]) & (q["trust"] >= p["trust"])
-        more = F.coalesce(q["recency"] > p["recency"], q["recency"].isNotNull() & p["recency"].isNull()) | (q["complete"] > p["complete"]) | (q["trust"] > p["trust"])
+        at_least = (q["recency"] >= p["recency"]) & (q["complete"] >= p["complete"]) & (q["trust"] >= p["trust"])
+        more = (q["recency"] > p["recency"]) | (q["complete"] > p["complete"]) | (q["trust"] > p["trust"])
         return at_least & more
 
     def skyline(points: Column) -> Column:
         return F.filter(points, lambda p: ~F.exists(points, lambda q: dominates(q, p)))
 
     def policy(points: Column) -> Column:
-        held = F.filter(points, lambda p: p["complete"] > 0)
-        known = F.transform(held, lambda p: F.struct((p["complete"] > 1).alias("known"), p["recency"].alias("recency"), p["complete"].alias("complete"), p["trust"].alias("trust"), p["v"].alias("v")))
+        known = F.transform(points, lambda p: F.struct((p["complete"] > 1).alias("known"), p["recency"].alias("recency"), p["complete"].alias("complete"), p["trust"].alias("trust"), p["v"].alias("v")))
         return F.array_max(known)["v"]
 
     # a group's representative takes each field from the first dominance layer; where that layer holds
