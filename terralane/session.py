@@ -39,3 +39,26 @@ def cut(df: DataFrame) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application."""
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="terralane-"), "terralane.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(folder, f)
+                    z.write(full, os.path.join("terralane", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
