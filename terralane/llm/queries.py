@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terralane.llm import gazetteer, survivor
+from terralane.llm import addresses, gazetteer, survivor
 from terralane.session import table
 
 OPERATORS, WEBSITES = ["osm_operator", "overture_operator"], ["osm_website", "overture_website"]
@@ -17,6 +17,17 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivor.best_values(table(spark, sf_dir, "places"), "canonical_id", OPERATORS, WEBSITES)
 
 
+ADDRESSES = [("registry_qc_official_sources", "address", "city"), ("philhealth_level3", "street", "municipality"), ("osm_places", "osm_address", "osm_city"), ("overture_places", "overture_address", "overture_city")]
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = None
+    for name, address, city in ADDRESSES:
+        part = table(spark, sf_dir, name).select("rec_id", F.col(address).alias("address"), F.col(city).alias("city"))
+        records = part if records is None else records.unionByName(part)
+    return addresses.same_address_pairs(records, table(spark, sf_dir, "area_localities"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = table(spark, sf_dir, "area_localities")
     columns = [("philhealth_level3", "municipality"), ("osm_places", "osm_city"), ("overture_places", "overture_city")]
@@ -31,7 +42,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gazetteer.map_values(cases, "rec_id", "value", places).select("rec_id", "psgc")
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found}
 ORACLE: dict[str, str] = {}
 
 
