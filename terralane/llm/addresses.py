@@ -10,15 +10,15 @@ reading becomes a form of its own.
 from __future__ import annotations
 
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terralane.llm.components import connected_components, pairs_within
-from terralane.llm.gazetteer import PLACEHOLDERS, Gazetteer, built, entries, plain, repair
+from terralane.llm.gazetteer import PLACEHOLDERS, Gazetteer, built, entries, plain, unaccented
 from terralane.session import cut
 
 # How the kinds of street are written.
@@ -65,8 +65,7 @@ AFTER = re.compile(r"^" + GAP + NUMBER)
 
 def spaced(text: str) -> str:
     """Lower-case ASCII with every mark that separates parts turned into a semicolon."""
-    text = unicodedata.normalize("NFKD", repair(text)).lower()
-    text = "".join(c for c in text if not unicodedata.combining(c))
+    text = unaccented(text)
     text = re.sub(r"\s+-+\s+|\s*[;/|()\[\]\n\t]\s*|\s+–\s+", " ; ", text.replace("2/f", "2 floor"))
     text = re.sub(r"#|\bn[o°]\.? ?(?=\d)|\bno\. *(?=#)", " no ", text)
     text = re.sub(r"\b(no|brgy|bgy|barangay|blk|block|lot|lt|rm|unit|km|pob)\.(?=\S)", r"\1. ", text)
@@ -209,9 +208,10 @@ def same_address_classes(records: DataFrame, localities_table: DataFrame) -> Dat
     kind, name = F.substring_index("street", "/", 1), F.regexp_replace(F.substring_index("street", "/", -1), " ", "")
     named = parts.select("form", "number", "place", kind.alias("kind"), name.alias("name"))
     left_out = F.when(F.length("name") >= 4, F.transform(F.sequence(F.lit(1), F.length("name")), lambda i: F.concat(F.substring("name", F.lit(1), i - 1), F.substring(F.col("name"), i + 1, F.length("name"))))).otherwise(F.array().cast("array<string>"))
-    hashed = named.select("form", F.explode(F.array_distinct(F.concat(F.array("name"), left_out))).alias("variant"), "number", "place", "kind").select("form", F.xxhash64("number", "place", "kind", "variant").alias("h")).distinct()
-    heads = hashed.groupBy("h").agg(F.min("form").alias("head"), F.max("form").alias("last")).filter("head <> last").select("h", "head")
-    links = hashed.join(heads, "h").filter("form <> head").select(F.col("form").alias("a"), F.col("head").alias("b")).distinct()
+    hashed = named.select("form", F.explode(F.array_distinct(F.concat(F.array("name"), left_out))).alias("variant"), "number", "place", "kind").select("form", F.xxhash64("number", "place", "kind", "variant").alias("h"))
+    # distinct readings only, so a bucket stays small however often an address is repeated
+    head = F.min("form").over(W.partitionBy("h"))
+    links = hashed.select(F.col("form").alias("a"), head.alias("b")).filter("a <> b")
     classes = connected_components(links)
     return read.join(classes, read["form"] == classes["node"], "left").select("rec_id", F.coalesce("component", "form").alias("address_class"))
 

@@ -19,10 +19,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     link table with itself, its result is written to the checkpoint folder.  Self-links are kept as
     single nodes; nulls are dropped; direction and repetition of links make no difference.
     """
-    pairs = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u IS NOT NULL AND v IS NOT NULL")
+    pairs = links.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v")).filter("u IS NOT NULL AND v IS NOT NULL").distinct()
+    pairs = cut(pairs)
     nodes = pairs.select("u").union(pairs.select(F.col("v").alias("u"))).distinct()
-    state = pairs.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    state = cut(state)
+    state = pairs.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     before = None
     for _ in range(MAX_ROUNDS):
         # large star: every larger neighbour of u goes to the smallest node around u

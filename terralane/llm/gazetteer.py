@@ -52,16 +52,26 @@ def repair(text: str) -> str:
     return text
 
 
+def unaccented(text: str) -> str:
+    """Lower case without accents."""
+    if text.isascii():
+        return text.lower()
+    text = unicodedata.normalize("NFKD", repair(text)).lower()
+    return text if text.isascii() else "".join(c for c in text if not unicodedata.combining(c))
+
+
+_OTHER = re.compile(r"[^a-z0-9]+")
+_BREAKS = re.compile(r"[,;/()\[\]|]|\s-+\s|\s–\s")
+
+
 def plain(text: str) -> str:
     """Lower-case ASCII words: accents off, every other character a blank."""
-    text = unicodedata.normalize("NFKD", repair(text)).lower()
-    text = "".join(c for c in text if not unicodedata.combining(c))
-    return re.sub(r"[^a-z0-9]+", " ", text).strip()
+    return _OTHER.sub(" ", unaccented(text)).strip()
 
 
 def segments(text: str) -> list[str]:
     """Parts of a value between commas, slashes, brackets, semicolons and dashes set off by blanks."""
-    return [p for part in re.split(r"[,;/()\[\]|]|\s-+\s|\s–\s", repair(text)) if (p := plain(part))]
+    return [p for part in _BREAKS.split(repair(text)) if (p := plain(part))]
 
 
 @dataclass
@@ -87,38 +97,44 @@ class Trie:
     def within(self, word: str, bound: int) -> dict:
         """Payload -> smallest distance, for all words within ``bound`` edits (swaps count one).
 
-        The automaton's state is the row of distances of a trie path to all beginnings of ``word``
-        that can still stay within the bound; paths without such a beginning are not followed.
+        A bit-parallel Levenshtein automaton runs along the trie: bit i of state j says that the first
+        i letters of ``word`` agree with the path up to j edits; a path whose states are empty is left.
         """
-        if bound == 0:
-            return {p: 0 for p in self.exact(word)}
         found: dict = {}
         n = len(word)
-        first = list(range(n + 1))
-        stack = [(node, c, first, None, "") for c, node in self.root.items() if c]
-        if "" in self.root and n <= bound:
-            found.update({p: n for p in self.root[""]})
+        goal = 1 << n
+        full = (goal << 1) - 1
+        masks: dict[str, int] = {}
+        for i, c in enumerate(word):
+            masks[c] = masks.get(c, 0) | 1 << i
+        start = [(1 << (j + 1)) - 1 & full for j in range(bound + 1)]
+        none = [0] * (bound + 1)
+        stack = [(self.root, start, none, 0)]
+        levels = range(1, bound + 1)
         while stack:
-            node, c, above, above2, before = stack.pop()
-            row = [above[0] + 1]
-            low = row[0]
-            for i in range(1, n + 1):
-                w = word[i - 1]
-                v = above[i - 1] if w == c else 1 + min(above[i - 1], above[i], row[i - 1])
-                if above2 is not None and i > 1 and w == before and word[i - 2] == c:
-                    v = min(v, above2[i - 2] + 1)
-                row.append(v)
-                if v < low:
-                    low = v
-            if low <= bound:
-                if "" in node and row[n] <= bound:
-                    for p in node[""]:
-                        if row[n] < found.get(p, bound + 1):
-                            found[p] = row[n]
-                stack.extend((child, d, row, above, c) for d, child in node.items() if d)
-            elif above2 is None or min(above) <= bound - 1:
-                # a swap may still lead back under the bound
-                stack.extend((child, d, row, above, c) for d, child in node.items() if d and min(above) + 1 <= bound)
+            node, state, earlier, before = stack.pop()
+            for c, child in node.items():
+                if not c:
+                    for j, s in enumerate(state):
+                        if s & goal:
+                            for p in child:
+                                if j < found.get(p, bound + 1):
+                                    found[p] = j
+                            break
+                    continue
+                mask = masks.get(c, 0)
+                last = (state[0] & mask) << 1
+                after = [last]
+                for j in levels:
+                    less = state[j - 1]
+                    # agree, extra letter in the path, another letter, letter left out
+                    last = (state[j] & mask) << 1 | less | less << 1 | last << 1
+                    if before:
+                        last |= ((earlier[j - 1] & mask) << 1 & before) << 1
+                    last &= full
+                    after.append(last)
+                if after[-1]:
+                    stack.append((child, after, state, mask))
         return found
 
 
@@ -139,6 +155,8 @@ class Gazetteer:
         for p in {plain(province) for _, _, province in rows if province}:
             self.provinces.add(p.replace(" ", ""), p)
         self.memo: dict[str, frozenset] = {}
+        self.near_memo: dict[str, dict[str, int]] = {}
+        self.province_memo: dict[str, tuple[str | None, bool, int]] = {}
 
     @staticmethod
     def aliases(name: str) -> set[str]:
@@ -159,6 +177,13 @@ class Gazetteer:
 
     def province(self, segment: str) -> tuple[str | None, bool, int]:
         """(province, whether the segment says so with a word like Province, distance)."""
+        if (known := self.province_memo.get(segment)) is None:
+            if len(self.province_memo) >= MEMO:
+                self.province_memo.clear()
+            known = self.province_memo[segment] = self._province(segment)
+        return known
+
+    def _province(self, segment: str) -> tuple[str | None, bool, int]:
         bare = PROVINCE_WORDS.sub("", segment)
         key = bare.replace(" ", "")
         hits = self.provinces.within(key, min(edits_allowed(len(key)), 1))
@@ -168,15 +193,25 @@ class Gazetteer:
         names = [p for p, d in hits.items() if d == best]
         return (names[0] if len(names) == 1 else None), bare != segment, best
 
-    def places_near(self, segment: str, bound: int | None = None) -> dict[str, int]:
+    def places_near(self, segment: str) -> dict[str, int]:
+        """Localities nearest to the segment within its bound, with their distance."""
+        if (known := self.near_memo.get(segment)) is None:
+            if len(self.near_memo) >= MEMO:
+                self.near_memo.clear()
+            known = self.near_memo[segment] = self._places_near(segment)
+        return known
+
+    def _places_near(self, segment: str) -> dict[str, int]:
         key = segment.replace(" ", "")
         # the longest word stands for the name proper; words of titles and kinds earn no edits
-        most = edits_allowed(max((len(w) for w in segment.split(" ") if w not in TITLE_WORDS), default=0)) if bound is None else bound
+        most = edits_allowed(max((len(w) for w in segment.split(" ") if w not in TITLE_WORDS), default=0))
         # a slip inside n with tilde, written ny, is looked up as a slip of n
         for word in (key, key.replace("ny", "n")) if "ny" in key else (key,):
-            for k in range(most + 1):
-                if hits := self.places.within(word, k):
-                    return hits
+            if hits := self.places.exact(word):
+                return dict.fromkeys(hits, 0)
+            if most and (hits := self.places.within(word, most)):
+                best = min(hits.values())
+                return {p: d for p, d in hits.items() if d == best}
         return {}
 
     def candidates(self, value: str | None) -> frozenset:
