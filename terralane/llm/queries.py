@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terralane.llm import addresses, gazetteer, survivor
+from terralane.llm import addresses, gazetteer, institutions, survivor
 from terralane.session import table
 
 OPERATORS, WEBSITES = ["osm_operator", "overture_operator"], ["osm_website", "overture_website"]
@@ -17,6 +17,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivor.best_values(table(spark, sf_dir, "places"), "canonical_id", OPERATORS, WEBSITES)
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    official = institutions.named_rows(table(spark, sf_dir, "registry_qc_official_sources"), "rec_id", "name", "aliases")
+    hospitals = institutions.named_rows(table(spark, sf_dir, "philhealth_level3"), "rec_id", "name_of_health_facility", None)
+    return institutions.same_institution_pairs(official.unionByName(hospitals))
+
+
 ADDRESSES = [("registry_qc_official_sources", "address", "city"), ("philhealth_level3", "street", "municipality"), ("osm_places", "osm_address", "osm_city"), ("overture_places", "overture_address", "overture_city")]
 
 
@@ -42,7 +48,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gazetteer.map_values(cases, "rec_id", "value", places).select("rec_id", "psgc")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
 ORACLE: dict[str, str] = {}
 
 
