@@ -234,7 +234,8 @@ def _inside(pieces: list[list[np.ndarray]], x: np.ndarray, y: np.ndarray) -> np.
     return odd
 
 
-def _contained(regions: list[tuple[int, tuple, list]], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def contained(regions: list[tuple[int, tuple, list]], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row numbers, regions) of all points inside prepared regions."""
     rows, ids = [], []
     for region, (x0, y0, x1, y1), pieces in regions:
         at = np.flatnonzero((x >= x0) & (x <= x1) & (y >= y0) & (y <= y1))
@@ -246,7 +247,8 @@ def _contained(regions: list[tuple[int, tuple, list]], x: np.ndarray, y: np.ndar
     return (np.concatenate(rows), np.concatenate(ids)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def _prepared(region: int, wkb: bytes) -> tuple[int, tuple, list] | None:
+def prepare_region(region: int, wkb: bytes) -> tuple[int, tuple, list] | None:
+    """(region, bounding box, pieces) for ``contained``; None for an empty geometry."""
     pieces = decode_polygons(wkb)
     if not pieces:
         return None
@@ -269,9 +271,9 @@ def points_in_regions(points: DataFrame, regions: DataFrame, key: str = "rec_id"
         known = [tuple(r) for r in shapes.collect()]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ready = [p for r, w in known if (p := _prepared(r, bytes(w)))]
+            ready = [p for r, w in known if (p := prepare_region(r, bytes(w)))]
             for batch in batches:
-                rows, ids = _contained(ready, _floats(batch.column(2)), _floats(batch.column(1)))
+                rows, ids = contained(ready, _floats(batch.column(2)), _floats(batch.column(1)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(ids)], names=[key, region_key])
 
         return source.mapInArrow(run, schema)
@@ -279,7 +281,7 @@ def points_in_regions(points: DataFrame, regions: DataFrame, key: str = "rec_id"
     def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for region, wkb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if (p := _prepared(region, wkb)) is None:
+                if (p := prepare_region(region, wkb)) is None:
                     continue
                 x0, y0, x1, y1 = (math.floor(v / grid_deg) for v in p[1])
                 cells = [(cx, cy) for cx in range(x0, x1 + 1) for cy in range(y0, y1 + 1)]
@@ -302,7 +304,7 @@ def points_in_regions(points: DataFrame, regions: DataFrame, key: str = "rec_id"
                 if region not in memo:
                     if len(memo) > 1000:
                         memo.clear()
-                    memo[region] = _prepared(int(region), batch.column(4)[int(at[0])].as_py())
+                    memo[region] = prepare_region(int(region), batch.column(4)[int(at[0])].as_py())
                 if memo[region] is not None:
                     hit[at] = _inside(memo[region][2], x[at], y[at])
             rows = pa.array(np.flatnonzero(hit))
