@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terralane.llm import addresses, gazetteer, institutions, survivor
+from terralane.llm import addresses, gazetteer, institutions, matching, survivor
 from terralane.session import table
 
 OPERATORS, WEBSITES = ["osm_operator", "overture_operator"], ["osm_website", "overture_website"]
@@ -48,7 +48,17 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gazetteer.map_values(cases, "rec_id", "value", places).select("rec_id", "psgc")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found}
+def p6_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of places that are one, with their score and calibrated confidence."""
+    found = matching.match_sources(table(spark, sf_dir, "osm_places"), "osm", table(spark, sf_dir, "overture_places"), "overture", table(spark, sf_dir, "area_localities"))
+    return found.select(F.col("left_sid").alias("osm_id"), F.col("right_sid").alias("overture_id"), F.round("score", 6).alias("score"), F.round("confidence", 6).alias("confidence"))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p6_matches(spark, sf_dir).select("osm_id", "overture_id")
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches}
 ORACLE: dict[str, str] = {}
 
 
