@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terralane.llm import addresses, gazetteer, institutions, matching, survivor
+from terralane.llm import abuse, addresses, gazetteer, institutions, leakage, matching, survivor
 from terralane.session import table
 
 OPERATORS, WEBSITES = ["osm_operator", "overture_operator"], ["osm_website", "overture_website"]
@@ -58,7 +58,26 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p6_matches(spark, sf_dir).select("osm_id", "overture_id")
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score of every document, with the categories of its worst sentence."""
+    documents = table(spark, sf_dir, "documents")
+    return abuse.scored(documents, abuse.train(documents, table(spark, sf_dir, "doc_labels")), extra=["source"])
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_scores(spark, sf_dir).filter(F.col("score") >= abuse.THRESHOLD).select("doc_id")
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rate of flagged documents of every source."""
+    return abuse.rates(p10_scores(spark, sf_dir)).withColumn("rate", F.round("rate", 6)).withColumn("mean_score", F.round("mean_score", 6))
+
+
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_found": p8_found, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}
 
 
