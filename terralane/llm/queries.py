@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terralane.llm import abuse, addresses, gazetteer, institutions, leakage, matching, survivor
+from terralane.llm import abuse, addresses, gazetteer, institutions, leakage, matching, mixing, survivor
 from terralane.session import table
 
 OPERATORS, WEBSITES = ["osm_operator", "overture_operator"], ["osm_website", "overture_website"]
@@ -62,6 +62,16 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
 
 
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the mix: targets, actual shares and repeats of every listed source."""
+    return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "source_targets"))[1]
+
+
+def p9_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix itself: how often every document of a listed source is taken."""
+    return mixing.mixed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "source_targets"))[0].withColumn("rate", F.round("rate", 6))
+
+
 def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score of every document, with the categories of its worst sentence."""
     documents = table(spark, sf_dir, "documents")
@@ -77,7 +87,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abuse.rates(p10_scores(spark, sf_dir)).withColumn("rate", F.round("rate", 6)).withColumn("mean_score", F.round("mean_score", 6))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_found": p8_found, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_found": p8_found, "p9_mix": p9_mix, "p9_copies": p9_copies, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLE: dict[str, str] = {}
 
 
