@@ -29,8 +29,8 @@ QUERIES = {"p5_found": p5_found, "p7_found": p7_found}
 
 _SPLIT = """
 SELECT rec_id, '{f}' AS field_name,
-       list_filter(list_transform(regexp_extract_all({f}, '"[^"]*"|''[^'']*''|[^;,|/\\t\\n\\[\\]]+'),
-                                  x -> trim(trim(x, E' \\t\\n'), '"''')), x -> x <> '') AS v
+       list_filter(list_transform(regexp_extract_all({f}, '"[^"]*"|''[^'']*''|[^;,|/\\s\\[\\]"''][^;,|/\\t\\n\\[\\]]*'),
+                                  lambda x: trim(trim(x, E' \\t\\n'), '"''')), lambda x: x <> '') AS v
 FROM places"""
 
 ORACLE = {

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from terralane.plans import problems
+from terralane.plans import economy, functions, places, problems, relational
 
-MODULES = [problems]
-FLAGSHIP = "p7_found"
+MODULES = [problems, relational, functions, economy, places]
+FLAGSHIP = "x14_inverse_distance_scores"
 
 
 def queries() -> dict:
