@@ -102,9 +102,9 @@ def neighbour_graph(arcs: DataFrame, positions: DataFrame, radius: float) -> Dat
     """
     ends = positions.join(arcs, ["u", "v"]).select("id", F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("offset").alias("o")), F.struct(F.col("v").alias("node"), (F.col("length") - F.col("offset")).alias("o")))).alias("e")).select("id", "e.node", "e.o")
     ends = cut(ends.groupBy("id", "node").agg(F.min("o").alias("o")))
-    reach = distances(arcs, ends.select("node").distinct(), radius)
+    reach = distances(arcs, ends.select("node").distinct(), radius).select("source", F.col("node").alias("target"), "d")
     a, b = ends.alias("a"), ends.alias("b")
-    via = a.join(reach, F.col("a.node") == F.col("source")).join(b, F.col("b.node") == reach["node"]).filter(F.col("a.id") < F.col("b.id")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (F.col("a.o") + F.col("d") + F.col("b.o")).alias("d"))
+    via = a.join(reach, F.col("a.node") == F.col("source")).join(b, F.col("b.node") == F.col("target")).filter(F.col("a.id") < F.col("b.id")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (F.col("a.o") + F.col("d") + F.col("b.o")).alias("d"))
     p, q = positions.alias("p"), positions.alias("q")
     same = p.join(q, (F.col("p.u") == F.col("q.u")) & (F.col("p.v") == F.col("q.v")) & (F.col("p.id") < F.col("q.id"))).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.abs(F.col("p.offset") - F.col("q.offset")).alias("d"))
     return via.unionByName(same).filter(F.col("d") <= radius).groupBy("a", "b").agg(F.min("d").alias("d"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from terralane.plans import economy, functions, places, problems, relational
+from terralane.plans import classes, economy, functions, places, problems, publishing, relational
 
-MODULES = [problems, relational, functions, economy, places]
+MODULES = [problems, relational, functions, economy, places, classes, publishing]
 FLAGSHIP = "x14_inverse_distance_scores"
 
 
