@@ -189,3 +189,19 @@ def rank_correlation(df: DataFrame, a: str, b: str) -> float:
 
     ranked = df.join(ranks(a), a).join(ranks(b), b)
     return ranked.agg(F.corr(f"r_{a}", f"r_{b}")).first()[0]
+
+
+def reweighted(edges: DataFrame, nodes: DataFrame, coefficients: DataFrame, decay: float) -> DataFrame:
+    """New weights for known routes (src, src_cluster, dst, dst_cluster, d): nothing but the decay changed."""
+    pairs = edges.select("src", "dst", "src_cluster", "dst_cluster").join(coefficients.select("src", "dst", "a"), ["src", "dst"])
+    return graph_edges(pairs, nodes, edges.select("src", "src_cluster", "dst", "dst_cluster", "d"), decay)
+
+
+def strongest_parent(edges: DataFrame, rings: DataFrame) -> DataFrame:
+    """(node, parent, w): of every node in a ring the strongest link to the ring before; ties to the smaller parent."""
+    a = rings.select(F.col("node").alias("u"), F.col("depth").alias("du"))
+    b = rings.select(F.col("node").alias("v"), F.col("depth").alias("dv"))
+    both = edges.select("u", "v", "w").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
+    links = both.join(a, "u").join(b, "v").filter("dv = du + 1")
+    ranked = links.withColumn("n", F.row_number().over(W.partitionBy("v").orderBy(F.col("w").desc(), "u"))).filter("n = 1")
+    return ranked.select(F.col("v").alias("node"), F.col("u").alias("parent"), "w")

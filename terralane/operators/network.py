@@ -141,3 +141,48 @@ def ego_network(edges: DataFrame, start: str, depth: int, most: int = 300) -> Da
             break
         found = cut(found.unionByName(ring))
     return found
+
+
+def distinct_positions(snapped: DataFrame) -> DataFrame:
+    """(id, position, representative): one number per place on the network; the representative is the
+    point snapped from nearest, ties by id.  ``snapped`` is (id, u, v, offset, distance)."""
+    at = W.partitionBy("u", "v", "offset").orderBy("distance", "id")
+    return snapped.select("id", F.dense_rank().over(W.orderBy("u", "v", "offset")).alias("position"), F.first("id").over(at).alias("representative"))
+
+
+def shortest_path(arcs: DataFrame, reach: DataFrame, source: int, target: int) -> DataFrame:
+    """(seq, node) of a shortest path, walked back from the target over tight arcs; ties to the smaller node."""
+    d = cut(reach.filter(F.col("source") == source).select("node", "d"))
+    tight = both_ways(arcs).join(d.select(F.col("node").alias("s"), F.col("d").alias("ds")), "s").join(d.select(F.col("node").alias("t"), F.col("d").alias("dt")), "t")
+    before = cut(tight.filter(F.abs(F.col("ds") + F.col("length") - F.col("dt")) <= 1e-9 * F.greatest(F.lit(1.0), F.col("dt"))).groupBy("t").agg(F.min("s").alias("p")))
+    path, at = [target], target
+    while at != source:
+        found = before.filter(F.col("t") == at).select("p").limit(1).collect()
+        if not found:
+            return arcs.sparkSession.createDataFrame([], "seq int, node long")
+        at = found[0][0]
+        path.append(at)
+    return arcs.sparkSession.createDataFrame(list(enumerate(reversed(path))), "seq int, node long")
+
+
+def distance_violations(edges: DataFrame, reach: DataFrame) -> DataFrame:
+    """Edges (source, node, d) whose stated distance is not the shortest one, within max(1e-6, 1e-8 d)."""
+    both = edges.withColumnRenamed("d", "stated").join(reach, ["source", "node"], "left")
+    return both.filter(F.col("d").isNull() | (F.abs(F.col("d") - F.col("stated")) > F.greatest(F.lit(1e-6), 1e-8 * F.col("d"))))
+
+
+def contracted(arcs: DataFrame, keep: DataFrame) -> DataFrame:
+    """Arcs along chains of split vertices joined into one, except at kept nodes.
+
+    ``arcs`` is (edge, seq, u, v, length) of parts of a parent edge in order; ``keep`` is (node).
+    """
+    w = W.partitionBy("edge").orderBy("seq")
+    starts = arcs.join(keep.select(F.col("node").alias("u"), F.lit(1).alias("k")), "u", "left")
+    group = F.sum(F.coalesce("k", F.lit(0))).over(w.rowsBetween(W.unboundedPreceding, 0))
+    marked = starts.withColumn("g", F.when(F.row_number().over(w) == 1, group).otherwise(group))
+    return marked.groupBy("edge", "g").agg(F.min_by("u", "seq").alias("u"), F.max_by("v", "seq").alias("v"), F.sum("length").alias("length"))
+
+
+def edge_split(du, dv, length):
+    """Offset on an arc up to which the owner of its first end is nearer: (d_v + length - d_u) / 2, clamped."""
+    return F.greatest(F.lit(0.0), F.least(length, (dv + length - du) / 2))

@@ -102,3 +102,19 @@ def provinces(localities: DataFrame) -> DataFrame:
     return localities.groupBy("province").agg(
         F.count(F.lit(1)).alias("localities"), F.array_join(F.array_sort(F.collect_set("psgc")), "|").alias("codes"),
         F.min("min_lon").alias("min_lon"), F.min("min_lat").alias("min_lat"), F.max("max_lon").alias("max_lon"), F.max("max_lat").alias("max_lat"))
+
+
+def augmented(canonical: DataFrame, extra: DataFrame) -> DataFrame:
+    """Canonical places with a second source matched in: weighted centroid by source_count, new rows added.
+
+    ``canonical`` is (id, name, lon, lat, source_count), ``extra`` (id, name, lon, lat); the result adds
+    ``extra_id`` and ``status`` (matched, kept, new).
+    """
+    match = one_to_one(candidate_pairs(canonical, extra)).select("left_id", "right_id")
+    b = extra.select(F.col("id").alias("right_id"), F.col("lon").alias("xlon"), F.col("lat").alias("xlat"))
+    joined = canonical.join(match.join(b, "right_id"), F.col("id") == F.col("left_id"), "left")
+    n = F.col("source_count")
+    moved = lambda own, other: F.when(F.col("right_id").isNull(), F.col(own)).otherwise((F.col(own) * n + F.col(other)) / (n + 1))
+    old = joined.select("id", "name", moved("lon", "xlon").alias("lon"), moved("lat", "xlat").alias("lat"), (n + F.col("right_id").isNotNull().cast("int")).alias("source_count"), F.col("right_id").alias("extra_id"), F.when(F.col("right_id").isNull(), "kept").otherwise("matched").alias("status"))
+    new = extra.join(match.select(F.col("right_id").alias("id")), "id", "left_anti").select(F.concat(F.lit("new:"), F.col("id").cast("string")).alias("id"), "name", "lon", "lat", F.lit(1).alias("source_count"), F.col("id").alias("extra_id"), F.lit("new").alias("status"))
+    return old.withColumn("id", F.col("id").cast("string")).unionByName(new)

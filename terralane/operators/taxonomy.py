@@ -128,3 +128,72 @@ def majority(votes: DataFrame) -> DataFrame:
     """(id, code) that more than half of the votes (id, code) name."""
     counted = votes.groupBy("id", "code").agg(F.count(F.lit(1)).alias("n"))
     return counted.withColumn("all", F.sum("n").over(W.partitionBy("id"))).filter("2 * n > all").select("id", "code")
+
+
+def level_report(tree: DataFrame, paths: DataFrame) -> DataFrame:
+    """(level, codes, leaves) of a tree."""
+    depth = paths.groupBy("code").agg(F.max("distance").alias("level"))
+    inner = tree.filter("parent IS NOT NULL AND parent <> ''").select(F.col("parent").alias("code")).distinct().withColumn("inner", F.lit(1))
+    return depth.join(inner, "code", "left").groupBy("level").agg(F.count(F.lit(1)).alias("codes"), F.sum(F.col("inner").isNull().cast("long")).alias("leaves"))
+
+
+def subtree_sets(left: DataFrame, right: DataFrame, paths: DataFrame) -> DataFrame:
+    """(id, code, relation) of the subtrees below the codes of two sides (id, code): both, left or right only."""
+    a = left.join(paths.select(F.col("ancestor").alias("code"), F.col("code").alias("leaf")), "code").select("id", F.col("leaf").alias("code")).distinct()
+    b = right.join(paths.select(F.col("ancestor").alias("code"), F.col("code").alias("leaf")), "code").select("id", F.col("leaf").alias("code")).distinct()
+    both = a.withColumn("a", F.lit(1)).join(b.withColumn("b", F.lit(1)), ["id", "code"], "full_outer")
+    return both.select("id", "code", F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), "both").when(F.col("a").isNotNull(), "left").otherwise("right").alias("relation"))
+
+
+def automatic_mapping(ranked: DataFrame, least: float = 0.45, margin: float = 0.12) -> DataFrame:
+    """(query, target, status) from a ranking (query, target, score, rank): the first target if its score
+    and its lead over the second suffice; LOW or CLOSE otherwise."""
+    best = ranked.groupBy("query").agg(F.max(F.when(F.col("rank") == 1, F.struct("score", "target"))).alias("f"), F.max(F.when(F.col("rank") == 2, F.col("score"))).alias("second"))
+    lead = F.col("f.score") - F.coalesce("second", F.lit(0.0))
+    status = F.when(F.col("f.score") < least, "LOW").when(lead < margin, "CLOSE").otherwise("MAPPED")
+    return best.select("query", F.when(status == "MAPPED", F.col("f.target")).alias("target"), status.alias("status"))
+
+
+def nearest_bridge(codes: DataFrame, bridge: DataFrame, paths: DataFrame) -> DataFrame:
+    """(code, via, target) by the nearest ancestor, the code itself first, that has a bridge row (code, target)."""
+    up = codes.join(paths, "code").join(bridge.withColumnRenamed("code", "ancestor"), "ancestor")
+    first = up.groupBy("code").agg(F.min(F.struct("distance", "ancestor", "target")).alias("b"))
+    return codes.join(first, "code", "left").select("code", F.col("b.ancestor").alias("via"), F.col("b.target").alias("target"))
+
+
+def map_union(sets: DataFrame, mapped: DataFrame) -> DataFrame:
+    """(id, targets) of code sets (id, code): the sorted targets, null when any code has none."""
+    joined = sets.join(mapped.select("code", "target"), "code", "left")
+    return joined.groupBy("id").agg(F.when(F.bool_and(F.col("target").isNotNull()), F.array_join(F.array_sort(F.collect_set("target")), "; ")).alias("targets"))
+
+
+def tag_rules(tags: DataFrame, rules: DataFrame) -> DataFrame:
+    """(id, code, status) of rows (id, tag) under rules (code, need, tag), need being all or any: a rule
+    holds when all its ``all`` tags and one of its ``any`` tags are there; several codes conflict."""
+    totals = rules.groupBy("code").agg(F.sum((F.col("need") == "all").cast("int")).alias("all_n"), F.sum((F.col("need") == "any").cast("int")).alias("any_n"))
+    hits = tags.distinct().join(rules, "tag").groupBy("id", "code").agg(F.sum((F.col("need") == "all").cast("int")).alias("a"), F.sum((F.col("need") == "any").cast("int")).alias("b"))
+    good = hits.join(totals, "code").filter("a = all_n AND (any_n = 0 OR b > 0)")
+    found = good.groupBy("id").agg(F.countDistinct("code").alias("n"), F.min("code").alias("code"))
+    return tags.select("id").distinct().join(found, "id", "left").select("id", F.when(F.col("n") == 1, F.col("code")).alias("code"), F.when(F.col("n").isNull(), "NONE").when(F.col("n") == 1, "RULE").otherwise("CONFLICT").alias("status"))
+
+
+def level_guard(rows: DataFrame, fine_parents: DataFrame, middle_parents: DataFrame) -> DataFrame:
+    """(id, fine, middle, coarse, status): codes of three levels made to nest.
+
+    The finest code given wins; coarser ones are its ancestors, and a given coarser code that is not its
+    ancestor is a CONFLICT that keeps what was given.  Parents are (code, parent).
+    """
+    a = fine_parents.select(F.col("code").alias("fine"), F.col("parent").alias("fine_up"))
+    b = middle_parents.select(F.col("code").alias("m"), F.col("parent").alias("m_up"))
+    joined = rows.join(a, "fine", "left")
+    m = F.coalesce("fine_up", "middle")
+    joined = joined.withColumn("m", m).join(b, "m", "left")
+    c = F.coalesce("m_up", "coarse")
+    clash = (F.col("fine_up").isNotNull() & F.col("middle").isNotNull() & (F.col("fine_up") != F.col("middle"))) | (F.col("m_up").isNotNull() & F.col("coarse").isNotNull() & (F.col("m_up") != F.col("coarse")))
+    return joined.select("id", "fine", F.when(clash, F.col("middle")).otherwise(F.col("m")).alias("middle"), F.when(clash, F.col("coarse")).otherwise(c).alias("coarse"), F.when(clash, "CONFLICT").otherwise("OK").alias("status"))
+
+
+def coverage(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, filled, total) of the columns that hold a nonblank value."""
+    sums = rows.agg(F.count(F.lit(1)).alias("total"), *[F.sum((F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) != "").cast("long")).alias(f"c{i}") for i, c in enumerate(columns)])
+    return sums.select("total", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("filled")) for i, c in enumerate(columns)])).alias("x")).select("x.column_name", "x.filled", "total")
