@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 #: Labelled documents used for training at most; chosen by a hash of their id.
 MAX_LABELLED = 20_000
+#: Characters up to which a labelled text is used for training (scoring reads texts of any length).
+MAX_TRAINING_LENGTH = 20_000
 FOLDS, MIN_SENTENCES, WINDOW_WORDS = 3, 2, 28
 THRESHOLD = 0.5
 #: Penalty of the models that pick the abusive sentences of a document.
@@ -329,11 +331,14 @@ class Chain:
 
 
 def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Chain:
-    """The chain trained on at most ``max_labelled`` documents that have votes (null votes do not count)."""
+    """The chain trained on at most ``max_labelled`` documents that have votes (null votes do not count)
+    and a text of at most ``MAX_TRAINING_LENGTH`` characters."""
     votes = labels.filter("abusive IS NOT NULL").groupBy("doc_id").agg(F.avg("abusive").alias("share"))
     chosen = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    sample = documents.select("doc_id", "text").filter("text IS NOT NULL").join(chosen, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return Chain([(r["text"], r["share"]) for r in sample.collect()])
+    # at most max_labelled rows of two numbers: small enough for every task, so that no text is shuffled
+    sample = documents.select("doc_id", "text").filter(F.length("text") <= MAX_TRAINING_LENGTH).join(F.broadcast(chosen), "doc_id")
+    rows = sorted(((r["doc_id"], r["text"], r["share"]) for r in sample.collect()), key=lambda r: (r[0] * 0x9E3779B97F4A7C15 % (1 << 64), r[0]))
+    return Chain([(text, share) for _, text, share in rows])
 
 
 def scored(documents: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text", extra: list[str] | None = None) -> DataFrame:

@@ -86,7 +86,10 @@ def train_domains(documents: DataFrame, sources: list[str], max_labelled: int =
     """
     number = {s: i for i, s in enumerate(sources)}
     k = len(sources)
-    sample = documents.select("doc_id", "source", "text").filter(F.col("source").isin(sources)).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    labelled = documents.filter(F.col("source").isin(sources))
+    # at most max_labelled ids: small enough for every task, so that no text is sorted or shuffled
+    chosen = labelled.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    sample = labelled.select("doc_id", "source", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, memo = np.zeros((k, FEATURES), np.int64), {}

@@ -88,7 +88,44 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_found": p8_found, "p9_mix": p9_mix, "p9_copies": p9_copies, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
-ORACLE: dict[str, str] = {}
+
+def _p1_sql() -> str:
+    """Survivors stated without a skyline: the first value in the order of the policy."""
+    short = "' ' || regexp_replace(lower(v), '\\s+', ' ', 'g') || ' '"
+    short = f"regexp_replace({short}, '[.,]+ ', ' ', 'g')"
+    for a, b in survivor.SHORT_FORMS.items():
+        a, b = a.replace("'", "''"), b.replace("'", "''")
+        short = f"replace({short}, ' {a} ', ' {b} ')"
+    url = "regexp_replace(regexp_replace(regexp_replace(lower(regexp_replace(v, '\\s+', '', 'g')), '^h?t?tps?\\b[:/]*', ''), '^www\\.?', ''), '[/?#]+$', '')"
+    placeholders = ", ".join(f"'{x}'" for x in survivor.PLACEHOLDERS)
+    rows = " UNION ALL ".join(f"SELECT canonical_id AS g, '{f}' AS f, {int(f in WEBSITES)} AS u, {f} AS v, observed_at AS seen, CASE review_state WHEN 'verified' THEN 2 WHEN 'rejected' THEN 0 ELSE 1 END AS trust FROM places WHERE canonical_id IS NOT NULL" for f in OPERATORS + WEBSITES)
+    return f"""WITH o AS ({rows}),
+c AS (SELECT g, f, u, v, max(CASE WHEN trust > 0 THEN seen END) AS seen, max(trust) AS trust FROM o GROUP BY 1, 2, 3, 4),
+m AS (SELECT g, f FROM c GROUP BY 1, 2 HAVING count(*) > 1),
+w AS (SELECT c.*, CASE WHEN u = 1 THEN {url} ELSE trim({short}) END AS norm,
+  CASE WHEN u = 1 THEN CASE WHEN regexp_matches(v, '^https://[^/\\s]+\\.[^/\\s]+/\\S+$') AND NOT regexp_matches(v, '[/?#]$') THEN 4 ELSE 0 END + CASE WHEN regexp_matches(v, '^https?://\\S+$') THEN 2 ELSE 0 END + CASE WHEN v = lower(v) THEN 1 ELSE 0 END
+       ELSE CASE WHEN v <> upper(v) AND v <> lower(v) THEN 2 ELSE 0 END + CASE WHEN v = trim(regexp_replace(v, '\\s+', ' ', 'g')) AND NOT regexp_matches(v, '[.,;]$') THEN 1 ELSE 0 END END AS style
+  FROM c JOIN m USING (g, f) WHERE v IS NOT NULL AND trust > 0 AND lower(trim(regexp_replace(v, '\\s+', ' ', 'g'))) NOT IN ({placeholders})),
+x AS (SELECT DISTINCT g, f, norm FROM w),
+top AS (SELECT * FROM x a WHERE NOT EXISTS (SELECT 1 FROM x b WHERE b.g = a.g AND b.f = a.f AND b.norm <> a.norm AND starts_with(b.norm, a.norm) AND left(b.norm, {survivor.SPLIT}) = left(a.norm, {survivor.SPLIT}))),
+i AS (SELECT x.g, x.f, x.norm, min(top.norm) AS identity FROM x JOIN top ON x.g = top.g AND x.f = top.f AND starts_with(top.norm, x.norm) AND left(top.norm, {survivor.SPLIT}) = left(x.norm, {survivor.SPLIT}) GROUP BY 1, 2, 3),
+b AS (SELECT w.*, identity, max(seen) OVER k AS recency, max(trust) OVER k AS most, row_number() OVER (PARTITION BY w.g, w.f, identity ORDER BY (w.norm = identity) DESC, length(w.norm) DESC, style DESC, trust DESC, seen DESC, v DESC) AS n
+  FROM w JOIN i ON w.g = i.g AND w.f = i.f AND w.norm = i.norm WINDOW k AS (PARTITION BY w.g, w.f, identity)),
+p AS (SELECT *, CASE WHEN length(identity) < {survivor.SPLIT} THEN 1 WHEN style >= CASE WHEN u = 1 THEN 7 ELSE 3 END THEN 3 ELSE 2 END AS complete FROM b WHERE n = 1)
+SELECT g AS canonical_id, f AS field_name, v AS field_value FROM p
+QUALIFY row_number() OVER (PARTITION BY g, f ORDER BY complete > 1 DESC, recency DESC, complete DESC, most DESC, v DESC) = 1"""
+
+
+_WORDS = "regexp_extract_all(lower(strip_accents(regexp_replace(coalesce(text, ''), '[''\u2019\u02bc\u00ad\u200b-\u200d\u2060\ufeff]', '', 'g'))), '[\\p{L}\\p{N}]+')"
+#: Leaks by word runs: seven equal words in a row give the alignment, which is then counted out.
+_P8_SQL = f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), i AS (SELECT item_id, {_WORDS} AS w FROM eval_items),
+dg AS (SELECT doc_id, p, array_to_string(w[p:p + 6], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 5)) AS p FROM d WHERE len(w) >= 15)),
+ig AS (SELECT item_id, p, array_to_string(w[p:p + 6], ' ') AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 5)) AS p FROM i WHERE len(w) >= 15)),
+c AS (SELECT DISTINCT doc_id, item_id, dg.p - ig.p AS s FROM dg JOIN ig USING (g)),
+m AS (SELECT doc_id, item_id, list_transform(range(greatest(1, 1 - s), least(len(i.w), len(d.w) - s) + 1), lambda q: CASE WHEN d.w[q + s] = i.w[q] THEN 1 ELSE 0 END) AS e FROM c JOIN d USING (doc_id) JOIN i USING (item_id))
+SELECT DISTINCT doc_id, item_id FROM m WHERE len(e) >= 15 AND list_max(list_transform(range(1, len(e) - 13), lambda k: list_sum(e[k:k + 14]))) >= 14"""
+
+ORACLE: dict[str, str] = {"p1_found": _p1_sql(), "p8_found": _P8_SQL}
 
 
 def queries() -> dict:

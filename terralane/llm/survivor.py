@@ -109,8 +109,8 @@ def best_values(df: DataFrame, key: str, text_fields: list[str], url_fields: lis
         F.count(F.lit(1)).alias("contents"),
         F.max("seen").alias("recency"),
         F.max("trust").alias("trust"),
-        # the most complete and most ordinary writing, the smallest text among equals
-        F.max_by(F.struct("style", "v"), F.struct(whole.cast("int"), F.length("norm"), F.col("style"), F.col("trust"), F.col("seen"), F.hash("v"))).alias("best"),
+        # the most complete and most ordinary writing, the larger text among equals
+        F.max_by(F.struct("style", "v"), F.struct(whole.cast("int"), F.length("norm"), F.col("style"), F.col("trust"), F.col("seen"), F.col("v"))).alias("best"),
     )
 
     # completeness of the best writing: an unidentifiable stump, a restyled writing, an ordinary one
