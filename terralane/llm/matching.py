@@ -57,6 +57,8 @@ CELL = 0.01
 CALIBRATION_ROWS = 20_000
 #: Records of one name and class from which it is taken for a chain.
 CHAIN = 7
+#: Confidence from which a pair counts as one place.
+MIN_CONFIDENCE = 0.5
 
 
 def _near_kind(word: str) -> bool:
@@ -252,9 +254,9 @@ def score() -> Column:
 def fit_curve(scores: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
     """Logistic curve (slope, offset) by Newton steps with a weak prior; a default where one class is missing."""
     if len(scores) < 50 or truth.min() == truth.max():
-        return 18.0, -12.5
+        return 14.5, -9.4
     x = np.column_stack([scores, np.ones(len(scores))])
-    w, prior = np.array([18.0, -12.5]), np.array([18.0, -12.5])
+    w, prior = np.array([14.5, -9.4]), np.array([14.5, -9.4])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         g = x.T @ (p - truth) + 0.01 * (w - prior)
@@ -266,14 +268,15 @@ def fit_curve(scores: np.ndarray, truth: np.ndarray) -> tuple[float, float]:
     return float(w[0]), float(w[1])
 
 
-def matched(left: DataFrame, right: DataFrame) -> DataFrame:
+def matched(left: DataFrame, right: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """``(left_sid, right_sid, score, confidence)`` of every distinct pair of records that are one place.
 
     A pair is one place if the class agrees, the name vectors are close, nothing contradicts (another
     house number, another store page), and the positions are near; where a position is coarse or
     missing, an equal address or store page is asked for, or a name that is no chain's.  Names that
     say only a kind match only such names.  The confidence comes from the score's calibrated curve;
-    an agreeing address adds to it.  Empty tables give an empty result, repeated records one pair.
+    an agreeing address adds to it; pairs below ``min_confidence`` do not come out.  Empty tables give
+    an empty result, repeated records one pair.
     """
     pairs = cut(compared(left, right).withColumn("score", score()))
     sample = pairs.filter("address IS NOT NULL AND alike AND weak = 0").select("score", "address").orderBy(F.xxhash64("left_sid", "right_sid")).limit(CALIBRATION_ROWS).toPandas()
@@ -288,7 +291,7 @@ def matched(left: DataFrame, right: DataFrame) -> DataFrame:
     weak = weak.join(names, ["va", "vb", "cls"], "left").filter(same_store | same_address | (F.col("records").isNull() & ~F.col("retail") & ~F.col("generic")))
     found = fine.select("left_sid", "right_sid", "score", "address").unionByName(weak.select("left_sid", "right_sid", "score", "address"))
     odds = F.lit(slope) * F.col("score") + F.lit(offset) + F.when(F.coalesce("address", F.lit(False)), 2.0).otherwise(0.0)
-    return found.withColumn("confidence", 1 / (1 + F.exp(-odds))).groupBy("left_sid", "right_sid").agg(F.max("score").alias("score"), F.max("confidence").alias("confidence"))
+    return found.withColumn("confidence", 1 / (1 + F.exp(-odds))).groupBy("left_sid", "right_sid").agg(F.max("score").alias("score"), F.max("confidence").alias("confidence")).filter(F.col("confidence") >= min_confidence)
 
 
 def match_sources(left: DataFrame, left_prefix: str, right: DataFrame, right_prefix: str, localities_table: DataFrame) -> DataFrame:
