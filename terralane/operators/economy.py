@@ -228,3 +228,31 @@ def reconciliation(fine: DataFrame, coarse: DataFrame, mapping: DataFrame, relat
     both = coarse.select("src", "dst", F.col("value").cast("double").alias("given")).join(up, ["src", "dst"], "full_outer").fillna(0.0, ["given", "built"])
     gap = F.abs(F.col("given") - F.col("built"))
     return both.select("src", "dst", "given", "built", (gap <= relative * F.greatest(F.abs("given"), F.abs("built"))).alias("accepted"))
+
+
+def effective_coefficients(built: DataFrame, given: DataFrame) -> DataFrame:
+    """(src, dst, a): the coefficients given explicitly, the built ones elsewhere."""
+    both = built.join(given.select("src", "dst", F.col("a").alias("g")), ["src", "dst"], "full_outer")
+    return both.select("src", "dst", F.coalesce("g", "a").alias("a"))
+
+
+def assignment_status(places: DataFrame, keys: DataFrame) -> DataFrame:
+    """(id, key, status) of places (id, leaf, middle, top) under sector keys (leaf, key, middle, top).
+
+    A known leaf takes its leaf's key (EXACT); a place known by its middle or top group only takes the
+    key if all leaves of the group share it (WHOLE), STRADDLES otherwise; NONE without any code.
+    """
+    def one(level: str) -> DataFrame:
+        g = keys.groupBy(level).agg(F.countDistinct("key").alias(f"n_{level}"), F.min("key").alias(f"k_{level}"))
+        return g
+
+    joined = places
+    for level in ("leaf", "middle", "top"):
+        joined = joined.join(one(level), level, "left")
+    status = F.when(F.col("k_leaf").isNotNull(), "EXACT")
+    key = F.when(F.col("k_leaf").isNotNull(), F.col("k_leaf"))
+    for level in ("middle", "top"):
+        have = F.col(f"k_{level}").isNotNull()
+        status = status.when(have & (F.col(f"n_{level}") == 1), "WHOLE").when(have, "STRADDLES")
+        key = key.when(have & (F.col(f"n_{level}") == 1), F.col(f"k_{level}")).when(have, F.lit(None))
+    return joined.select("id", key.alias("key"), status.otherwise("NONE").alias("status"))

@@ -121,3 +121,25 @@ def manifest(spark, folder: str) -> DataFrame:
     """(name, bytes, sha256) of the files of a published folder."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def route_geometry(steps: DataFrame, vertices: DataFrame) -> DataFrame:
+    """(route, points) of routes (route, seq, node): the vertices' positions in order."""
+    placed = steps.join(vertices.select(F.col("id").alias("node"), "x", "y"), "node")
+    listed = placed.groupBy("route").agg(F.sort_array(F.collect_list(F.struct("seq", "x", "y"))).alias("p"))
+    return listed.select("route", F.transform("p", lambda v: F.struct(v["x"].alias("x"), v["y"].alias("y"))).alias("points"))
+
+
+def node_outputs(nodes: DataFrame, degrees: DataFrame, centrality: DataFrame, lon0: float, lat0: float) -> DataFrame:
+    """Nodes (node, x, y in metres around an origin) with position in degrees, degrees and centrality."""
+    metres = 111_195.0
+    lat = F.lit(lat0) + F.col("y") / metres
+    lon = F.lit(lon0) + F.col("x") / (F.lit(metres) * F.cos(F.radians(F.lit(lat0))))
+    placed = nodes.select("node", lon.alias("lon"), lat.alias("lat"))
+    return left_join_checked(left_join_checked(placed, degrees, ["node"], "1:1"), centrality, ["node"], "1:1")
+
+
+def id_relation(a: Column, b: Column) -> Column:
+    """none, one-sided, equal or different for two arrays of ids, order and repeats aside."""
+    x, y = F.array_distinct(F.coalesce(a, F.array().cast("array<string>"))), F.array_distinct(F.coalesce(b, F.array().cast("array<string>")))
+    return F.when((F.size(x) == 0) & (F.size(y) == 0), "none").when((F.size(x) == 0) | (F.size(y) == 0), "one-sided").when((F.size(F.array_except(x, y)) == 0) & (F.size(F.array_except(y, x)) == 0), "equal").otherwise("different")

@@ -197,3 +197,32 @@ def coverage(rows: DataFrame, columns: list[str]) -> DataFrame:
     """(column_name, filled, total) of the columns that hold a nonblank value."""
     sums = rows.agg(F.count(F.lit(1)).alias("total"), *[F.sum((F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) != "").cast("long")).alias(f"c{i}") for i, c in enumerate(columns)])
     return sums.select("total", F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"c{i}").alias("filled")) for i, c in enumerate(columns)])).alias("x")).select("x.column_name", "x.filled", "total")
+
+
+def by_distinct_key(rows: DataFrame, keys: list[str], decide) -> DataFrame:
+    """``rows`` with the columns that ``decide`` adds to their distinct keys: each key is decided once.
+
+    Null keys are keys like others.
+    """
+    decided = decide(rows.select(*keys).distinct())
+    added = [c for c in decided.columns if c not in keys]
+    a, b = rows.alias("a"), decided.alias("b")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}"))
+    return a.join(b, same, "left").select("a.*", *[F.col(f"b.{c}") for c in added])
+
+
+def hybrid(a, b, blocked):
+    """(code, status) columns of two independent codes: AGREE, DISAGREE, FIRST, SECOND, BLOCKED or NONE."""
+    code = F.when(blocked, F.lit(None)).when(a.isNotNull() & b.isNotNull() & (a != b), F.lit(None)).otherwise(F.coalesce(a, b))
+    status = F.when(blocked, "BLOCKED").when(a.isNotNull() & b.isNotNull(), F.when(a == b, "AGREE").otherwise("DISAGREE")).when(a.isNotNull(), "FIRST").when(b.isNotNull(), "SECOND").otherwise("NONE")
+    return code, status
+
+
+def longest_rule(texts: DataFrame, rules: DataFrame) -> DataFrame:
+    """(id, target, pattern) of texts (id, key) by the longest rule (pattern, target) that is the key or
+    ends it after an underscore; ties by the pattern."""
+    tails = texts.select("id", "key", F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("key", "_"))), lambda n: F.array_join(F.slice(F.split("key", "_"), -n, n), "_"))).alias("pattern"))
+    hits = tails.join(rules, "pattern").groupBy("id").agg(F.max(F.struct(F.length("pattern").alias("l"), "pattern", "target")).alias("b"))
+    return texts.select("id").join(hits, "id", "left").select("id", F.col("b.target").alias("target"), F.col("b.pattern").alias("pattern"))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from terralane.plans import classes, economy, functions, more, places, problems, publishing, relational
+from terralane.plans import classes, economy, extras, functions, more, places, problems, publishing, relational
 
-MODULES = [problems, relational, functions, economy, places, classes, publishing, more]
+MODULES = [problems, relational, functions, economy, places, classes, publishing, more, extras]
 FLAGSHIP = "x14_inverse_distance_scores"
 
 

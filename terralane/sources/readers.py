@@ -107,3 +107,34 @@ def checked_points(df: DataFrame) -> DataFrame:
     if failed:
         raise ValueError(f"input refused: {failed}")
     return df
+
+
+def utm_zone(lon: Column, lat: Column) -> Column:
+    """EPSG code of the UTM zone of a position, 326xx north and 327xx south."""
+    zone = F.least(F.lit(60), F.floor((lon + 180) / 6) + 1)
+    return (F.when(lat >= 0, 32600).otherwise(32700) + zone).cast("int")
+
+
+def transaction_block(sheet: list[list], labels: int) -> tuple[int, int]:
+    """(row, column) of the first cell of an n x n block whose label sequence stands across and down.
+
+    The label row lies directly above the block and the label column directly left of it; the topmost,
+    then left-most block wins; ValueError without one.  A sheet is small and read on the driver.
+    """
+    text = [["" if v is None else str(v).strip() for v in row] for row in sheet]
+    for r in range(len(text)):
+        for c in range(len(text[r]) - labels):
+            across = text[r][c + 1 : c + 1 + labels]
+            if len(across) == labels and all(across) and len(set(across)) == labels:
+                down = [text[i][c] if c < len(text[i]) else "" for i in range(r + 1, min(len(text), r + 1 + labels))]
+                if down == across:
+                    return r + 1, c + 1
+    raise ValueError("no square block with the same labels on both sides")
+
+
+def total_output_column(header: list[str]) -> int:
+    """Position of the one header that reads total output; ValueError for none or several."""
+    found = [i for i, h in enumerate(header) if " ".join(str(h or "").lower().split()) == "total output"]
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} columns read total output")
+    return found[0]
