@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 MAX_LABELLED = 20_000
 #: Characters up to which a labelled text is used for training (scoring reads texts of any length).
 MAX_TRAINING_LENGTH = 20_000
+#: Letters beyond which a run without blanks is no word of any lexicon.
+LONGEST = 60
 FOLDS, MIN_SENTENCES, WINDOW_WORDS = 3, 2, 28
 THRESHOLD = 0.5
 #: Penalty of the models that pick the abusive sentences of a document.
@@ -128,6 +130,8 @@ class Reader:
         bare = low.strip("!|+#")
         if not bare:
             return "", ""
+        if len(bare) > LONGEST:
+            return "<long>", ""
         if bare in LEXICON:
             return bare, LEXICON[bare]
         if "*" in bare and sum(c.isalpha() for c in bare) >= 1 and len(bare) >= 4:

@@ -40,6 +40,8 @@ KIND_OF = {w: k for k, ws in KINDS.items() for w in ws}
 KIND = "(?:" + "|".join(sorted(KIND_OF, key=len, reverse=True)) + r")\b\.?"
 WORD = r"[a-z][a-z'-]*"
 GAP = r"[ ,;.]*"
+#: Characters beyond which a text is no postal address.
+LONGEST = 2_000
 
 LOTS = re.compile(r"\b(?:block|blk|b)\.? ?(\d+)[ ,;-]*(?:lot|lt|l)\.? ?(\d+)\b")
 TURNED_LOTS = re.compile(r"\b(?:lot|lt|l)\.? ?(\d+)[ ,;-]*(?:block|blk|b)\.? ?(\d+)\b")
@@ -156,8 +158,11 @@ def localities(names: Gazetteer, rest: str, city: str | None) -> frozenset:
 
 
 def forms(names: Gazetteer, address: str | None, city: str | None) -> tuple[str, list[str], list[str]] | None:
-    """(number, streets as "kind/name", localities) or None where the address fits no case."""
-    if not address or not (parts := street_parts(address)):
+    """(number, streets as "kind/name", localities) or None where the address fits no case.
+
+    A text of more than ``LONGEST`` characters is no postal address and fits none.
+    """
+    if not address or len(address) > LONGEST or not (parts := street_parts(address)):
         return None
     number, streets, rest = parts
     places = localities(names, rest, city)

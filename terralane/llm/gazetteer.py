@@ -23,6 +23,8 @@ NONE = "NONE"
 #: Reference entries up to which the trie is built in every task; more is an error, see ``entries``.
 MAX_ENTRIES = 100_000
 MEMO = 200_000
+#: Characters beyond which a text names no town.
+LONGEST = 300
 
 # Words of place names and how people write them.
 TITLES = {
@@ -216,7 +218,7 @@ class Gazetteer:
 
     def candidates(self, value: str | None) -> frozenset:
         """All localities the value may mean: none, the one, or several that it does not tell apart."""
-        if value is None:
+        if value is None or len(value) > LONGEST:
             return frozenset()
         known = self.memo.get(value)
         if known is None:
@@ -295,7 +297,8 @@ def entries(localities: DataFrame) -> tuple:
 def map_values(df: DataFrame, key: str, value: str, localities: DataFrame) -> DataFrame:
     """``(key, value, psgc)`` for every row; psgc is NONE where no or no single entry is meant.
 
-    Null and blank values, placeholders, bare provinces and names shared by two entries give NONE.
+    Null and blank values, placeholders, texts of more than ``LONGEST`` characters, bare provinces and
+    names shared by two entries give NONE.
     One map over Arrow batches, no shuffle: hot values are looked up once per task.  Rows are kept as
     they are, so repeated rows give repeated results; an empty table gives an empty result.
     """

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terralane.llm.addresses import localities, street_parts
+from terralane.llm.addresses import LONGEST, localities, street_parts
 from terralane.llm.gazetteer import built, entries, plain
 from terralane.operators.proximity import EARTH_RADIUS_M, REGION_BYTES, contained, prepare_region
 from terralane.session import cut
@@ -70,7 +70,9 @@ def _near_kind(word: str) -> bool:
 
 def name_parts(name: str | None) -> tuple[tuple[str, ...], str]:
     """(words of the name proper, words that say the kind) of a business name."""
-    words = plain(BRANCH.sub(" ", (name or "").strip())).split() or plain(name or "").split()
+    text = (name or "").strip()
+    # branch remarks are looked for in texts of the length of a name
+    words = (plain(BRANCH.sub(" ", text)).split() if len(text) <= 500 else []) or plain(text).split()
     words = [w for w in words if w not in NO_WORDS]
     proper = [w for w in words if w not in KIND_WORDS]
     if len(proper) > 2:
@@ -139,11 +141,12 @@ def encoded(df: DataFrame, prefix: str, localities_table: DataFrame) -> DataFram
             for i, sid in enumerate(data["sid"]):
                 proper, kind = name_parts(data["name"][i])
                 vector = bits(proper or kind.split(), 128)
-                parts = street_parts(data["address"][i]) if data["address"][i] else None
+                address = data["address"][i] if data["address"][i] and len(data["address"][i]) <= LONGEST else None
+                parts = street_parts(address) if address else None
                 fine = bool(good[i]) and not (round(lat[i], 2) == lat[i] and round(lon[i], 2) == lon[i])
                 places = set(inside.get(i, ()))
                 if not fine:
-                    places |= set(localities(gazetteer, parts[2] if parts else data["address"][i] or "", data["city"][i]))
+                    places |= set(localities(gazetteer, parts[2] if parts else address or "", data["city"][i]))
                 host, store = website_parts(data["website"][i])
                 op = plain(data["operator"][i] or "")
                 op = "" if op in PLACEHOLDERS else op

@@ -20,7 +20,7 @@ def test_pairs(spark):
     rows = [
         (1, "4586 Camia Drive, San Rovahar", None), (2, "CAMIA DR. #4586 (near the terminal)", "san-rovahar, kekevel"), (3, "Nº 4586 Camai Drv., Sn. Rovahar 4012", ""),
         (4, "4587 Camia Drive", "San Rovahar"), (5, "4586 Camia Street", "San Rovahar"), (6, "4586 Camia Drive", "Gen. Zadamer"), (7, "4586 Camia Drive", None),
-        (8, None, "San Rovahar"), (9, "", ""), (10, "4586 Camia Drive, San Rovahar", None), (11, "x" * 50_000, "San Rovahar"),
+        (8, None, "San Rovahar"), (9, "", ""), (10, "4586 Camia Drive, San Rovahar", None), (11, "x" * 50_000, "San Rovahar"), (12, "12 pili street " * 20_000, "San Rovahar"),
     ]
     df = spark.createDataFrame(rows, "rec_id long, address string, city string")
     got = sorted(map(tuple, same_address_pairs(df, places).collect()))

@@ -45,6 +45,7 @@ def test_matches(spark):
         (4, "n4", "Mihoyo Risusa Drugstore", "amenity=pharmacy", 120.80012, 9.50012, None, None, None, None),
         (5, "n5", "Degahu Nurapo Grocery", "shop=supermarket", None, None, None, None, "14 Bumogun Boulevard", "San Rovahar"),
         (6, "n6", None, None, None, None, None, None, None, None),
+        (8, "n8", "y" * 100_000, "shop=bakery", 120.1, 9.1, "z" * 50_000, "w" * 50_000, "street 1 " * 20_000, "c " * 20_000),
         (7, "n1", "Nupolul and Rulili Fuel Stop", "amenity=fuel", 120.50012, 9.50012, None, None, None, None),
     ]
     right = [
