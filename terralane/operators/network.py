@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terralane.functions.text import round_significant
+from terralane.operators.relational import numbered
 from terralane.session import cut
 
 
@@ -16,7 +17,7 @@ def network_from_lines(lines: DataFrame, digits: int = 11) -> tuple[DataFrame, D
     Repeated and reversed segments are one arc; segments of no length drop out.
     """
     points = lines.select("way", "seq", round_significant("x", digits).alias("x"), round_significant("y", digits).alias("y"))
-    vertices = cut(points.select("x", "y").distinct().withColumn("id", F.row_number().over(W.orderBy("x", "y")).cast("long") - 1))
+    vertices = cut(numbered(points.select("x", "y").distinct(), ["x", "y"], "id"))
     w = W.partitionBy("way").orderBy("seq")
     steps = points.select("x", "y", F.lead("x").over(w).alias("x2"), F.lead("y").over(w).alias("y2")).filter("x2 IS NOT NULL AND (x <> x2 OR y <> y2)")
     ends = steps.join(vertices, ["x", "y"]).withColumnRenamed("id", "a").join(vertices.select(F.col("x").alias("x2"), F.col("y").alias("y2"), F.col("id").alias("b")), ["x2", "y2"])
@@ -146,8 +147,10 @@ def ego_network(edges: DataFrame, start: str, depth: int, most: int = 300) -> Da
 def distinct_positions(snapped: DataFrame) -> DataFrame:
     """(id, position, representative): one number per place on the network; the representative is the
     point snapped from nearest, ties by id.  ``snapped`` is (id, u, v, offset, distance)."""
+    places = numbered(snapped.select("u", "v", "offset").distinct(), ["u", "v", "offset"], "position")
     at = W.partitionBy("u", "v", "offset").orderBy("distance", "id")
-    return snapped.select("id", F.dense_rank().over(W.orderBy("u", "v", "offset")).alias("position"), F.first("id").over(at).alias("representative"))
+    first = snapped.withColumn("representative", F.first("id").over(at))
+    return first.join(places, ["u", "v", "offset"]).select("id", (F.col("position") + 1).cast("int").alias("position"), "representative")
 
 
 def shortest_path(arcs: DataFrame, reach: DataFrame, source: int, target: int) -> DataFrame:

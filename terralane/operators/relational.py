@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from terralane.session import cut
+
 
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """``(keys, n)`` of the keys that stand in more than one row; null keys count like values."""
@@ -43,6 +45,25 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     return df.withColumn("__n", rank).filter("__n = 1").drop("__n")
 
 
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """Adds ``name``: 0, 1, 2, ... in a global order, without one task that sees all rows.
+
+    Rows are range-partitioned and sorted, numbered inside their partition, and shifted by the sizes of
+    the partitions before it.  The partitioning is written out, so the numbers are those of one run.
+    """
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id()).withColumn("__i", inside))
+    sizes = sorted((r["__p"], r["n"]) for r in placed.groupBy("__p").agg(F.count(F.lit(1)).alias("n")).collect())
+    before, offsets = 0, {}
+    for part, n in sizes:
+        offsets[part] = before
+        before += n
+    if not offsets:
+        return placed.withColumn(name, F.lit(0).cast("long")).drop("__p", "__i")
+    shift = F.create_map(*[F.lit(x) for kv in offsets.items() for x in kv])[F.col("__p")]
+    return placed.withColumn(name, (shift + F.col("__i")).cast("long")).drop("__p", "__i")
+
+
 def top_k(df: DataFrame, k: int, score: str, tie: str) -> DataFrame:
     """The k rows with the highest score, ties by the smaller ``tie``; with their ``rank``.
 

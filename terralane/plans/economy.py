@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from terralane.operators import economy as ec
 from terralane.operators import graph as gr
+from terralane.operators.relational import numbered
 from terralane.plans.base import X_SQL, Z_SQL, code, outputs, transactions
 from terralane.session import table as t
 
@@ -18,9 +19,8 @@ def regions(s, d):
 
 def points(s, d):
     """Customers as points of their nation's clusters: one cluster per market segment."""
-    seg = F.dense_rank().over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("c_mktsegment")) - 1
-    segments = t(s, d, "customer").select("c_mktsegment").distinct().select("c_mktsegment", seg.cast("int").alias("cluster"))
-    return t(s, d, "customer").join(F.broadcast(segments), "c_mktsegment").select(F.col("c_custkey").alias("id"), code("c_nationkey").alias("type"), "cluster", F.abs(F.col("c_acctbal")).alias("distance"))
+    segments = numbered(t(s, d, "customer").select("c_mktsegment").distinct(), ["c_mktsegment"], "cluster").select("c_mktsegment", F.col("cluster").cast("int").alias("cluster"))
+    return t(s, d, "customer").join(segments, "c_mktsegment").select(F.col("c_custkey").alias("id"), code("c_nationkey").alias("type"), "cluster", F.abs(F.col("c_acctbal")).alias("distance"))
 
 
 def clusters(s, d):

@@ -30,7 +30,7 @@ def j12(s, d):
 
 def lines(s):
     """A lattice of straight roads, one way per row and per column."""
-    grid = s.range(SIDE).select(F.col("id").alias("a")).join(F.broadcast(s.range(SIDE).select(F.col("id").alias("seq"))), F.col("a") >= 0)
+    grid = s.range(SIDE * SIDE).select(F.floor(F.col("id") / SIDE).alias("a"), (F.col("id") % SIDE).alias("seq"))
     rows = grid.select(F.concat(F.lit("r"), "a").alias("way"), "seq", (F.col("seq") * GAP).alias("x"), (F.col("a") * GAP).alias("y"))
     return rows.unionByName(grid.select(F.concat(F.lit("c"), "a").alias("way"), "seq", (F.col("a") * GAP).alias("x"), (F.col("seq") * GAP).alias("y")))
 

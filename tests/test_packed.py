@@ -29,3 +29,18 @@ def test_unpack_fields(spark):
     assert rows == [(0, "f", 1, "q"), (0, "g", 1, "1"), (0, "g", 2, "2"), (1, "f", 1, "a"), (1, "f", 1, "a"), (1, "f", 2, "b"), (1, "f", 2, "b"), (1, "g", 1, "x")]
     assert unpack_fields(df, "rec_id", ["f", "g"], 2).count() == 6
     assert unpack_fields(df.limit(0), "rec_id", ["f"]).count() == 0
+
+
+def test_quoted_values_come_back():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    value = st.text(alphabet=st.characters(codec="utf-8", exclude_categories=("Cs", "Cc")), min_size=1, max_size=12).map(str.strip).filter(bool)
+
+    @settings(max_examples=200, deadline=None)
+    @given(st.lists(value, min_size=1, max_size=6), st.sampled_from([",", ";", "|", "; ", " | ", "\t", "\n", " / ", ";|"]))
+    def back(values, delimiter):
+        quoted = delimiter.join('"' + v.replace("\\", "\\\\").replace('"', '""') + '"' for v in values)
+        assert split_packed(quoted) == values
+
+    back()
