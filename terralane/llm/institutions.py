@@ -221,8 +221,9 @@ def alias_names(text: str | None) -> list[str]:
 
 #: Shortest suffix that is indexed.
 MIN_SUFFIX = 4
-#: Readings in a block beyond which it is refined, and beyond which a refined block is left to the
-#: other suffixes of its readings (both limits count distinct readings, never copies).
+#: Readings in a block beyond which it is refined by two letters of the name's other word, and beyond
+#: which a refined block is refined by four (both limits count distinct readings, never copies).  A
+#: suffix that is too common is thereby replaced by its refinements; no reading is left out.
 COMMON, OVERLY_COMMON = 24, 400
 
 _READ = "kind string, numeral int, given string, saint boolean, proper array<string>"
@@ -263,21 +264,31 @@ def _blocks(readings: DataFrame) -> DataFrame:
 
     both = F.concat(suffixes(F.col("word")), F.transform(suffixes(F.reverse("word")), lambda s: F.concat(F.lit("-"), s)))
     others = F.array_join(F.filter(F.transform("proper", lambda w, i: F.when(i == F.col("at"), F.lit("")).otherwise(w)), lambda w: w != ""), "")
-    indexed = words.select("reading", "kind", "numeral", "saint", others.alias("other"), F.explode(both).alias("suffix"))
-    indexed = indexed.withColumn("rough", F.xxhash64("kind", "numeral", "suffix"))
-    counts = indexed.groupBy("rough").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    sized = indexed.join(counts, "rough")
-    plain = sized.filter(F.col("n") <= COMMON).select(F.col("rough").alias("block"), "reading")
-    # the other word's first or last letters; run-together names have none and keep the rough block's key
-    heads = F.array(F.concat(F.lit("<"), F.substring("other", 1, 2)), F.concat(F.lit(">"), F.col("other").substr(F.length("other") - 1, F.lit(2))))
-    fine = sized.filter(F.col("n") > COMMON).select("reading", "rough", "saint", F.explode(F.array_distinct(heads)).alias("head")).select(F.xxhash64("rough", "saint", "head").alias("block"), "reading")
-    return plain.unionByName(fine).distinct()
+    rows = words.select("reading", "saint", others.alias("other"), "kind", "numeral", F.explode(both).alias("suffix")).select("reading", "saint", "other", F.xxhash64("kind", "numeral", "suffix").alias("block"))
+
+    def sized(rows: DataFrame) -> DataFrame:
+        """Rows of blocks with two readings or more, with the number of readings."""
+        counts = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        return rows.join(counts, "block")
+
+    def refined(rows: DataFrame, letters: int) -> DataFrame:
+        """A common block cut by the first, and again by the last, letters of the name's other word."""
+        head = F.concat(F.lit("<"), F.substring("other", 1, letters))
+        tail = F.concat(F.lit(">"), F.right("other", F.lit(letters)))
+        cut_up = rows.select("reading", "saint", "other", "block", F.explode(F.array_distinct(F.array(head, tail))).alias("letters"))
+        return cut_up.select("reading", "saint", "other", F.xxhash64("block", "saint", "letters").alias("block"))
+
+    rough = cut(sized(rows.distinct()))
+    fine = sized(refined(rough.filter(F.col("n") > COMMON), 2).distinct())
+    finest = refined(fine.filter(F.col("n") > OVERLY_COMMON), 4)
+    keep = [rough.filter(F.col("n") <= COMMON), fine.filter(F.col("n") <= OVERLY_COMMON), finest]
+    return keep[0].select("block", "reading").union(keep[1].select("block", "reading")).union(keep[2].select("block", "reading")).distinct()
 
 
 def linked_readings(readings: DataFrame) -> DataFrame:
     """``(a, b)``: pairs of different readings that mean the same institution by their names alone."""
     blocks = cut(_blocks(readings))
-    sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & (F.col("n") <= OVERLY_COMMON)).select("block")
+    sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("block")
     kept = blocks.join(sizes, "block")
     pairs = kept.alias("x").join(kept.alias("y"), (F.col("x.block") == F.col("y.block")) & (F.col("x.reading") < F.col("y.reading")))
     pairs = pairs.select(F.col("x.reading").alias("a"), F.col("y.reading").alias("b")).distinct()
