@@ -18,13 +18,14 @@ def tree(s, d):
     return a.unionByName(b).unionByName(c).distinct()
 
 
-def baskets(s, d):
+def baskets(s, d, rows="l_orderkey % 10 = 0 AND l_linenumber <= 2"):
+    """Codes of the lines of an order; ``rows`` picks the lines that the SQL of the query reads."""
     p = t(s, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.concat_ws("/", "p_type", "p_brand", (F.col("p_size") % 5).cast("string")).alias("code"))
-    return t(s, d, "lineitem").filter("l_orderkey % 10 = 0 AND l_linenumber <= 2").join(p, "l_partkey").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("string").alias("source"), "code")
+    return t(s, d, "lineitem").filter(rows).join(p, "l_partkey").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("string").alias("source"), "code")
 
 
-def mixed_evidence(s, d):
-    e = baskets(s, d).groupBy("id", "source").agg(F.min("code").alias("code"))
+def mixed_evidence(s, d, **rows):
+    e = baskets(s, d, **rows).groupBy("id", "source").agg(F.min("code").alias("code"))
     return e.withColumn("code", F.when(F.col("source") == "2", F.substring_index("code", "/", 1)).otherwise(F.col("code")))
 
 
@@ -68,10 +69,12 @@ QUERIES = {
     "t01_closure": lambda s, d: tx.closure(tree(s, d)),
     "t01_tree_problems": lambda s, d: tx.tree_problems(tree(s, d)),
     "t02_common_ancestor": lambda s, d: tx.common_ancestor(baskets(s, d), tx.closure(tree(s, d))),
+    "t02_common_ancestor_all": lambda s, d: tx.common_ancestor(baskets(s, d, rows="true"), tx.closure(tree(s, d))),
     "t02_descendants": lambda s, d: tx.descendants(s.createDataFrame([("PROMO",)], "code string"), tx.closure(tree(s, d)), leaves_only=True),
     "t04_retrieval": t04,
     "t06_crosswalk": t06,
     "t13_fusion": lambda s, d: tx.fuse(mixed_evidence(s, d), tx.closure(tree(s, d))),
+    "t13_fusion_all": lambda s, d: tx.fuse(mixed_evidence(s, d, rows="true"), tx.closure(tree(s, d))),
     "t16_majority": lambda s, d: tx.majority(t(s, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("code"))),
     "t21_resolve_by_name": t21,
     "c08_cluster_by_type": c08,

@@ -54,7 +54,7 @@ def n05(s, d):
 
 
 def snk08(s, d):
-    parts = t(s, d, "lineitem").filter("l_orderkey % 20 = 0").select(F.col("l_orderkey").alias("edge"), F.col("l_linenumber").alias("seq"), F.col("l_quantity").alias("length")).groupBy("edge", "seq").agg(F.sum("length").alias("length"))
+    parts = t(s, d, "lineitem").select(F.col("l_orderkey").alias("edge"), F.col("l_linenumber").alias("seq"), F.col("l_quantity").alias("length")).groupBy("edge", "seq").agg(F.sum("length").alias("length"))
     w = W.partitionBy("edge").orderBy("seq")
     parts = parts.withColumn("i", F.row_number().over(w)).select("edge", "seq", (F.col("edge") * 10 + F.col("i")).alias("u"), (F.col("edge") * 10 + F.col("i") + 1).alias("v"), "length")
     return nw.contracted(parts, parts.filter("u % 3 = 0").select(F.col("u").alias("node")))
@@ -99,9 +99,9 @@ def q09(s, d):
     return points_in_regions(spots, chosen).groupBy("locality_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def q10(s, d):
-    e = t(s, d, "lineitem").filter("l_orderkey % 40 = 0").groupBy(F.concat(F.lit("p"), F.col("l_partkey") % 200).alias("u"), F.concat(F.lit("s"), "l_suppkey").alias("v")).agg(F.sum("l_quantity").alias("w"))
-    return gr.strongest_parent(e, places.n11(s, d))
+def q10(s, d, rows="l_orderkey % 40 = 0"):
+    e = t(s, d, "lineitem").filter(rows).groupBy(F.concat(F.lit("p"), F.col("l_partkey") % 200).alias("u"), F.concat(F.lit("s"), "l_suppkey").alias("v")).agg(F.sum("l_quantity").alias("w"))
+    return gr.strongest_parent(e, places.n11(s, d, rows))
 
 
 def q13(s, d):
@@ -152,6 +152,7 @@ QUERIES = {
     "t12_subtree_sets": lambda s, d: tx.subtree_sets(s.createDataFrame([(1, "PROMO"), (2, "LARGE/Brand#11")], "id int, code string"), s.createDataFrame([(1, "PROMO/Brand#12"), (2, "SMALL/Brand#13")], "id int, code string"), tx.closure(classes.tree(s, d))),
     "t18_nearest_bridge": t18,
     "t19_map_union": lambda s, d: tx.map_union(classes.baskets(s, d).select("id", "code"), t18(s, d)),
+    "t19_map_union_all": lambda s, d: tx.map_union(classes.baskets(s, d, rows="true").select("id", "code"), t18(s, d)),
     "t23_tag_rules": t23,
     "t26_level_guard": t26,
     "t27_coverage": lambda s, d: tx.coverage(t(s, d, "osm_places"), ["osm_operator", "osm_website", "osm_address", "osm_city"]),
@@ -167,6 +168,7 @@ QUERIES = {
     "q06_visible_tiles": q06,
     "q09_places_in_partitions": q09,
     "q10_strongest_parent": q10,
+    "q10_strongest_parent_all": lambda s, d: q10(s, d, "true"),
     "q13_labels": q13,
     "a01_review_rows": a01,
     "a04_candidates_per_id": a04,

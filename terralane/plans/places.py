@@ -72,8 +72,8 @@ def n09(s, d):
     return nw.nearest_owner(nw.distances(a, centers.select("node")), centers)
 
 
-def n11(s, d):
-    e = t(s, d, "lineitem").select(F.concat(F.lit("p"), F.col("l_partkey") % 200).alias("u"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("v")).filter("l_orderkey % 40 = 0").distinct()
+def n11(s, d, rows="l_orderkey % 40 = 0"):
+    e = t(s, d, "lineitem").select(F.concat(F.lit("p"), F.col("l_partkey") % 200).alias("u"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("v")).filter(rows).distinct()
     return nw.ego_network(e, "p7", 2)
 
 
@@ -94,6 +94,7 @@ QUERIES = {
     "n07_one_median": n07,
     "n09_nearest_owner": n09,
     "n11_ego_network": n11,
+    "n11_ego_network_all": lambda s, d: n11(s, d, "true"),
 }
 
 _LAT = f"g AS (SELECT i * {SIDE} + j AS id, i * {GAP} AS x, j * {GAP} AS y, i, j FROM range({SIDE}) a(i), range({SIDE}) b(j))"

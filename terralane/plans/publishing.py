@@ -29,8 +29,8 @@ def snk01(s, d):
     return pb.published_points(scores, t(s, d, "customer").select(F.col("c_custkey").alias("node"), F.col("c_acctbal").alias("centrality")), audit)
 
 
-def snk12(s, d):
-    edges = t(s, d, "lineitem").filter("l_orderkey % 50 = 0").select(F.col("l_suppkey").alias("u"), (F.col("l_partkey") % 100).alias("v"), F.col("l_quantity").alias("w")).distinct()
+def snk12(s, d, rows="l_orderkey % 50 = 0"):
+    edges = t(s, d, "lineitem").filter(rows).select(F.col("l_suppkey").alias("u"), (F.col("l_partkey") % 100).alias("v"), F.col("l_quantity").alias("w")).distinct()
     nodes = edges.select(F.col("u").alias("node")).union(edges.select("v")).distinct().select("node", F.col("node").alias("pos"))
     return pb.adjacency_shards(edges, nodes)
 
@@ -54,6 +54,7 @@ QUERIES = {
     "snk09_tile_summaries": lambda s, d: pb.tile_summaries(typed(s, d), [6, 9, 11]).select("zoom", "tx", "ty", "type", "n", F.round("lon", 11).alias("lon"), F.round("lat", 11).alias("lat")),
     "snk10_zoom_sample": lambda s, d: pb.zoom_sample(t(s, d, "part").select("p_partkey"), "p_partkey"),
     "snk12_adjacency_shards": snk12,
+    "snk12_adjacency_shards_all": lambda s, d: snk12(s, d, "true"),
     "snk13_search_shards": lambda s, d: pb.search_shards(t(s, d, "part").select("p_partkey", "p_brand"), "p_brand", "p_partkey", 40),
     "snk14_extend": lambda s, d: pb.extend(t(s, d, "customer").filter("c_custkey % 3 = 0").select("c_custkey", "c_acctbal"), t(s, d, "customer").select("c_custkey", "c_mktsegment"), "c_custkey"),
     "snk15_composition": lambda s, d: pb.composition(t(s, d, "part").select(F.when(F.col("p_size") > 25, "PROMO").otherwise(F.col("p_type")).alias("effective"), F.col("p_type").alias("original")), "effective", "original"),
