@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -100,16 +104,43 @@ def tf_idf(texts: DataFrame) -> DataFrame:
     return raw.join(norm, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
-def retrieve(queries: DataFrame, targets: DataFrame, k: int) -> DataFrame:
+def retrieve(queries: DataFrame, targets: DataFrame, k: int, block: int = 5_000) -> DataFrame:
     """(query, target, score, rank) of the k most similar targets per query; ties to the smaller target.
 
-    Both are (id, text); the weights are those of queries and targets together.
+    Both are (id, text); the weights are those of queries and targets together.  Blocks of about
+    ``block`` queries meet blocks of as many targets, every pair of blocks once; a task holds one pair
+    of blocks and hands on the k best targets of each query, so products never leave their task.
     """
+    blocks = [max(1, math.ceil(side.count() / block)) for side in (queries, targets)]
     named = targets.select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("id"), "text").unionByName(queries.select(F.concat(F.lit("q"), F.col("id").cast("string")).alias("id"), "text"))
     weights = tf_idf(named)
     q = weights.filter(F.startswith("id", F.lit("q"))).select(F.col("id").alias("query"), "term", F.col("w").alias("wq"))
     g = weights.filter(F.startswith("id", F.lit("t"))).select(F.col("id").alias("target"), "term", F.col("w").alias("wt"))
-    dots = q.join(g, "term").groupBy("query", "target").agg(F.round(F.sum(F.col("wq") * F.col("wt")), 9).alias("score"))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    q = q.select(F.pmod(F.xxhash64("query"), F.lit(blocks[0])).cast("int").alias("x"), spread(blocks[1]).alias("y"), "query", F.col("term").alias("word"), "wq")
+    g = g.select(spread(blocks[0]).alias("x"), F.pmod(F.xxhash64("target"), F.lit(blocks[1])).cast("int").alias("y"), "target", F.col("term").alias("word"), "wt")
+
+    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        names, owner = np.unique(right["target"].to_numpy(str), return_inverse=True)
+        term, terms = pd.factorize(right["word"], sort=False)
+        order = np.argsort(term, kind="stable")
+        owner, weight = owner[order], right["wt"].to_numpy(float)[order]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=len(terms)))])
+        at = pd.Index(terms).get_indexer(left["word"]) if len(terms) else np.full(len(left), -1)
+        out = ([], [], [])
+        for query, rows in left.groupby("query", sort=False).indices.items():
+            hits = [(ends[i], ends[i + 1], w) for i, w in zip(at[rows], left["wq"].to_numpy(float)[rows]) if i >= 0]
+            if not hits:
+                continue
+            score = np.round(np.bincount(np.concatenate([owner[a:b] for a, b, _ in hits]), np.concatenate([weight[a:b] * w for a, b, w in hits]), len(names)), 9)
+            least = np.partition(score, -k)[-k] if len(score) > k else 0.0
+            near = np.flatnonzero((score >= least) & (score > 0))
+            for i in near[np.lexsort((near, -score[near]))][:k]:
+                for column, v in zip(out, (query, str(names[i]), float(score[i]))):
+                    column.append(v)
+        return pd.DataFrame({"query": pd.Series(out[0], dtype=object), "target": pd.Series(out[1], dtype=object), "score": pd.Series(out[2], dtype=float)})
+
+    dots = q.groupBy("x", "y").cogroup(g.groupBy("x", "y")).applyInPandas(best, "query string, target string, score double")
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.col("score").desc(), "target"))
     return dots.withColumn("rank", rank).filter(F.col("rank") <= k).select(F.substring("query", 2, 100).alias("query"), F.substring("target", 2, 100).alias("target"), "score", "rank")
 

@@ -29,11 +29,11 @@ def e02(s, d):
     return ec.effective_coefficients(built, given).select("src", "dst", F.round("a", 12).alias("a"))
 
 
-def n08(s, d):
+def n08(s, d, rows="p_partkey <= 100"):
     _, a = places.lattice(s)
     centers = s.createDataFrame([(0, 5), (1, 100)], "cluster int, source long")
     reach = nw.distances(a, centers.select(F.col("source").alias("node")))
-    points = t(s, d, "part").filter("p_partkey <= 100").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 2).cast("int").alias("cluster"), (F.col("p_partkey") * 3 % 196).alias("node"))
+    points = t(s, d, "part").filter(rows).select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 2).cast("int").alias("cluster"), (F.col("p_partkey") * 3 % 196).alias("node"))
     return points.join(centers, "cluster").join(reach, ["source", "node"]).select("id", "cluster", "d")
 
 
@@ -76,6 +76,7 @@ QUERIES = {
     "src10_utm_zone": lambda s, d: t(s, d, "osm_places").filter("osm_lon IS NOT NULL").select("rec_id", rd.utm_zone(F.col("osm_lon"), F.col("osm_lat")).alias("epsg")),
     "snk07_route_geometry": snk07,
     "n08_point_distances": n08,
+    "n08_point_distances_all": lambda s, d: n08(s, d, "true"),
     "n12_distance_violations": n12,
     "e02_effective_coefficients": e02,
     "e12_assignment_status": e12,

@@ -17,7 +17,7 @@ def osm(s, d, *cols):
 
 
 def f08(s, d):
-    a = t(s, d, "part").filter("p_partkey <= 60").select("p_partkey", tx.fold("p_name").alias("a"), tx.fold(F.concat_ws(" ", F.reverse(F.split("p_name", " ")))).alias("b"), tx.fold(F.concat("p_brand", F.lit(" "), "p_type")).alias("c"))
+    a = t(s, d, "part").select("p_partkey", tx.fold("p_name").alias("a"), tx.fold(F.concat_ws(" ", F.reverse(F.split("p_name", " ")))).alias("b"), tx.fold(F.concat("p_brand", F.lit(" "), "p_type")).alias("c"))
     return a.select("p_partkey", F.round(tx.name_similarity(F.col("a"), F.col("b")), 9).alias("turned"), F.round(tx.name_similarity(F.col("a"), F.col("c")), 9).alias("other"))
 
 

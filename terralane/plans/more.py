@@ -144,11 +144,11 @@ def j10(s, d):
 
 QUERIES = {
     "j04_augment": j04,
-    "j07_boundary_clip": lambda s, d: points_in_regions(positions(t(s, d, "places")), t(s, d, "area_localities").filter("locality_id <= 40")).select("rec_id").distinct(),
+    "j07_boundary_clip": lambda s, d: points_in_regions(positions(t(s, d, "places")), t(s, d, "area_localities")).select("rec_id").distinct(),
     "j10_distinct_positions": j10,
     "j17_verified_links": lambda s, d: t(s, d, "registry_qc_official_sources").select("source", "source_id", "rec_id").join(t(s, d, "registry_qc_official_sources").groupBy("source", "source_id").agg(F.min("rec_id").alias("first_id")), ["source", "source_id"]).select("rec_id", "first_id"),
     "t03_level_report": lambda s, d: tx.level_report(classes.tree(s, d), tx.closure(classes.tree(s, d))),
-    "t09_automatic_mapping": lambda s, d: tx.automatic_mapping(tx.retrieve(t(s, d, "part").filter("p_partkey > 1000 AND p_partkey <= 1040").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("text")), t(s, d, "part").filter("p_partkey <= 300").select(F.col("p_partkey").alias("id"), F.concat_ws(" ", "p_name", "p_type").alias("text")), 2)),
+    "t09_automatic_mapping": lambda s, d: tx.automatic_mapping(classes.retrieved(s, d, 2)),
     "t12_subtree_sets": lambda s, d: tx.subtree_sets(s.createDataFrame([(1, "PROMO"), (2, "LARGE/Brand#11")], "id int, code string"), s.createDataFrame([(1, "PROMO/Brand#12"), (2, "SMALL/Brand#13")], "id int, code string"), tx.closure(classes.tree(s, d))),
     "t18_nearest_bridge": t18,
     "t19_map_union": lambda s, d: tx.map_union(classes.baskets(s, d).select("id", "code"), t18(s, d)),

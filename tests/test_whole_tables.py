@@ -1,10 +1,13 @@
 """Queries over whole tables against brute force on small tables whose keys no modulo filter keeps."""
 
-from collections import defaultdict
+import math
+import struct
+from collections import Counter, defaultdict
 
 import pytest
 
 import __spark_entry__ as entry
+from terralane.operators import taxonomy as tx
 
 TYPES = ["PROMO", "LARGE", "SMALL"]
 
@@ -109,3 +112,98 @@ def test_contract_joins_every_order(spark, folder):
         want += [tuple(c) for c in chain]
     got = [(e, u, v, length) for e, _, u, v, length in run(spark, folder, "snk08_contract")]
     assert sorted(got) == sorted(want)
+
+
+@pytest.fixture(scope="module")
+def beyond(spark, tmp_path_factory):
+    """Parts and localities whose keys lie beyond every former prefix."""
+    d = str(tmp_path_factory.mktemp("beyond"))
+    rows = [(k + 2000, *rest) for k, *rest in part_rows()]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{d}/part.parquet")
+    square = struct.pack("<BIII10d", 1, 3, 1, 5, 0, 0, 2, 0, 2, 2, 0, 2, 0, 0)
+    spark.createDataFrame([(41, bytearray(square))], "locality_id long, geometry binary").write.parquet(f"{d}/area_localities.parquet")
+    spark.createDataFrame([(1, 1.0, 1.5, None), (2, 3.0, 1.0, None)], "rec_id long, latitude double, longitude double, geometry binary").write.parquet(f"{d}/places.parquet")
+    return d
+
+
+KEYS = range(2001, 2041)
+
+
+def spot(k):
+    return k * 37 % 1300 + 0.25, k * 53 % 1290 + 7.0
+
+
+def test_every_point_snaps(spark, beyond):
+    want = {k: round(min(abs(c - round(c / 100) * 100) for c in spot(k)), 6) for k in KEYS}
+    assert dict(run(spark, beyond, "j09_snap_all")) == pytest.approx(want)
+    assert {r[0] for r in run(spark, beyond, "j10_distinct_positions")} == set(KEYS)
+    assert sum(r[2] for r in run(spark, beyond, "n03_split_arcs")) > 2 * 14 * 13
+
+
+def test_every_node_distance(spark, beyond):
+    want = {}
+    for k in KEYS:
+        a, b = k * 3 % 196, 5 if k % 2 == 0 else 100
+        want[k] = (abs(a // 14 - b // 14) + abs(a % 14 - b % 14)) * 100.0
+    assert {i: d for i, _, d in run(spark, beyond, "n08_point_distances_all")} == want
+
+
+def test_neighbours_of_every_part(spark, beyond):
+    pairs = {(a, b): d for a, b, d in run(spark, beyond, "n06_neighbour_graph")}
+    near = {}
+    for k in KEYS:
+        x, y = spot(k)
+        if abs(x - round(x / 100) * 100) < abs(y - round(y / 100) * 100):
+            near[k] = (round(x / 100) * 100.0, y)
+        else:
+            near[k] = (x, round(y / 100) * 100.0)
+    for a in KEYS:
+        for b in KEYS:
+            (x, y), (u, v) = near[a], near[b]
+            if a < b and (x % 100 == 0) != (u % 100 == 0):  # on crossing roads the way is the city-block distance
+                d = abs(x - u) + abs(y - v)
+                assert ((a, b) in pairs) == (d <= 150) and pairs.get((a, b), d) == pytest.approx(d)
+    assert pairs
+
+
+def test_names_of_every_part(spark, beyond):
+    assert {r[0] for r in run(spark, beyond, "f08_name_similarity")} == set(KEYS)
+
+
+def test_clip_by_every_locality(spark, beyond):
+    assert run(spark, beyond, "j07_boundary_clip") == [(1,)]
+
+
+def nearest(queries, targets, k):
+    docs = {("q", i): text for i, text in queries} | {("t", i): text for i, text in targets}
+    counts = {}
+    for key, text in docs.items():
+        w = text.lower().replace("#", " ").split()
+        counts[key] = Counter(w + [f"{a} {b}" for a, b in zip(w, w[1:])])
+    df = Counter(t for c in counts.values() for t in c)
+    vectors = {}
+    for key, c in counts.items():
+        v = {t: (1 + math.log(n)) * (math.log((1 + len(docs)) / (1 + df[t])) + 1) for t, n in c.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        vectors[key] = {t: x / norm for t, x in v.items()}
+    out = {}
+    for i, _ in queries:
+        scored = [(-round(sum(x * vectors["t", j].get(t, 0.0) for t, x in vectors["q", i].items()), 9), f"t{j}") for j, _ in targets]
+        out[str(i)] = [(t[1:], pytest.approx(-s, abs=2e-6)) for s, t in sorted(scored)[:k] if s < 0]
+    return out
+
+
+@pytest.mark.parametrize("block", [7, 5_000])
+def test_retrieval_of_every_part(spark, beyond, block):
+    names = [(k + 2000, name) for k, name, *_ in part_rows()]
+    targets = [(k + 2000, f"{name} {kind}") for k, name, _, kind, *_ in part_rows()]
+    a, b = (spark.createDataFrame(x, "id long, text string") for x in (names, targets))
+    got = defaultdict(list)
+    for r in tx.retrieve(a, b, 5, block).orderBy("query", "rank").collect():
+        got[r.query].append((r.target, r.score))
+    assert got == nearest(names, targets, 5)
+
+
+def test_retrieval_queries_read_every_part(spark, beyond):
+    assert {r[0] for r in run(spark, beyond, "t04_retrieval")} == set(map(str, KEYS))
+    assert {r[0] for r in run(spark, beyond, "t09_automatic_mapping")} == set(map(str, KEYS))
