@@ -1,9 +1,9 @@
-"""Variant spellings of names typed by people: suffix blocking and longest common subsequences.
+"""Variant spellings of names typed by people: letter counts and longest common subsequences.
 
 A name is read into kind of institution, numeral, given name and the words of the name proper.  Equal
-readings fall together; distinct readings of one kind and numeral are blocked by the suffixes of their
-words, blocks that are common are refined by the other word of the name, and the pairs of a block are
-compared by the longest-common-subsequence ratio.  Aliases link the readings of one row.
+readings fall together; distinct readings of one kind and numeral all meet, in blocks, and the pairs
+whose letter counts allow it are compared by the longest-common-subsequence ratio.  Aliases link the
+readings of one row.
 """
 
 from __future__ import annotations
@@ -11,11 +11,13 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terralane.llm.components import connected_components, pairs_within
+from terralane.llm.components import BLOCK, connected_components, pairs_within
 from terralane.llm.gazetteer import unaccented
 from terralane.session import cut
 
@@ -219,13 +221,6 @@ def alias_names(text: str | None) -> list[str]:
     return [n for n in out if read_institution(n)]
 
 
-#: Shortest suffix that is indexed.
-MIN_SUFFIX = 4
-#: Readings in a block beyond which it is refined by two letters of the name's other word, and beyond
-#: which a refined block is refined by four (both limits count distinct readings, never copies).  A
-#: suffix that is too common is thereby replaced by its refinements; no reading is left out.
-COMMON, OVERLY_COMMON = 24, 400
-
 _READ = "kind string, numeral int, given string, saint boolean, proper array<string>"
 
 
@@ -254,55 +249,51 @@ def named_rows(rows: DataFrame, key: str, name: str, aliases: str | None) -> Dat
     return source.mapInArrow(run, "k long, " + _READ)
 
 
-def _blocks(readings: DataFrame) -> DataFrame:
-    """``(block, reading)``: suffixes of every word, read forwards and backwards, refined where common."""
-    words = readings.filter(F.size("proper") > 0).select("reading", "kind", "numeral", "saint", "proper", F.posexplode("proper").alias("at", "word"))
-
-    def suffixes(word):
-        long = F.transform(F.sequence(F.lit(MIN_SUFFIX), F.length(word)), lambda n: F.right(word, n))
-        return F.when(F.length(word) > MIN_SUFFIX, long).otherwise(F.array(word))
-
-    both = F.concat(suffixes(F.col("word")), F.transform(suffixes(F.reverse("word")), lambda s: F.concat(F.lit("-"), s)))
-    others = F.array_join(F.filter(F.transform("proper", lambda w, i: F.when(i == F.col("at"), F.lit("")).otherwise(w)), lambda w: w != ""), "")
-    rows = words.select("reading", "saint", others.alias("other"), "kind", "numeral", F.explode(both).alias("suffix")).select("reading", "saint", "other", F.xxhash64("kind", "numeral", "suffix").alias("block"))
-
-    def sized(rows: DataFrame) -> DataFrame:
-        """Rows of blocks with two readings or more, with the number of readings."""
-        counts = rows.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        return rows.join(counts, "block")
-
-    def refined(rows: DataFrame, letters: int) -> DataFrame:
-        """A common block cut by the first, and again by the last, letters of the name's other word."""
-        head = F.concat(F.lit("<"), F.substring("other", 1, letters))
-        tail = F.concat(F.lit(">"), F.right("other", F.lit(letters)))
-        cut_up = rows.select("reading", "saint", "other", "block", F.explode(F.array_distinct(F.array(head, tail))).alias("letters"))
-        return cut_up.select("reading", "saint", "other", F.xxhash64("block", "saint", "letters").alias("block"))
-
-    rough = cut(sized(rows.distinct()))
-    fine = sized(refined(rough.filter(F.col("n") > COMMON), 2).distinct())
-    finest = refined(fine.filter(F.col("n") > OVERLY_COMMON), 4)
-    keep = [rough.filter(F.col("n") <= COMMON), fine.filter(F.col("n") <= OVERLY_COMMON), finest]
-    return keep[0].select("block", "reading").union(keep[1].select("block", "reading")).union(keep[2].select("block", "reading")).distinct()
-
-
-def linked_readings(readings: DataFrame) -> DataFrame:
-    """``(a, b)``: pairs of different readings that mean the same institution by their names alone."""
-    blocks = cut(_blocks(readings))
-    sizes = blocks.groupBy("block").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("block")
-    kept = blocks.join(sizes, "block")
-    pairs = kept.alias("x").join(kept.alias("y"), (F.col("x.block") == F.col("y.block")) & (F.col("x.reading") < F.col("y.reading")))
-    pairs = pairs.select(F.col("x.reading").alias("a"), F.col("y.reading").alias("b")).distinct()
-    side = readings.select("reading", "given", "saint", "proper")
-    full = pairs.join(side.select(F.col("reading").alias("a"), F.col("given").alias("ga"), F.col("saint").alias("sa"), F.col("proper").alias("pa")), "a").join(side.select(F.col("reading").alias("b"), F.col("given").alias("gb"), F.col("saint").alias("sb"), F.col("proper").alias("pb")), "b")
-    full = full.filter((F.col("sa") == F.col("sb")) & ((F.col("ga") == F.col("gb")) | ((F.substring("ga", 1, 1) == F.substring("gb", 1, 1)) & ((F.length("ga") == 1) | (F.length("gb") == 1)))))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            rows = pa.array([i for i, (p, q) in enumerate(zip(left, right)) if same_proper(tuple(p), tuple(q))], pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
+def _close(proper: list[tuple[str, ...]]) -> Iterator[tuple[int, int]]:
+    """Pairs of indices whose letters, whatever their order, leave ``same_proper`` possible.
 
-    return full.select("a", "b", "pa", "pb").mapInArrow(compare, "a long, b long")
+    A common subsequence is no longer than the letters both names hold, so every pair that
+    ``same_proper`` accepts is among them.
+    """
+    whole = ["".join(words) for words in proper]
+    letters = sorted(set("".join(whole)))
+    counts = np.array([[w.count(c) for c in letters] for w in whole], np.int32).reshape(len(whole), len(letters))
+    size = counts.sum(1)
+    for at in range(0, len(whole), 64):
+        apart = np.zeros((len(whole[at : at + 64]), len(whole) - at), np.int32)
+        for c in range(len(letters)):
+            apart += np.abs(counts[at : at + 64, None, c] - counts[None, at:, c])
+        near = apart <= (1 - WHOLE_RATIO) * (size[at : at + 64, None] + size[None, at:]) + 1e-6
+        for i, j in zip(*np.nonzero(np.triu(near, 1))):
+            yield at + int(i), at + int(j)
+
+
+def linked_readings(readings: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``(a, b)``: pairs of different readings that mean the same institution by their names alone.
+
+    All readings of one kind, numeral, saint and initial of the given name meet; groups larger than
+    ``block`` are cut into blocks that meet pairwise, as in ``pairs_within``, so no pair is left out.
+    """
+    keys = ["kind", "numeral", "saint", "initial"]
+    named = readings.filter(F.size("proper") > 0).withColumn("initial", F.substring("given", 1, 1))
+    sizes = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = named.join(sizes, keys).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("reading"), F.col("blocks")).cast("int"))
+    meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least("own", o) * F.col("blocks") + F.greatest("own", o))
+    placed = rows.select(*keys, "reading", "given", "proper", "own", "blocks", F.explode(meet).alias("place"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        reading, given, own = pdf["reading"].tolist(), pdf["given"].tolist(), pdf["own"].tolist()
+        proper = [tuple(words) for words in pdf["proper"]]
+        diagonal = pdf["place"].iloc[0] % (pdf["blocks"].iloc[0] + 1) == 0
+        found = [
+            (min(reading[i], reading[j]), max(reading[i], reading[j]))
+            for i, j in _close(proper)
+            if (diagonal or own[i] != own[j]) and same_given(given[i], given[j]) and same_proper(proper[i], proper[j])
+        ]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return placed.groupBy(*keys, "place").applyInPandas(compare, "a long, b long")
 
 
 def institution_classes(named: DataFrame) -> DataFrame:

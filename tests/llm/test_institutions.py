@@ -1,6 +1,9 @@
 import itertools
+import random
 
-from terralane.llm.institutions import alias_names, lcs_length, lcs_ratio, named_rows, read_institution, same_institution_pairs, same_proper
+import pytest
+
+from terralane.llm.institutions import alias_names, lcs_length, lcs_ratio, linked_readings, named_rows, read_institution, same_given, same_institution_pairs, same_proper
 
 
 def test_reading():
@@ -34,3 +37,24 @@ def test_pairs(spark):
     got = sorted(map(tuple, same_institution_pairs(named_rows(df, "rec_id", "name", "aliases")).collect()))
     assert got == sorted(itertools.combinations([1, 2, 3, 4, 9], 2))
     assert same_institution_pairs(named_rows(df.limit(0), "rec_id", "name", None)).count() == 0
+
+
+def syllables(rng, n):
+    return "".join(rng.choice("bdgkmptvz") + rng.choice("aeiou") for _ in range(n))
+
+
+def linked(spark, propers, **block):
+    rows = [(i, "general hospital", 0, given, False, sorted(words)) for i, (given, words) in enumerate(propers)]
+    df = spark.createDataFrame(rows, "reading long, kind string, numeral int, given string, saint boolean, proper array<string>")
+    got = [tuple(r) for r in linked_readings(df, **block).collect()]
+    want = {(a[0], b[0]) for a, b in itertools.combinations(rows, 2) if same_given(a[3], b[3]) and same_proper(tuple(a[5]), tuple(b[5]))}
+    assert len(got) == len(set(got)) and set(got) == want
+    return want
+
+
+@pytest.mark.parametrize("block", [{}, {"block": 9}])
+def test_common_words_lose_no_pair(spark, block):
+    rng = random.Random(3)
+    many = [("", ("kemapus", syllables(rng, 3))) for _ in range(40)] + [("", (syllables(rng, 3), "wavodir")) for _ in range(40)]
+    givens = [(g, ("tolira", "yasume")) for g in ("", "r", "roberto", "rosario")]
+    assert (0, 1) in linked(spark, [("", ("kemapuswavodir",)), ("", ("kemapus", "wavodir")), *many, *givens], **block)
