@@ -58,3 +58,9 @@ def test_common_words_lose_no_pair(spark, block):
     many = [("", ("kemapus", syllables(rng, 3))) for _ in range(40)] + [("", (syllables(rng, 3), "wavodir")) for _ in range(40)]
     givens = [(g, ("tolira", "yasume")) for g in ("", "r", "roberto", "rosario")]
     assert (0, 1) in linked(spark, [("", ("kemapuswavodir",)), ("", ("kemapus", "wavodir")), *many, *givens], **block)
+
+
+def test_slips_inside_every_word_are_found(spark):
+    pairs = [("kazeti", "ponuden"), ("kazoti", "ponoden"), ("tebivus",), ("tebvus",), ("lorane",), ("lorne",)]
+    want = linked(spark, [("", words) for words in pairs])
+    assert {(0, 1), (2, 3), (4, 5)} <= want
