@@ -35,20 +35,38 @@ def candidate_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
     return scored.select("left_id", "right_id", "meters", "score", (0.82 * F.col("score") + 0.18 * (1 - F.col("meters") / REACH_M)).alias("strength"))
 
 
-def one_to_one(pairs: DataFrame, rounds: int = 100) -> DataFrame:
+def _tied_by_rank(ranked: DataFrame) -> DataFrame:
+    """The pairs (left_id, right_id) of groups in which every left place is equally best with every right one.
+
+    ``ranked`` has the levels ``ta`` and ``tb`` of a pair among those of its left and of its right side.
+    In a group that is complete and closed the greedy order pairs both sides by rank.
+    """
+    sets = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(F.col(c).cast("string"))), "\n"), 256)
+    lefts = ranked.filter("ta = 1").groupBy("left_id").agg(sets("right_id").alias("sl"), F.count(F.lit(1)).alias("nr"))
+    rights = ranked.filter("tb = 1").groupBy("right_id").agg(sets("left_id").alias("sr"), F.count(F.lit(1)).alias("nl"))
+    both = ranked.filter("ta = 1 AND tb = 1").join(lefts.filter("nr > 1"), "left_id").join(rights.filter("nl > 1"), "right_id")
+    whole = both.groupBy("sl", "sr").agg(F.count(F.lit(1)).alias("n"), F.first("nl").alias("nl"), F.first("nr").alias("nr")).filter("n = nl * nr").select("sl", "sr")
+    group = W.partitionBy("sl", "sr")
+    placed = both.join(whole, ["sl", "sr"]).withColumn("i", F.dense_rank().over(group.orderBy("left_id"))).withColumn("j", F.dense_rank().over(group.orderBy("right_id")))
+    return placed.filter("i = j").select("left_id", "right_id")
+
+
+def one_to_one(pairs: DataFrame) -> DataFrame:
     """The greedy matching in the order strength down, distance, left, right.
 
     A pair that is first for both its sides is always taken by the greedy order, so rounds of mutual
-    firsts give the same result; each round keeps the pairs and drops their sides.
+    firsts give the same result; each round keeps the pairs and drops their sides, until no pair is
+    left.  Groups of equally good pairs are matched by rank, all in one round.  Pairs without an id drop out.
     """
-    order = [F.col("strength").desc(), F.col("meters").asc(), F.col("left_id").asc(), F.col("right_id").asc()]
-    left = cut(pairs)
+    level = [F.col("strength").desc(), F.col("meters").asc()]
+    order = [*level, F.col("left_id").asc(), F.col("right_id").asc()]
+    left = cut(pairs.filter("left_id IS NOT NULL AND right_id IS NOT NULL"))
     taken = None
-    for _ in range(rounds):
-        first = left.withColumn("a", F.row_number().over(W.partitionBy("left_id").orderBy(*order))).withColumn("b", F.row_number().over(W.partitionBy("right_id").orderBy(*order)))
-        chosen = cut(first.filter("a = 1 AND b = 1").drop("a", "b"))
-        if chosen.isEmpty():
-            break
+    while not left.isEmpty():
+        a, b = W.partitionBy("left_id"), W.partitionBy("right_id")
+        ranked = cut(left.select("*", F.row_number().over(a.orderBy(*order)).alias("a"), F.rank().over(a.orderBy(*level)).alias("ta"), F.row_number().over(b.orderBy(*order)).alias("b"), F.rank().over(b.orderBy(*level)).alias("tb")))
+        keys = ranked.filter("a = 1 AND b = 1").select("left_id", "right_id").unionByName(_tied_by_rank(ranked)).distinct()
+        chosen = cut(left.join(keys, ["left_id", "right_id"]).select(*left.columns).dropDuplicates(["left_id", "right_id"]))
         taken = chosen if taken is None else taken.unionByName(chosen)
         left = cut(left.join(chosen.select("left_id"), "left_id", "left_anti").join(chosen.select("right_id"), "right_id", "left_anti"))
     return taken if taken is not None else left

@@ -37,6 +37,15 @@ def test_mutual_best_is_greedy(spark):
     assert rc.one_to_one(df.limit(0)).count() == 0
 
 
+def test_tied_groups_leave_no_pair(spark):
+    tied = [(a, b, 1.0, 0.9) for a in range(130) for b in range(150)]
+    # beside them a group that is not complete: 1000 goes to 1001 although 1002 is as good
+    chain = [(1000, 1001, 2.0, 0.8), (1000, 1002, 2.0, 0.8), (1003, 1001, 2.0, 0.8), (1003, 1004, 3.0, 0.8), (1005, 1004, 3.0, 0.8)]
+    df = spark.createDataFrame(tied + chain, "left_id int, right_id int, meters double, strength double")
+    got = sorted((r.left_id, r.right_id) for r in rc.one_to_one(df).collect())
+    assert got == [(i, i) for i in range(130)] + [(1000, 1001), (1003, 1004)]
+
+
 def road(spark):
     return nw.network_from_lines(spark.createDataFrame([("w", 0, 0.0, 0.0), ("w", 1, 10.0, 0.0), ("w", 2, 20.0, 0.0), ("back", 0, 20.0, 0.0), ("back", 1, 10.0, 0.0)], "way string, seq int, x double, y double"))
 
