@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 #: Neighbour pairs of one type beyond which clustering is refused.
 MAX_PAIRS = 20_000_000
+#: Share of points without core distance up to which the radius may stop growing.
+CORE_TRUNCATION = 0.01
 
 
 def core_distances(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndarray, min_samples: float) -> np.ndarray:
@@ -193,7 +195,8 @@ def cluster_by_type(points: DataFrame, radius: float, min_cluster_size: int = 5,
     """(type, id, cluster, membership) per type; ``points`` is (type, id, x, y) with unique ids.
 
     Points at one spot are one weighted position.  The radius starts at radius / growth ** steps and
-    grows until labels stay as they are, so that most types never list the pairs of the full radius.
+    grows until labels stay as they are and at most a share ``CORE_TRUNCATION`` of the points has no
+    core distance yet, so that most types never list the pairs of the full radius.
     The order of rows makes no difference.
     """
 
@@ -209,8 +212,10 @@ def cluster_by_type(points: DataFrame, radius: float, min_cluster_size: int = 5,
         before = None
         for k in range(steps, -1, -1):
             r = radius / growth**k
-            labels, member = hdbscan(len(spots), *_pairs_within(spots, r), weight, min_cluster_size, min_samples, leaf)
-            if before is not None and np.array_equal(labels, before[0]) and np.allclose(member, before[1]):
+            near = _pairs_within(spots, r)
+            labels, member = hdbscan(len(spots), *near, weight, min_cluster_size, min_samples, leaf)
+            truncated = weight[np.isinf(core_distances(len(spots), *near, weight, min_samples))].sum() / weight.sum()
+            if truncated <= CORE_TRUNCATION and before is not None and np.array_equal(labels, before[0]) and np.allclose(member, before[1]):
                 break
             before = labels, member
         return pd.DataFrame({"type": pdf["type"], "id": pdf["id"], "cluster": labels[where].astype(np.int64), "membership": member[where]})

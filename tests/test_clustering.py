@@ -26,6 +26,13 @@ def test_one_blob_and_noise_and_empty(spark):
     assert cluster_by_type(frame(spark, []), 10.0).count() == 0
 
 
+def test_sparse_clusters_form_at_the_full_radius(spark):
+    # nothing is within 11.9 or 17.8 of 40, pairs are 30 apart
+    sparse = [("A", i, x, 0) for i, x in enumerate((0, 30, 60, 90, 1000, 1030, 1060, 1090))]
+    got = {r.id: r.cluster for r in cluster_by_type(frame(spark, sparse), 40.0, 4, 2).collect()}
+    assert [got[i] for i in range(8)] == [0] * 4 + [1] * 4
+
+
 def test_core_distance_counts_own_weight():
     a, b, d = np.array([0, 1]), np.array([1, 2]), np.array([1.0, 2.0])
     assert list(core_distances(3, a, b, d, np.array([1.0, 1, 1]), 2)) == [1, 1, 2]
