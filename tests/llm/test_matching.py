@@ -1,6 +1,8 @@
-import random
 import struct
 
+import numpy as np
+import pytest
+
 from terralane.llm import matching as m
 
 OSM = "rec_id long, source_id string, osm_name string, osm_category string, osm_lon double, osm_lat double, osm_operator string, osm_website string, osm_address string, osm_city string"
@@ -23,18 +25,57 @@ def test_names_and_sites():
     assert m.website_parts(None) == ("", "")
 
 
-def test_blocks_find_every_pair_within_the_radius(spark):
-    rng = random.Random(1)
-    rows = []
-    for i in range(60):
-        v = rng.getrandbits(128)
-        w = v
-        for b in rng.sample(range(128), m.RADIUS):
-            w ^= 1 << b
-        rows += [(2 * i, m._signed(v & (1 << 64) - 1), m._signed(v >> 64)), (2 * i + 1, m._signed(w & (1 << 64) - 1), m._signed(w >> 64))]
-    keyed = spark.createDataFrame(rows, "id long, va long, vb long").select("id", m.blocks(m.RADIUS + 1).alias("b"))
-    blocks = {r.id: {(x.n, x.bits) for x in r.b} for r in keyed.collect()}
-    assert all(blocks[2 * i] & blocks[2 * i + 1] for i in range(60)) and len(blocks[0]) == m.RADIUS + 1
+def vectors(rng, n, most, least=0):
+    bits = np.zeros((n, 128), np.uint8)
+    for row in bits:
+        row[rng.choice(128, rng.integers(least, most), replace=False)] = 1
+    return bits
+
+
+def halves(bits):
+    packed = np.packbits(bits, axis=1, bitorder="little").view("<u8")
+    return packed[:, 0].copy(), packed[:, 1].copy()
+
+
+@pytest.mark.parametrize("least, most", [(0, 3), (0, 22), (9, 20), (0, 90)])
+def test_the_index_finds_exactly_the_pairs_within_the_radius(least, most):
+    rng = np.random.default_rng(most)
+    a, b = vectors(rng, 500, most, least), vectors(rng, 500, most, least)
+    for r in range(350):
+        b[r] = a[r]
+        b[r, rng.choice(128, rng.integers(0, m.RADIUS + 4), replace=False)] ^= 1
+    g, h = rng.integers(0, 4, 500), rng.integers(0, 4, 500)
+    h[:400] = g[:400]
+    counted = []
+    i, j = m.close_vectors(g, halves(a), h, halves(b), counted)
+    got = list(zip(i.tolist(), j.tolist()))
+    apart = (a[:, None, :] != b[None, :, :]).sum(2)
+    meet = g[:, None] == h[None, :]
+    assert len(got) == len(set(got)) and set(got) == set(zip(*map(np.ndarray.tolist, np.nonzero((apart <= m.RADIUS) & meet))))
+    if most == 20:
+        # vectors of names: fewer candidates than a comparison of all that meet
+        assert counted[0] < meet.sum()
+
+
+@pytest.mark.parametrize("full", [4_000, 7])
+def test_full_places_meet_part_by_part(spark, full):
+    rng = np.random.default_rng(8)
+    bits = vectors(rng, 60, 16)
+    bits[30:] = bits[:30]
+    bits[30:, :3] ^= 1
+    va, vb = (v.astype(np.int64) for v in halves(bits))
+    rows = [("p" if k % 3 else "q", 1 + k % 2, k, int(va[k]), int(vb[k])) for k in range(60)]
+    left = spark.createDataFrame(rows[:30] + [("alone", 1, 99, 0, 0)], "place string, cls int, id long, va long, vb long")
+    right = spark.createDataFrame(rows[30:] + rows[:30], left.schema)
+    got = sorted(map(tuple, m._within(left, right, full).collect()))
+    want = sorted((x[2], y[2]) for x in rows[:30] for y in rows if x[:2] == y[:2] and (bits[x[2]] != bits[y[2]]).sum() <= m.RADIUS)
+    assert got == want and len(want) > 30
+
+
+def test_long_names_take_time_in_proportion():
+    for text in ("y" * 300_000, "( " * 100_000, "san " * 50_000 + "branch", "a-" * 100_000 + " branch", " - " * 50_000):
+        m.name_parts(text)
+    assert m.name_parts("Botika " + "Kemapus Branch " * 3)[0] == ()
 
 
 def test_matches(spark):
