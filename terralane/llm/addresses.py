@@ -38,40 +38,69 @@ KINDS = {
 PREFIXES = ["calle", "kalye", "c"]
 KIND_OF = {w: k for k, ws in KINDS.items() for w in ws}
 KIND = "(?:" + "|".join(sorted(KIND_OF, key=len, reverse=True)) + r")\b\.?"
-WORD = r"[a-z][a-z'-]*"
-GAP = r"[ ,;.]*"
-#: Characters beyond which a text is no postal address.
-LONGEST = 2_000
+# a word is taken as a whole and never given back, so that the time stays in proportion to the text
+WORD = r"(?<![a-z'-])[a-z][a-z'-]*+"
+GAP = r"[ ,;.]*+"
+#: Characters before and after the kind of a street in which its name and house number stand.
+REACH = 160
 
 LOTS = re.compile(r"\b(?:block|blk|b)\.? ?(\d+)[ ,;-]*(?:lot|lt|l)\.? ?(\d+)\b")
 TURNED_LOTS = re.compile(r"\b(?:lot|lt|l)\.? ?(\d+)[ ,;-]*(?:block|blk|b)\.? ?(\d+)\b")
+# parts that make no difference, each with texts of which one stands in every such part
 ASIDE = [
-    re.compile(r"\b(?:unit|room|rm|suite|ste|door|stall)\b\.? ?\d+[a-z]?\b"),
-    re.compile(r"\b(?:\d+(?:st|nd|rd|th)|ground|second|third|first|upper|lower) ?(?:floor|flr|fl)\b\.?|\b\d+ ?/ ?f\b|\bg ?/ ?f\b"),
-    re.compile(r"\b(?:near|beside|behind|in front of|across|opposite|next to|back of|fronting) [^,;()\[\]]*|\b\d+(?:st|nd|rd|th) gate\b"),
-    re.compile(r"\b(?:barangay|brgy|bgy|brg|bgry)\b\.? ?(?:\d+(?:-?[a-z]\b)?|" + WORD + r")|\b(?:zone|purok|phase) ?\d+"),
-    re.compile(r"\b(?:poblacion|pob)\b\.?"),
-    re.compile(r"\b" + WORD + r" (?:subdivision|subd|village|homes|estates?)\b\.?|\b" + WORD + r" vill\b\.?(?= *(?:[,;]|$))"),
-    re.compile(r"\b" + WORD + r" (?:building|bldg|arcade|compound|tower|mall)\b\.?"),
-    re.compile(r"\b(?:philippines|phl|phils?|ph|pilipinas)\b\.?"),
-    re.compile(r"\bkm\.? ?\d+"),
-    re.compile(r"\b(?:sitio|along)\b\.?"),
+    (("unit", "room", "rm", "suite", "ste", "door", "stall"), re.compile(r"\b(?:unit|room|rm|suite|ste|door|stall)\b\.? ?\d+[a-z]?\b")),
+    (("fl", "f"), re.compile(r"\b(?:\d+(?:st|nd|rd|th)|ground|second|third|first|upper|lower) ?(?:floor|flr|fl)\b\.?|\b\d+ ?/ ?f\b|\bg ?/ ?f\b")),
+    (("near", "beside", "behind", "in front", "across", "opposite", "next", "back of", "fronting", "gate"), re.compile(r"\b(?:near|beside|behind|in front of|across|opposite|next to|back of|fronting) [^,;()\[\]]*|\b\d+(?:st|nd|rd|th) gate\b")),
+    (("barangay", "brg", "bgy", "bgry", "zone", "purok", "phase"), re.compile(r"\b(?:barangay|brgy|bgy|brg|bgry)\b\.? ?(?:\d+(?:-?[a-z]\b)?|" + WORD + r")|\b(?:zone|purok|phase) ?\d+")),
+    (("pob",), re.compile(r"\b(?:poblacion|pob)\b\.?")),
+    (("subd", "vill", "homes", "estate"), re.compile(r"\b" + WORD + r" (?:subdivision|subd|village|homes|estates?)\b\.?|\b" + WORD + r" vill\b\.?(?= *(?:[,;]|$))")),
+    (("building", "bldg", "arcade", "compound", "tower", "mall"), re.compile(r"\b" + WORD + r" (?:building|bldg|arcade|compound|tower|mall)\b\.?")),
+    (("ph", "pilipinas"), re.compile(r"\b(?:philippines|phl|phils?|ph|pilipinas)\b\.?")),
+    (("km",), re.compile(r"\bkm\.? ?\d+")),
+    (("sitio", "along"), re.compile(r"\b(?:sitio|along)\b\.?")),
 ]
 CORNER = re.compile(r"\b(?:corner|cor|cnr|cr)\b\.? *(?:(?:calle|kalye|c)\b\.? *" + WORD + r"(?: " + WORD + r")?(?= *(?:[,;]|$))|(?:" + WORD + r" ){1,3}?" + KIND + ")")
 NUMBER = r"(?:(?:no|num|number)\b\.? *)?(\d+[a-z]?)\b"
-NAMED = re.compile(r"((?:" + WORD + r" +){1,6}?)(" + KIND + ")")
 CALLED = re.compile(r"\b(?:" + "|".join(PREFIXES) + r")\b\.? *(" + WORD + r"(?: +" + WORD + r"){0,2})")
 BEFORE = re.compile(NUMBER + GAP + r"$")
 AFTER = re.compile(r"^" + GAP + NUMBER)
 
 
+_MARKS = re.compile(r"(?<!\s)\s+-+\s+|(?<!\s)\s*[;/|()\[\]\n\t]\s*|(?<!\s)\s+–\s+")
+_SIGNS = re.compile(r"#|\bn[o°]\.? ?(?=\d)|\bno\. *(?=#)")
+_STOPS = re.compile(r"\b(no|brgy|bgy|barangay|blk|block|lot|lt|rm|unit|km|pob)\.(?=\S)")
+_OTHER = re.compile(r"[^a-z0-9,;.' -]")
+_NUMBERS = re.compile(r"\bno\b\.? *(?:no\b\.? *)+")
+_KINDS = re.compile(KIND)
+
+
 def spaced(text: str) -> str:
     """Lower-case ASCII with every mark that separates parts turned into a semicolon."""
     text = unaccented(text)
-    text = re.sub(r"\s+-+\s+|\s*[;/|()\[\]\n\t]\s*|\s+–\s+", " ; ", text.replace("2/f", "2 floor"))
-    text = re.sub(r"#|\bn[o°]\.? ?(?=\d)|\bno\. *(?=#)", " no ", text)
-    text = re.sub(r"\b(no|brgy|bgy|barangay|blk|block|lot|lt|rm|unit|km|pob)\.(?=\S)", r"\1. ", text)
-    return re.sub(r"\s+", " ", re.sub(r"[^a-z0-9,;.' -]", " ", text)).strip()
+    text = _MARKS.sub(" ; ", text.replace("2/f", "2 floor"))
+    text = _SIGNS.sub(" no ", text)
+    if "." in text:
+        text = _STOPS.sub(r"\1. ", text)
+    return " ".join(_OTHER.sub(" ", text).split())
+
+
+def _words_before(text: str, at: int) -> tuple[list[str], int]:
+    """The words that stand directly before a position, back to a digit or a mark, and where they start."""
+    start = at
+    low = max(0, at - REACH)
+    while start > low:
+        i = start
+        while i > low and text[i - 1] in ". ":
+            i -= 1
+        j = i
+        while j > low and (text[j - 1].isalpha() or text[j - 1] in "'-"):
+            j -= 1
+        while j < i and not text[j].isalpha():
+            j += 1
+        if i == start or j == i:
+            break
+        start = j
+    return [w.strip(".") for w in text[start:at].split()], start
 
 
 def street_parts(text: str) -> tuple[str, set[tuple[str, str]], str] | None:
@@ -84,35 +113,37 @@ def street_parts(text: str) -> tuple[str, set[tuple[str, str]], str] | None:
         number = f"b{int(m[2])}l{int(m[1])}"
     if number:
         text = text[: m.start()] + " ; " + text[m.end() :]
-    text = CORNER.sub(" ; ", text)
-    for pattern in ASIDE:
-        text = pattern.sub(" ; ", text)
-    text = re.sub(r"\s+", " ", text)
-    text = re.sub(r"\bno\b\.? *(?:no\b\.? *)+", "no ", text)
-
-    for m in re.finditer(KIND, text):
+    if "c" in text:
+        text = CORNER.sub(" ; ", text)
+    for signs, pattern in ASIDE:
+        if any(sign in text for sign in signs):
+            text = pattern.sub(" ; ", text)
+    text = " ".join(text.split())
+    if "no" in text:
+        text = _NUMBERS.sub("no ", text)
+
+    for m in _KINDS.finditer(text):
         kind = KIND_OF[m[0].rstrip(".")]
-        # the words of the name: back to a digit or a mark
-        head = re.search(r"((?:" + WORD + r"[. ]+)*)$", text[: m.start()])
-        words = [w.strip(".") for w in head[1].split()]
+        words, head = _words_before(text, m.start())
         while words and words[0] in ("no", "calle", "kalye", "of", "sa", "ng"):
             words = words[1:]
         if not words or (len(words) == 1 and words[0] in ("national", "public")):
             continue
-        before = BEFORE.search(text[: head.start()])
-        after = AFTER.search(text[m.end() :])
+        base = max(0, head - REACH)
+        before = BEFORE.search(text[base:head])
+        after = AFTER.search(text[m.end() : m.end() + REACH])
         own = number
-        start, end = head.start(), m.end()
+        start, end = head, m.end()
         sure = False
         if own is None:
             if before:
-                own, start, sure = before[1], before.start(), True
+                own, start, sure = before[1], base + before.start(), True
             elif after:
                 own, end = after[1], m.end() + after.end()
             else:
                 continue
         elif before and not after:
-            start = head.start()
+            start = head
         if own.isdigit():
             own = str(int(own))
         readings = {" ".join(words)} if sure or len(words) <= 2 else {words[-1], " ".join(words[-2:])}
@@ -120,13 +151,14 @@ def street_parts(text: str) -> tuple[str, set[tuple[str, str]], str] | None:
         rest = text[:start] + " ; " + " ".join(left) + " ; " + text[end:]
         return own, {(r.replace("-", " "), kind) for r in readings}, rest
     for m in CALLED.finditer(text):
-        before, after = BEFORE.search(text[: m.start()]), AFTER.search(text[m.end() :])
+        base = max(0, m.start() - REACH)
+        before, after = BEFORE.search(text[base : m.start()]), AFTER.search(text[m.end() : m.end() + REACH])
         own = number or (before[1] if before else after[1] if after else None)
         if own is None:
             continue
         words = m[1].split()
         readings = {" ".join(words[:i]) for i in range(1, min(2, len(words)) + 1)}
-        start = before.start() if before and not number else m.start()
+        start = base + before.start() if before and not number else m.start()
         end = m.end() + (after.end() if after and not before and not number else 0)
         rest = text[:start] + " ; " + " ".join(words[1:]) + " ; " + text[end:]
         return (str(int(own)) if own.isdigit() else own), {(r.replace("-", " "), "street") for r in readings}, rest
@@ -158,11 +190,8 @@ def localities(names: Gazetteer, rest: str, city: str | None) -> frozenset:
 
 
 def forms(names: Gazetteer, address: str | None, city: str | None) -> tuple[str, list[str], list[str]] | None:
-    """(number, streets as "kind/name", localities) or None where the address fits no case.
-
-    A text of more than ``LONGEST`` characters is no postal address and fits none.
-    """
-    if not address or len(address) > LONGEST or not (parts := street_parts(address)):
+    """(number, streets as "kind/name", localities) or None where the address fits no case."""
+    if not address or not (parts := street_parts(address)):
         return None
     number, streets, rest = parts
     places = localities(names, rest, city)

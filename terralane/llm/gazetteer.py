@@ -23,8 +23,8 @@ NONE = "NONE"
 #: Reference entries up to which the trie is built in every task; more is an error, see ``entries``.
 MAX_ENTRIES = 100_000
 MEMO = 200_000
-#: Characters beyond which a text names no town.
-LONGEST = 300
+#: Characters up to which a looked-up text is kept at hand.
+MEMO_LENGTH = 200
 
 # Words of place names and how people write them.
 TITLES = {
@@ -41,7 +41,7 @@ TOWN = ["{}", "municipality of {}", "mun of {}", "bayan ng {}", "munisipalidad n
 # Texts that say "nothing known", and segments that say nothing about the town.
 PLACEHOLDERS = {"", "n a", "na", "none", "null", "nan", "unknown", "tba", "tbd", "to follow", "not available", "not applicable", "x", "yes", "no", "test", "city", "municipality", "town", "nil", "same", "see map", "various"}
 NOISE = re.compile(r"^(?:\d{4}|ph|phl|phils?|philippines|pilipinas|pob|poblacion|proper|city|cty|mun|municipality|(?:brgy|bgy|barangay|bgry|brg|zone|purok|sitio)(?: [a-z0-9]+)*)$")
-EDGE_NOISE = re.compile(r"^(?:\d{4} )+|(?: (?:\d{4}|ph|phl|phils?|philippines|pilipinas|pob|poblacion|proper))+$|^(?:pob|poblacion) ")
+EDGE_WORDS = frozenset("ph phl phil phils philippine philippines pilipinas pob poblacion proper".split())
 TITLE_WORDS = set(itertools.chain(*TITLES.values(), *(t.replace("{}", " ").split() for t in CITY + TOWN)))
 PROVINCE_WORDS = re.compile(r"^(?:province of|prov of|prov|province|probinsya ng|lalawigan ng|provincia de) | (?:province|prov)$")
 
@@ -76,13 +76,32 @@ def segments(text: str) -> list[str]:
     return [p for part in _BREAKS.split(repair(text)) if (p := plain(part))]
 
 
+def _year(word: str) -> bool:
+    return len(word) == 4 and word.isdecimal()
+
+
+def without_edges(segment: str) -> str:
+    """A segment without postal codes before it, country and centre words after it, and a centre word before it."""
+    words = segment.split(" ")
+    first, last = 0, len(words)
+    while first < last - 1 and _year(words[first]):
+        first += 1
+    while last > first + 1 and (_year(words[last - 1]) or words[last - 1] in EDGE_WORDS):
+        last -= 1
+    if last > first + 1 and words[first] in ("pob", "poblacion"):
+        first += 1
+    return " ".join(words[first:last])
+
+
 @dataclass
 class Trie:
     """Character trie; a node is a dict, under the key "" stand the payloads of the words ending there."""
 
     root: dict = field(default_factory=dict)
+    longest: int = 0
 
     def add(self, word: str, payload) -> None:
+        self.longest = max(self.longest, len(word))
         node = self.root
         for c in word:
             node = node.setdefault(c, {})
@@ -104,6 +123,9 @@ class Trie:
         """
         found: dict = {}
         n = len(word)
+        # no word of the trie is near enough to a longer one
+        if n > self.longest + bound:
+            return found
         goal = 1 << n
         full = (goal << 1) - 1
         masks: dict[str, int] = {}
@@ -180,6 +202,8 @@ class Gazetteer:
     def province(self, segment: str) -> tuple[str | None, bool, int]:
         """(province, whether the segment says so with a word like Province, distance)."""
         if (known := self.province_memo.get(segment)) is None:
+            if len(segment) > MEMO_LENGTH:
+                return self._province(segment)
             if len(self.province_memo) >= MEMO:
                 self.province_memo.clear()
             known = self.province_memo[segment] = self._province(segment)
@@ -198,6 +222,8 @@ class Gazetteer:
     def places_near(self, segment: str) -> dict[str, int]:
         """Localities nearest to the segment within its bound, with their distance."""
         if (known := self.near_memo.get(segment)) is None:
+            if len(segment) > MEMO_LENGTH:
+                return self._places_near(segment)
             if len(self.near_memo) >= MEMO:
                 self.near_memo.clear()
             known = self.near_memo[segment] = self._places_near(segment)
@@ -218,10 +244,12 @@ class Gazetteer:
 
     def candidates(self, value: str | None) -> frozenset:
         """All localities the value may mean: none, the one, or several that it does not tell apart."""
-        if value is None or len(value) > LONGEST:
+        if value is None:
             return frozenset()
         known = self.memo.get(value)
         if known is None:
+            if len(value) > MEMO_LENGTH:
+                return frozenset(self._candidates(value))
             if len(self.memo) >= MEMO:
                 self.memo.clear()
             known = self.memo[value] = frozenset(self._candidates(value))
@@ -230,7 +258,7 @@ class Gazetteer:
     def _candidates(self, value: str) -> set:
         if plain(value) in PLACEHOLDERS:
             return set()
-        parts = [q for p in segments(value) if not NOISE.match(p) and (q := EDGE_NOISE.sub("", p)) and not NOISE.match(q)]
+        parts = [q for p in segments(value) if not NOISE.match(p) and (q := without_edges(p)) and not NOISE.match(q)]
         hits: list[dict[str, int]] = []
         said: list[str] = []
         for p in parts:
@@ -243,9 +271,15 @@ class Gazetteer:
             elif " " in p:
                 # town and province in one segment without a mark between them
                 words = p.split(" ")
-                for cut in range(1, len(words)):
+                # only tails as long as a province with its title can name one
+                longest, tail_length = self.provinces.longest + 24, -1
+                first = len(words)
+                while first > 1 and tail_length < longest:
+                    first -= 1
+                    tail_length += len(words[first]) + 1
+                for cut in range(first, len(words)):
                     tail, _, d = self.province(" ".join(words[cut:]))
-                    head = EDGE_NOISE.sub("", " ".join(words[:cut]))
+                    head = without_edges(" ".join(words[:cut]))
                     if tail is not None and (near := self.places_near(head)):
                         hits.append(near)
                         said.append(tail)
@@ -297,7 +331,7 @@ def entries(localities: DataFrame) -> tuple:
 def map_values(df: DataFrame, key: str, value: str, localities: DataFrame) -> DataFrame:
     """``(key, value, psgc)`` for every row; psgc is NONE where no or no single entry is meant.
 
-    Null and blank values, placeholders, texts of more than ``LONGEST`` characters, bare provinces and
+    Null and blank values, placeholders, bare provinces and
     names shared by two entries give NONE.
     One map over Arrow batches, no shuffle: hot values are looked up once per task.  Rows are kept as
     they are, so repeated rows give repeated results; an empty table gives an empty result.
