@@ -1,9 +1,15 @@
-"""Variant spellings of names typed by people: letter counts and longest common subsequences.
+"""Variant spellings of names typed by people: suffix blocks and longest common subsequences.
 
 A name is read into kind of institution, numeral, given name and the words of the name proper.  Equal
-readings fall together; distinct readings of one kind and numeral all meet, in blocks, and the pairs
-whose letter counts allow it are compared by the longest-common-subsequence ratio.  Aliases link the
-readings of one row.
+readings fall together.  Every word of the name proper is indexed by its last ``SUFFIX`` letters in every
+reading that lets one letter out, and so are its first letters (the suffixes of the word read backwards).
+A suffix of that length is overly common by itself, so a block is refined with the other fields that
+two readings of one institution share, kind, numeral, saint and initial of the given name, and only the
+unrefined suffixes are discarded.  Readings of one block are compared by the longest-common-subsequence
+ratio.  Aliases link the readings of one row.
+
+Names within the ratio differ by few letters in their best word: where a word of c common letters has
+one letter left out or replaced, or two of them apart, one of its ends keeps at least c / 2 of them.
 """
 
 from __future__ import annotations
@@ -12,7 +18,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -164,8 +169,8 @@ def same_proper(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
             if 2 * sum(common) >= WHOLE_RATIO * sum(size) and all(2 * c >= WORD_RATIO * s for c, s in zip(common, size)):
                 return True
         return False
-    whole = "".join(a)
-    return any(lcs_ratio(whole, "".join(order)) >= WHOLE_RATIO + 0.07 for order in {b, b[::-1]})
+    wholes = [{"".join(order) for order in (x, x[::-1])} for x in (a, b)]
+    return any(lcs_ratio(x, y) >= WHOLE_RATIO + 0.07 for x in wholes[0] for y in wholes[1])
 
 
 def _nearest(word: str, known: dict[str, str], slips: int = 1) -> str | None:
@@ -249,51 +254,103 @@ def named_rows(rows: DataFrame, key: str, name: str, aliases: str | None) -> Dat
     return source.mapInArrow(run, "k long, " + _READ)
 
 
-def _close(proper: list[tuple[str, ...]]) -> Iterator[tuple[int, int]]:
-    """Pairs of indices whose letters, whatever their order, leave ``same_proper`` possible.
+#: Letters of a word's end that two words of one block share.
+SUFFIX = 3
+#: Pairs of readings whose letters are counted at once, and rows a task compares at once.
+PAIRS, CHUNK = 200_000, 50_000
 
-    A common subsequence is no longer than the letters both names hold, so every pair that
-    ``same_proper`` accepts is among them.
+
+def end_keys(word: str) -> set[str]:
+    """The last and the first ``SUFFIX`` letters of a word, whole and with any one letter before them left out."""
+    out = {"=" + word} if len(word) <= SUFFIX else set()
+    for side, text in (("<", word), (">", word[::-1])):
+        text = text[: SUFFIX + 1]
+        if len(text) > SUFFIX:
+            out |= {side + text[:i] + text[i + 1 :] for i in range(len(text))}
+        elif len(text) == SUFFIX:
+            out.add(side + text)
+    return out
+
+
+def _letters(whole: list[str]) -> np.ndarray:
+    """Counts of letters and digits (names, 36)."""
+    out = np.zeros((len(whole), 36), np.int16)
+    for row, text in zip(out, whole):
+        codes = np.frombuffer(text.encode("ascii", "replace"), np.uint8)
+        np.add.at(row, np.where(codes >= 97, codes - 97, codes - 22) % 36, 1)
+    return out
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links among rows (g, reading, given, proper, own, diagonal) that come sorted by g; whole groups at once.
+
+    A common subsequence is no longer than the letters both names hold, so names whose letters differ too
+    much are passed over before they are compared.
     """
-    whole = ["".join(words) for words in proper]
-    letters = sorted(set("".join(whole)))
-    counts = np.array([[w.count(c) for c in letters] for w in whole], np.int32).reshape(len(whole), len(letters))
-    size = counts.sum(1)
-    for at in range(0, len(whole), 64):
-        apart = np.zeros((len(whole[at : at + 64]), len(whole) - at), np.int32)
-        for c in range(len(letters)):
-            apart += np.abs(counts[at : at + 64, None, c] - counts[None, at:, c])
-        near = apart <= (1 - WHOLE_RATIO) * (size[at : at + 64, None] + size[None, at:]) + 1e-6
-        for i, j in zip(*np.nonzero(np.triu(near, 1))):
-            yield at + int(i), at + int(j)
+
+    def links(table: pa.Table) -> pa.RecordBatch:
+        g, reading, own, diagonal = (table.column(n).to_numpy() for n in ("g", "reading", "own", "diagonal"))
+        given, proper = table.column("given").to_pylist(), [tuple(x) for x in table.column("proper").to_pylist()]
+        whole = ["".join(x) for x in proper]
+        letters, size = _letters(whole), np.array([len(x) for x in whole], np.int64)
+        ends = np.searchsorted(g, g, "right")
+        count = ends - np.arange(len(g)) - 1
+        total = np.concatenate(([0], np.cumsum(count)))
+        known: dict[tuple[int, int], bool] = {}
+        first = 0
+        while first < len(g):
+            last = max(first + 1, int(np.searchsorted(total, total[first] + PAIRS, "right")) - 1)
+            n = count[first:last]
+            i = np.repeat(np.arange(first, last), n)
+            j = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + i + 1
+            near = (reading[i] != reading[j]) & (diagonal[i] | (own[i] != own[j]))
+            i, j = i[near], j[near]
+            apart = np.abs(letters[i] - letters[j]).sum(1)
+            near = apart <= (1 - WHOLE_RATIO) * (size[i] + size[j]) + 1e-6
+            for a, b in zip(i[near].tolist(), j[near].tolist()):
+                pair = (min(reading[a], reading[b]), max(reading[a], reading[b]))
+                if pair not in known:
+                    known[pair] = same_given(given[a], given[b]) and same_proper(proper[a], proper[b])
+            first = last
+        found = [pair for pair, same in known.items() if same]
+        return pa.RecordBatch.from_arrays([pa.array([int(x) for x, _ in found], pa.int64()), pa.array([int(y) for _, y in found], pa.int64())], names=["a", "b"])
+
+    held: pa.Table | None = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        held = part if held is None else pa.concat_tables([held, part])
+        if len(held) >= CHUNK:
+            g = held.column("g").to_numpy()
+            stop = int(np.searchsorted(g, g[-1], "left"))
+            if stop:
+                yield links(held.slice(0, stop))
+                held = held.slice(stop)
+    if held is not None and len(held):
+        yield links(held)
 
 
 def linked_readings(readings: DataFrame, block: int = BLOCK) -> DataFrame:
     """``(a, b)``: pairs of different readings that mean the same institution by their names alone.
 
-    All readings of one kind, numeral, saint and initial of the given name meet; groups larger than
-    ``block`` are cut into blocks that meet pairwise, as in ``pairs_within``, so no pair is left out.
+    Readings meet in every block they share; blocks larger than ``block`` are cut into parts that meet
+    pairwise, as in ``pairs_within``, so no reading is left out however common its block is.
     """
-    keys = ["kind", "numeral", "saint", "initial"]
-    named = readings.filter(F.size("proper") > 0).withColumn("initial", F.substring("given", 1, 1))
-    sizes = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    rows = named.join(sizes, keys).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [sorted(set().union(*map(end_keys, words))) for words in batch.column(batch.schema.names.index("proper")).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.list_(pa.string()))], names=[*batch.schema.names, "keys"])
+
+    named = readings.filter(F.size("proper") > 0).select("reading", "kind", "numeral", "given", "saint", "proper")
+    blocked = named.mapInArrow(keyed, "reading long, " + _READ + ", keys array<string>").withColumn("key", F.explode("keys"))
+    rows = blocked.select(F.xxhash64("kind", "numeral", "saint", F.substring("given", 1, 1), "key").alias("g"), "reading", "given", "proper")
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    rows = rows.join(sizes, "g").withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("reading"), F.col("blocks")).cast("int"))
     meet = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.least("own", o) * F.col("blocks") + F.greatest("own", o))
-    placed = rows.select(*keys, "reading", "given", "proper", "own", "blocks", F.explode(meet).alias("place"))
-
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        reading, given, own = pdf["reading"].tolist(), pdf["given"].tolist(), pdf["own"].tolist()
-        proper = [tuple(words) for words in pdf["proper"]]
-        diagonal = pdf["place"].iloc[0] % (pdf["blocks"].iloc[0] + 1) == 0
-        found = [
-            (min(reading[i], reading[j]), max(reading[i], reading[j]))
-            for i, j in _close(proper)
-            if (diagonal or own[i] != own[j]) and same_given(given[i], given[j]) and same_proper(proper[i], proper[j])
-        ]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-
-    return placed.groupBy(*keys, "place").applyInPandas(compare, "a long, b long")
+    placed = rows.select("g", "reading", "given", "proper", "own", "blocks", F.explode(meet).alias("place"))
+    placed = placed.select(F.when(F.col("blocks") > 1, F.xxhash64("g", "place")).otherwise(F.col("g")).alias("g"), "reading", "given", "proper", "own", (F.col("place") % (F.col("blocks") + 1) == 0).alias("diagonal"))
+    return placed.repartition("g").sortWithinPartitions("g").mapInArrow(_compare, "a long, b long").distinct()
 
 
 def institution_classes(named: DataFrame) -> DataFrame:
@@ -312,6 +369,12 @@ def institution_classes(named: DataFrame) -> DataFrame:
     return heads.join(classes, heads["head"] == classes["node"], "left").select("k", F.coalesce("component", "head").alias("institution"))
 
 
+def class_rows(classes: DataFrame, key: str, group: str) -> DataFrame:
+    """``(key, group, links)``: the class of every row and the number of other rows in it."""
+    sizes = classes.groupBy(group).agg((F.count(F.lit(1)) - 1).alias("links"))
+    return classes.join(sizes, group).select(key, group, "links")
+
+
 def same_institution_pairs(named: DataFrame) -> DataFrame:
     """``(rec_id_a, rec_id_b)``, a < b: every pair of rows that mean the same institution."""
     return pairs_within(institution_classes(named), "institution", "k", "rec_id_a", "rec_id_b")

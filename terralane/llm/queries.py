@@ -17,21 +17,41 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return survivor.best_values(table(spark, sf_dir, "places"), "canonical_id", OPERATORS, WEBSITES)
 
 
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _institution_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     official = institutions.named_rows(table(spark, sf_dir, "registry_qc_official_sources"), "rec_id", "name", "aliases")
     hospitals = institutions.named_rows(table(spark, sf_dir, "philhealth_level3"), "rec_id", "name_of_health_facility", None)
-    return institutions.same_institution_pairs(official.unionByName(hospitals))
+    return official.unionByName(hospitals)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return institutions.same_institution_pairs(_institution_names(spark, sf_dir))
+
+
+def p2_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The institution of every named row and the number of other rows that mean it."""
+    classes = institutions.institution_classes(_institution_names(spark, sf_dir)).withColumnRenamed("k", "rec_id")
+    return institutions.class_rows(classes, "rec_id", "institution")
 
 
 ADDRESSES = [("registry_qc_official_sources", "address", "city"), ("philhealth_level3", "street", "municipality"), ("osm_places", "osm_address", "osm_city"), ("overture_places", "overture_address", "overture_city")]
 
 
-def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = None
     for name, address, city in ADDRESSES:
         part = table(spark, sf_dir, name).select("rec_id", F.col(address).alias("address"), F.col(city).alias("city"))
         records = part if records is None else records.unionByName(part)
-    return addresses.same_address_pairs(records, table(spark, sf_dir, "area_localities"))
+    return records
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return addresses.same_address_pairs(_addresses(spark, sf_dir), table(spark, sf_dir, "area_localities"))
+
+
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The location of every record with a full address and the number of other records that give it."""
+    classes = addresses.same_address_classes(_addresses(spark, sf_dir), table(spark, sf_dir, "area_localities"))
+    return institutions.class_rows(classes, "rec_id", "address_class")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +107,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abuse.rates(p10_scores(spark, sf_dir)).withColumn("rate", F.round("rate", 6)).withColumn("mean_score", F.round("mean_score", 6))
 
 
-QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_found": p8_found, "p9_mix": p9_mix, "p9_copies": p9_copies, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+QUERIES = {"p1_found": p1_found, "p2_found": p2_found, "p2_classes": p2_classes, "p3_found": p3_found, "p3_classes": p3_classes, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_found": p8_found, "p9_mix": p9_mix, "p9_copies": p9_copies, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 
 def _p1_sql() -> str:
     """Survivors stated without a skyline: the first value in the order of the policy."""

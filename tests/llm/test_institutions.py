@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from terralane.llm.institutions import alias_names, lcs_length, lcs_ratio, linked_readings, named_rows, read_institution, same_given, same_institution_pairs, same_proper
+from terralane.llm.institutions import alias_names, class_rows, institution_classes, lcs_length, lcs_ratio, linked_readings, named_rows, read_institution, same_given, same_institution_pairs, same_proper
 
 
 def test_reading():
@@ -64,3 +64,28 @@ def test_slips_inside_every_word_are_found(spark):
     pairs = [("kazeti", "ponuden"), ("kazoti", "ponoden"), ("tebivus",), ("tebvus",), ("lorane",), ("lorne",)]
     want = linked(spark, [("", words) for words in pairs])
     assert {(0, 1), (2, 3), (4, 5)} <= want
+
+
+def test_slips_in_random_names_are_found(spark):
+    """Recall of the blocks against a comparison of all pairs."""
+    rng = random.Random(17)
+
+    def slip(word):
+        k = rng.randrange(len(word))
+        return rng.choice([word[:k] + word[k + 1 :], word[:k] + rng.choice("aeioubdgk") + word[k + 1 :], word[:k] + rng.choice("aeioubdgk") + word[k:], word[:k] + word[k + 1 : k + 2] + word[k] + word[k + 2 :]])
+
+    propers = []
+    for _ in range(150):
+        words = tuple(syllables(rng, rng.randint(2, 4)) for _ in range(rng.choice([1, 2, 2, 2, 3])))
+        for _ in range(3):
+            some = tuple(slip(w) if rng.random() < 0.7 else w for w in words)
+            propers.append(("", ("".join(some),) if rng.random() < 0.1 else some))
+    propers = [(g, w) for g, w in dict.fromkeys((g, tuple(sorted(w))) for g, w in propers)]
+    assert len(linked(spark, propers)) > 100
+
+
+def test_classes(spark):
+    rows = [(1, "Depoga Tutomu College"), (2, "Tutmu Depoga Col."), (3, "Other Name College"), (4, None)]
+    named = named_rows(spark.createDataFrame(rows, "rec_id long, name string"), "rec_id", "name", None)
+    got = {r.k: r.links for r in class_rows(institution_classes(named), "k", "institution").collect()}
+    assert got == {1: 1, 2: 1, 3: 0}
