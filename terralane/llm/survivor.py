@@ -1,14 +1,20 @@
-"""Best representative of each duplicate group, field by field.
-
-Every observation of a field is a point in (completeness of the writing, recency, trust).  Writings of
-one value (cut, abbreviated, restyled) share an identity, and an identity is as recent as its latest
-writing.  Undominated observations form layer 1, what only they dominate layer 2, and so on; the
-survivor comes from the first layer that holds a value, by the policy recency of the identity, then
-completeness, then trust, then the text itself.
-
-All steps are aggregations with map-side combine and a salted semi-join, except one window per (group,
-field, start of the text), which streams over distinct writings; a group that holds a third of all rows
-is never held in one task.
+"""Best representative of each duplicate group: a skyline of records, filled up layer by layer.
+
+A record is a point in (completeness of every field, recency, trust).  A record dominates another if it
+is at least as complete in every field, as recent and as trusted, and better in one of them.  The
+undominated records are layer 1, the records that only they dominate layer 2, and so on.  The survivor is
+the first record of layer 1 by the policy recency, completeness, trust, text; what it lacks is filled
+from the other records of its layer and then from the next layers, in the same order.  Writings of one
+value (cut, abbreviated, restyled) share an identity, and the value that comes out is its fullest and
+most ordinary writing.
+
+Completeness has few levels, so of the records of one group that agree in it and in trust only the
+latest can be first anywhere: these representatives are found by one aggregation with map-side combine,
+and layers are formed among them.  Completeness is taken field by field because the value observed last
+has to survive: a count of filled fields would let an older, fuller record displace it.
+
+All steps are aggregations, a salted semi-join and joins by value; the one window (group, field, start of
+the text) streams over distinct writings.  A group that holds a third of all rows is never held in one task.
 """
 
 from __future__ import annotations
@@ -63,17 +69,84 @@ def ordinary_url(c: Column) -> Column:
     return whole.cast("int") * 4 + scheme.cast("int") * 2 + (c == F.lower(c)).cast("int")
 
 
+def _salted(rows: DataFrame) -> DataFrame:
+    """The rows of groups of several rows; the join is salted, so that a hot group is spread."""
+    several = rows.groupBy("g").count().filter("count > 1").select("g", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return rows.withColumn("salt", F.pmod(F.hash("v", "seen"), F.lit(SALTS))).join(several, ["g", "salt"], "left_semi")
+
+
+def best_writings(rows: DataFrame, texts: int) -> DataFrame:
+    """``(g, f, v, best)``: for every usable value of a field its fullest and most ordinary writing in the group.
+
+    ``rows``: (g, seen, trust, v), v holding the fields, of which the first ``texts`` are names and the
+    others addresses of websites.  A normal form that begins the next longer one is a cut writing of it; in
+    descending order the extensions of a form stand directly before it, so a form belongs to the last
+    form before it that is not itself the beginning of its own predecessor.
+    """
+    held = rows.filter("trust > 0").select("g", "seen", "trust", F.posexplode("v").alias("f", "v")).filter(F.col("v").isNotNull() & ~is_placeholder(F.col("v")))
+    writings = held.groupBy("g", "f", "v").agg(F.max("seen").alias("seen"), F.max("trust").alias("trust"))
+    is_url = F.col("f") >= texts
+    norm = F.when(is_url, normal_url(F.col("v"))).otherwise(normal_text(F.col("v")))
+    style = F.when(is_url, ordinary_url(F.col("v"))).otherwise(ordinary_text(F.col("v")))
+    writings = writings.withColumn("norm", norm).withColumn("style", style).withColumn("part", F.substring("norm", 1, SPLIT))
+    order = W.partitionBy("g", "f", "part").orderBy(F.col("norm").desc(), "v")
+    cut = F.coalesce(F.startswith(F.lag("norm").over(order), F.col("norm")), F.lit(False))
+    linked = writings.withColumn("cut", cut)
+    linked = linked.withColumn("identity", F.last(F.when(~F.col("cut"), F.col("norm")), ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)))
+    # the first writing of an identity in this order is its best, the larger text among equals
+    whole = F.col("norm") == F.col("identity")
+    best = W.partitionBy("g", "f", "part", "identity").orderBy(whole.desc(), F.length("norm").desc(), F.col("style").desc(), F.col("trust").desc(), F.col("seen").desc(), F.col("v").desc())
+    return linked.select("g", "f", "v", F.first("v").over(best.rowsBetween(W.unboundedPreceding, 0)).alias("best"))
+
+
+def _level(value: Column, url: bool) -> Column:
+    """Completeness of a field: 0 no value, 1 a stump too short to tell what it is cut from, 2 a value."""
+    norm = normal_url(value) if url else normal_text(value)
+    return F.when(value.isNull() | is_placeholder(value), 0).when(F.length(norm) < SPLIT, 1).otherwise(2)
+
+
+def dominates(q: Column, p: Column, fields: int) -> Column:
+    """Whether record q is at least as good as p in every dimension and better in one."""
+    sides = [(q["seen"], p["seen"]), (q["trust"], p["trust"])] + [(q["full"][i], p["full"][i]) for i in range(fields)]
+    at_least, more = sides[0][0] >= sides[0][1], sides[0][0] > sides[0][1]
+    for a, b in sides[1:]:
+        at_least, more = at_least & (a >= b), more | (a > b)
+    return at_least & more
+
+
+def with_layers(records: Column, fields: int, kind: str) -> Column:
+    """The records (seen, total, trust, full, v) with their dominance layers as first field, in the order (layer, policy).
+
+    In descending order of the policy every record stands after those that dominate it; its layer is
+    one more than the deepest of theirs.
+    """
+    ordered = F.sort_array(records, asc=False)
+    start = F.array().cast(f"array<struct<layer:int,{kind}>>")
+
+    def place(done: Column, p: Column) -> Column:
+        above = F.transform(F.filter(done, lambda q: dominates(q, p, fields)), lambda q: q["layer"])
+        layer = (F.coalesce(F.array_max(above), F.lit(0)) + 1).cast("int")
+        return F.concat(done, F.array(F.struct(layer.alias("layer"), *[p[n].alias(n) for n in ("seen", "total", "trust", "full", "v")])))
+
+    # in the order of the policy already, so a layer by layer concatenation keeps it
+    placed = F.aggregate(ordered, start, place)
+    deepest = F.coalesce(F.array_max(F.transform(placed, lambda p: p["layer"])), F.lit(0))
+    return F.flatten(F.transform(F.sequence(F.lit(1), F.greatest(deepest, F.lit(1))), lambda k: F.filter(placed, lambda p: p["layer"] == k)))
+
+
 def best_values(df: DataFrame, key: str, text_fields: list[str], url_fields: list[str], seen: str = "observed_at", state: str = "review_state", conflicts_only: bool = True) -> DataFrame:
-    """``(key, field_name, field_value)``: the surviving value of every field of every group.
+    """``(key, field_name, field_value)``: the fields of the surviving record of every group.
 
     Rows whose state is ``rejected`` and placeholders give no values; a field without any value gives
     no row.  Rows without key belong to no group.  With ``conflicts_only`` only fields come out in
     which the rows of the group do not all hold the same content (null is a content of its own).  A
     row without ``seen`` is older than any other; equal recency is decided by completeness, trust and
-    then the text, so repeated rows, ties and the order of rows change nothing.  Extra columns are
-    ignored; an empty table gives an empty result.
+    then the text, so repeated rows, ties and the order of rows change nothing.  A writing of fewer
+    than ``SPLIT`` characters survives only where nothing longer is held.  Extra columns are ignored;
+    an empty table gives an empty result.
     """
     fields = text_fields + url_fields
+    n = len(fields)
     state_trust = F.create_map(*[F.lit(x) for kv in TRUST.items() for x in kv])
     rows = df.select(
         F.col(key).alias("g"),
@@ -81,69 +154,35 @@ def best_values(df: DataFrame, key: str, text_fields: list[str], url_fields: lis
         F.coalesce(state_trust[F.coalesce(F.col(state), F.lit("?"))], F.lit(1)).alias("trust"),
         F.array(*[F.col(f).cast("string") for f in fields]).alias("v"),
     ).filter("g IS NOT NULL")
-
-    # A group of one row has nothing to resolve.  The join is salted, so that a hot group is spread.
+    # a group of one row has nothing to resolve
     if conflicts_only:
-        several = rows.groupBy("g").count().filter("count > 1").select("g", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-        rows = rows.withColumn("salt", F.pmod(F.hash("v", "seen"), F.lit(SALTS))).join(several, ["g", "salt"], "left_semi")
-
-    # distinct contents of a field in a group; only what stands outside rejected rows is a value
-    obs = rows.select("g", "seen", "trust", F.posexplode("v").alias("f", "v"))
-    contents = obs.groupBy("g", "f", "v").agg(F.max(F.when(F.col("trust") > 0, F.col("seen"))).alias("seen"), F.max("trust").alias("trust"))
-    usable = F.col("v").isNotNull() & (F.col("trust") > 0) & ~is_placeholder(F.col("v"))
-    writings = contents.filter(usable)
-    is_url = F.col("f") >= len(text_fields)
-    norm = F.when(is_url, normal_url(F.col("v"))).otherwise(normal_text(F.col("v")))
-    style = F.when(is_url, ordinary_url(F.col("v"))).otherwise(ordinary_text(F.col("v")))
-    writings = writings.withColumn("norm", norm).withColumn("style", style).withColumn("part", F.substring("norm", 1, SPLIT))
-
-    # identity: a normal form that begins the next longer one is a cut writing of it.  In descending
-    # order the extensions of a form stand directly before it, so a form belongs to the last form
-    # before it that is not itself the beginning of its own predecessor.  The frame only grows.
-    order = W.partitionBy("g", "f", "part").orderBy(F.col("norm").desc(), "v")
-    cut = F.coalesce(F.startswith(F.lag("norm").over(order), F.col("norm")), F.lit(False))
-    linked = writings.withColumn("cut", cut)
-    linked = linked.withColumn("identity", F.last(F.when(~F.col("cut"), F.col("norm")), ignorenulls=True).over(order.rowsBetween(W.unboundedPreceding, 0)))
-    whole = F.col("norm") == F.col("identity")
-    identity = linked.groupBy("g", "f", "part", "identity").agg(
-        F.count(F.lit(1)).alias("contents"),
-        F.max("seen").alias("recency"),
-        F.max("trust").alias("trust"),
-        # the most complete and most ordinary writing, the larger text among equals
-        F.max_by(F.struct("style", "v"), F.struct(whole.cast("int"), F.length("norm"), F.col("style"), F.col("trust"), F.col("seen"), F.col("v"))).alias("best"),
-    )
-
-    # completeness of the best writing: an unidentifiable stump, a restyled writing, an ordinary one
-    ordinary = F.col("best.style") >= F.when(is_url, 7).otherwise(3)
-    complete = F.when(F.length("identity") < SPLIT, 1).when(ordinary, 3).otherwise(2)
-    points = identity.select("g", "f", "contents", "recency", "trust", complete.alias("complete"), F.col("best.v").alias("v"))
-    others = contents.filter(~usable).select("g", "f", F.lit(1).cast("long").alias("contents"), F.lit(None).cast("timestamp").alias("recency"), F.lit(0).alias("trust"), F.lit(0).alias("complete"), F.lit(None).cast("string").alias("v"))
-    # Completeness and trust have few levels, so the skyline of a group is among the latest points of
-    # each (completeness, trust): a bounded number, found by one aggregation with map-side combine.
-    latest = [F.max(F.when((F.col("complete") == c) & (F.col("trust") == t), F.struct("recency", "complete", "trust", "v"))) for c in (1, 2, 3) for t in (1, 2)]
-    grouped = points.unionByName(others).groupBy("g", "f").agg(F.sum("contents").alias("contents"), F.array_compact(F.array(*latest)).alias("points"))
+        rows = _salted(rows)
+
+    # representatives of the records that agree in completeness and trust, and what tells conflicts
+    full = F.when(F.col("trust") > 0, F.array(*[_level(F.col("v")[i], i >= len(text_fields)) for i in range(n)])).otherwise(F.array(*[F.lit(0)] * n))
+    hashes = [F.xxhash64(F.col("v")[i], F.col("v")[i].isNull()).alias(f"h{i}") for i in range(n)]
+    latest = rows.select("g", "seen", "trust", "v", full.alias("full"), *hashes).groupBy("g", "trust", "full").agg(
+        F.max(F.struct("seen", "v")).alias("latest"), *[f(f"h{i}").alias(f"{m}{i}") for i in range(n) for m, f in (("low", F.min), ("high", F.max))])
+    total = F.aggregate("full", F.lit(0), lambda a, x: a + x)
+    record = F.struct(F.col("latest.seen").alias("seen"), total.alias("total"), "trust", "full", F.col("latest.v").alias("v"))
+    grouped = latest.groupBy("g").agg(
+        F.collect_list(F.when(total > 0, record)).alias("records"), F.array(*[F.min(f"low{i}") != F.max(f"high{i}") for i in range(n)]).alias("conflicts"))
+    kind = "seen:timestamp,total:int,trust:int,full:array<int>,v:array<string>"
+    layered = grouped.filter(F.size("records") > 0).select("g", "conflicts", with_layers(F.col("records"), n, kind).alias("records"))
+
+    # the survivor is the first record; its missing fields come from the first record that holds them
+    def first_at(i: int, level: int) -> Column:
+        return F.get(F.filter("records", lambda p: p["full"][i] >= level), F.lit(0))["v"][i]
+
+    def filled(i: int) -> Column:
+        return F.coalesce(first_at(i, 2), first_at(i, 1))
+
+    values = layered.select("g", F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.col("conflicts")[i].alias("conflict"), filled(i).alias("v")) for i in range(n)])).alias("x")).select("g", "x.*").filter("v IS NOT NULL")
     if conflicts_only:
-        grouped = grouped.filter("contents > 1")
-
-    def dominates(q: Column, p: Column) -> Column:
-        at_least = (q["recency"] >= p["recency"]) & (q["complete"] >= p["complete"]) & (q["trust"] >= p["trust"])
-        more = (q["recency"] > p["recency"]) | (q["complete"] > p["complete"]) | (q["trust"] > p["trust"])
-        return at_least & more
-
-    def skyline(points: Column) -> Column:
-        return F.filter(points, lambda p: ~F.exists(points, lambda q: dominates(q, p)))
-
-    def policy(points: Column) -> Column:
-        known = F.transform(points, lambda p: F.struct((p["complete"] > 1).alias("known"), p["recency"].alias("recency"), p["complete"].alias("complete"), p["trust"].alias("trust"), p["v"].alias("v")))
-        return F.array_max(known)["v"]
-
-    # a group's representative takes each field from the first dominance layer; where that layer holds
-    # no value the next layers fill it (points below the first layer are what the first leaves over)
-    layered = grouped.withColumn("first", skyline(F.col("points")))
-    layered = layered.withColumn("second", skyline(F.array_except("points", "first")))
-    value = F.coalesce(policy(F.col("first")), policy(F.col("second")), policy(F.col("points")))
+        values = values.filter("conflict")
+    found = values.select("g", "f", "v").join(best_writings(rows, len(text_fields)), ["g", "f", "v"])
     name = F.element_at(F.array(*[F.lit(x) for x in fields]), F.col("f") + 1)
-    return layered.select(F.col("g").alias(key), name.alias("field_name"), value.alias("field_value")).filter("field_value IS NOT NULL")
+    return found.select(F.col("g").alias(key), name.alias("field_name"), F.col("best").alias("field_value"))
 
 
 def representatives(df: DataFrame, key: str, text_fields: list[str], url_fields: list[str], **columns: str) -> DataFrame:

@@ -1,6 +1,9 @@
 import datetime as dt
+import random
 
-from terralane.llm.survivor import best_values, representatives
+from pyspark.sql import functions as F
+
+from terralane.llm.survivor import best_values, representatives, with_layers
 
 SCHEMA = "cid string, op string, web string, observed_at timestamp, review_state string, part string"
 
@@ -51,3 +54,59 @@ def test_hot_group(spark):
     rows = [("hot", f"Name {i % 50} Trading Corporation", f"https://h{i % 40}.example/a", day(i), "auto") for i in range(2000)]
     got = {r.field_name: r.field_value for r in run(spark, rows).collect()}
     assert got == {"op": "Name 49 Trading Corporation", "web": "https://h39.example/a"}
+
+
+RECORDS = "cid string, a string, b string, c string, w string, observed_at timestamp, review_state string"
+
+
+def test_a_dominated_record_waits_for_its_layer(spark):
+    rows = [
+        # the survivor, which lacks b, c and w
+        ("g", "Alpha New", None, None, None, day(9), "auto"),
+        # layer 1 for its b; dominates the next record, whose b is another
+        ("g", "Alpha Old", "Beta New", None, None, day(7), "verified"),
+        ("g", None, "Beta Old", None, None, day(7), "auto"),
+        # a deeper layer of stumps and an unknown, and a rejected record that gives nothing
+        ("g", None, None, "x", "n/a", day(1), "auto"),
+        ("g", None, None, None, "https://rejected.example/a", day(20), "rejected"),
+    ]
+    df = spark.createDataFrame(rows, RECORDS)
+    got = {r.field_name: r.field_value for r in best_values(df, "cid", ["a", "b", "c"], ["w"]).collect()}
+    assert got == {"a": "Alpha New", "b": "Beta New"}
+
+
+def brute_layers(points):
+    def over(q, p):
+        pairs = [(q[0], p[0]), (q[2], p[2]), *zip(q[3], p[3])]
+        return all(x >= y for x, y in pairs) and any(x > y for x, y in pairs)
+
+    left, out, layer = list(points), [], 0
+    while left:
+        layer += 1
+        top = [p for p in left if not any(over(q, p) for q in left)]
+        out += [(layer, *p) for p in sorted(top, reverse=True)]
+        left = [p for p in left if p not in top]
+    return out
+
+
+def test_layers_equal_peeling(spark):
+    rng = random.Random(11)
+    kind = "seen:timestamp,total:int,trust:int,full:array<int>,v:array<string>"
+    groups = []
+    for g in range(40):
+        points = set()
+        for k in range(rng.randint(1, 14)):
+            full = tuple(rng.randint(0, 2) for _ in range(3))
+            points.add((day(rng.randint(0, 5)), sum(full), rng.randint(1, 2), full, (str(k),)))
+        groups.append((g, [(a, b, c, list(d), list(e)) for a, b, c, d, e in points]))
+    df = spark.createDataFrame(groups, f"g int, records array<struct<{kind}>>")
+    for r in df.select("g", with_layers(F.col("records"), 3, kind).alias("x")).collect():
+        got = [(p.layer, p.seen, p.total, p.trust, tuple(p.full), tuple(p.v)) for p in r.x]
+        want = brute_layers([(a, b, c, tuple(d), tuple(e)) for a, b, c, d, e in groups[r.g][1]])
+        assert [x[0] for x in got] == [x[0] for x in want] and got == want
+
+
+def test_ties_and_slips(spark):
+    rows = [("t", "Same Day One Inc.", None, day(3), "auto"), ("t", "Same Day Two Inc.", "https://a.example/b", day(3), "auto"), ("t", "Same Day Zoo Inc.", None, day(3), "verified"), ("u", "ab", None, day(9), "auto"), ("u", "Long Name Cooperative", None, day(1), "auto")]
+    got = {(r.cid, r.field_name): r.field_value for r in run(spark, rows).collect()}
+    assert got == {("t", "op"): "Same Day Two Inc.", ("t", "web"): "https://a.example/b", ("u", "op"): "Long Name Cooperative"}
