@@ -1,12 +1,64 @@
 import random
 
-from terralane.llm.leakage import half_prints, leaked_items, Vocabulary, words
+import numpy as np
+
+from terralane.llm import leakage
+from terralane.llm.leakage import Items, Vocabulary, fingerprints, leaked_items, similarity, words
 
 
 def test_words():
     assert words("It's (Águila) no-1,\n> 0.5 x​y") == ["its", "aguila", "no", "1", "0", "5", "xy"]
     assert words(None) == words(" -- ") == []
-    assert len(half_prints(Vocabulary().hashes(["a"] * 6))) == 0
+    assert len(fingerprints(Vocabulary().hashes(["a"] * 14))) == 0
+
+
+def test_the_index_finds_exactly_the_fingerprints_within_the_radius():
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    item = hashes[rng.integers(0, 60, 400)]
+    index = Items([(1, item)])
+    prints = index.prints[rng.integers(0, len(index.prints), 900)].copy()
+    for k in range(900):
+        for b in rng.choice(64, k % 24, replace=False):
+            prints[k] ^= np.uint64(1 << int(b))
+    got = set(zip(*(x.tolist() for x in index.within(prints))))
+    apart = np.bitwise_count(prints[:, None] ^ index.prints[None, :])
+    assert got == set(zip(*(x.tolist() for x in np.nonzero(apart <= leakage.RADIUS)))) and len(got) > 500
+
+
+def test_shingles_tell_one_altered_word_from_two():
+    for k in range(15):
+        same = np.ones((1, 15), bool)
+        same[0, k] = False
+        assert similarity(same)[0] >= leakage.SIMILARITY - 1e-9
+        for j in range(15):
+            if j != k:
+                two = same.copy()
+                two[0, j] = False
+                assert similarity(two)[0] < leakage.SIMILARITY - 1e-9
+
+
+def test_radius_holds_what_one_altered_word_moves():
+    rng = np.random.default_rng(6)
+    far = 0
+    for _ in range(4000):
+        h = rng.integers(0, 1 << 63, 15, dtype=np.uint64) * np.uint64(2) + rng.integers(0, 2, 15, dtype=np.uint64)
+        g = h.copy()
+        g[rng.integers(15)] = rng.integers(0, 1 << 63, dtype=np.uint64)
+        far += int(np.bitwise_count(fingerprints(h) ^ fingerprints(g))[0]) > leakage.RADIUS
+    assert far <= 8
+
+
+def test_words_altered_or_swapped_in_two_places(spark):
+    item = [f"w{k}" for k in range(20)]
+    two, swapped, one, long = list(item[:15]), list(item[:15]), list(item[:15]), list(item)
+    two[2], two[11] = "x", "y"
+    swapped[4], swapped[9] = swapped[9], swapped[4]
+    one[7] = "x"
+    long[0], long[19] = "x", "y"
+    docs = [(k, " ".join(t)) for k, t in enumerate([two, swapped, one, long, item[:14]])]
+    got = leaked_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(item))], "item_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == [(2, 7), (3, 7)]
 
 
 def brute(docs, items):
