@@ -1,26 +1,28 @@
 """Mixing sources to target weights.
 
 A classifier trained on documents with a recorded source gives every document posteriors over the
-domains (the listed sources).  Nonnegative document rates are then fitted by distributed projected
-gradient steps on the least-squares distance between the expected token totals of the domains and
-their targets; a rate never exceeds the repeats its recorded source allows.  Rates become whole
-copies by a hash of the document's id, and the shares that come out are counted and reported.
+domains (the listed sources) by its text alone.  Nonnegative document rates are then fitted by
+distributed projected gradient steps: the squared distance of the expected token totals of the domains
+and of the totals of the recorded sources from their targets is made small under the bound that a rate
+never exceeds the repeats of its source, with as little change of the rates as that takes.  The steps
+are scaled by the curvature of the documents whose rates are not at a bound, so a few passes over the
+table of memberships are enough, and only the sum of the steps is kept.  The fit runs until its
+optimum; it raises an error if it does not get there.  Rates become whole copies by carrying the error
+in tokens from document to document.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from terralane.llm.leakage import words
 from terralane.session import cut
 
 #: Rank file of a public byte-level tokenizer; the executors read it at this path.
@@ -29,18 +31,19 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Labelled documents the classifier is trained on at most, chosen by a hash of their id.
 MAX_LABELLED = 20_000
-FEATURES = 8_192
-#: Chance that a recorded source is not the domain of a text, and words of text evidence that count.
-LABEL_ERROR, EVIDENCE_WORDS = 0.02, 20
-STEPS = 25
-#: Corrections of the sources' factors after the copies are whole.
-ROUNDS = 6
-#: Unbroken runs of characters are tokenized in pieces of this length.
-LONG_RUN, PIECE = 2_000, 100_000
+FEATURES = 16_384
+#: Tokens of text whose evidence counts in full; longer texts give the mean of their evidence so often.
+EVIDENCE_TOKENS = 12
+#: Weights of the squared distances of source totals and of domain totals, against the change of the rates.
+SOURCE_WEIGHT, DOMAIN_WEIGHT = 1e5, 1.0
+#: Steps after which a fit that has not converged is an error, and what counts as converged.
+STEPS, TOLERANCE = 80, 1e-7
+#: Documents among which the error of whole copies is carried.
+BUCKET = 20_000
 
 
 class TokenCounter:
-    """Tokens of texts by a rank file; runs without a blank longer than LONG_RUN count piece by piece."""
+    """Tokens of texts of any length by a rank file."""
 
     def __init__(self, path: str):
         import tiktoken
@@ -49,37 +52,15 @@ class TokenCounter:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def ids(self, text: str | None) -> list[int]:
+        return self.encoding.encode_ordinary(text) if text else []
+
     def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if len(text) > LONG_RUN and re.search(r"\S{%d}" % LONG_RUN, text):
-            text = re.sub(r"(\S{%d})" % LONG_RUN, r"\1\n", text)
-        if len(text) <= PIECE:
-            return len(self.encoding.encode_ordinary(text))
-        total, at = 0, 0
-        while at < len(text):
-            end = at + PIECE
-            while end < len(text) and not text[end].isspace():
-                end += 1
-            total += len(self.encoding.encode_ordinary(text[at:end]))
-            at = end
-        return total
-
-
-def _ids(text: str | None, memo: dict[str, int]) -> list[int]:
-    out = []
-    for w in words(text):
-        i = memo.get(w)
-        if i is None:
-            if len(memo) > 500_000:
-                memo.clear()
-            i = memo[w] = crc32(w.encode()) % FEATURES
-        out.append(i)
-    return out
-
-
-def train_domains(documents: DataFrame, sources: list[str], max_labelled: int = MAX_LABELLED) -> np.ndarray:
-    """Log word probabilities (FEATURES, domains) of a smoothed multinomial model.
+        return len(self.ids(text))
+
+
+def train_domains(documents: DataFrame, sources: list[str], tokenizer: str = TOKENIZER, max_labelled: int = MAX_LABELLED) -> np.ndarray:
+    """Log token probabilities (FEATURES, domains) of a smoothed multinomial model.
 
     Trained on at most ``max_labelled`` whole documents of the given sources; the counts are summed
     where the documents are, only the table of counts comes to the driver.
@@ -92,12 +73,12 @@ def train_domains(documents: DataFrame, sources: list[str], max_labelled: int =
     sample = labelled.select("doc_id", "source", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, memo = np.zeros((k, FEATURES), np.int64), {}
+        counter, total = TokenCounter(tokenizer), np.zeros((k, FEATURES), np.int64)
         for batch in batches:
             for source, text in zip(batch.column(1).to_pylist(), batch.column(2)):
-                ids = _ids(text.as_py(), memo)
+                ids = counter.ids(text.as_py())
                 if ids:
-                    total[number[source]] += np.bincount(ids, minlength=FEATURES)
+                    total[number[source]] += np.bincount(np.array(ids) % FEATURES, minlength=FEATURES)
         where = np.argwhere(total > 0)
         yield pa.RecordBatch.from_arrays([pa.array(where[:, 0].astype(np.int32)), pa.array(where[:, 1].astype(np.int32)), pa.array(total[where[:, 0], where[:, 1]])], names=["d", "f", "n"])
 
@@ -111,64 +92,135 @@ def train_domains(documents: DataFrame, sources: list[str], max_labelled: int =
 def memberships(documents: DataFrame, sources: list[str], model: np.ndarray, tokenizer: str = TOKENIZER) -> DataFrame:
     """``(doc_id, source, tokens, p)`` of the documents of the given sources; p are the domain posteriors.
 
-    The posterior joins the recorded source, which may be wrong with a small chance, and the text,
-    whose evidence counts like that of a limited number of words.  Texts are read as a whole.
+    The posteriors come from the text, which is read as a whole and tokenized once; the evidence of a
+    text counts like that of a limited number of tokens, since tokens of one text are not independent.
+    A text without tokens belongs to all domains alike.
     """
-    number = {s: i for i, s in enumerate(sources)}
     k = len(sources)
     shipped = documents.sparkSession.sparkContext.broadcast(model)
     chosen = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text")).filter(F.col("source").isin(sources))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter, memo, table = TokenCounter(tokenizer), {}, shipped.value
-        label = np.full((k, k), np.log(LABEL_ERROR / max(1, k - 1)))
-        np.fill_diagonal(label, np.log(1 - LABEL_ERROR))
+        counter, evidence = TokenCounter(tokenizer), shipped.value
         for batch in batches:
-            tokens, posts = [], []
-            for source, text in zip(batch.column(1).to_pylist(), batch.column(2)):
-                text = text.as_py()
-                tokens.append(counter.count(text))
-                ids = _ids(text, memo)
-                z = label[number[source]].copy()
+            tokens, z = np.zeros(len(batch), np.int64), np.zeros((len(batch), k))
+            for i, text in enumerate(batch.column(2)):
+                ids = counter.ids(text.as_py())
+                tokens[i] = len(ids)
                 if ids:
-                    z += np.bincount(ids, minlength=FEATURES) @ table / max(1.0, len(ids) / EVIDENCE_WORDS)
-                z = np.exp(z - z.max())
-                posts.append((z / z.sum()).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens, pa.int64()), pa.array(posts, pa.list_(pa.float64()))], names=["doc_id", "source", "tokens", "p"])
+                    z[i] = evidence[np.array(ids) % FEATURES].sum(0) * min(1.0, EVIDENCE_TOKENS / len(ids))
+            z = np.exp(z - z.max(1, keepdims=True)) if len(z) else z
+            p = z / z.sum(1, keepdims=True) if len(z) else z
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(batch) + 1, dtype=np.int32) * k), pa.array(p.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(tokens), lists], names=["doc_id", "source", "tokens", "p"])
 
     return chosen.mapInArrow(run, "doc_id long, source string, tokens long, p array<double>")
 
 
-def _rates(p: np.ndarray, cap: np.ndarray, history: list[np.ndarray]) -> np.ndarray:
-    """Rates after the gradient steps in ``history``; every rate starts at one copy."""
-    r = np.minimum(1.0, cap)
-    for step in history:
-        r = np.clip(r - p @ step, 0.0, cap)
-    return r
+class Fit:
+    """State of the fit: what every document's rate follows from, without a row per document.
 
+    A document is described by u, its recorded source (one of k) followed by its k posteriors; its rate is
+    the start of its source less u times the sum of all steps, projected onto 0 .. repeats.
+    """
 
-def _sums(members: DataFrame, sources: list[str], caps: dict[str, float], history: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Expected token totals of the domains at the present rates, and at one copy each."""
-    k = len(sources)
+    def __init__(self, sources: list[str], start: np.ndarray, caps: np.ndarray):
+        self.number = {s: i for i, s in enumerate(sources)}
+        self.start, self.caps = start, caps
+        self.steps = np.zeros(2 * len(sources))
+
+    def described(self, source: list[str], p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        s = np.array([self.number[x] for x in source], np.int64)
+        u = np.zeros((len(s), 2 * len(self.start)))
+        u[np.arange(len(s)), s] = 1.0
+        u[:, len(self.start) :] = p
+        return s, u
+
+    def rates(self, s: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rates, whether a rate is at no bound)."""
+        free = self.start[s] - u @ self.steps
+        return np.clip(free, 0.0, self.caps[s]), (free > 0) & (free < self.caps[s])
+
+
+def _totals(members: DataFrame, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """(totals, curvature): tokens of sources and domains at the present rates; sums of t u u' of documents at no bound."""
+    m = len(fit.steps)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, one = np.zeros(k), np.zeros(k)
+        total, curvature = np.zeros(m), np.zeros((m, m))
         for batch in batches:
-            p = np.array(batch.column(2).flatten()).reshape(-1, k)
-            cap = np.array([caps[s] for s in batch.column(0).to_pylist()])
+            p = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(-1, m // 2)
             t = batch.column(1).to_numpy(zero_copy_only=False).astype(float)
-            now += (t * _rates(p, cap, history)) @ p
-            one += t @ p
-        yield pa.RecordBatch.from_arrays([pa.array(range(k), pa.int32()), pa.array(now), pa.array(one)], names=["d", "now", "one"])
+            s, u = fit.described(batch.column(0).to_pylist(), p)
+            r, free = fit.rates(s, u)
+            total += (t * r) @ u
+            curvature += (u * (t * free)[:, None]).T @ u
+        values = np.concatenate([total, curvature.ravel()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], names=["n", "x"])
 
-    total = members.select("source", "tokens", "p").mapInArrow(add, "d int, now double, one double").groupBy("d").agg(F.sum("now"), F.sum("one")).collect()
-    now, one = np.zeros(k), np.zeros(k)
-    for d, a, b in total:
-        now[d], one[d] = a, b
-    return now, one
+    out = np.zeros(m + m * m)
+    for n, x in members.select("source", "tokens", "p").mapInArrow(add, "n int, x double").groupBy("n").agg(F.sum("x")).collect():
+        out[n] = x
+    return out[:m], out[m:].reshape(m, m)
 
 
-def mixed(documents: DataFrame, targets: DataFrame, total_tokens: float | None = None, tokenizer: str = TOKENIZER, steps: int = STEPS) -> tuple[DataFrame, DataFrame]:
+def fitted(members: DataFrame, sources: list[str], caps: np.ndarray, available: np.ndarray, offered: np.ndarray, goal: np.ndarray) -> tuple[Fit, np.ndarray]:
+    """(fit, expected totals of the domains) at the optimum.
+
+    ``available`` and ``offered`` are the tokens of the sources and the expected tokens of the domains
+    at one copy of every document, ``goal`` the wanted totals.
+    """
+    fit = Fit(sources, np.minimum(goal / np.maximum(available, 1.0), caps), caps)
+    k = len(sources)
+    weight = np.concatenate([SOURCE_WEIGHT / np.maximum(available, 1.0), DOMAIN_WEIGHT / np.maximum(offered, 1.0)])
+    wanted = np.concatenate([goal, goal])
+
+    def off(totals: np.ndarray) -> np.ndarray:
+        # at the optimum the sum of the steps is the gradient of the squared distances
+        return fit.steps - weight * (totals - wanted)
+
+    totals, curvature = _totals(members, fit)
+    miss = off(totals)
+    for _ in range(STEPS):
+        if np.abs(miss).max() <= TOLERANCE * max(1.0, np.abs(fit.steps).max()):
+            return fit, totals[k:]
+        step = np.linalg.solve(np.eye(2 * k) + weight[:, None] * curvature, miss)
+        before, size, length = fit.steps, np.abs(miss / weight).sum(), 1.0
+        while True:
+            fit.steps = before - length * step
+            totals, curvature = _totals(members, fit)
+            miss = off(totals)
+            if np.abs(miss / weight).sum() < size or length < 1e-3:
+                break
+            length /= 2
+    raise RuntimeError(f"the rates did not converge within {STEPS} steps")
+
+
+def whole_copies(rated: DataFrame, caps: dict[str, float], bucket: int = BUCKET) -> DataFrame:
+    """``(doc_id, source, tokens, rate, copies)``: rates made whole, so that the tokens of a source come out as fitted.
+
+    Documents of a source are spread over buckets by a hash; in a bucket, from long to short texts, every
+    document takes the whole number of copies next to its rate that leaves the smaller error in tokens,
+    and hands the error on.
+    """
+    sizes = rated.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / bucket).cast("int").alias("buckets"))
+    placed = rated.join(F.broadcast(sizes), "source").withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.col("buckets")))
+
+    def carry(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["tokens", "doc_id"], ascending=[False, True], kind="stable")
+        cap = int(caps[pdf["source"].iloc[0]])
+        copies, error = [], 0.0
+        for t, r in zip(pdf["tokens"].tolist(), pdf["rate"].tolist()):
+            low = min(int(r + 1e-9), cap)
+            more = low < cap and r - low > 1e-9 and abs(error + (r - low - 1) * t) < abs(error + (r - low) * t)
+            copies.append(low + more)
+            error += (r - copies[-1]) * t
+        return pdf.assign(copies=copies)[["doc_id", "source", "tokens", "rate", "copies"]]
+
+    return placed.groupBy("source", "bucket").applyInPandas(carry, "doc_id long, source string, tokens long, rate double, copies int")
+
+
+def mixed(documents: DataFrame, targets: DataFrame, total_tokens: float | None = None, tokenizer: str = TOKENIZER) -> tuple[DataFrame, DataFrame]:
     """(copies, report) of a mix in which the sources have their target shares.
 
     copies: ``(doc_id, source, tokens, rate, copies)`` of every document of a listed source.  report:
@@ -180,59 +232,33 @@ def mixed(documents: DataFrame, targets: DataFrame, total_tokens: float | None =
     """
     listed = [(r["source"], float(r["target_share"] or 0.0), int(r["max_repeats"] if r["max_repeats"] is not None else 1)) for r in targets.filter("source IS NOT NULL").dropDuplicates(["source"]).collect()]
     present = {r["source"] for r in documents.filter(F.col("source").isin([s for s, _, _ in listed]) & (F.length("text") > 0)).select("source").distinct().collect()}
-    sources = sorted(s for s, _, _ in listed if s in present)
+    sources = sorted(s for s, v, m in listed if s in present and v > 0 and m > 0)
     share, repeats = {s: v for s, v, _ in listed}, {s: float(max(0, m)) for s, _, m in listed}
     spark = documents.sparkSession
-    if not sources or sum(share[s] for s in sources) <= 0:
+    if not sources:
         copies = spark.createDataFrame([], "doc_id long, source string, tokens long, rate double, copies int")
         return copies, _report(copies, targets, {})
-    members = cut(memberships(documents, sources, train_domains(documents, sources), tokenizer))
-    available = {r["source"]: r["t"] for r in members.groupBy("source").agg(F.sum("tokens").alias("t")).collect()}
-    whole = sum(share[s] for s in sources)
-    wanted = np.array([share[s] / whole for s in sources])
+    members = cut(memberships(documents, sources, train_domains(documents, sources, tokenizer), tokenizer))
+    k = len(sources)
+    offers = members.groupBy("source").agg(F.sum("tokens").alias("t"), *[F.sum(F.col("tokens") * F.col("p")[i]).alias(f"p{i}") for i in range(k)]).collect()
+    tokens = {r["source"]: float(r["t"]) for r in offers}
+    available = np.array([tokens.get(s, 0.0) for s in sources])
+    offered = np.array([sum(r[f"p{i}"] for r in offers) for i in range(k)])
+    wanted = np.array([share[s] for s in sources]) / sum(share[s] for s in sources)
+    caps = np.array([repeats[s] for s in sources])
     if total_tokens is None:
-        total_tokens = min(repeats[s] * available.get(s, 0) / w for s, w in zip(sources, wanted) if w > 0)
-    goal = wanted * total_tokens
-
-    history: list[np.ndarray] = []
-    for _ in range(steps):
-        now, one = _sums(members, sources, repeats, history)
-        gap = now - goal
-        if np.abs(gap).max() <= 1e-6 * max(1.0, total_tokens):
-            break
-        # gradient of the squared distance, scaled by the tokens a domain offers
-        history.append(gap / np.maximum(one, 1.0))
-    expected = dict(zip(sources, (now / max(1e-9, now.sum())).tolist()))
+        total_tokens = float((caps * available / wanted).min())
+    fit, expected = fitted(members, sources, caps, available, offered, wanted * total_tokens)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            p = np.array(batch.column(3).flatten()).reshape(-1, len(sources))
-            cap = np.array([repeats[s] for s in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(_rates(p, cap, history))], names=["doc_id", "source", "tokens", "rate"])
-
-    rated = cut(members.mapInArrow(rate, "doc_id long, source string, tokens long, rate double"))
-
-    # Whole copies and soft domains leave the recorded sources a little off; a factor per source, the
-    # same for all its documents, closes the gap in a few counts over the table of rates.
-    factors = dict.fromkeys(sources, 1.0)
-    copies = _whole(rated, factors, repeats)
-    for _ in range(ROUNDS):
-        taken = {r["source"]: float(r["t"]) for r in copies.groupBy("source").agg(F.sum(F.col("copies") * F.col("tokens")).alias("t")).collect()}
-        off = {s: taken.get(s, 0.0) / g if g > 0 else 1.0 for s, g in zip(sources, goal)}
-        if all(abs(o - 1) < 5e-4 for o in off.values()):
-            break
-        factors = {s: f if off[s] <= 0 else min(1e6, f / off[s]) for s, f in factors.items()}
-        copies = _whole(rated, factors, repeats)
-    return copies, _report(copies, targets, expected)
-
-
-def _whole(rated: DataFrame, factors: dict[str, float], repeats: dict[str, float]) -> DataFrame:
-    """Rates times the source's factor, never beyond its repeats, and whole copies by a hash of the id."""
-    pick = {n: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])[F.col("source")] for n, d in (("factor", factors), ("cap", repeats))}
-    rate = F.least(F.col("rate") * pick["factor"], pick["cap"])
-    chance = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("mix")), F.lit(1_000_003)) / 1_000_003
-    out = rated.withColumn("rate", rate)
-    return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
+            p = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+            r, _ = fit.rates(*fit.described(batch.column(1).to_pylist(), p))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(r)], names=["doc_id", "source", "tokens", "rate"])
+
+    rated = members.mapInArrow(rate, "doc_id long, source string, tokens long, rate double")
+    copies = cut(whole_copies(rated, repeats))
+    return copies, _report(copies, targets, dict(zip(sources, (expected / max(1e-9, expected.sum())).tolist())))
 
 
 def _report(copies: DataFrame, targets: DataFrame, expected: dict[str, float]) -> DataFrame:
