@@ -1,13 +1,16 @@
 """Abusive, hateful or sexual content: a classifier chain over sentences.
 
 Texts are cut into sentences, disguises (look-alike letters, digits and signs for letters, letters
-set apart, stretched or starred words, slips) are undone, and every sentence becomes words, word
-pairs and lexicon marks.  Linear models for insult, threat, hatred of groups and sexual content are
-trained one after another, each with the probabilities of the earlier ones as features; for training
-these are out-of-fold predictions.  The last model of the chain is trained on the reviewers' votes
-and gives the score.  Votes stand on documents: sentences of documents voted clean are clean, and of
-a document voted abusive the sentences count that a first model picks.  A document's score is the
-score of its worst sentence.
+set apart, stretched or starred words, slips) are undone, and every sentence becomes words, runs of two
+and three words, and marks of disguised words.  The reviewers' votes are the only labels.  Votes stand
+on documents: sentences of documents voted clean are clean, and of a document voted abusive the
+sentences count that a first model picks.  The abusive sentences are then split into categories by
+out-of-fold predictions: every fold is assigned by a mixture that was fitted on the other folds, over
+several rounds; the word lists below only start it and give the categories their names, so a sentence
+without a listed word gets its category from the words it shares with others.  Linear models for insult,
+threat, hatred of groups and sexual content are trained one after another, each with the out-of-fold
+probabilities of the earlier ones as features, and the last model of the chain gives the score.  A
+document's score is the score of its worst sentence.
 """
 
 from __future__ import annotations
@@ -22,13 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled documents used for training at most; chosen by a hash of their id.
-MAX_LABELLED = 20_000
-#: Characters up to which a labelled text is used for training (scoring reads texts of any length).
-MAX_TRAINING_LENGTH = 20_000
-#: Letters beyond which a run without blanks is no word of any lexicon.
-LONGEST = 60
+#: Labelled documents used for training at most, and different sentences of them; both chosen by a hash.
+MAX_LABELLED, MAX_SENTENCES = 20_000, 300_000
 FOLDS, MIN_SENTENCES, WINDOW_WORDS = 3, 2, 28
+#: Rounds in which the categories of abusive sentences are predicted out of fold.
+ROUNDS = 6
 THRESHOLD = 0.5
 #: Penalty of the models that pick the abusive sentences of a document.
 STRICT = 6.0
@@ -109,8 +110,25 @@ def _swap(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i:] if n > m else a[i:] == b[i + 1 :]
 
 
+def _left_out(word: str) -> set[str]:
+    return {word} | {word[:i] + word[i + 1 :] for i in range(len(word))}
+
+
+#: Starred forms by length, and lexicon words by every reading that leaves a letter out.
+_SHAPES: dict[int, list[tuple[str, str]]] = {}
+for _w, _c in STARRED.items():
+    for _form in (_w, _w + "s"):
+        _SHAPES.setdefault(len(_form), []).append((_form, _c))
+_SLIPS: dict[str, list[str]] = {}
+for _w in LEXICON:
+    if len(_w) >= 5:
+        for _form in _left_out(_w):
+            _SLIPS.setdefault(_form, []).append(_w)
+_LONGEST_SLIP = max(map(len, LEXICON)) + 2
+
+
 class Reader:
-    """Turns sentences into features; ``known`` are ordinary words that are never taken for slips."""
+    """Turns sentences into words and marks; ``known`` are ordinary words that are never taken for slips."""
 
     def __init__(self, known: frozenset[str] = frozenset()):
         self.known = known
@@ -130,13 +148,11 @@ class Reader:
         bare = low.strip("!|+#")
         if not bare:
             return "", ""
-        if len(bare) > LONGEST:
-            return "<long>", ""
         if bare in LEXICON:
             return bare, LEXICON[bare]
-        if "*" in bare and sum(c.isalpha() for c in bare) >= 1 and len(bare) >= 4:
-            shape = re.compile("".join("." if c == "*" else re.escape(c) for c in bare.translate(SIGNS)))
-            hits = {c for w, c in STARRED.items() for form in (w, w + "s") if shape.fullmatch(form)}
+        if "*" in bare and len(bare) >= 4 and any(c.isalpha() for c in bare):
+            shape = bare.translate(SIGNS)
+            hits = {c for form, c in _SHAPES.get(len(shape), ()) if all(x in ("*", y) for x, y in zip(shape, form))}
             return "<starred>", (sorted(hits)[0] if hits else "other") + "*"
         plain = re.sub(r"[^a-z]", "", bare)
         if any(c in "0134578@$!|" for c in bare) and plain:
@@ -159,47 +175,141 @@ class Reader:
         for w in (form, form[:-1] if form.endswith("s") else form):
             if w in LEXICON:
                 return LEXICON[w]
-        if slips and len(form) >= 5:
-            for w, c in LEXICON.items():
-                if len(w) >= 5 and w[0] == form[0] and (_swap(form, w) or (form[-1] == "s" and len(form) > 5 and _swap(form[:-1], w))):
-                    return c
+        if slips and 5 <= len(form) <= _LONGEST_SLIP:
+            for word in (form, form[:-1]) if form[-1] == "s" and len(form) > 5 else (form,):
+                near = [w for key in _left_out(word) for w in _SLIPS.get(key, ()) if w[0] == form[0] and _swap(word, w)]
+                if near:
+                    return LEXICON[min(near)]
         return ""
 
     def read(self, sentence: str) -> tuple[list[str], Counter]:
-        """(features, lexicon marks) of a sentence."""
+        """(words, marks) of a sentence; a word of the lexicon stands as its class."""
         text = folded(sentence)
         if _APART.search(text):
             text = _APART.sub(_together, text)
-        if any(c.islower() for c in text):
+        if any(map(str.islower, text)):
             text = _NAME.sub(" Nn ", text)
         words, marks = [], Counter()
         for piece in _PIECE.findall(text):
             if piece == "Nn":
-                w, mark = "<name>", ""
-            else:
-                w, mark = self.word(piece)
+                words.append("<name>")
+                continue
+            w, mark = self.word(piece)
             if not w:
                 continue
             if mark:
+                kind = mark.rstrip("*@~?")
                 marks[mark] += 1
-                marks[mark.rstrip("*@~?")] += 0 if mark[-1].isalpha() else 1
-            words.append("<" + mark.rstrip("*@~?") + ">" if mark else w)
-        feats = [f"w:{w}" for w in dict.fromkeys(words)]
-        padded = ["<s>", *words, "</s>"]
-        feats += dict.fromkeys(f"b:{a} {b}" for a, b in zip(padded, padded[1:]))
-        feats += dict.fromkeys(f"t:{a} {b} {c}" for a, b, c in zip(padded, padded[1:], padded[2:]))
-        feats += [f"m:{m}" for m in marks] + (["m:threat"] if any(w in _THREATS for w in words) else []) + (["m:group"] if any(w in _GROUPS for w in words) else [])
-        feats.append(f"n:{min(len(words), 12)}" if len(words) < 4 else "n:+")
-        return feats, marks
+                marks[kind] += kind != mark
+                words.append(f"<{kind}>")
+            else:
+                words.append(w)
+                if w in _THREATS:
+                    marks["threat"] += 1
+                if w in _GROUPS:
+                    marks["group"] += 1
+        return words, marks
 
 
 _THREATS, _GROUPS = frozenset(THREATS), frozenset(GROUPS)
+#: Marks from which a category is started.
+STARTS = {"insult": ("insult", "other*"), "threat": ("threat",), "hatred": ("group",), "sexual": ("sexual",)}
+
 
+class Features:
+    """Numbers of words, pairs and triples of neighbours, marks and lengths that occur often enough.
 
-def seeds(feats: tuple[str, ...]) -> dict[str, bool]:
-    """Categories that the lexicon marks of an abusive sentence stand for."""
-    have = set(feats)
-    return {"insult": "m:insult" in have or "m:other*" in have, "threat": "m:threat" in have, "hatred": "m:group" in have, "sexual": "m:sexual" in have}
+    A triple is only as frequent as its pairs, so it is looked up behind the number of its first pair.
+    """
+
+    def __init__(self, examples: list[tuple[tuple[str, ...], tuple[str, ...]]]):
+        single, marks, pairs, triples = Counter(), Counter(), Counter(), Counter()
+        for words, said in examples:
+            padded = ("<s>", *words, "</s>")
+            single.update(set(words))
+            marks.update(set(said) | {self.length(words)})
+            pairs.update(set(zip(padded, padded[1:])))
+            triples.update(set(zip(padded, padded[1:], padded[2:])))
+        often = lambda counts: sorted(x for x, n in counts.items() if n >= MIN_SENTENCES)
+        self.words = {w: i for i, w in enumerate(often(single))}
+        at = len(self.words)
+        self.word_count = at
+        self.places = self.words | {"<s>": at, "</s>": at + 1}
+        self.step = at + 2
+        self.marks = {m: self.step + i for i, m in enumerate(often(marks))}
+        at = self.step + len(self.marks)
+        some = [p for p in often(pairs) if p[0] in self.places and p[1] in self.places]
+        self.pairs = {self.places[a] * self.step + self.places[b]: at + i for i, (a, b) in enumerate(some)}
+        at += len(some)
+        self.triples: dict[int, int] = {}
+        for a, b, c in often(triples):
+            first = self.pairs.get(self.places.get(a, -1) * self.step + self.places.get(b, -1)) if a in self.places and b in self.places else None
+            if first is not None and c in self.places:
+                self.triples[first * self.step + self.places[c]] = at
+                at += 1
+        self.size = at
+
+    @staticmethod
+    def length(words) -> str:
+        return f"n:{len(words)}" if len(words) < 4 else "n:+"
+
+    def numbers(self, words, marks) -> list[int]:
+        """The distinct feature numbers of a sentence."""
+        out: set[int] = set()
+        places, pairs, triples, step = self.places, self.pairs, self.triples, self.step
+        before, pair = places["<s>"], None
+        for w in words:
+            here = places.get(w)
+            if here is None:
+                before = pair = None
+                continue
+            out.add(here)
+            now = None
+            if before is not None and (now := pairs.get(before * step + here)) is not None:
+                out.add(now)
+            if pair is not None and (three := triples.get(pair * step + here)) is not None:
+                out.add(three)
+            before, pair = here, now
+        end = places["</s>"]
+        if before is not None and (now := pairs.get(before * step + end)) is not None:
+            out.add(now)
+        if pair is not None and (three := triples.get(pair * step + end)) is not None:
+            out.add(three)
+        for m in marks:
+            if (n := self.marks.get(m)) is not None:
+                out.add(n)
+        if (n := self.marks.get(self.length(words))) is not None:
+            out.add(n)
+        return sorted(out)
+
+
+def categories(rows: list[np.ndarray], width: int, starts: np.ndarray, weight: np.ndarray, folds: np.ndarray) -> np.ndarray:
+    """Category of every abusive sentence (its number, -1 for none), by predictions of a mixture fitted on the other folds.
+
+    ``starts`` (sentences, categories) tells which categories the lists point at; it only sets the first
+    memberships, sentences without a listed word start in a component of their own.  In every round the
+    word counts of the components are summed over the other folds by the present memberships, and the
+    fold's sentences are assigned anew.
+    """
+    starts = np.column_stack([starts, ~starts.any(1)]) + 0.05
+    k = starts.shape[1]
+    belongs = starts / starts.sum(1, keepdims=True)
+    sizes = np.array([len(r) for r in rows], int)
+    at = np.repeat(np.arange(len(rows)), sizes)
+    columns = np.concatenate(rows) if len(rows) else np.zeros(0, np.int64)
+    for _ in range(ROUNDS):
+        new = belongs.copy()
+        for f in np.unique(folds):
+            inside = folds != f if (folds != f).any() else folds == f
+            share = belongs * (weight * inside)[:, None]
+            counts = np.stack([np.bincount(columns, share[at, j], width) for j in range(k)])
+            logs = np.log((counts + 0.1) / (counts + 0.1).sum(1, keepdims=True))
+            z = np.stack([np.bincount(at, logs[j][columns], len(rows)) for j in range(k)], axis=1) + np.log(share.sum(0) + 1)
+            z = np.exp(z - z.max(1, keepdims=True))
+            new[folds == f] = (z / z.sum(1, keepdims=True))[folds == f]
+        belongs = new
+    best = belongs.argmax(1)
+    return np.where((best < k - 1) & (belongs.max(1) >= 0.5), best, -1)
 
 
 def fit(rows: list[np.ndarray], width: int, y: np.ndarray, weight: np.ndarray, l2: float = 1.0, rounds: int = 120) -> np.ndarray:
@@ -238,49 +348,36 @@ def _step(p: float) -> int:
     return min(STEPS - 1, int(p * STEPS))
 
 
+Example = tuple[tuple[str, ...], tuple[str, ...], int, int, int]
+
+
 class Chain:
-    """The trained chain: vocabulary, weights per category and of the last model."""
-
-    def __init__(self, documents: list[tuple[str, float]]):
-        """``documents``: (text, share of votes for abusive)."""
-        clean = Counter()
-        for text, share in documents:
-            if share < 0.5:
-                clean.update({re.sub(r"[^a-z]", "", p.lower()) for p in _PIECE.findall(folded(text))})
-        self.known = frozenset(w for w, n in clean.items() if n >= 2 and w not in LEXICON)
-        reader = Reader(self.known)
-        # equal sentences of equal verdict are one weighted example
-        owner: dict[tuple[tuple[str, ...], int], list[int]] = {}
-        for d, (text, share) in enumerate(documents):
-            for s in dict.fromkeys(sentences(text)):
-                owner.setdefault((tuple(reader.read(s)[0]), int(share >= 0.5)), []).append(d)
-        spread = Counter()
-        for feats, _ in owner:
-            spread.update(feats)
-        self.vocabulary = {f: i for i, f in enumerate(sorted(f for f, n in spread.items() if n >= MIN_SENTENCES))}
-        base = len(self.vocabulary)
+    """The trained chain: features, weights per category and of the last model."""
+
+    def __init__(self, examples: list[Example], known: frozenset[str] = frozenset()):
+        """``examples``: (words, marks, whether voted abusive, documents, number of a document), each sentence and verdict once."""
+        self.known = known
+        self.features = Features([(words, marks) for words, marks, *_ in examples])
+        base = self.features.size
         self.width = base + STEPS * len(CATEGORIES)
-        examples = list(owner)
-        self.weights: list[np.ndarray] = []
         if not examples:
             self.weights = [np.zeros(self.width + 1) for _ in range(len(CATEGORIES) + 1)]
             return
-        rows = [np.array([self.vocabulary[f] for f in feats if f in self.vocabulary], np.int64) for feats, _ in examples]
-        voted = np.array([v for _, v in examples])
+        rows = [np.array(self.features.numbers(words, marks), np.int64) for words, marks, *_ in examples]
+        voted = np.array([e[2] for e in examples])
         # frequent sentences count less, in the same measure under either verdict
         total = Counter()
-        for (feats, _), o in owner.items():
-            total[feats] += len(o)
-        copies = np.array([len(o) * min(1.0, 20 / total[feats]) for (feats, _), o in owner.items()])
-        guess = [seeds(feats) for feats, _ in examples]
-        folds = np.array([o[0] % FOLDS for o in owner.values()])
+        for words, marks, _, n, _ in examples:
+            total[words, marks] += n
+        copies = np.array([n * min(1.0, 20 / total[words, marks]) for words, marks, _, n, _ in examples])
+        folds = np.array([e[4] % FOLDS for e in examples])
 
         # Votes stand on documents.  A first model takes every sentence of a document for what the
         # document was voted; sentences whose words stand mainly in abusive documents come out high,
         # ordinary ones near the share of abusive documents.  The high ones are the abusive sentences;
         # a second model, trained on them, looks once more.
         # Both are held back strongly, so that only words seen in several documents count.
-        lexical = np.array([any(g[c] for c in ("insult", "sexual")) for g in guess])
+        lexical = np.array([any(m in ("insult", "sexual", "other*") for m in marks) for _, marks, *_ in examples])
         bar = np.where(lexical, 0.55, 0.7)
         p = probabilities(rows, fit(rows, self.width, voted.astype(float), copies, l2=STRICT))
         target = (voted == 1) & (p >= bar)
@@ -289,9 +386,13 @@ class Chain:
         target = (voted == 1) & (p >= bar)
         weight = np.where((voted == 1) & ~target, np.where(p > 0.2, 0.05, 0.3), 1.0) * copies
 
+        chosen = np.flatnonzero(target)
+        starts = np.array([[any(m in examples[i][1] for m in STARTS[c]) for c in CATEGORIES] for i in chosen], float).reshape(len(chosen), len(CATEGORIES))
+        category = np.full(len(rows), -1)
+        category[chosen] = categories([rows[i] for i in chosen], base, starts, copies[chosen], folds[chosen])
+        self.weights = []
         for j, name in enumerate((*CATEGORIES, "abusive")):
-            y = target & np.array([g[name] for g in guess]) if name in CATEGORIES else target
-            y = y.astype(float)
+            y = (category == j if name in CATEGORIES else target).astype(float)
             w = fit(rows, self.width, y, weight)
             self.weights.append(w)
             if name in CATEGORIES:
@@ -302,47 +403,99 @@ class Chain:
                     held[outside] = probabilities([rows[i] for i in outside], part)
                 rows = [np.append(r, base + j * STEPS + _step(q)) for r, q in zip(rows, held)]
 
+    def probabilities(self, rows: list[list[int]]) -> np.ndarray:
+        """(sentences, categories and score): the models of the chain one after another over all sentences at once."""
+        sizes = np.array([len(r) for r in rows], int)
+        at = np.repeat(np.arange(len(rows)), sizes)
+        columns = np.fromiter((n for r in rows for n in r), np.int64, int(sizes.sum()))
+        out = np.zeros((len(rows), len(self.weights)))
+        steps: list[np.ndarray] = []
+        for j, w in enumerate(self.weights):
+            z = np.bincount(at, w[columns], len(rows)) + w[-1]
+            for i, step in enumerate(steps):
+                z += w[self.features.size + i * STEPS + step]
+            out[:, j] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            steps.append(np.minimum(STEPS - 1, (out[:, j] * STEPS).astype(np.int64)))
+        return out
+
     def scorer(self):
-        """A function text -> (score, category probabilities of the worst sentence)."""
+        """A function texts -> (texts, categories and score): those of the worst sentence of every text."""
         reader = Reader(self.known)
-        memo: dict[str, tuple[float, ...]] = {}
-        base, vocabulary = len(self.vocabulary), self.vocabulary
-
-        def sentence_scores(s: str) -> tuple[float, ...]:
-            got = memo.get(s)
-            if got is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                row = [vocabulary[f] for f in reader.read(s)[0] if f in vocabulary]
-                out = []
-                for j, w in enumerate(self.weights):
-                    z = float(w[row].sum() + w[-1]) if row else float(w[-1])
-                    p = 1 / (1 + np.exp(-min(30.0, max(-30.0, z))))
-                    out.append(p)
-                    row.append(base + j * STEPS + _step(p))
-                got = memo[s] = tuple(out)
-            return got
-
-        def score(text: str | None) -> tuple[float, ...]:
-            best = (0.0,) * (len(CATEGORIES) + 1)
-            for s in sentences(text):
-                got = sentence_scores(s)
-                if got[-1] > best[-1]:
-                    best = got
-            return best
+        memo: dict[str, int] = {}
+        kept = np.zeros((0, len(self.weights)))
+
+        def score(texts: list[str | None]) -> np.ndarray:
+            nonlocal kept
+            if len(memo) >= MEMO:
+                memo.clear()
+                kept = kept[:0]
+            rows: list[list[int]] = []
+            numbers: list[int] = []
+            ends = [0]
+            for text in texts:
+                for s in sentences(text):
+                    n = memo.get(s)
+                    if n is None:
+                        n = memo[s] = len(kept) + len(rows)
+                        rows.append(self.features.numbers(*reader.read(s)))
+                    numbers.append(n)
+                ends.append(len(numbers))
+            if rows:
+                kept = np.concatenate([kept, self.probabilities(rows)])
+            out = np.zeros((len(texts), len(self.weights)))
+            found = kept[numbers] if numbers else kept[:0]
+            for i, (a, b) in enumerate(zip(ends, ends[1:])):
+                if b > a:
+                    out[i] = found[a + int(found[a:b, -1].argmax())]
+            return out
 
         return score
 
 
-def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> Chain:
-    """The chain trained on at most ``max_labelled`` documents that have votes (null votes do not count)
-    and a text of at most ``MAX_TRAINING_LENGTH`` characters."""
+def _clean_words(sample: DataFrame) -> frozenset[str]:
+    """Words that stand in at least two documents voted clean, other than words of the lexicon."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = Counter()
+            for text in batch.column(0):
+                words.update({re.sub(r"[^a-z]", "", p.lower()) for p in _PIECE.findall(folded(text.as_py() or ""))})
+            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())], names=["w", "n"])
+
+    counted = sample.filter("share < 0.5").select("text").mapInArrow(count, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).filter("n >= 2")
+    return frozenset(r["w"] for r in counted.collect() if r["w"] not in LEXICON)
+
+
+def train(documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_sentences: int = MAX_SENTENCES) -> Chain:
+    """The chain trained on at most ``max_labelled`` documents that have votes (null votes do not count).
+
+    Their texts are read as a whole where they are; equal sentences of equal verdict are one weighted
+    example, and at most ``max_sentences`` of these, chosen by a hash, come to the driver.
+    """
     votes = labels.filter("abusive IS NOT NULL").groupBy("doc_id").agg(F.avg("abusive").alias("share"))
     chosen = votes.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     # at most max_labelled rows of two numbers: small enough for every task, so that no text is shuffled
-    sample = documents.select("doc_id", "text").filter(F.length("text") <= MAX_TRAINING_LENGTH).join(F.broadcast(chosen), "doc_id")
-    rows = sorted(((r["doc_id"], r["text"], r["share"]) for r in sample.collect()), key=lambda r: (r[0] * 0x9E3779B97F4A7C15 % (1 << 64), r[0]))
-    return Chain([(text, share) for _, text, share in rows])
+    sample = documents.select("doc_id", F.col("text").cast("string").alias("text")).filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    known = _clean_words(sample)
+    shipped = documents.sparkSession.sparkContext.broadcast(known)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(shipped.value)
+        for batch in batches:
+            columns: tuple[list, ...] = ([], [], [], [])
+            for doc, text, share in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                for s in dict.fromkeys(sentences(text.as_py())):
+                    words, marks = reader.read(s)
+                    for column, v in zip(columns, (doc, int(share >= 0.5), words, sorted(m for m, n in marks.items() if n))):
+                        column.append(v)
+            kinds = (pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["d", "v", "words", "marks"])
+
+    rows = sample.select(F.col("doc_id").cast("long"), "text", "share").mapInArrow(read, "d long, v int, words array<string>, marks array<string>")
+    equal = rows.groupBy("words", "marks", "v").agg(F.countDistinct("d").alias("n"), F.min("d").alias("d"))
+    few = equal.orderBy(F.xxhash64("words", "marks", "v"), "words", "v").limit(max_sentences)
+    examples = [(tuple(r["words"]), tuple(r["marks"]), r["v"], r["n"], r["d"] * 0x9E3779B97F4A7C15 % (1 << 64) >> 7) for r in few.collect()]
+    return Chain(examples, known)
 
 
 def scored(documents: DataFrame, chain: Chain, key: str = "doc_id", text: str = "text", extra: list[str] | None = None) -> DataFrame:
@@ -360,9 +513,12 @@ def scored(documents: DataFrame, chain: Chain, key: str = "doc_id", text: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shipped.value.scorer()
         for batch in batches:
-            values = [score(t.as_py()) for t in batch.column(len(kept))]
-            columns = [pa.array([v[-1] for v in values], pa.float64())] + [pa.array([v[j] for v in values], pa.float64()) for j in range(len(CATEGORIES))]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(kept))] + columns, names=[f.name for f in kept] + names)
+            texts = batch.column(len(kept))
+            for first in range(0, len(batch), 1000):
+                part = batch.slice(first, 1000)
+                values = score([t.as_py() for t in texts.slice(first, 1000)])
+                columns = [pa.array(values[:, -1])] + [pa.array(values[:, j]) for j in range(len(CATEGORIES))]
+                yield pa.RecordBatch.from_arrays([part.column(i) for i in range(len(kept))] + columns, names=[f.name for f in kept] + names)
 
     return source.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"{n} double" for n in names]))
 
