@@ -257,7 +257,7 @@ def named_rows(rows: DataFrame, key: str, name: str, aliases: str | None) -> Dat
 #: Letters of a word's end that two words of one block share.
 SUFFIX = 3
 #: Pairs of readings whose letters are counted at once, and rows a task compares at once.
-PAIRS, CHUNK = 200_000, 50_000
+PAIRS, CHUNK = 200_000, 100_000
 
 
 def end_keys(word: str) -> set[str]:
@@ -290,7 +290,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def links(table: pa.Table) -> pa.RecordBatch:
         g, reading, own, diagonal = (table.column(n).to_numpy() for n in ("g", "reading", "own", "diagonal"))
-        given, proper = table.column("given").to_pylist(), [tuple(x) for x in table.column("proper").to_pylist()]
+        # every reading is looked at once, however many blocks it stands in
+        _, first_at, row = np.unique(reading, return_index=True, return_inverse=True)
+        some = table.select(["given", "proper"]).take(pa.array(first_at))
+        given, proper = some.column("given").to_pylist(), [tuple(x) for x in some.column("proper").to_pylist()]
         whole = ["".join(x) for x in proper]
         letters, size = _letters(whole), np.array([len(x) for x in whole], np.int64)
         ends = np.searchsorted(g, g, "right")
@@ -305,15 +308,16 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             j = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + i + 1
             near = (reading[i] != reading[j]) & (diagonal[i] | (own[i] != own[j]))
             i, j = i[near], j[near]
+            i, j = row[i], row[j]
             apart = np.abs(letters[i] - letters[j]).sum(1)
             near = apart <= (1 - WHOLE_RATIO) * (size[i] + size[j]) + 1e-6
-            for a, b in zip(i[near].tolist(), j[near].tolist()):
-                pair = (min(reading[a], reading[b]), max(reading[a], reading[b]))
-                if pair not in known:
-                    known[pair] = same_given(given[a], given[b]) and same_proper(proper[a], proper[b])
+            for a, b in zip(np.minimum(i, j)[near].tolist(), np.maximum(i, j)[near].tolist()):
+                if (a, b) not in known:
+                    known[a, b] = same_given(given[a], given[b]) and same_proper(proper[a], proper[b])
             first = last
-        found = [pair for pair, same in known.items() if same]
-        return pa.RecordBatch.from_arrays([pa.array([int(x) for x, _ in found], pa.int64()), pa.array([int(y) for _, y in found], pa.int64())], names=["a", "b"])
+        found = np.array([pair for pair, same in known.items() if same], np.int64).reshape(-1, 2)
+        # in the order of readings, so the smaller stands first
+        return pa.RecordBatch.from_arrays([pa.array(reading[first_at[found[:, 0]]]), pa.array(reading[first_at[found[:, 1]]])], names=["a", "b"])
 
     held: pa.Table | None = None
     for batch in batches:
