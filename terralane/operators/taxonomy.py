@@ -57,21 +57,144 @@ def descendants(codes: DataFrame, paths: DataFrame, leaves_only: bool = False) -
     return down.select("code", "descendant")
 
 
-def fuse(evidence: DataFrame, paths: DataFrame) -> DataFrame:
-    """(id, code, relation) of evidence (id, source, code): what the sources agree on.
-
-    Within a source the codes unite to their subtrees; across sources the subtrees intersect.  A code is
-    kept if every source has it or an ancestor of it; the result is the common ancestor of the kept
-    codes.  SINGLE for one source, INTERSECT for several, CONFLICT without a common code.
+#: Codes of a tree that are sent to every task at most.
+MAX_TREE = 200_000
+#: Kinds of evidence that name no activity.
+NO_ACTIVITY = ("NOT_ACTIVITY", "UNCODEABLE")
+
+
+class CodeTree:
+    """A code tree in memory, with subtrees as sets of codes."""
+
+    def __init__(self, rows: list[tuple[str, str | None]]):
+        self.parent = {c: p or None for c, p in rows}
+        self.below: dict[str, set[str]] = {c: {c} for c in self.parent}
+        self.line: dict[str, tuple[str, ...]] = {}
+        for c in self.parent:
+            line, at = [], c
+            while at in self.parent and at not in line:
+                line.append(at)
+                self.below[at].add(c)
+                at = self.parent[at]
+            self.line[c] = tuple(reversed(line))
+
+    def depth(self, code: str) -> int:
+        return len(self.line[code])
+
+    def ordered(self, codes) -> list[str]:
+        return sorted(codes, key=lambda c: (len(self.line.get(c, ())), c))
+
+    def subtree(self, codes) -> set[str]:
+        """All codes at or below the given ones; unknown codes cover nothing."""
+        return set().union(*(self.below[c] for c in codes if c in self.below))
+
+    def roots(self, codes: set[str]) -> list[str]:
+        """The codes of a set that have no code of the set above them."""
+        return self.ordered(c for c in codes if c in self.line and not any(x in codes for x in self.line[c][:-1]))
+
+    def common(self, codes) -> str | None:
+        """The deepest code at or above all the given ones."""
+        level = [same for same in zip(*(self.line[c] for c in codes)) if len(set(same)) == 1]
+        return level[-1][0] if level else None
+
+
+def _one_step_up(tree: CodeTree, groups: list[list[str]]) -> str | None:
+    """The parent at which independent groups meet: every group names one code, the deepest codes are
+    several children of one parent of depth two or more, and all other codes lie on the way to it."""
+    if len(groups) < 2 or any(len(roots) != 1 for roots in groups):
+        return None
+    codes = {roots[0] for roots in groups}
+    deepest = {c for c in codes if tree.depth(c) == max(map(tree.depth, codes))}
+    parents = {tree.parent[c] for c in deepest}
+    if len(deepest) < 2 or len(parents) != 1:
+        return None
+    parent = parents.pop()
+    on_the_way = parent in tree.line and tree.depth(parent) >= 2 and codes - deepest <= set(tree.line[parent])
+    return parent if on_the_way else None
+
+
+def fused(tree: CodeTree, evidence: list[tuple[str, str, str, list[str]]]) -> dict:
+    """Decision over the evidence (source, group, kind, codes) of one record, in the order of the evidence."""
+    stated = [e for e in evidence if e[2] is not None and e[2] not in NO_ACTIVITY]
+    idle = {e[1] for e in evidence if e[2] == "NOT_ACTIVITY"}
+    out = {
+        "code": None, "relation": "EMPTY", "flags": [], "candidates": [], "sources": list(dict.fromkeys(e[0] for e in stated)),
+        "groups": len({e[1] for e in stated}), "activity_conflict": any(e[1] != g for e in stated for g in idle),
+    }
+    by_group: dict[str, list[list[str]]] = {}
+    for _, group, _, codes in stated:
+        by_group.setdefault(group, []).append(codes)
+    agreed: list[list[str]] = []
+    for group, lists in by_group.items():
+        now: set[str] | None = None
+        for codes in lists:
+            covered = tree.subtree(codes)
+            if not covered:
+                continue
+            if now is None:
+                now = covered
+            elif now & covered:
+                now = now & covered
+            else:
+                # dependent sources that disagree leave both possible
+                now = now | covered
+                out["flags"].append(f"DEPENDENT_CONFLICT:{group}")
+        if now is not None:
+            agreed.append(tree.roots(now))
+            out["candidates"] += [c for codes in lists for c in codes]
+    out["candidates"] = tree.ordered(set(out["candidates"]))
+    if not agreed:
+        return out
+    if (parent := _one_step_up(tree, agreed)) is not None:
+        return out | {"code": parent, "relation": "INTERSECT", "flags": out["flags"] + ["INDEPENDENT_SIBLING_BACKOFF"]}
+    meet = set.intersection(*(tree.subtree(roots) for roots in agreed))
+    if not meet:
+        return out | {"relation": "CONFLICT"}
+    if (code := tree.common(tree.roots(meet))) is None:
+        return out | {"relation": "UNION", "flags": out["flags"] + ["NO_COMMON_ANCESTOR"]}
+    if len(stated) == 1:
+        return out | {"code": code, "relation": "UNION" if stated[0][2] == "UNION" else "SINGLE"}
+    shown = [c for e in stated if (r := tree.roots(set(e[3]))) and (c := tree.common(r)) is not None]
+    shown.sort(key=tree.depth)
+    chain = all(a in tree.line[b] for a, b in zip(shown, shown[1:]))
+    varied = len({tree.depth(c) for c in shown}) > 1
+    return out | {"code": code, "relation": "NESTED" if chain and varied else "INTERSECT"}
+
+
+_FUSED = "code string, relation string, flags array<string>, candidates array<string>, sources array<string>, groups int, activity_conflict boolean"
+
+
+def fuse(evidence: DataFrame, tree: DataFrame) -> DataFrame:
+    """(id, code, relation, flags, candidates, sources, groups, activity_conflict) of evidence (id, source, grp, kind, codes).
+
+    Codes stand for their subtrees.  Within a dependency group the subtrees of the sources intersect, or
+    unite with a flag where they do not; across groups they intersect.  Independent groups that name
+    children of one parent step back to it.  SINGLE and UNION for one statement, NESTED where the
+    statements lie on one line at several depths, INTERSECT otherwise, CONFLICT without common code,
+    EMPTY without a known code.  Statements of kind NOT_ACTIVITY and UNCODEABLE give no codes; a group
+    that says not-activity against another that names a code is an activity conflict.  Evidence counts
+    in the order of its sources; repeated rows count once.  The tree (code, parent) is sent to the tasks
+    and may have ``MAX_TREE`` codes.
     """
-    rows = evidence.select("id", "source", "code").distinct()
-    need = rows.groupBy("id").agg(F.countDistinct("source").alias("sources"))
-    # a candidate is any stated code; a source supports it if it states it or one of its ancestors
-    candidates = rows.select("id", "code").distinct().join(paths, "code").select("id", "code", F.col("ancestor"))
-    support = candidates.join(rows.select("id", "source", F.col("code").alias("ancestor")), ["id", "ancestor"]).groupBy("id", "code").agg(F.countDistinct("source").alias("have"))
-    kept = support.join(need, "id").filter("have = sources").select("id", "code")
-    found = common_ancestor(kept, paths)
-    return need.join(found, "id", "left").select("id", F.col("lca").alias("code"), F.when(F.col("sources") == 1, "SINGLE").when(F.col("lca").isNull(), "CONFLICT").otherwise("INTERSECT").alias("relation"))
+    rows = tree.select("code", "parent").filter("code IS NOT NULL").distinct().limit(MAX_TREE + 1).collect()
+    if len(rows) > MAX_TREE:
+        raise ValueError(f"a tree of more than {MAX_TREE} codes")
+    shipped = evidence.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
+    kind_of_id = dict(evidence.dtypes)["id"]
+    item = F.struct("source", "grp", "kind", F.array_sort(F.array_distinct(F.coalesce("codes", F.array().cast("array<string>")))).alias("codes"))
+    grouped = evidence.select("id", item.alias("e")).distinct().groupBy("id").agg(F.sort_array(F.collect_list("e")).alias("e"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        known = CodeTree(shipped.value)
+        for batch in batches:
+            found = [fused(known, [(e["source"], e["grp"], e["kind"], [c for c in e["codes"] if c is not None]) for e in items]) for items in batch.column(1).to_pylist()]
+            texts = pa.list_(pa.string())
+            kinds = {"code": pa.string(), "relation": pa.string(), "flags": texts, "candidates": texts, "sources": texts, "groups": pa.int32(), "activity_conflict": pa.bool_()}
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([f[n] for f in found], k) for n, k in kinds.items()]], names=["id", *kinds])
+
+    return grouped.mapInArrow(run, f"id {kind_of_id}, {_FUSED}")
 
 
 def crosswalk(texts: DataFrame, rules: DataFrame) -> DataFrame:

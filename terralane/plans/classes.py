@@ -18,15 +18,22 @@ def tree(s, d):
     return a.unionByName(b).unionByName(c).distinct()
 
 
-def baskets(s, d, rows="l_orderkey % 10 = 0 AND l_linenumber <= 2"):
-    """Codes of the lines of an order; ``rows`` picks the lines that the SQL of the query reads."""
+def baskets(s, d):
+    """Codes of the lines of every order."""
     p = t(s, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.concat_ws("/", "p_type", "p_brand", (F.col("p_size") % 5).cast("string")).alias("code"))
-    return t(s, d, "lineitem").filter(rows).join(p, "l_partkey").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("string").alias("source"), "code")
+    return t(s, d, "lineitem").join(p, "l_partkey").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("line"), "code")
 
 
-def mixed_evidence(s, d, **rows):
-    e = baskets(s, d, **rows).groupBy("id", "source").agg(F.min("code").alias("code"))
-    return e.withColumn("code", F.when(F.col("source") == "2", F.substring_index("code", "/", 1)).otherwise(F.col("code")))
+def evidence(s, d):
+    """Two independent sources per order: the codes of its odd lines, and the top codes of its even lines."""
+    odd = F.col("line") % 2 == 1
+    rows = baskets(s, d).select("id", F.when(odd, "odd").otherwise("even").alias("source"), F.when(odd, F.col("code")).otherwise(F.substring_index("code", "/", 1)).alias("code"))
+    codes = F.array_sort(F.collect_set("code"))
+    return rows.groupBy("id", "source").agg(codes.alias("codes")).select("id", "source", F.col("source").alias("grp"), F.when(F.size("codes") > 1, "UNION").otherwise("SUBTREE").alias("kind"), "codes")
+
+
+def t13(s, d):
+    return tx.fuse(evidence(s, d), tree(s, d)).select("id", "code", "relation", F.array_join("flags", "|").alias("flags"))
 
 
 def t06(s, d):
@@ -73,12 +80,10 @@ QUERIES = {
     "t01_closure": lambda s, d: tx.closure(tree(s, d)),
     "t01_tree_problems": lambda s, d: tx.tree_problems(tree(s, d)),
     "t02_common_ancestor": lambda s, d: tx.common_ancestor(baskets(s, d), tx.closure(tree(s, d))),
-    "t02_common_ancestor_all": lambda s, d: tx.common_ancestor(baskets(s, d, rows="true"), tx.closure(tree(s, d))),
     "t02_descendants": lambda s, d: tx.descendants(s.createDataFrame([("PROMO",)], "code string"), tx.closure(tree(s, d)), leaves_only=True),
     "t04_retrieval": t04,
     "t06_crosswalk": t06,
-    "t13_fusion": lambda s, d: tx.fuse(mixed_evidence(s, d), tx.closure(tree(s, d))),
-    "t13_fusion_all": lambda s, d: tx.fuse(mixed_evidence(s, d, rows="true"), tx.closure(tree(s, d))),
+    "t13_fusion": t13,
     "t16_majority": lambda s, d: tx.majority(t(s, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_returnflag").alias("code"))),
     "t21_resolve_by_name": t21,
     "c08_cluster_by_type": c08,
@@ -92,7 +97,8 @@ QUERIES = {
 _TREE = """leaf AS (SELECT DISTINCT p_type AS a, p_type || '/' || p_brand AS b, p_type || '/' || p_brand || '/' || (p_size % 5) AS c FROM part),
  tree AS (SELECT DISTINCT a AS code, NULL AS parent FROM leaf UNION SELECT b, a FROM leaf UNION SELECT c, b FROM leaf),
  paths AS (SELECT code, code AS ancestor, 0 AS distance FROM tree UNION ALL SELECT code, parent, 1 FROM tree WHERE parent IS NOT NULL UNION ALL SELECT DISTINCT c, a, 2 FROM leaf)"""
-_BASKET = "bk AS (SELECT l_orderkey AS id, l_linenumber AS source, p_type AS a, p_type || '/' || p_brand AS b, p_type || '/' || p_brand || '/' || (p_size % 5) AS c FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey % 10 = 0 AND l_linenumber <= 2)"
+_LCA = "CASE WHEN min(c) = max(c) THEN min(c) WHEN min(b) = max(b) THEN min(b) WHEN min(a) = max(a) THEN min(a) END"
+_BASKET = "bk AS (SELECT l_orderkey AS id, l_linenumber AS source, p_type AS a, p_type || '/' || p_brand AS b, p_type || '/' || p_brand || '/' || (p_size % 5) AS c FROM lineitem JOIN part ON l_partkey = p_partkey)"
 
 
 def _cells(size: float) -> str:
@@ -110,7 +116,17 @@ ORACLE = {
     "t02_common_ancestor": f"WITH {_BASKET} SELECT id, CASE WHEN min(c) = max(c) THEN min(c) WHEN min(b) = max(b) THEN min(b) WHEN min(a) = max(a) THEN min(a) END AS lca FROM bk GROUP BY 1",
     "t02_descendants": f"WITH {_TREE} SELECT 'PROMO' AS code, c AS descendant FROM leaf WHERE a = 'PROMO'",
     "t06_crosswalk": "WITH k AS (SELECT rec_id AS id, ' ' || trim(regexp_replace(strip_accents(replace(lower(CASE WHEN lower(trim(coalesce(osm_name, ''))) IN ('', 'none', 'null', 'nan', 'n/a', 'na', 'unknown') THEN '' ELSE trim(osm_name) END), '&', ' and ')), '[^a-z0-9]+', ' ', 'g')) || ' ' AS k FROM osm_places), m AS (SELECT id, CASE WHEN k = ' bank ' THEN ['66'] WHEN k = ' gym ' THEN ['91'] ELSE list_filter([CASE WHEN contains(k, ' clinic ') THEN '85' END, CASE WHEN contains(k, ' dental ') THEN '86' END, CASE WHEN contains(k, ' office ') THEN '82' END, CASE WHEN contains(k, ' sari sari ') THEN '47' END], lambda x: x IS NOT NULL) END AS h FROM k) SELECT id, CASE WHEN len(h) = 1 THEN h[1] END AS target, CASE WHEN len(h) = 0 THEN 'NONE' WHEN len(h) = 1 THEN 'MATCH' ELSE 'AMBIGUOUS' END AS status FROM m",
-    "t13_fusion": f"WITH {_BASKET}, g AS (SELECT id, count(DISTINCT source) AS n, min(CASE WHEN source = 1 THEN c END) AS c1, min(CASE WHEN source = 1 THEN a END) AS a1, min(CASE WHEN source = 2 THEN a END) AS a2, min(CASE WHEN source = 1 THEN 1 ELSE 2 END) AS f FROM bk GROUP BY 1) SELECT id, CASE WHEN n = 1 THEN coalesce(c1, a2) WHEN a1 = a2 THEN c1 END AS code, CASE WHEN n = 1 THEN 'SINGLE' WHEN a1 = a2 THEN 'INTERSECT' ELSE 'CONFLICT' END AS relation FROM g",
+    # odd lines name leaves, even lines top codes: stated by levels, without sets of descendants
+    "t13_fusion": f"""WITH {_BASKET},
+o AS (SELECT id, count(DISTINCT c) AS n, {_LCA} AS lca, CASE WHEN min(b) = max(b) THEN 2 WHEN min(a) = max(a) THEN 1 END AS depth FROM bk WHERE source % 2 = 1 GROUP BY 1),
+e AS (SELECT id, CASE WHEN min(a) = max(a) THEN min(a) END AS lca FROM bk WHERE source % 2 = 0 GROUP BY 1),
+k AS (SELECT id, {_LCA} AS lca FROM (SELECT DISTINCT x.id, x.a, x.b, x.c FROM bk x JOIN bk y ON x.id = y.id AND x.a = y.a WHERE x.source % 2 = 1 AND y.source % 2 = 0) GROUP BY 1),
+i AS (SELECT DISTINCT id FROM bk)
+SELECT i.id, CASE WHEN o.id IS NULL THEN e.lca WHEN e.id IS NULL THEN o.lca ELSE k.lca END AS code,
+ CASE WHEN o.id IS NULL THEN CASE WHEN e.lca IS NULL THEN 'UNION' ELSE 'SINGLE' END WHEN e.id IS NULL THEN CASE WHEN o.lca IS NULL OR o.n > 1 THEN 'UNION' ELSE 'SINGLE' END
+ WHEN k.id IS NULL THEN 'CONFLICT' WHEN k.lca IS NULL THEN 'UNION' WHEN e.lca IS NOT NULL AND o.depth = 2 THEN 'NESTED' ELSE 'INTERSECT' END AS relation,
+ CASE WHEN o.id IS NULL THEN CASE WHEN e.lca IS NULL THEN 'NO_COMMON_ANCESTOR' ELSE '' END WHEN e.id IS NULL THEN CASE WHEN o.lca IS NULL THEN 'NO_COMMON_ANCESTOR' ELSE '' END WHEN k.id IS NOT NULL AND k.lca IS NULL THEN 'NO_COMMON_ANCESTOR' ELSE '' END AS flags
+FROM i LEFT JOIN o USING (id) LEFT JOIN e USING (id) LEFT JOIN k USING (id)""",
     "t16_majority": "SELECT id, code FROM (SELECT l_orderkey AS id, l_returnflag AS code, count(*) AS n, sum(count(*)) OVER (PARTITION BY l_orderkey) AS tot FROM lineitem GROUP BY 1, 2) WHERE 2 * n > tot",
     "t21_resolve_by_name": "WITH r AS (SELECT o_orderkey AS id, o_custkey AS name, CASE WHEN o_orderkey % 3 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'O' ELSE o_orderstatus END AS code FROM orders), e AS (SELECT name, min(code) AS code, count(DISTINCT id) AS support FROM r WHERE code IS NOT NULL GROUP BY 1 HAVING count(DISTINCT code) = 1 AND count(DISTINCT id) >= 2) SELECT r.id, e.code, e.support FROM r JOIN e USING (name) WHERE r.code IS NULL AND e.code IN ('P', 'O')",
     "c11_grid_cells": f"SELECT col, row, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(area AS DOUBLE) AS area FROM ({_cells(8.0)})",

@@ -29,11 +29,11 @@ def e02(s, d):
     return ec.effective_coefficients(built, given).select("src", "dst", F.round("a", 12).alias("a"))
 
 
-def n08(s, d, rows="p_partkey <= 100"):
+def n08(s, d):
     _, a = places.lattice(s)
     centers = s.createDataFrame([(0, 5), (1, 100)], "cluster int, source long")
     reach = nw.distances(a, centers.select(F.col("source").alias("node")))
-    points = t(s, d, "part").filter(rows).select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 2).cast("int").alias("cluster"), (F.col("p_partkey") * 3 % 196).alias("node"))
+    points = t(s, d, "part").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") % 2).cast("int").alias("cluster"), (F.col("p_partkey") * 3 % 196).alias("node"))
     return points.join(centers, "cluster").join(reach, ["source", "node"]).select("id", "cluster", "d")
 
 
@@ -76,7 +76,6 @@ QUERIES = {
     "src10_utm_zone": lambda s, d: t(s, d, "osm_places").filter("osm_lon IS NOT NULL").select("rec_id", rd.utm_zone(F.col("osm_lon"), F.col("osm_lat")).alias("epsg")),
     "snk07_route_geometry": snk07,
     "n08_point_distances": n08,
-    "n08_point_distances_all": lambda s, d: n08(s, d, "true"),
     "n12_distance_violations": n12,
     "e02_effective_coefficients": e02,
     "e12_assignment_status": e12,
@@ -93,7 +92,7 @@ from terralane.plans.economy import ORACLE as _ECONOMY  # noqa: E402
 ORACLE = {
     "src10_utm_zone": "SELECT rec_id, CAST(CASE WHEN osm_lat >= 0 THEN 32600 ELSE 32700 END + floor((osm_lon + 180) / 6) + 1 AS INTEGER) AS epsg FROM osm_places WHERE osm_lon IS NOT NULL",
     "snk07_route_geometry": "SELECT 'r' AS route, 4 AS points",
-    "n08_point_distances": "WITH p AS (SELECT p_partkey AS id, CAST(p_partkey % 2 AS INTEGER) AS cluster, p_partkey * 3 % 196 AS node, CASE WHEN p_partkey % 2 = 0 THEN 5 ELSE 100 END AS c FROM part WHERE p_partkey <= 100) SELECT id, cluster, CAST((abs(node // 14 - c // 14) + abs(node % 14 - c % 14)) * 100 AS DOUBLE) AS d FROM p",
+    "n08_point_distances": "WITH p AS (SELECT p_partkey AS id, CAST(p_partkey % 2 AS INTEGER) AS cluster, p_partkey * 3 % 196 AS node, CASE WHEN p_partkey % 2 = 0 THEN 5 ELSE 100 END AS c FROM part) SELECT id, cluster, CAST((abs(node // 14 - c // 14) + abs(node % 14 - c % 14)) * 100 AS DOUBLE) AS d FROM p",
     "n12_distance_violations": "SELECT CAST(n AS BIGINT) AS node, CAST((n // 14 + n % 14) * 100 + 1 AS DOUBLE) AS stated, CAST((n // 14 + n % 14) * 100 AS DOUBLE) AS d FROM range(196) r(n) WHERE n % 50 = 7",
     "e02_effective_coefficients": f"WITH {Z_SQL}, {X_SQL} SELECT src, dst, round(CAST(value AS DOUBLE) / CAST(x AS DOUBLE) * CASE WHEN src = '05' THEN 2 ELSE 1 END, 12) AS a FROM z JOIN xs ON dst = sector WHERE src <> '03' UNION ALL SELECT '03', '03', 0.25",
     "e12_assignment_status": f"""WITH k0 AS ({_ECONOMY['e11_hierarchical_sectors']}), n AS (SELECT n_nationkey, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS leaf, n_regionkey || '-' || (n_nationkey % 3) AS middle, CAST(n_regionkey AS VARCHAR) AS top FROM nation), k AS (SELECT n.*, key FROM k0 JOIN n USING (leaf)),

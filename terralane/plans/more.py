@@ -99,9 +99,9 @@ def q09(s, d):
     return points_in_regions(spots, chosen).groupBy("locality_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def q10(s, d, rows="l_orderkey % 40 = 0"):
-    e = t(s, d, "lineitem").filter(rows).groupBy(F.concat(F.lit("p"), F.col("l_partkey") % 200).alias("u"), F.concat(F.lit("s"), "l_suppkey").alias("v")).agg(F.sum("l_quantity").alias("w"))
-    return gr.strongest_parent(e, places.n11(s, d, rows))
+def q10(s, d):
+    e = t(s, d, "lineitem").groupBy(F.concat(F.lit("p"), F.col("l_partkey") % 200).alias("u"), F.concat(F.lit("s"), "l_suppkey").alias("v")).agg(F.sum("l_quantity").alias("w"))
+    return gr.strongest_parent(e, places.n11(s, d))
 
 
 def q13(s, d):
@@ -152,7 +152,6 @@ QUERIES = {
     "t12_subtree_sets": lambda s, d: tx.subtree_sets(s.createDataFrame([(1, "PROMO"), (2, "LARGE/Brand#11")], "id int, code string"), s.createDataFrame([(1, "PROMO/Brand#12"), (2, "SMALL/Brand#13")], "id int, code string"), tx.closure(classes.tree(s, d))),
     "t18_nearest_bridge": t18,
     "t19_map_union": lambda s, d: tx.map_union(classes.baskets(s, d).select("id", "code"), t18(s, d)),
-    "t19_map_union_all": lambda s, d: tx.map_union(classes.baskets(s, d, rows="true").select("id", "code"), t18(s, d)),
     "t23_tag_rules": t23,
     "t26_level_guard": t26,
     "t27_coverage": lambda s, d: tx.coverage(t(s, d, "osm_places"), ["osm_operator", "osm_website", "osm_address", "osm_city"]),
@@ -168,7 +167,6 @@ QUERIES = {
     "q06_visible_tiles": q06,
     "q09_places_in_partitions": q09,
     "q10_strongest_parent": q10,
-    "q10_strongest_parent_all": lambda s, d: q10(s, d, "true"),
     "q13_labels": q13,
     "a01_review_rows": a01,
     "a04_candidates_per_id": a04,
@@ -199,7 +197,7 @@ ORACLE = {
     "c17_key_differences": "SELECT DISTINCT c_nationkey AS type, c_mktsegment, 'left' AS side FROM customer WHERE c_nationkey = 3 AND c_mktsegment = 'BUILDING'",
     "q05_sector_strength": f"WITH {_EDGES} SELECT split_part(v, '/', 1) AS sector, round(max(w), 9) AS strength FROM uv GROUP BY 1",
     "q06_visible_tiles": f"SELECT {_MX.format(n=512)} AS tx, {_MY.format(n=512)} AS ty, CAST(count(*) AS BIGINT) AS n FROM overture_places WHERE overture_lon IS NOT NULL GROUP BY 1, 2 HAVING tx BETWEEN 425 AND 432 AND ty BETWEEN 240 AND 245",
-    "q10_strongest_parent": "WITH e AS (SELECT 'p' || (l_partkey % 200) AS u, 's' || l_suppkey AS v, sum(l_quantity) AS w FROM lineitem WHERE l_orderkey % 40 = 0 GROUP BY 1, 2), b AS (SELECT u, v, w FROM e UNION ALL SELECT v, u, w FROM e), r1 AS (SELECT DISTINCT v AS node FROM b WHERE u = 'p7'), r2 AS (SELECT DISTINCT v AS node FROM b WHERE u IN (SELECT node FROM r1) AND v <> 'p7' AND v NOT IN (SELECT node FROM r1)), a AS (SELECT 'p7' AS node, 0 AS depth UNION ALL SELECT node, 1 FROM r1 UNION ALL SELECT node, 2 FROM r2) SELECT b.v AS node, b.u AS parent, b.w FROM b JOIN a x ON x.node = b.u JOIN a y ON y.node = b.v WHERE y.depth = x.depth + 1 QUALIFY row_number() OVER (PARTITION BY b.v ORDER BY b.w DESC, b.u) = 1",
+    "q10_strongest_parent": "WITH e AS (SELECT 'p' || (l_partkey % 200) AS u, 's' || l_suppkey AS v, sum(l_quantity) AS w FROM lineitem GROUP BY 1, 2), b AS (SELECT u, v, w FROM e UNION ALL SELECT v, u, w FROM e), r1 AS (SELECT DISTINCT v AS node FROM b WHERE u = 'p7'), r2 AS (SELECT DISTINCT v AS node FROM b WHERE u IN (SELECT node FROM r1) AND v <> 'p7' AND v NOT IN (SELECT node FROM r1)), a AS (SELECT 'p7' AS node, 0 AS depth UNION ALL SELECT node, 1 FROM r1 UNION ALL SELECT node, 2 FROM r2) SELECT b.v AS node, b.u AS parent, b.w FROM b JOIN a x ON x.node = b.u JOIN a y ON y.node = b.v WHERE y.depth = x.depth + 1 QUALIFY row_number() OVER (PARTITION BY b.v ORDER BY b.w DESC, b.u) = 1",
     "q13_labels": f"SELECT split_part(osm_category, '=', 1) AS kind, {_FOLD.format(c='osm_name')} AS name, CAST(floor(osm_lon / 0.5) AS BIGINT) AS gx, CAST(floor(osm_lat / 0.5) AS BIGINT) AS gy, min(rec_id) AS rec_id FROM osm_places WHERE osm_lon IS NOT NULL GROUP BY 1, 2, 3, 4",
     "a01_review_rows": f"WITH o AS (SELECT {_KEY.format(c='name')} AS key, count(*) AS n, min({_FOLD.format(c='city')}) AS town FROM registry_qc_official_sources GROUP BY 1), p AS (SELECT rec_id, {_KEY.format(c='name_of_health_facility')} AS key, {_FOLD.format(c='municipality')} AS city FROM philhealth_level3), j AS (SELECT rec_id, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'single' ELSE 'several' END AS nr, CASE WHEN n IS NULL OR city = '' OR town = '' THEN 'unknown' WHEN city = town THEN 'same' ELSE 'other' END AS pr FROM p LEFT JOIN o ON p.key = o.key AND o.key <> '') SELECT rec_id, nr AS name_relation, pr AS place_relation, CASE WHEN nr = 'several' AND pr = 'other' THEN 1 WHEN pr = 'other' THEN 2 WHEN nr = 'several' THEN 3 ELSE 4 END AS priority FROM j",
     "a04_candidates_per_id": "SELECT source_id, count(*) AS n, CAST(sum(CASE WHEN ownership = 'public' THEN 1 WHEN ownership IS NOT NULL THEN 0 END) AS BIGINT) AS public, coalesce(array_to_string(list_sort(list(DISTINCT name) FILTER (name IS NOT NULL)), ' | '), '') AS names FROM registry_qc_official_sources GROUP BY 1",

@@ -39,14 +39,14 @@ def lattice(s):
     return nw.network_from_lines(lines(s))
 
 
-def spots(s, d, rows="true"):
+def spots(s, d):
     """Parts as points near the lattice: position from the key."""
-    return t(s, d, "part").filter(rows).select(F.col("p_partkey").alias("id"), ((F.col("p_partkey") * 37) % 1300 + 0.25).alias("x"), ((F.col("p_partkey") * 53) % 1290 + 7.0).alias("y"))
+    return t(s, d, "part").select(F.col("p_partkey").alias("id"), ((F.col("p_partkey") * 37) % 1300 + 0.25).alias("x"), ((F.col("p_partkey") * 53) % 1290 + 7.0).alias("y"))
 
 
-def snapped(s, d, rows="true"):
+def snapped(s, d):
     v, a = lattice(s)
-    return nw.snap(spots(s, d, rows), a, v, 60.0), v, a
+    return nw.snap(spots(s, d), a, v, 60.0), v, a
 
 
 def n03(s, d):
@@ -72,8 +72,8 @@ def n09(s, d):
     return nw.nearest_owner(nw.distances(a, centers.select("node")), centers)
 
 
-def n11(s, d, rows="l_orderkey % 40 = 0"):
-    e = t(s, d, "lineitem").select(F.concat(F.lit("p"), F.col("l_partkey") % 200).alias("u"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("v")).filter(rows).distinct()
+def n11(s, d):
+    e = t(s, d, "lineitem").select(F.concat(F.lit("p"), F.col("l_partkey") % 200).alias("u"), F.concat(F.lit("s"), F.col("l_suppkey")).alias("v")).distinct()
     return nw.ego_network(e, "p7", 2)
 
 
@@ -82,8 +82,7 @@ QUERIES = {
     "j02_one_to_one": lambda s, d: rc.one_to_one(rc.candidate_pairs(*pair(s, d))).select("left_id", "right_id"),
     "j03_reconcile": lambda s, d: rc.reconciled(*pair(s, d)),
     "j08_provinces": lambda s, d: rc.provinces(t(s, d, "area_localities")),
-    "j09_snap": lambda s, d: snapped(s, d, "p_partkey <= 400")[0].select("id", F.round("distance", 6).alias("distance")),
-    "j09_snap_all": lambda s, d: snapped(s, d)[0].select("id", F.round("distance", 6).alias("distance")),
+    "j09_snap": lambda s, d: snapped(s, d)[0].select("id", F.round("distance", 6).alias("distance")),
     "j12_registry_match": j12,
     "j16_layered": lambda s, d: rc.layered(j12(s, d), j12(s, d).filter("id % 2 = 0")),
     "n01_vertices": lambda s, d: lattice(s)[0],
@@ -95,7 +94,6 @@ QUERIES = {
     "n07_one_median": n07,
     "n09_nearest_owner": n09,
     "n11_ego_network": n11,
-    "n11_ego_network_all": lambda s, d: n11(s, d, "true"),
 }
 
 _LAT = f"g AS (SELECT i * {SIDE} + j AS id, i * {GAP} AS x, j * {GAP} AS y, i, j FROM range({SIDE}) a(i), range({SIDE}) b(j))"
@@ -107,12 +105,12 @@ ORACLE = {
     "j08_provinces": "SELECT province, count(*) AS localities, array_to_string(list_sort(list(DISTINCT psgc)), '|') AS codes, min(min_lon) AS min_lon, min(min_lat) AS min_lat, max(max_lon) AS max_lon, max(max_lat) AS max_lat FROM area_localities GROUP BY 1",
     "j12_registry_match": f"WITH {_J12} SELECT * FROM m",
     "j16_layered": f"WITH {_J12} SELECT id, CASE WHEN status = 'MATCH' AND id % 2 = 0 THEN 'AMBIGUOUS' ELSE status END AS status FROM m",
-    "j09_snap": f"WITH p AS (SELECT p_partkey AS id, p_partkey * 37 % 1300 + 0.25 AS x, p_partkey * 53 % 1290 + 7.0 AS y FROM part WHERE p_partkey <= 400) SELECT id, CAST(round(least(abs(x - round(x / {GAP}) * {GAP}), abs(y - round(y / {GAP}) * {GAP})), 6) AS DOUBLE) AS distance FROM p",
+    "j09_snap": f"WITH p AS (SELECT p_partkey AS id, p_partkey * 37 % 1300 + 0.25 AS x, p_partkey * 53 % 1290 + 7.0 AS y FROM part) SELECT id, CAST(round(least(abs(x - round(x / {GAP}) * {GAP}), abs(y - round(y / {GAP}) * {GAP})), 6) AS DOUBLE) AS distance FROM p",
     "n01_vertices": f"WITH {_LAT} SELECT CAST(id AS BIGINT) AS id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM g",
     "n01_arcs": f"WITH {_LAT} SELECT a.id AS u, b.id AS v, CAST({GAP} AS DOUBLE) AS length FROM g a JOIN g b ON (b.i = a.i + 1 AND b.j = a.j) OR (b.i = a.i AND b.j = a.j + 1)",
     "n02_components": f"WITH {_LAT} SELECT id, CAST(CASE WHEN id < 70 THEN 0 ELSE 70 END AS BIGINT) AS component FROM g",
     "n04_distances": f"WITH {_LAT} SELECT a.id AS source, b.id AS node, CAST((abs(a.i - b.i) + abs(a.j - b.j)) * {GAP} AS DOUBLE) AS d FROM g a, g b WHERE a.id IN (0, 45)",
     "n07_one_median": f"WITH {_LAT}, c AS (SELECT m.id % 3 AS cluster, b.id AS node, sum((abs(m.i - b.i) + abs(m.j - b.j)) * {GAP}) AS cost FROM g m, g b WHERE m.id % 11 = 3 GROUP BY 1, 2) SELECT cluster, node, CAST(cost AS DOUBLE) AS cost FROM c QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY cost, node) = 1",
     "n09_nearest_owner": f"WITH {_LAT}, k AS (SELECT * FROM (VALUES (5, 1), (100, 2), (190, 3)) v(c, cluster)) SELECT b.id AS node, cluster, CAST((abs(a.i - b.i) + abs(a.j - b.j)) * {GAP} AS DOUBLE) AS d FROM g b, k JOIN g a ON a.id = c QUALIFY row_number() OVER (PARTITION BY b.id ORDER BY d, cluster) = 1",
-    "n11_ego_network": "WITH e AS (SELECT DISTINCT 'p' || (l_partkey % 200) AS u, 's' || l_suppkey AS v FROM lineitem WHERE l_orderkey % 40 = 0), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r1 AS (SELECT DISTINCT v AS node FROM b WHERE u = 'p7'), r2 AS (SELECT DISTINCT v AS node FROM b WHERE u IN (SELECT node FROM r1) AND v <> 'p7' AND v NOT IN (SELECT node FROM r1)), a AS (SELECT 'p7' AS node, 0 AS depth UNION ALL SELECT node, 1 FROM r1 UNION ALL SELECT node, 2 FROM r2) SELECT node, depth FROM a QUALIFY row_number() OVER (ORDER BY depth, node) <= 300",
+    "n11_ego_network": "WITH e AS (SELECT DISTINCT 'p' || (l_partkey % 200) AS u, 's' || l_suppkey AS v FROM lineitem), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r1 AS (SELECT DISTINCT v AS node FROM b WHERE u = 'p7'), r2 AS (SELECT DISTINCT v AS node FROM b WHERE u IN (SELECT node FROM r1) AND v <> 'p7' AND v NOT IN (SELECT node FROM r1)), a AS (SELECT 'p7' AS node, 0 AS depth UNION ALL SELECT node, 1 FROM r1 UNION ALL SELECT node, 2 FROM r2) SELECT node, depth FROM a QUALIFY row_number() OVER (ORDER BY depth, node) <= 300",
 }

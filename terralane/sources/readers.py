@@ -8,27 +8,50 @@ from pyspark.sql import types as T
 
 from terralane.functions.text import clean_text, fold
 
-# Tag keys that make an object a point of interest, keys of which some values do, and the
-# order in which tags make up a category.
-POI_KEYS = ["amenity", "shop", "office", "craft", "tourism", "leisure", "healthcare", "industrial", "man_made", "club", "emergency", "historic"]
-POI_VALUES = {"aeroway": ["aerodrome", "terminal", "heliport"], "railway": ["station", "halt", "tram_stop"]}
+# Tag keys that make a named object a point of interest, keys of which some values do, and
+# the keys whose tags follow those in a category.
+POI_KEYS = ["amenity", "shop", "office", "craft", "tourism", "leisure", "healthcare", "industrial", "man_made", "club", "emergency", "public_transport"]
+POI_VALUES = {"aeroway": ["aerodrome", "terminal"], "railway": ["station", "halt", "tram_stop", "subway_entrance"]}
 DETAIL_KEYS = ["cuisine", "brand", "operator"]
-# Licences of the records that may be used.
-ALLOWED_LICENSES = ["CC0-1.0", "CDLA-Permissive-2.0", "ODbL-1.0", "CC-BY-4.0"]
+# Licences of the records that may be used, how they are written, the licence of the records
+# of a provider that states none, providers that may not be used, and how providers are written.
+ALLOWED_LICENSES = ["CDLA-Permissive-2.0", "Apache-2.0", "CC0-1.0"]
+LICENSE_SPELLINGS = {
+    "cdla-permissive-2.0": "CDLA-Permissive-2.0", "cdla permissive 2.0": "CDLA-Permissive-2.0", "apache-2.0": "Apache-2.0",
+    "apache 2.0": "Apache-2.0", "cc0-1.0": "CC0-1.0", "cc0 1.0": "CC0-1.0",
+}
+PROVIDER_LICENSES = {
+    "meta": "CDLA-Permissive-2.0", "microsoft": "CDLA-Permissive-2.0", "pinmeto": "CDLA-Permissive-2.0", "krick": "CDLA-Permissive-2.0",
+    "renderseo": "CDLA-Permissive-2.0", "dac": "CDLA-Permissive-2.0", "brightquery": "CDLA-Permissive-2.0", "alltheplaces": "CC0-1.0",
+}
+EXCLUDED_PROVIDERS = ["foursquare"]
+PROVIDER_SPELLINGS = {
+    "all_the_places": "alltheplaces", "all-the-places": "alltheplaces", "all the places": "alltheplaces", "foursquare_places": "foursquare",
+    "microsoft_places": "microsoft", "meta_places": "meta",
+}
+LEGACY_SPELLINGS = {"all_the_places": "alltheplaces", "all the places": "alltheplaces", "pin me to": "pinmeto"}
+#: Licence term of legacy records with an unknown provider or none.
+REVIEW_TERM = "OVERTURE-PLACES-REVIEW"
+
+
+def _tag(tags: Column, key: str) -> Column:
+    return F.coalesce(clean_text(F.element_at(tags, key)), F.lit(""))
 
 
 def is_poi(tags: Column) -> Column:
-    """Whether a map of tags holds a key of interest, or one of the chosen values of the other keys."""
-    keys = F.arrays_overlap(F.map_keys(tags), F.array(*[F.lit(k) for k in POI_KEYS]))
-    values = F.lit(False)
+    """Whether a map of tags holds a name and a key of interest, or one of the chosen values of the other keys."""
+    named = (_tag(tags, "name") != "") | (_tag(tags, "name:en") != "")
+    found = F.lit(False)
+    for key in POI_KEYS:
+        found = found | (_tag(tags, key) != "")
     for key, allowed in POI_VALUES.items():
-        values = values | F.coalesce(F.element_at(tags, key).isin(allowed), F.lit(False))
-    return F.coalesce(keys | values, F.lit(False))
+        found = found | _tag(tags, key).isin(allowed)
+    return F.coalesce(named & found, F.lit(False))
 
 
 def category_text(tags: Column) -> Column:
     """``key=value`` of the category keys in order, then the details, joined by `` | ``."""
-    parts = [F.when(clean_text(F.element_at(tags, k)) != "", F.concat(F.lit(k + "="), clean_text(F.element_at(tags, k)))) for k in [*POI_KEYS, *POI_VALUES, *DETAIL_KEYS]]
+    parts = [F.when(_tag(tags, k) != "", F.concat(F.lit(k + "="), _tag(tags, k))) for k in [*POI_KEYS, *POI_VALUES, *DETAIL_KEYS]]
     return F.array_join(F.array_compact(F.array(*parts)), " | ")
 
 
@@ -45,11 +68,62 @@ def category_list(primary: Column, alternates: Column, basic: Column) -> Column:
     return F.array_join(F.transform(F.filter(items, lambda x, i: F.array_position(keys, x["k"]) == i + 1), lambda x: x["v"]), " | ")
 
 
-def license_status(sources: Column) -> Column:
-    """ok when every source item (dataset, license) has an allowed licence and none is foursquare."""
-    banned = F.exists(sources, lambda x: F.lower(F.coalesce(x["dataset"], F.lit(""))) == "foursquare")
-    known = F.forall(sources, lambda x: F.coalesce(x["license"].isin(ALLOWED_LICENSES), F.lit(False)))
-    return F.when(F.coalesce(F.size(sources), F.lit(0)) <= 0, "no source").when(banned, "excluded").when(known, "ok").otherwise("unknown licence")
+def _spelt(c: Column, spellings: dict[str, str], otherwise: Column) -> Column:
+    return F.coalesce(F.create_map(*[F.lit(x) for kv in spellings.items() for x in kv])[c], otherwise)
+
+
+def provider_key(c: Column, head_only: bool = False) -> Column:
+    """Comparison form of a provider; of a dataset (``head_only``) what stands before the first slash."""
+    raw = F.lower(F.trim(F.coalesce(c, F.lit(""))))
+    raw = F.trim(F.substring_index(raw, "/", 1)) if head_only else raw
+    return F.regexp_replace(_spelt(raw, PROVIDER_SPELLINGS, raw), "[ _-]", "")
+
+
+def source_decision(sources: Column) -> Column:
+    """Struct (allowed, licenses, providers, reason) of the source items (dataset, provider, license) of a record.
+
+    Every item must have an allowed licence, stated or, where none is stated, known for its dataset or
+    provider; an excluded dataset or provider refuses the record.  Reasons: permitted, missing (no items),
+    excluded, unresolved (an item without allowed licence).  Licences are those of the permitted items,
+    providers those of all items, a dataset standing in for a missing provider; both sorted, joined by ``|``.
+    """
+    items = F.transform(F.coalesce(sources, F.array().cast("array<struct<dataset:string,provider:string,license:string>>")), lambda x: F.struct(
+        provider_key(x["dataset"], head_only=True).alias("d"), provider_key(x["provider"]).alias("p"), F.trim(F.coalesce(x["license"], F.lit(""))).alias("l")))
+    known = F.create_map(*[F.lit(v) for kv in PROVIDER_LICENSES.items() for v in kv])
+    resolved = F.transform(items, lambda x: F.struct(
+        F.coalesce(F.nullif(x["p"], F.lit("")), F.nullif(x["d"], F.lit(""))).alias("p"), (x["d"].isin(EXCLUDED_PROVIDERS) | x["p"].isin(EXCLUDED_PROVIDERS)).alias("banned"),
+        F.when(x["l"] != "", _spelt(F.lower(x["l"]), LICENSE_SPELLINGS, x["l"])).otherwise(F.coalesce(known[x["d"]], known[x["p"]])).alias("l")))
+    permitted = F.transform(resolved, lambda x: F.when(x["l"].isin(ALLOWED_LICENSES), x["l"]))
+    reason = F.when(F.size(resolved) == 0, "missing").when(F.exists(resolved, lambda x: x["banned"]), "excluded").when(F.exists(permitted, lambda x: x.isNull()), "unresolved").otherwise("permitted")
+
+    def joined(values: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.array_compact(values))), "|")
+
+    return F.struct((reason == "permitted").alias("allowed"), joined(permitted).alias("licenses"), joined(F.transform(resolved, lambda x: x["p"])).alias("providers"), reason.alias("reason"))
+
+
+def legacy_providers(values: Column) -> Column:
+    """Sorted distinct comparison forms of an array of legacy provider names; blanks fall away."""
+    def key(v: Column) -> Column:
+        text = F.trim(F.regexp_replace(F.lower(F.coalesce(v, F.lit(""))), "[^a-z0-9_ ]+", ""))
+        return _spelt(text, LEGACY_SPELLINGS, F.replace(text, F.lit(" "), F.lit("")))
+
+    return F.array_sort(F.array_distinct(F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), key), lambda v: v != "")))
+
+
+def legacy_terms(values: Column) -> Column:
+    """Licence terms of legacy provider names joined by ``|``; an unknown provider, or none, adds the review term."""
+    providers = legacy_providers(values)
+    known = F.create_map(*[F.lit(v) for kv in PROVIDER_LICENSES.items() for v in kv])
+    terms = F.array_sort(F.array_distinct(F.array_compact(F.transform(providers, lambda v: known[v]))))
+    review = (F.size(providers) == 0) | F.exists(providers, lambda v: known[v].isNull())
+    return F.array_join(F.when(review, F.array_append(terms, F.lit(REVIEW_TERM))).otherwise(terms), "|")
+
+
+def legacy_allowed(values: Column) -> Column:
+    """Whether there is a provider and all are known."""
+    providers = legacy_providers(values)
+    return (F.size(providers) > 0) & F.forall(providers, lambda v: v.isin(list(PROVIDER_LICENSES)))
 
 
 def scan_places(places: DataFrame, box: tuple[float, float, float, float], name: str, lon: str, lat: str, key: str) -> tuple[DataFrame, DataFrame]:
@@ -72,8 +146,9 @@ def io_table(spark: SparkSession, path: str) -> DataFrame:
     long = raw.select(F.trim(F.col(key)).alias("src"), F.explode(F.map_from_arrays(F.array(*[F.lit(c.strip()) for c in codes]), F.array(*[F.col(f"`{c}`") for c in codes]))).alias("dst", "v"))
     value = F.col("v").try_cast("double")
     checked = F.when(value.isNull() | F.isnan(value) | (value < 0), F.raise_error(F.concat(F.lit("bad value at "), "src", F.lit("/"), "dst"))).otherwise(value)
-    rows = {r[0] for r in raw.select(F.trim(F.col(key))).limit(10_001).collect()}
-    if rows != {c.strip() for c in codes}:
+    # rows are counted and compared where they are: as many distinct codes as columns, all of them columns
+    named = raw.select(F.trim(F.col(key)).alias("c")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("c").alias("d"), F.sum((~F.coalesce(F.col("c").isin([c.strip() for c in codes]), F.lit(False))).cast("long")).alias("other")).first()
+    if (named["n"], named["d"], named["other"] or 0) != (len(codes), len({c.strip() for c in codes}), 0):
         raise ValueError("the rows and columns of the table do not have the same codes")
     return long.select("src", "dst", checked.alias("value"))
 
