@@ -9,6 +9,9 @@ from __future__ import annotations
 
 from collections import deque
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,25 +41,69 @@ def aggregate(z: DataFrame, x: DataFrame, mapping: DataFrame) -> tuple[DataFrame
     return flows, totals
 
 
-def ras(z: DataFrame, rows: DataFrame, columns: DataFrame, steps: int, every: int = 5) -> DataFrame:
-    """Scales rows, then columns, to the margins (code, target), ``steps`` times.
+#: Cells up to which balancing runs in one task; more iterate as joins.
+LOCAL_CELLS = 4_000_000
 
-    Sectors whose sum is zero keep their zeros.  A step is a sum over the row or column of a cell, so
-    the state is read once per step; it is written out every few steps.
-    """
-    from pyspark.sql import Window as W
 
-    state = cut(z.select("src", "dst", F.col("value").cast("double").alias("value")))
-    margins = [("src", rows), ("dst", columns)]
-    margins = [(key, cut(m.select(F.col("code").alias(key), F.col("target").cast("double").alias("target")))) for key, m in margins]
-    for k in range(steps):
-        for key, margin in margins:
-            have = F.sum("value").over(W.partitionBy(key))
-            value = F.when(have > 0, F.col("value") * F.col("target") / have).otherwise(F.lit(0.0))
-            state = state.join(margin, key).select("src", "dst", value.alias("value"))
-        if (k + 1) % every == 0:
+def balanced(src: np.ndarray, dst: np.ndarray, value: np.ndarray, rows: np.ndarray, columns: np.ndarray, absolute: float, relative: float, most: int) -> tuple[np.ndarray, int]:
+    """(values, steps) of cells scaled by rows, then columns, until all sums are within the tolerances."""
+    def off() -> bool:
+        gaps = [(np.bincount(at, value, len(target)), target) for at, target in ((src, rows), (dst, columns))]
+        return any((np.abs(have - target) > absolute + relative * np.abs(target)).any() for have, target in gaps)
+
+    for step in range(most + 1):
+        if not off():
+            return value, step
+        if step == most:
+            break
+        for at, target in ((src, rows), (dst, columns)):
+            have = np.bincount(at, value, len(target))
+            if ((target > 0) & (have <= 0)).any():
+                raise ValueError("a positive margin has no cell that could hold it")
+            value = value * np.divide(target, have, out=np.zeros(len(target)), where=have > 0)[at]
+    raise ValueError(f"the margins were not met within {most} steps")
+
+
+def ras(z: DataFrame, rows: DataFrame, columns: DataFrame, absolute: float = 1e-8, relative: float = 1e-10, most: int = 10_000, local_cells: int = LOCAL_CELLS, every: int = 5) -> DataFrame:
+    """(src, dst, value, steps): cells scaled to the margins (code, target), rows then columns, until all are met.
+
+    A sum is met within ``absolute`` + ``relative`` times its target.  Cells that are zero stay so; a
+    positive target without cells is an error, as are ``most`` steps without meeting the margins.
+    """
+    cells = cut(z.select("src", "dst", F.col("value").cast("double").alias("value")))
+    sides = [cut(m.select(F.col("code").alias("code"), F.col("target").cast("double").alias("target"))) for m in (rows, columns)]
+    if cells.limit(local_cells + 1).count() <= local_cells and all(m.limit(local_cells + 1).count() <= local_cells for m in sides):
+        every_row = cells.select("src", "dst", "value").unionByName(sides[0].select(F.col("code").alias("src"), F.lit(None).cast("string").alias("dst"), F.col("target").alias("value")))
+        every_row = every_row.unionByName(sides[1].select(F.lit(None).cast("string").alias("src"), F.col("code").alias("dst"), F.col("target").alias("value")))
+
+        def run(batches):
+            pdf = pd.concat([b.to_pandas() for b in batches] or [pd.DataFrame({"src": [], "dst": [], "value": []})])
+            cell, row, column = pdf[pdf["src"].notna() & pdf["dst"].notna()], pdf[pdf["dst"].isna()], pdf[pdf["src"].isna()]
+            names = [pd.Index(sorted(set(m[k]) | set(cell[k]))) for m, k in ((row, "src"), (column, "dst"))]
+            targets = [m.set_index(k)["value"].reindex(names[i], fill_value=0.0).to_numpy(float) for i, (m, k) in enumerate(((row, "src"), (column, "dst")))]
+            value, steps = balanced(names[0].get_indexer(cell["src"]), names[1].get_indexer(cell["dst"]), cell["value"].to_numpy(float), *targets, absolute, relative, most)
+            yield pa.RecordBatch.from_pydict({"src": cell["src"].tolist(), "dst": cell["dst"].tolist(), "value": value, "steps": np.full(len(cell), steps, np.int32)}, schema=pa.schema([("src", pa.string()), ("dst", pa.string()), ("value", pa.float64()), ("steps", pa.int32())]))
+
+        return every_row.coalesce(1).mapInArrow(run, "src string, dst string, value double, steps int")
+    margins = [("src", sides[0].withColumnRenamed("code", "src")), ("dst", sides[1].withColumnRenamed("code", "dst"))]
+    state = cells
+    for k in range(most + 1):
+        if k % every == 0:
             state = cut(state)
-    return state
+            worst = 0
+            for key, margin in margins:
+                have = margin.join(state.groupBy(key).agg(F.sum("value").alias("have")), key, "left")
+                gap = F.abs(F.coalesce("have", F.lit(0.0)) - F.col("target")) > absolute + relative * F.abs("target")
+                if have.filter("target > 0 AND coalesce(have, 0) <= 0").limit(1).count():
+                    raise ValueError("a positive margin has no cell that could hold it")
+                worst += have.filter(gap).limit(1).count()
+            if not worst:
+                return state.withColumn("steps", F.lit(k))
+        for key, margin in margins:
+            sums = state.groupBy(key).agg(F.sum("value").alias("have"))
+            scale = sums.join(margin, key, "left").select(key, F.when(F.col("have") > 0, F.coalesce("target", F.lit(0.0)) / F.col("have")).otherwise(0.0).alias("scale"))
+            state = state.join(scale, key).select("src", "dst", (F.col("value") * F.col("scale")).alias("value"))
+    raise ValueError(f"the margins were not met within {most} steps")
 
 
 def _edges(z: DataFrame) -> list[tuple[str, str, float]]:
