@@ -134,7 +134,7 @@ def website_parts(url: str | None) -> tuple[str, str]:
 
 
 SCHEMA = (
-    "sid string, cls int, va long, vb long, generic boolean, lat double, lon double, weak int, places array<string>, number string, streets array<string>, "
+    "sid string, cls int, va long, vb long, generic boolean, lat double, lon double, weak int, places array<string>, address string, "
     "host string, store string, hv long, op string, ov long, retail boolean"
 )
 
@@ -171,15 +171,15 @@ def encoded(df: DataFrame, prefix: str, localities_table: DataFrame) -> DataFram
             inside: dict[int, list[str]] = {}
             for r, region in zip(*contained(ready, np.where(good, lon, 999.0), np.where(good, lat, 999.0))):
                 inside.setdefault(int(r), []).append(polygons[int(region)][0])
-            out: list[list] = [[] for _ in range(17)]
+            out: list[list] = [[] for _ in range(16)]
             for i, sid in enumerate(data["sid"]):
                 proper, kind = name_parts(data["name"][i])
                 vector = bits(proper or kind.split(), 128)
-                address = data["address"][i]
-                parts = street_parts(address) if address else None
                 fine = bool(good[i]) and not (round(lat[i], 2) == lat[i] and round(lon[i], 2) == lon[i])
                 places = set(inside.get(i, ())) | set(data["inside"][i] or ())
+                address = data["address"][i] or None
                 if not fine:
+                    parts = street_parts(address) if address else None
                     places |= set(localities(gazetteer, parts[2] if parts else address or "", data["city"][i]))
                 host, store = website_parts(data["website"][i])
                 op = plain(data["operator"][i] or "")
@@ -188,12 +188,12 @@ def encoded(df: DataFrame, prefix: str, localities_table: DataFrame) -> DataFram
                 row = (
                     sid, CLASS_OF.get((data["category"][i] or "").split(" | ")[0].strip(), -1), _signed(vector & (1 << 64) - 1), _signed(vector >> 64), not proper,
                     float(lat[i]) if good[i] else None, float(lon[i]) if good[i] else None, 0 if fine else 1 if good[i] else 2, sorted(places),
-                    parts[0] if parts else None, sorted(n for n, _ in parts[1]) if parts else [],
+                    address,
                     host, store, _signed(bits([host], 64)) if host else 0, " ".join(owner), _signed(bits(owner, 64)) if owner else 0, "retail" in op.split(),
                 )
                 for column, v in zip(out, row):
                     column.append(v)
-            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.float64(), pa.int32(), pa.list_(pa.string()), pa.string(), pa.list_(pa.string()), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
+            kinds = [pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.float64(), pa.int32(), pa.list_(pa.string()), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_()]
             fields = [f.split(" ")[0] for f in SCHEMA.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)], names=fields)
 
@@ -349,28 +349,59 @@ def candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return near.unionByName(weak)
 
 
+def _parsed_addresses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The columns ``aa`` and ``ba``, raw addresses of a pair, followed by their house numbers and streets."""
+    memo: dict[str, tuple[str | None, list[str]]] = {}
+
+    def read(address: str | None) -> tuple[str | None, list[str]]:
+        if not address:
+            return None, []
+        found = memo.get(address)
+        if found is None:
+            if len(memo) >= 20_000:
+                memo.clear()
+            parts = street_parts(address)
+            found = memo[address] = (parts[0], sorted(n for n, _ in parts[1])) if parts else (None, [])
+        return found
+
+    for batch in batches:
+        columns, names = list(batch.columns), list(batch.schema.names)
+        # an address says something only where the other is known as well
+        both = [(x, y) if x and y else (None, None) for x, y in zip(*(batch.column(names.index(c)).to_pylist() for c in ("aa", "ba")))]
+        for k, c in enumerate(("a", "b")):
+            found = [read(pair[k]) for pair in both]
+            columns += [pa.array([n for n, _ in found], pa.string()), pa.array([t for _, t in found], pa.list_(pa.string()))]
+            names += [f"{c}_number", f"{c}_streets"]
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def compared(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Candidate pairs with their field scores and the evidence for and against them."""
+    """Candidate pairs within reach with their field scores and the evidence for and against them."""
     pairs = candidates(left, right)
     a, b = left.alias("a"), right.alias("b")
-    rows = pairs.join(a, F.col("l") == F.col("a.id")).join(b, F.col("r") == F.col("b.id")).filter("a.cls = b.cls")
+    meters = _meters("a", "b")
+    reach = F.when(F.greatest("a.weak", "b.weak") > 0, COARSE_M).otherwise(FINE_M)
+    rows = pairs.join(a, F.col("l") == F.col("a.id")).join(b, F.col("r") == F.col("b.id")).filter("a.cls = b.cls").filter(meters.isNull() | (meters <= reach))
     hosts, owners = (F.col("a.host") != "") & (F.col("b.host") != ""), (F.col("a.op") != "") & (F.col("b.op") != "")
-    numbers = F.col("a.number").isNotNull() & F.col("b.number").isNotNull()
-    streets = F.exists(F.col("a.streets"), lambda s: F.exists(F.col("b.streets"), lambda t: F.levenshtein(s, t) <= 2))
     stores = (F.col("a.store") != "") & (F.col("b.store") != "")
-    meters = _meters("a", "b")
     towns = F.when(F.greatest("a.weak", "b.weak") > 0, F.array_intersect("a.places", "b.places"))
-    return rows.select(
+    rows = rows.select(
         towns.alias("towns"), F.col("a.sid").alias("left_sid"), F.col("b.sid").alias("right_sid"), F.col("a.cls").alias("cls"), F.col("a.va").alias("va"), F.col("a.vb").alias("vb"),
         (F.col("a.generic") == F.col("b.generic")).alias("alike"), F.col("a.generic").alias("generic"),
         F.greatest("a.weak", "b.weak").alias("weak"), meters.alias("meters"),
         dice(("a.va", "b.va"), ("a.vb", "b.vb")).alias("name"),
         F.when(hosts, dice(("a.hv", "b.hv"))).alias("host"), F.when(owners, dice(("a.ov", "b.ov"))).alias("owner"),
-        F.when(numbers, (F.col("a.number") == F.col("b.number")) & streets).alias("address"),
-        F.coalesce(numbers & (F.col("a.number") != F.col("b.number")), F.lit(False)).alias("other_number"),
         F.when(stores, F.col("a.store") == F.col("b.store")).alias("store"),
         (F.col("a.retail") | F.col("b.retail") | (F.col("a.store") != "") | (F.col("b.store") != "")).alias("retail"),
+        F.col("a.address").alias("aa"), F.col("b.address").alias("ba"),
     )
+    kinds = ", ".join(f"{n} {k}" for n, k in rows.dtypes)
+    rows = rows.mapInArrow(_parsed_addresses, kinds + ", a_number string, a_streets array<string>, b_number string, b_streets array<string>")
+    numbers = F.col("a_number").isNotNull() & F.col("b_number").isNotNull()
+    streets = F.exists("a_streets", lambda s: F.exists("b_streets", lambda t: F.levenshtein(s, t) <= 2))
+    rows = rows.withColumn("address", F.when(numbers, (F.col("a_number") == F.col("b_number")) & streets))
+    rows = rows.withColumn("other_number", F.coalesce(numbers & (F.col("a_number") != F.col("b_number")), F.lit(False)))
+    return rows.drop("aa", "ba", "a_number", "a_streets", "b_number", "b_streets")
 
 
 #: Weights of the fields in the score; a field that one side lacks does not count.
@@ -411,7 +442,7 @@ def matched(left: DataFrame, right: DataFrame, min_confidence: float = MIN_CONFI
     an agreeing address adds to it; pairs below ``min_confidence`` do not come out.  Empty tables give
     an empty result, repeated records one pair.
     """
-    pairs = cut(compared(left, right).filter(F.col("meters").isNull() | (F.col("meters") <= F.when(F.col("weak") > 0, COARSE_M).otherwise(FINE_M))).withColumn("score", score()))
+    pairs = cut(compared(left, right).withColumn("score", score()))
     # of the pairs within reach, those whose addresses both are known
     sample = pairs.filter("address IS NOT NULL AND alike AND weak = 0").select("score", "address").orderBy(F.xxhash64("left_sid", "right_sid")).limit(CALIBRATION_ROWS).toPandas()
     slope, offset = fit_curve(sample["score"].to_numpy(float), sample["address"].to_numpy(float))
