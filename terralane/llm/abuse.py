@@ -187,7 +187,7 @@ class Reader:
         text = folded(sentence)
         if _APART.search(text):
             text = _APART.sub(_together, text)
-        if any(map(str.islower, text)):
+        if not text.isupper():
             text = _NAME.sub(" Nn ", text)
         words, marks = [], Counter()
         for piece in _PIECE.findall(text):
