@@ -12,9 +12,12 @@ import sys
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terralane.operators.network import neighbour_graph
+from terralane.session import cut
+
 #: Neighbour pairs of one type beyond which clustering is refused.
 MAX_PAIRS = 20_000_000
 #: Share of points without core distance up to which the radius may stop growing.
@@ -39,12 +42,12 @@ def core_distances(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight:
     return core
 
 
-def hdbscan(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndarray, min_cluster_size: float, min_samples: float, leaf: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def hdbscan(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndarray, min_cluster_size: float, min_samples: float, leaf: bool = False, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(labels, membership) of n positions with neighbour pairs (a, b, d); -1 is noise.
 
     Mutual reachability, a spanning forest, a hierarchy in which all merges of one distance happen at
     once, a condensed tree by weight, and the selection of the clusters with the greatest stability (or
-    of the leaves).  A component as a whole is no cluster.  Labels count clusters by their smallest member.
+    of the leaves).  All positions together are no cluster, unless ``whole`` says that they are one part of several.  Labels count clusters by their smallest member.
     """
     core = core_distances(n, a, b, d, weight, min_samples)
     m = np.maximum(np.maximum(core[a], core[b]), d)
@@ -142,8 +145,8 @@ def hdbscan(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndar
         for c in range(len(clusters) - 1, -1, -1):
             kids = clusters[c]["kids"]
             below = sum(best[q] for q in kids)
-            own = -1.0 if c == 0 else clusters[c]["stability"]
-            chosen[c] = c > 0 and (not kids if leaf else (not kids or own >= below))
+            own = clusters[c]["stability"] if c or whole else -1.0
+            chosen[c] = bool(c or whole) and (not kids if leaf else (not kids or own >= below))
             best[c] = max(own, below) if not leaf else below
         stack = [0]
         while stack:
@@ -223,6 +226,83 @@ def cluster_by_type(points: DataFrame, radius: float, min_cluster_size: int = 5,
     return points.select("type", "id", "x", "y").groupBy("type").applyInPandas(run, "type string, id long, cluster long, membership double")
 
 
+def cluster_pairs(positions: DataFrame, pairs: DataFrame, min_cluster_size: int, min_samples: int, leaf: bool = False) -> DataFrame:
+    """(type, id, cluster, membership, core) of weighted positions (type, id, weight) with neighbour pairs (type, a, b, d).
+
+    Positions that no chain of pairs joins share no cluster, so every connected part is a group of its own;
+    its whole is a cluster only where the type has another part of that size.  ``core`` tells whether the
+    position has a core distance.  Clusters are numbered per type by their smallest id.
+    """
+    from terralane.operators.network import components
+
+    key = lambda t, i: F.xxhash64(F.col(t).cast("string"), F.col(i))
+    nodes = cut(positions.select("type", "id", F.col("weight").cast("double").alias("weight"), key("type", "id").alias("node")))
+    links = cut(pairs.select("type", "a", "b", "d", key("type", "a").alias("u"), key("type", "b").alias("v")))
+    part = cut(components(nodes.select(F.col("node").alias("id")), links.select("u", "v", F.col("d").alias("length"))).withColumnRenamed("id", "node"))
+    placed = nodes.join(part, "node")
+    sizes = placed.groupBy("type", "component").agg(F.sum("weight").alias("size"))
+    big = sizes.filter(F.col("size") >= min_cluster_size)
+    several = big.groupBy("type").agg(F.count(F.lit(1)).alias("parts"))
+    inside = placed.join(big.select("type", "component"), ["type", "component"]).join(several, "type")
+    joined = links.join(part.select(F.col("node").alias("u"), "component"), "u").select("type", "component", "a", "b", "d").join(big.select("type", "component"), ["type", "component"], "left_semi")
+
+    inside, joined = (x.select(*[F.col(c).alias(c) for c in x.columns]) for x in (inside, joined))
+
+    def run(own: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("id").reset_index(drop=True)
+        ids, weight = own["id"].to_numpy(), own["weight"].to_numpy(float)
+        near = near.sort_values(["a", "b"])
+        pair = (np.searchsorted(ids, near["a"].to_numpy()), np.searchsorted(ids, near["b"].to_numpy()), near["d"].to_numpy(float))
+        labels, member = hdbscan(len(ids), *pair, weight, min_cluster_size, min_samples, leaf, whole=bool(own["parts"].iloc[0] > 1)) if len(ids) else (np.zeros(0, int), np.zeros(0))
+        core = np.isfinite(core_distances(len(ids), *pair, weight, min_samples))
+        return pd.DataFrame({"type": own["type"], "id": ids, "component": own["component"], "label": labels.astype(np.int64), "membership": member, "core": core})
+
+    kind = dict(positions.dtypes)["type"]
+    local = inside.groupBy("type", "component").cogroup(joined.groupBy("type", "component")).applyInPandas(run, f"type {kind}, id long, component long, label long, membership double, core boolean")
+    local = cut(local)
+    clusters = local.filter("label >= 0").groupBy("type", "component", "label").agg(F.min("id").alias("first"))
+    numbers = clusters.withColumn("cluster", F.row_number().over(Window.partitionBy("type").orderBy("first")).cast("long") - 1).drop("first")
+    found = local.join(numbers, ["type", "component", "label"], "left").select("type", "id", "cluster", "membership", "core")
+    return positions.select("type", "id").join(found, ["type", "id"], "left").select("type", "id", F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("membership", F.lit(0.0)).alias("membership"), F.coalesce("core", F.lit(False)).alias("core"))
+
+
+def cluster_on_network(points: DataFrame, arcs: DataFrame, vertices: DataFrame, radius: float, min_cluster_size: int = 5, min_samples: int = 3, leaf: bool = False, growth: float = 1.5, steps: int = 3) -> DataFrame:
+    """(type, id, cluster, membership) by distances along a road network.
+
+    ``points`` is (type, id, u, v, offset), snapped to arcs.  Points of one type at one place are one
+    position, weighted by their number.  The radius grows as in ``cluster_by_type``: a type is done when
+    its labels stand and at most a share ``CORE_TRUNCATION`` of its points lacks a core distance, and only
+    the types that are not done list the pairs of the next radius.
+    """
+    ends = points.join(arcs, ["u", "v"])
+    place = F.when(F.col("offset") <= 0, F.concat(F.lit("n"), "u")).when(F.col("offset") >= F.col("length"), F.concat(F.lit("n"), "v")).otherwise(F.concat_ws("/", "u", "v", "offset"))
+    at = cut(ends.select("type", "id", "u", "v", "offset", place.alias("place")))
+    spots = at.groupBy("type", "place").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("weight"))
+    heads = cut(spots.join(at.select(F.col("id").alias("head"), "type", "u", "v", "offset"), ["type", "head"]).select("type", F.col("head").alias("id"), "weight", "u", "v", "offset", "place"))
+    left, before, done = heads, None, None
+    for k in range(steps, -1, -1):
+        pairs = neighbour_graph(arcs, left.select("type", "id", "u", "v", "offset"), radius / growth**k, vertices, by="type")
+        now = cut(cluster_pairs(left.select("type", "id", "weight"), pairs, min_cluster_size, min_samples, leaf).join(left.select("type", "id", "weight"), ["type", "id"]))
+        ready = now.groupBy("type").agg((F.sum(F.when(F.col("core"), 0).otherwise(F.col("weight"))) / F.sum("weight")).alias("lacking"))
+        if k == 0:
+            ready = ready.select("type")
+        elif before is None:
+            ready = ready.filter("false").select("type")
+        else:
+            both = now.join(before.select("type", "id", F.col("cluster").alias("c0"), F.col("membership").alias("m0")), ["type", "id"])
+            moved = both.filter("cluster <> c0 OR abs(membership - m0) > 1e-8").select("type").distinct()
+            ready = ready.filter(F.col("lacking") <= CORE_TRUNCATION).select("type").join(moved, "type", "left_anti")
+        ready = cut(ready)
+        finished = now.join(ready, "type", "left_semi")
+        done = finished if done is None else done.unionByName(finished)
+        before = now
+        left = cut(left.join(ready, "type", "left_anti"))
+        if left.isEmpty():
+            break
+    found = heads.select("type", "place", "id").join(done.select("type", "id", "cluster", "membership"), ["type", "id"]).drop("id")
+    return at.join(found, ["type", "place"]).select("type", "id", "cluster", "membership")
+
+
 def seed_of(base: str, sector: str, cluster: int) -> int:
     """Seed from the first eight bytes, little endian, of a SHA-256."""
     return int.from_bytes(hashlib.sha256(f"{base}|{sector}|{cluster}".encode()).digest()[:8], "little")

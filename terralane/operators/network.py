@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -29,11 +33,14 @@ def both_ways(arcs: DataFrame) -> DataFrame:
     return arcs.select(F.col("u").alias("s"), F.col("v").alias("t"), "length").unionByName(arcs.select(F.col("v").alias("s"), F.col("u").alias("t"), "length"))
 
 
-def components(vertices: DataFrame, arcs: DataFrame, rounds: int = 1_000) -> DataFrame:
-    """(id, component): the smallest vertex of each component, by labels that jump to their label's label."""
+def components(vertices: DataFrame, arcs: DataFrame) -> DataFrame:
+    """(id, component): the smallest vertex of each component, by labels that jump to their label's label.
+
+    Labels only fall, so the rounds end by themselves, when none has moved.
+    """
     links = cut(both_ways(arcs).select("s", "t"))
     labels = cut(vertices.select("id", F.col("id").alias("component")))
-    for _ in range(rounds):
+    while True:
         around = links.join(labels, links["t"] == labels["id"]).groupBy(F.col("s").alias("id")).agg(F.min("component").alias("m"))
         lower = labels.join(around, "id", "left").select("id", "component", F.least("component", F.coalesce("m", "component")).alias("n"))
         jump = labels.select(F.col("id").alias("n"), F.col("component").alias("nn"))
@@ -41,8 +48,7 @@ def components(vertices: DataFrame, arcs: DataFrame, rounds: int = 1_000) -> Dat
         moved = after.filter("moved").limit(1).count()
         labels = after.select("id", "component")
         if not moved:
-            break
-    return labels
+            return labels
 
 
 def split_arcs(arcs: DataFrame, stops: DataFrame) -> DataFrame:
@@ -76,39 +82,98 @@ def snap(points: DataFrame, arcs: DataFrame, vertices: DataFrame, cell: float) -
     return best.select("id", "b.u", "b.v", "b.offset", "b.distance")
 
 
-def distances(arcs: DataFrame, sources: DataFrame, limit: float | None = None, rounds: int = 10_000) -> DataFrame:
+def distances(arcs: DataFrame, sources: DataFrame, limit: float | None = None) -> DataFrame:
     """(source, node, d): shortest network distances from every source, up to ``limit``.
 
-    Only improved nodes push on in the next round; the rounds end when none improves.
+    Only improved nodes push on in the next round; the rounds end when none improves, which lengths of
+    at least zero guarantee.  Where a limit is small against the network, ``bounded_distances`` is faster.
     """
     links = cut(both_ways(arcs))
     known = cut(sources.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("d")))
     front = known
-    for _ in range(rounds):
+    while True:
         step = front.join(links, front["node"] == links["s"]).select("source", F.col("t").alias("node"), (F.col("d") + F.col("length")).alias("d"))
         if limit is not None:
             step = step.filter(F.col("d") <= limit)
         step = step.groupBy("source", "node").agg(F.min("d").alias("n"))
         front = cut(step.join(known, ["source", "node"], "left").filter("d IS NULL OR n < d").select("source", "node", F.col("n").alias("d")))
         if front.isEmpty():
-            break
+            return known
         known = cut(known.join(front.select("source", "node"), ["source", "node"], "left_anti").unionByName(front))
-    return known
 
 
-def neighbour_graph(arcs: DataFrame, positions: DataFrame, radius: float) -> DataFrame:
+#: Sources of one tile that are searched from in one task.
+TILE_SOURCES = 2_000
+
+
+def _search_tile(arcs: pd.DataFrame, sources: pd.DataFrame, limit: float) -> pd.DataFrame:
+    """Dijkstra from every source over the arcs of a tile and its surroundings."""
+    links: dict[int, list[tuple[int, float]]] = {}
+    for u, v, length in zip(arcs["u"].tolist(), arcs["v"].tolist(), arcs["length"].tolist()):
+        links.setdefault(u, []).append((v, length))
+        links.setdefault(v, []).append((u, length))
+    out: tuple[list, list, list] = ([], [], [])
+    for source in sources["source"].tolist():
+        done: dict[int, float] = {}
+        heap = [(0.0, source)]
+        while heap:
+            d, at = heapq.heappop(heap)
+            if at in done:
+                continue
+            done[at] = d
+            for node, length in links.get(at, ()):
+                if node not in done and d + length <= limit:
+                    heapq.heappush(heap, (d + length, node))
+        for column, values in zip(out, ([source] * len(done), done.keys(), done.values())):
+            column.extend(values)
+    return pd.DataFrame({"source": np.array(out[0], np.int64), "node": np.array(out[1], np.int64), "d": np.array(out[2], float)})
+
+
+def bounded_distances(arcs: DataFrame, vertices: DataFrame, sources: DataFrame, limit: float) -> DataFrame:
+    """(source, node, d): as ``distances`` with a limit, in one pass of searches per tile of the plane.
+
+    A way of at most ``limit`` from a source stays within ``limit`` of it, provided no arc is shorter than
+    the straight line between its ends; so a tile's searches need the arcs that come within ``limit`` of the
+    tile.  Tiles with many sources are cut into parts, each with a copy of the tile's arcs.
+    """
+    if not limit > 0:
+        return sources.select(F.col("node").alias("source"), "node", F.lit(0.0).alias("d")).distinct()
+    size = 2.0 * limit
+    placed = sources.select(F.col("node").alias("source")).distinct().join(vertices.select(F.col("id").alias("source"), "x", "y"), "source")
+    placed = placed.select("source", F.floor(F.col("x") / size).alias("tx"), F.floor(F.col("y") / size).alias("ty"))
+    parts = placed.groupBy("tx", "ty").agg(F.ceil(F.count(F.lit(1)) / TILE_SOURCES).cast("int").alias("parts"))
+    placed = placed.join(parts, ["tx", "ty"]).withColumn("part", F.pmod(F.xxhash64("source"), F.col("parts"))).select("tx", "ty", "part", "source")
+    a, b = (vertices.select(F.col("id").alias(k), F.col("x").alias(f"x{k}"), F.col("y").alias(f"y{k}")) for k in ("u", "v"))
+    ends = arcs.join(a, "u").join(b, "v")
+    around = lambda c: F.sequence(F.floor((F.least(f"{c}u", f"{c}v") - limit) / size), F.floor((F.greatest(f"{c}u", f"{c}v") + limit) / size))
+    listed = ends.withColumn("tx", F.explode(around("x"))).withColumn("ty", F.explode(around("y"))).join(parts, ["tx", "ty"])
+    listed = listed.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("tx", "ty", F.col("part").cast("long").alias("part"), "u", "v", "length")
+    placed, listed = (x.select(*[F.col(c).alias(c) for c in x.columns]) for x in (placed.withColumn("part", F.col("part").cast("long")), listed))
+    return placed.groupBy("tx", "ty", "part").cogroup(listed.groupBy("tx", "ty", "part")).applyInPandas(
+        lambda some, near: _search_tile(near, some, limit), "source long, node long, d double")
+
+
+def neighbour_graph(arcs: DataFrame, positions: DataFrame, radius: float, vertices: DataFrame | None = None, by: str | None = None) -> DataFrame:
     """(a, b, d), a < b: pairs of positions at most ``radius`` apart along the network.
 
     ``positions`` is (id, u, v, offset); the way leads through the arcs' ends, or along the shared arc.
+    With ``vertices`` (id, x, y) the searches run tile by tile; with ``by`` only positions of one value of
+    that column are paired, and the column comes out too.
     """
-    ends = positions.join(arcs, ["u", "v"]).select("id", F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("offset").alias("o")), F.struct(F.col("v").alias("node"), (F.col("length") - F.col("offset")).alias("o")))).alias("e")).select("id", "e.node", "e.o")
-    ends = cut(ends.groupBy("id", "node").agg(F.min("o").alias("o")))
-    reach = distances(arcs, ends.select("node").distinct(), radius).select("source", F.col("node").alias("target"), "d")
+    group = F.col(by) if by else F.lit(0)
+    positions = positions.select("id", "u", "v", "offset", group.alias("grp"))
+    ends = positions.join(arcs, ["u", "v"]).select("id", "grp", F.explode(F.array(F.struct(F.col("u").alias("node"), F.col("offset").alias("o")), F.struct(F.col("v").alias("node"), (F.col("length") - F.col("offset")).alias("o")))).alias("e")).select("id", "grp", "e.node", "e.o")
+    ends = cut(ends.filter(F.col("o") <= radius).groupBy("id", "grp", "node").agg(F.min("o").alias("o")))
+    # groups meet at a pair of nodes once, however many of their positions lie there
+    starts = ends.select("node").distinct()
+    reach = (bounded_distances(arcs, vertices, starts, radius) if vertices is not None else distances(arcs, starts, radius)).select("source", F.col("node").alias("target"), "d")
     a, b = ends.alias("a"), ends.alias("b")
-    via = a.join(reach, F.col("a.node") == F.col("source")).join(b, F.col("b.node") == F.col("target")).filter(F.col("a.id") < F.col("b.id")).select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (F.col("a.o") + F.col("d") + F.col("b.o")).alias("d"))
+    via = a.join(reach, F.col("a.node") == F.col("source")).join(b, (F.col("b.node") == F.col("target")) & (F.col("a.grp") == F.col("b.grp"))).filter((F.col("a.id") < F.col("b.id")) & (F.col("a.o") + F.col("d") + F.col("b.o") <= radius))
+    via = via.select(F.col("a.grp").alias("grp"), F.col("a.id").alias("a"), F.col("b.id").alias("b"), (F.col("a.o") + F.col("d") + F.col("b.o")).alias("d"))
     p, q = positions.alias("p"), positions.alias("q")
-    same = p.join(q, (F.col("p.u") == F.col("q.u")) & (F.col("p.v") == F.col("q.v")) & (F.col("p.id") < F.col("q.id"))).select(F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.abs(F.col("p.offset") - F.col("q.offset")).alias("d"))
-    return via.unionByName(same).filter(F.col("d") <= radius).groupBy("a", "b").agg(F.min("d").alias("d"))
+    same = p.join(q, (F.col("p.u") == F.col("q.u")) & (F.col("p.v") == F.col("q.v")) & (F.col("p.grp") == F.col("q.grp")) & (F.col("p.id") < F.col("q.id"))).select(F.col("p.grp").alias("grp"), F.col("p.id").alias("a"), F.col("q.id").alias("b"), F.abs(F.col("p.offset") - F.col("q.offset")).alias("d"))
+    pairs = via.unionByName(same).filter(F.col("d") <= radius).groupBy("grp", "a", "b").agg(F.min("d").alias("d"))
+    return pairs.withColumnRenamed("grp", by) if by else pairs.drop("grp")
 
 
 def one_median(reach: DataFrame, demand: DataFrame) -> DataFrame:
@@ -130,18 +195,22 @@ def nearest_owner(reach: DataFrame, centers: DataFrame) -> DataFrame:
 
 
 def ego_network(edges: DataFrame, start: str, depth: int, most: int = 300) -> DataFrame:
-    """(node, depth) found breadth first from a node, ring by ring, each ring in order of node, up to ``most``."""
+    """(node, depth, truncated) found breadth first from a node, ring by ring, each ring in order of node.
+
+    At most ``most`` nodes come out; ``truncated`` tells in every row whether there were more.
+    """
     links = cut(edges.select("u", "v").union(edges.select("v", "u")).distinct())
     found = edges.sparkSession.createDataFrame([(start, 0)], "node string, depth int")
-    ring = found
+    ring, truncated = found, False
     for k in range(1, depth + 1):
-        fresh = ring.join(links, ring["node"] == links["u"]).select(F.col("v").alias("node")).distinct().join(found, "node", "left_anti")
-        room = most - found.count()
-        ring = cut(fresh.orderBy("node").limit(max(0, room)).select("node", F.lit(k).alias("depth")))
+        fresh = cut(ring.join(links, ring["node"] == links["u"]).select(F.col("v").alias("node")).distinct().join(found, "node", "left_anti"))
+        room = max(0, most - found.count())
+        truncated = truncated or fresh.limit(room + 1).count() > room
+        ring = cut(fresh.orderBy("node").limit(room).select("node", F.lit(k).alias("depth")))
         if ring.isEmpty():
             break
         found = cut(found.unionByName(ring))
-    return found
+    return found.withColumn("truncated", F.lit(truncated))
 
 
 def distinct_positions(snapped: DataFrame) -> DataFrame:
@@ -153,19 +222,33 @@ def distinct_positions(snapped: DataFrame) -> DataFrame:
     return first.join(places, ["u", "v", "offset"]).select("id", (F.col("position") + 1).cast("int").alias("position"), "representative")
 
 
+def shortest_paths(arcs: DataFrame, reach: DataFrame, targets: DataFrame) -> DataFrame:
+    """(source, target, seq, node): a shortest path to every target (source, target) that is reached.
+
+    Every node's predecessor is the smallest node over a tight arc.  Paths are unfolded by doubling: after
+    round k the table holds 2^k steps of every path, and the jumps are 2^k steps long.
+    """
+    d = cut(reach.select("source", "node", "d"))
+    tight = d.select("source", F.col("node").alias("s"), F.col("d").alias("ds")).join(both_ways(arcs), "s").join(d.select("source", F.col("node").alias("t"), F.col("d").alias("dt")), ["source", "t"])
+    closes = (F.abs(F.col("ds") + F.col("length") - F.col("dt")) <= 1e-9 * F.greatest(F.lit(1.0), F.col("dt"))) & (F.col("ds") < F.col("dt"))
+    jump = cut(tight.filter(closes).groupBy("source", F.col("t").alias("node")).agg(F.min("s").alias("to")))
+    held = cut(targets.select("source", "target").distinct().join(d.select("source", F.col("node").alias("target")), ["source", "target"], "left_semi").select("source", "target", F.lit(0).alias("back"), F.col("target").alias("node")))
+    step = 1
+    while True:
+        more = cut(held.join(jump, ["source", "node"]).select("source", "target", (F.col("back") + step).alias("back"), F.col("to").alias("node")))
+        if more.isEmpty():
+            break
+        held = cut(held.unionByName(more))
+        jump = cut(jump.join(jump.select("source", F.col("node").alias("to"), F.col("to").alias("far")), ["source", "to"]).select("source", "node", F.col("far").alias("to")))
+        step *= 2
+    longest = held.groupBy("source", "target").agg(F.max("back").alias("most"))
+    return held.join(longest, ["source", "target"]).select("source", "target", (F.col("most") - F.col("back")).cast("int").alias("seq"), "node")
+
+
 def shortest_path(arcs: DataFrame, reach: DataFrame, source: int, target: int) -> DataFrame:
-    """(seq, node) of a shortest path, walked back from the target over tight arcs; ties to the smaller node."""
-    d = cut(reach.filter(F.col("source") == source).select("node", "d"))
-    tight = both_ways(arcs).join(d.select(F.col("node").alias("s"), F.col("d").alias("ds")), "s").join(d.select(F.col("node").alias("t"), F.col("d").alias("dt")), "t")
-    before = cut(tight.filter(F.abs(F.col("ds") + F.col("length") - F.col("dt")) <= 1e-9 * F.greatest(F.lit(1.0), F.col("dt"))).groupBy("t").agg(F.min("s").alias("p")))
-    path, at = [target], target
-    while at != source:
-        found = before.filter(F.col("t") == at).select("p").limit(1).collect()
-        if not found:
-            return arcs.sparkSession.createDataFrame([], "seq int, node long")
-        at = found[0][0]
-        path.append(at)
-    return arcs.sparkSession.createDataFrame(list(enumerate(reversed(path))), "seq int, node long")
+    """(seq, node) of a shortest path from source to target; no rows where there is none."""
+    wanted = arcs.sparkSession.createDataFrame([(source, target)], "source long, target long")
+    return shortest_paths(arcs, reach.filter(F.col("source") == source), wanted).select("seq", "node")
 
 
 def distance_violations(edges: DataFrame, reach: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from terralane.functions.text import institution_key
+from terralane.operators import clustering as cl
 from terralane.operators import network as nw
 from terralane.operators import reconcile as rc
 from terralane.session import table as t
@@ -49,6 +51,37 @@ def snapped(s, d):
     return nw.snap(spots(s, d), a, v, 60.0), v, a
 
 
+def roads(s, d):
+    """A network over the localities: per province a way through its localities from west to east, and one through all from south to north."""
+    k = 111_195.0
+    mid = lambda c: (F.col(f"min_{c}") + F.col(f"max_{c}")) / 2
+    spots = t(s, d, "area_localities").select("province", (mid("lon") * F.cos(F.radians(F.lit(9.0))) * k).alias("x"), (mid("lat") * k).alias("y"), F.col("locality_id").alias("seq"), mid("lon").alias("lon"), mid("lat").alias("lat"))
+    along = spots.select(F.concat(F.lit("p"), F.coalesce("province", F.lit(""))).alias("way"), F.row_number().over(W.partitionBy("province").orderBy("lon", "seq")).alias("seq"), "x", "y")
+    # as many rows as there are localities
+    across = spots.select(F.lit("all").alias("way"), F.row_number().over(W.partitionBy(F.lit(1)).orderBy("lat", "seq")).alias("seq"), "x", "y")
+    return nw.network_from_lines(along.unionByName(across))
+
+
+def on_roads(s, d):
+    """Places of the second source snapped to the roads over the localities."""
+    from terralane.plans.classes import spots as metres
+
+    v, a = roads(s, d)
+    rows = metres(s, d)
+    on = nw.snap(rows.select("id", "x", "y"), a, v, 30_000.0)
+    return on.join(rows.select("id", "type"), "id"), v, a
+
+
+def c06(s, d):
+    on, v, a = on_roads(s, d)
+    return cl.cluster_on_network(on.select("type", "id", "u", "v", "offset"), a, v, 40_000.0, 4, 2).select("type", "id", "cluster", F.round("membership", 6).alias("membership"))
+
+
+def n06_roads(s, d):
+    on, v, a = on_roads(s, d)
+    return nw.neighbour_graph(a, on.select("type", "id", "u", "v", "offset"), 4_000.0, v, by="type").select("type", "a", "b", F.round("d", 3).alias("d"))
+
+
 def n03(s, d):
     on, _, a = snapped(s, d)
     parts = nw.split_arcs(a, on)
@@ -91,6 +124,8 @@ QUERIES = {
     "n03_split_arcs": n03,
     "n04_distances": n04,
     "n06_neighbour_graph": lambda s, d: (lambda on, v, a: nw.neighbour_graph(a, on.select("id", "u", "v", "offset"), 150.0))(*snapped(s, d)).select("a", "b", F.round("d", 6).alias("d")),
+    "n06_neighbours_on_roads": n06_roads,
+    "c06_network_clusters": c06,
     "n07_one_median": n07,
     "n09_nearest_owner": n09,
     "n11_ego_network": n11,
@@ -112,5 +147,5 @@ ORACLE = {
     "n04_distances": f"WITH {_LAT} SELECT a.id AS source, b.id AS node, CAST((abs(a.i - b.i) + abs(a.j - b.j)) * {GAP} AS DOUBLE) AS d FROM g a, g b WHERE a.id IN (0, 45)",
     "n07_one_median": f"WITH {_LAT}, c AS (SELECT m.id % 3 AS cluster, b.id AS node, sum((abs(m.i - b.i) + abs(m.j - b.j)) * {GAP}) AS cost FROM g m, g b WHERE m.id % 11 = 3 GROUP BY 1, 2) SELECT cluster, node, CAST(cost AS DOUBLE) AS cost FROM c QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY cost, node) = 1",
     "n09_nearest_owner": f"WITH {_LAT}, k AS (SELECT * FROM (VALUES (5, 1), (100, 2), (190, 3)) v(c, cluster)) SELECT b.id AS node, cluster, CAST((abs(a.i - b.i) + abs(a.j - b.j)) * {GAP} AS DOUBLE) AS d FROM g b, k JOIN g a ON a.id = c QUALIFY row_number() OVER (PARTITION BY b.id ORDER BY d, cluster) = 1",
-    "n11_ego_network": "WITH e AS (SELECT DISTINCT 'p' || (l_partkey % 200) AS u, 's' || l_suppkey AS v FROM lineitem), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r1 AS (SELECT DISTINCT v AS node FROM b WHERE u = 'p7'), r2 AS (SELECT DISTINCT v AS node FROM b WHERE u IN (SELECT node FROM r1) AND v <> 'p7' AND v NOT IN (SELECT node FROM r1)), a AS (SELECT 'p7' AS node, 0 AS depth UNION ALL SELECT node, 1 FROM r1 UNION ALL SELECT node, 2 FROM r2) SELECT node, depth FROM a QUALIFY row_number() OVER (ORDER BY depth, node) <= 300",
+    "n11_ego_network": "WITH e AS (SELECT DISTINCT 'p' || (l_partkey % 200) AS u, 's' || l_suppkey AS v FROM lineitem), b AS (SELECT u, v FROM e UNION SELECT v, u FROM e), r1 AS (SELECT DISTINCT v AS node FROM b WHERE u = 'p7'), r2 AS (SELECT DISTINCT v AS node FROM b WHERE u IN (SELECT node FROM r1) AND v <> 'p7' AND v NOT IN (SELECT node FROM r1)), a AS (SELECT 'p7' AS node, 0 AS depth UNION ALL SELECT node, 1 FROM r1 UNION ALL SELECT node, 2 FROM r2) SELECT node, depth, (SELECT count(*) FROM a) > 300 AS truncated FROM a QUALIFY row_number() OVER (ORDER BY depth, node) <= 300",
 }

@@ -1,7 +1,8 @@
 import numpy as np
 import pytest
 
-from terralane.operators.clustering import cell_budget, cluster_by_type, core_distances, gap_refinement, grid_cells, medoids, seed_of, territories, territory_areas
+from terralane.operators import network as nw
+from terralane.operators.clustering import cell_budget, cluster_by_type, cluster_on_network, core_distances, hdbscan, gap_refinement, grid_cells, medoids, seed_of, territories, territory_areas
 
 
 def frame(spark, rows):
@@ -57,3 +58,60 @@ def test_territories_conserve_area(spark):
     assert sum(areas.values()) == pytest.approx(80.0) and set(areas) == {0, 1}
     size = cell_budget(1000, 1000, 1.0, 10_000)
     assert -(-1000 // size) ** 2 <= 10_000 and cell_budget(10, 10, 1.0, 1000) == 1.0
+
+
+def snapped(spark, lines, points):
+    v, a = nw.network_from_lines(spark.createDataFrame(lines, "way string, seq int, x double, y double"))
+    rows = spark.createDataFrame([(t, int(i), float(x), float(y)) for t, i, x, y in points], "type string, id long, x double, y double")
+    return nw.snap(rows, a, v, 50.0).join(rows.select("id", "type"), "id").select("type", "id", "u", "v", "offset"), v, a
+
+
+def test_two_clusters_on_one_road(spark):
+    points = [("A", i, x, 0.0) for i, x in enumerate((1, 2, 3, 4, 5, 95, 96, 97, 98, 99))]
+    for some in (points, points[::-1]):
+        on, v, a = snapped(spark, [("w", 0, 0.0, 0.0), ("w", 1, 100.0, 0.0)], some)
+        got = {r.id: (r.cluster, r.membership) for r in cluster_on_network(on, a, v, 100.0, 3, 2, steps=1).collect()}
+        assert [got[i][0] for i in range(10)] == [0] * 5 + [1] * 5 and all(m == pytest.approx(1.0) for _, m in got.values())
+
+
+def brute(points, way, radius, size, samples):
+    """Clusters of one type by the same rules from all pairs of the full radius."""
+    ids = sorted(points)
+    i, j, d = zip(*[(x, y, way(points[ids[x]], points[ids[y]])) for x in range(len(ids)) for y in range(x + 1, len(ids)) if way(points[ids[x]], points[ids[y]]) <= radius] or [((), (), ())])
+    labels, _ = hdbscan(len(ids), np.array(i, int), np.array(j, int), np.array(d, float), np.ones(len(ids)), size, samples)
+    return dict(zip(ids, labels.tolist()))
+
+
+def test_clusters_follow_the_roads(spark):
+    """Two parallel roads joined at one end: what is near in a straight line is far along the network."""
+    rng = np.random.default_rng(4)
+    lines = [("w", 0, 0.0, 0.0), ("w", 1, 200.0, 0.0), ("w", 2, 200.0, 10.0), ("w", 3, 0.0, 10.0)]
+    points = {k: (float(c + rng.normal() * 3), float(y)) for k, (c, y) in enumerate([(40, 0)] * 12 + [(40, 10)] * 12 + [(150, 0)] * 12 + [(100, 10)] * 3)}
+    place = lambda p: p[0] if p[1] < 5 else 410 - p[0]
+    want = brute(points, lambda p, q: abs(place(p) - place(q)), 60.0, 5, 3)
+    on, v, a = snapped(spark, lines, [("A", k, *p) for k, p in points.items()] + [("B", 1000 + k, *p) for k, p in points.items()])
+    got = {r.id: r.cluster for r in cluster_on_network(on, a, v, 60.0, 5, 3, steps=0).collect()}
+    assert {k: got[k] for k in points} == want and {k: got[1000 + k] for k in points} == want
+    assert len({c for c in want.values() if c >= 0}) >= 3 and want[0] != want[12]
+
+
+def test_bounded_searches_and_paths(spark):
+    rng = np.random.default_rng(6)
+    lines = [(f"r{k}", i, i * 100.0, k * 100.0) for k in range(6) for i in range(6)] + [(f"c{k}", i, k * 100.0, i * 100.0) for k in range(6) for i in range(6) if not (k == 3 and i > 3)]
+    v, a = nw.network_from_lines(spark.createDataFrame(lines, "way string, seq int, x double, y double"))
+    sources = spark.createDataFrame([(int(n),) for n in rng.choice(36, 9, replace=False)], "node long")
+    for limit in (0.0, 150.0, 420.0):
+        near = {tuple(r) for r in nw.bounded_distances(a, v, sources, limit).collect()}
+        assert near == {tuple(r) for r in nw.distances(a, sources, limit).collect()}
+    reach = nw.distances(a, sources)
+    targets = sources.withColumnRenamed("node", "source").crossJoin(spark.createDataFrame([(0,), (35,), (999,)], "target long"))
+    d = {(r.source, r.node): r.d for r in reach.collect()}
+    paths = {}
+    for r in nw.shortest_paths(a, reach, targets).collect():
+        paths.setdefault((r.source, r.target), []).append((r.seq, r.node))
+    assert len(paths) == 18
+    length = {(r.u, r.v): r.length for r in a.collect()}
+    for (source, target), steps in paths.items():
+        nodes = [n for _, n in sorted(steps)]
+        assert nodes[0] == source and nodes[-1] == target and [k for k, _ in sorted(steps)] == list(range(len(nodes)))
+        assert sum(length[min(x, y), max(x, y)] for x, y in zip(nodes, nodes[1:])) == pytest.approx(d[source, target])
