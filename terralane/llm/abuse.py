@@ -15,6 +15,7 @@ document's score is the score of its worst sentence.
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 from collections import Counter
@@ -280,7 +281,7 @@ class Features:
                 out.add(n)
         if (n := self.marks.get(self.length(words))) is not None:
             out.add(n)
-        return sorted(out)
+        return list(out)
 
 
 def categories(rows: list[np.ndarray], width: int, starts: np.ndarray, weight: np.ndarray, folds: np.ndarray) -> np.ndarray:
@@ -407,7 +408,7 @@ class Chain:
         """(sentences, categories and score): the models of the chain one after another over all sentences at once."""
         sizes = np.array([len(r) for r in rows], int)
         at = np.repeat(np.arange(len(rows)), sizes)
-        columns = np.fromiter((n for r in rows for n in r), np.int64, int(sizes.sum()))
+        columns = np.fromiter(itertools.chain.from_iterable(rows), np.int64, int(sizes.sum()))
         out = np.zeros((len(rows), len(self.weights)))
         steps: list[np.ndarray] = []
         for j, w in enumerate(self.weights):
