@@ -175,7 +175,7 @@ QUERIES = {
 
 from terralane.plans.classes import _BASKET, _TREE  # noqa: E402
 from terralane.plans.economy import _EDGES  # noqa: E402
-from terralane.plans.places import _KEY  # noqa: E402
+from terralane.plans.places import _KEY, _SNAP  # noqa: E402
 from terralane.plans.publishing import _MX, _MY  # noqa: E402
 
 _FOLD = "trim(regexp_replace(strip_accents(replace(lower(CASE WHEN lower(trim(coalesce({c}, ''))) IN ('', 'none', 'null', 'nan', 'n/a', 'na', 'unknown') THEN '' ELSE trim({c}) END), '&', ' and ')), '[^a-z0-9]+', ' ', 'g'))"
@@ -183,6 +183,9 @@ _T18 = "br AS (SELECT DISTINCT c AS code, CASE WHEN split_part(b, '/', 2) LIKE '
 _C01 = "cp AS (SELECT l_suppkey AS a, l_partkey AS b, min(l_quantity) AS d FROM lineitem GROUP BY 1, 2), co AS (SELECT a, min(CASE WHEN n >= 7 THEN d END) AS core FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d, b) AS n FROM cp) GROUP BY 1)"
 ORACLE = {
     "j17_verified_links": "SELECT rec_id, min(rec_id) OVER (PARTITION BY source, source_id) AS first_id FROM registry_qc_official_sources WHERE source IS NOT NULL AND source_id IS NOT NULL",
+    "j10_distinct_positions": f"WITH {_SNAP} SELECT id, CAST(dense_rank() OVER (ORDER BY u, v, o) AS INTEGER) AS position, first_value(id) OVER (PARTITION BY u, v, o ORDER BY distance, id) AS representative FROM sn",
+    "q04_connections": f"WITH {_EDGES}, e AS (SELECT * FROM uv WHERE u <> v), b AS (SELECT u AS node, v AS other, w FROM e UNION ALL SELECT v, u, w FROM e) SELECT other, round(max(w), 9) AS strength FROM b WHERE node = '00/0' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3",
+    "snk08_contract": "WITH p AS (SELECT l_orderkey AS edge, l_linenumber AS seq, sum(l_quantity) AS length FROM lineitem GROUP BY 1, 2), q AS (SELECT *, edge * 10 + row_number() OVER (PARTITION BY edge ORDER BY seq) AS u FROM p), r AS (SELECT *, sum(CASE WHEN u % 3 = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY edge ORDER BY seq) AS g FROM q) SELECT edge, CAST(g AS BIGINT) AS g, min(u) AS u, max(u) + 1 AS v, sum(length) AS length FROM r GROUP BY 1, 2",
     "t03_level_report": f"WITH {_TREE} SELECT 0 AS level, count(DISTINCT a) AS codes, 0 AS leaves FROM leaf UNION ALL SELECT 1, count(DISTINCT b), 0 FROM leaf UNION ALL SELECT 2, count(DISTINCT c), count(DISTINCT c) FROM leaf",
     "t12_subtree_sets": f"WITH {_TREE}, l AS (SELECT 1 AS id, code FROM paths WHERE ancestor = 'PROMO' UNION SELECT 2, code FROM paths WHERE ancestor = 'LARGE/Brand#11'), r AS (SELECT 1 AS id, code FROM paths WHERE ancestor = 'PROMO/Brand#12' UNION SELECT 2, code FROM paths WHERE ancestor = 'SMALL/Brand#13') SELECT coalesce(l.id, r.id) AS id, coalesce(l.code, r.code) AS code, CASE WHEN l.id IS NOT NULL AND r.id IS NOT NULL THEN 'both' WHEN l.id IS NOT NULL THEN 'left' ELSE 'right' END AS relation FROM l FULL JOIN r ON l.id = r.id AND l.code = r.code",
     "t18_nearest_bridge": f"WITH {_TREE}, {_T18} SELECT * FROM br",

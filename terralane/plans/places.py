@@ -136,7 +136,11 @@ _KEY = "trim(regexp_replace(replace(replace(replace(replace(' ' || trim(regexp_r
 _J12 = f"""p AS (SELECT rec_id AS id, {_KEY.format(c='name_of_health_facility')} AS key, lower(trim(municipality)) AS city FROM philhealth_level3), r AS (SELECT rec_id AS entry, {_KEY.format(c='name')} AS key, lower(trim(city)) AS entry_city FROM registry_qc_official_sources),
  c AS (SELECT id, count(DISTINCT CASE WHEN coalesce(city, '') = '' OR coalesce(entry_city, '') = '' OR city = entry_city THEN entry END) AS good, count(DISTINCT entry) AS n FROM p LEFT JOIN r ON p.key = r.key AND r.key <> '' GROUP BY 1),
  m AS (SELECT id, CASE WHEN n = 0 THEN 'NONE' WHEN good = 1 THEN 'MATCH' WHEN good > 1 THEN 'AMBIGUOUS' ELSE 'CONFLICT' END AS status, n FROM c)"""
+#: Parts snapped to the lattice: the nearer of the two kinds of roads, never at the same distance.
+_SNAP = f"""sp AS (SELECT p_partkey AS id, p_partkey * 37 % 1300 + 0.25 AS x, p_partkey * 53 % 1290 + 7.0 AS y FROM part), sd AS (SELECT *, abs(x - round(x / {GAP}) * {GAP}) AS dx, abs(y - round(y / {GAP}) * {GAP}) AS dy FROM sp),
+ sn AS (SELECT id, CAST(CASE WHEN dx < dy THEN round(x / {GAP}) * {SIDE} + floor(y / {GAP}) ELSE floor(x / {GAP}) * {SIDE} + round(y / {GAP}) END AS BIGINT) AS u, CAST(CASE WHEN dx < dy THEN round(x / {GAP}) * {SIDE} + floor(y / {GAP}) + 1 ELSE (floor(x / {GAP}) + 1) * {SIDE} + round(y / {GAP}) END AS BIGINT) AS v, CASE WHEN dx < dy THEN y - floor(y / {GAP}) * {GAP} ELSE x - floor(x / {GAP}) * {GAP} END AS o, least(dx, dy) AS distance FROM sd)"""
 ORACLE = {
+    "n03_split_arcs": f"WITH {_LAT}, {_SNAP}, ar AS (SELECT a.id AS u, b.id AS v FROM g a JOIN g b ON (b.i = a.i + 1 AND b.j = a.j) OR (b.i = a.i AND b.j = a.j + 1)) SELECT ar.u, ar.v, count(DISTINCT o) + 1 AS parts, CAST({GAP} AS DOUBLE) AS length FROM ar LEFT JOIN sn ON sn.u = ar.u AND sn.v = ar.v AND o > 0 AND o < {GAP} GROUP BY 1, 2",
     "j08_provinces": "SELECT province, count(*) AS localities, array_to_string(list_sort(list(DISTINCT psgc)), '|') AS codes, min(min_lon) AS min_lon, min(min_lat) AS min_lat, max(max_lon) AS max_lon, max(max_lat) AS max_lat FROM area_localities GROUP BY 1",
     "j12_registry_match": f"WITH {_J12} SELECT * FROM m",
     "j16_layered": f"WITH {_J12} SELECT id, CASE WHEN status = 'MATCH' AND id % 2 = 0 THEN 'AMBIGUOUS' ELSE status END AS status FROM m",
