@@ -234,6 +234,18 @@ def _inside(pieces: list[list[np.ndarray]], x: np.ndarray, y: np.ndarray) -> np.
     return odd
 
 
+def _on_border(pieces: list[list[np.ndarray]], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether points lie on an edge of any ring."""
+    on = np.zeros(len(x), bool)
+    for piece in pieces:
+        for ring in piece:
+            x0, y0, x1, y1 = ring[:-1, 0], ring[:-1, 1], ring[1:, 0], ring[1:, 1]
+            cross = (x1 - x0)[None, :] * (y[:, None] - y0[None, :]) - (y1 - y0)[None, :] * (x[:, None] - x0[None, :])
+            span = (np.minimum(x0, x1)[None, :] <= x[:, None]) & (x[:, None] <= np.maximum(x0, x1)[None, :]) & (np.minimum(y0, y1)[None, :] <= y[:, None]) & (y[:, None] <= np.maximum(y0, y1)[None, :])
+            on |= ((cross == 0) & span).any(axis=1)
+    return on
+
+
 def contained(regions: list[tuple[int, tuple, list]], x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row numbers, regions) of all points inside prepared regions."""
     rows, ids = [], []
@@ -311,3 +323,53 @@ def points_in_regions(points: DataFrame, regions: DataFrame, key: str = "rec_id"
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(3).take(rows)], names=[key, region_key])
 
     return joined.mapInArrow(test, schema)
+
+
+def assigned_regions(points: DataFrame, regions: DataFrame, key: str = "rec_id", region_key: str = "locality_id", geometry: str = "geometry") -> DataFrame:
+    """``(key, region_key, relation, regions)``: one region per point, with the number of regions that came into question.
+
+    A region with the point inside, not on its border, is ``within``; where there is none, regions whose
+    border the point touches are ``touches``.  Of several the smallest ``region_key`` is taken, and ``regions``
+    above 1 marks the assignment as ambiguous.  Points that meet no region do not appear.  A point on a
+    border lies in a box of a region as well, so both relations come from the points of the regions' boxes.
+    """
+    boxes = points.select(F.col(key).alias("k"), "lat", "lon")
+    shapes = regions.select(F.col(region_key).cast("long").alias("region"), F.col(geometry).alias("wkb")).filter(F.col("wkb").isNotNull())
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for region, wkb in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if (p := prepare_region(region, wkb)) is not None:
+                    x0, y0, x1, y1 = map(float, p[1])
+                    ring = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+                    # a box a little larger than the region, so that its border lies inside
+                    grow = 1e-9 + 1e-12 * max(abs(v) for v in p[1])
+                    ring = [(a + (grow if a == x1 else -grow), b + (grow if b == y1 else -grow)) for a, b in ring]
+                    frame = struct.pack("<BIII", 1, 3, 1, 5) + b"".join(struct.pack("<dd", *q) for q in ring)
+                    yield pa.RecordBatch.from_arrays([pa.array([region], pa.int64()), pa.array([frame], pa.binary())], names=["region", "frame"])
+
+    framed = shapes.mapInArrow(frames, "region long, frame binary")
+    near = points_in_regions(boxes, framed, "k", "region", "frame").join(boxes, "k").join(shapes, "region")
+
+    def relate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[int, tuple | None] = {}
+        for batch in batches:
+            ids, x, y = batch.column(1).to_numpy(zero_copy_only=False), _floats(batch.column(3)), _floats(batch.column(2))
+            inside, border = np.zeros(len(x), bool), np.zeros(len(x), bool)
+            for region in np.unique(ids):
+                at = np.flatnonzero(ids == region)
+                if region not in memo:
+                    if len(memo) > 1000:
+                        memo.clear()
+                    memo[region] = prepare_region(int(region), batch.column(4)[int(at[0])].as_py())
+                for part in range(0, len(at), 4096):
+                    some = at[part : part + 4096]
+                    border[some] = _on_border(memo[region][2], x[some], y[some])
+                    inside[some] = _inside(memo[region][2], x[some], y[some])
+            hit = np.flatnonzero(inside | border)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(hit)), batch.column(1).take(pa.array(hit)), pa.array(border[hit])], names=["k", "region", "border"])
+
+    met = near.select("k", "region", "lat", "lon", "wkb").mapInArrow(relate, "k long, region long, border boolean")
+    first = met.groupBy("k", "border").agg(F.min("region").alias("region"), F.count(F.lit(1)).alias("regions"))
+    best = first.groupBy("k").agg(F.min(F.struct("border", "region", "regions")).alias("b"))
+    return best.select(F.col("k").alias(key), F.col("b.region").alias(region_key), F.when(F.col("b.border"), "touches").otherwise("within").alias("relation"), F.col("b.regions").alias("regions"))

@@ -110,12 +110,13 @@ def r19(s, d):
 
 
 def r20(s, d):
-    from terralane.operators.proximity import points_in_regions, positions
+    """One locality per place: that which holds it, else one whose border it touches, the smallest code first."""
+    from terralane.operators.proximity import assigned_regions, positions
 
-    spots = positions(t(s, d, "places"))
-    inside = points_in_regions(spots, t(s, d, "area_localities"))
-    names = t(s, d, "area_localities").select("locality_id", "psgc", "area_slug")
-    return rel.first_per_key(inside.join(names, "locality_id"), ["rec_id"], [F.col("psgc"), F.col("area_slug")]).select("rec_id", "psgc")
+    regions = t(s, d, "area_localities").select("locality_id", "psgc", "geometry")
+    order = rel.numbered(regions.select("psgc", "locality_id"), ["psgc", "locality_id"], "at").select("locality_id", "psgc", F.col("at").cast("long").alias("at"))
+    found = assigned_regions(positions(t(s, d, "places")), regions.join(order.select("locality_id", "at"), "locality_id"), region_key="at")
+    return found.join(order, "at").select("rec_id", "psgc", "relation", "regions")
 
 
 def r21(s, d):

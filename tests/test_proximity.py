@@ -64,3 +64,20 @@ def test_regions(spark):
     want = [(1, 1), (2, 2), (3, 2)]
     assert sorted(map(tuple, points_in_regions(points, regions).collect())) == want
     assert sorted(map(tuple, points_in_regions(points, regions, region_bytes=0).collect())) == want
+
+
+def test_one_region_per_point(spark):
+    import struct
+
+    from terralane.operators.proximity import assigned_regions
+
+    def box(x0, y0, x1, y1):
+        points = [(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]
+        return bytearray(struct.pack("<BIII", 1, 3, 1, 5) + b"".join(struct.pack("<dd", *p) for p in points))
+
+    regions = spark.createDataFrame([(1, box(0, 0, 2, 2)), (2, box(2, 0, 4, 2)), (3, box(1, 1, 2, 2)), (4, None)], "locality_id long, geometry binary")
+    spots = [(1, 0.5, 0.5), (2, 2.0, 0.5), (3, 1.5, 1.5), (4, 4.0, 2.0), (5, 9.0, 9.0), (6, 0.0, 0.0), (7, 1.0, 1.5), (8, None, None)]
+    points = spark.createDataFrame([(k, y, x) for k, x, y in spots], "rec_id long, lat double, lon double")
+    got = {r.rec_id: (r.locality_id, r.relation, r.regions) for r in assigned_regions(points, regions).collect()}
+    assert got == {1: (1, "within", 1), 2: (1, "touches", 2), 3: (1, "within", 2), 4: (2, "touches", 1), 6: (1, "touches", 1), 7: (1, "within", 1)}
+    assert assigned_regions(points.limit(0), regions).count() == 0
