@@ -31,9 +31,9 @@ def test_sheet_block_and_tags(spark):
     assert rd.transaction_block(sheet, 2) == (2, 1) and rd.total_output_column(sheet[1]) == 3
     with pytest.raises(ValueError):
         rd.transaction_block([["A", "B"]], 2)
-    df = spark.sql("SELECT map('amenity', 'cafe', 'cuisine', 'local') a, map('railway', 'rail') b, CAST(null AS map<string,string>) c")
-    r = df.select(rd.is_poi(df.a).alias("x"), rd.is_poi(df.b).alias("y"), rd.is_poi(df.c).alias("z"), rd.category_text(df.a).alias("t")).first()
-    assert (r.x, r.y, r.z, r.t) == (True, False, False, "amenity=cafe | cuisine=local")
+    df = spark.sql("SELECT map('name', 'n', 'amenity', 'cafe', 'cuisine', 'local') a, map('name', 'n', 'railway', 'rail') b, CAST(null AS map<string,string>) c, map('amenity', 'cafe') d")
+    r = df.select(rd.is_poi(df.a).alias("x"), rd.is_poi(df.b).alias("y"), rd.is_poi(df.c).alias("z"), rd.is_poi(df.d).alias("unnamed"), rd.category_text(df.a).alias("t")).first()
+    assert (r.x, r.y, r.z, r.unnamed, r.t) == (True, False, False, False, "amenity=cafe | cuisine=local")
 
 
 def test_manifest(spark, tmp_path):
