@@ -281,7 +281,7 @@ class Features:
                 out.add(n)
         if (n := self.marks.get(self.length(words))) is not None:
             out.add(n)
-        return list(out)
+        return sorted(out)
 
 
 def categories(rows: list[np.ndarray], width: int, starts: np.ndarray, weight: np.ndarray, folds: np.ndarray) -> np.ndarray:
