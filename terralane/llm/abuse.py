@@ -321,15 +321,17 @@ def fit(rows: list[np.ndarray], width: int, y: np.ndarray, weight: np.ndarray, l
     sizes = np.array([len(r) for r in rows])
     at = np.repeat(np.arange(len(rows)), sizes)
     columns = np.concatenate(rows) if len(rows) else np.zeros(0, np.int64)
-    w, v = np.zeros(width + 1), np.zeros(width + 1)
+    w, v, k = np.zeros(width + 1), np.zeros(width + 1), 0
     total = np.bincount(columns, weight[at], width)
     curvature = np.append(total * 0.25, weight.sum() * 0.25) * np.sqrt(max(1.0, sizes.mean() if len(sizes) else 1.0)) + l2
-    for k in range(rounds):
+    for _ in range(rounds):
         look = w + k / (k + 3) * v
         z = np.bincount(at, look[columns], len(rows)) + look[-1]
         g = weight * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
         grad = np.append(np.bincount(columns, g[at], width), g.sum()) + l2 * np.append(look[:-1], 0.0)
         new = look - grad / curvature
+        # the momentum starts anew where it leads uphill; otherwise rounding grows into other weights
+        k = 0 if grad @ (new - w) > 0 else k + 1
         v, w = new - w, new
     return w
 
