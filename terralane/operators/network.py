@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -63,17 +64,33 @@ def split_arcs(arcs: DataFrame, stops: DataFrame) -> DataFrame:
     return cuts.select("u", "v", "part", F.col("offset").alias("start"), (F.col("end") - F.col("offset")).alias("length"))
 
 
+#: Listed arcs up to which ``snap`` sends them to all tasks (some 80 bytes each).
+SNAP_ROWS = 200_000
+
+
+def _to_segment(x, y):
+    """Distance of (x, y) from the segment (x1, y1) - (x2, y2)."""
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - F.col("x1")) * dx + (y - F.col("y1")) * dy) / (dx * dx + dy * dy)))
+    return F.hypot(x - F.col("x1") - t * dx, y - F.col("y1") - t * dy)
+
+
 def snap(points: DataFrame, arcs: DataFrame, vertices: DataFrame, cell: float) -> DataFrame:
     """(id, u, v, offset, distance) of the nearest arc within one cell; ties by the smaller (u, v).
 
-    Points and arcs meet in grid cells: an arc is listed in every cell its box touches, a point in the
-    nine cells around it, so a nearest arc at most ``cell`` away is found.
+    Points and arcs meet in grid cells: a point is in its own cell, an arc is listed in the cells of which
+    it comes within ``cell`` of some point, so a nearest arc at most ``cell`` away is found.  The listed arcs are
+    counted: ``SNAP_ROWS`` are sent to all tasks, more are joined by cell.  The points are never sent.
     """
     a, b = vertices.select(F.col("id").alias("u"), F.col("x").alias("x1"), F.col("y").alias("y1")), vertices.select(F.col("id").alias("v"), F.col("x").alias("x2"), F.col("y").alias("y2"))
     placed = arcs.join(a, "u").join(b, "v")
-    span = lambda p, q: F.sequence(F.floor(F.least(p, q) / cell), F.floor(F.greatest(p, q) / cell))
+    span = lambda p, q: F.sequence(F.floor(F.least(p, q) / cell) - 1, F.floor(F.greatest(p, q) / cell) + 1)
     listed = placed.withColumn("gx", F.explode(span("x1", "x2"))).withColumn("gy", F.explode(span("y1", "y2")))
-    around = points.withColumn("gx", F.explode(F.array(*[F.floor(F.col("x") / cell) + i for i in (-1, 0, 1)]))).withColumn("gy", F.explode(F.array(*[F.floor(F.col("y") / cell) + i for i in (-1, 0, 1)])))
+    # a cell's points lie within half its diagonal of its middle
+    reach = _to_segment((F.col("gx") + 0.5) * cell, (F.col("gy") + 0.5) * cell)
+    listed = cut(listed.filter(~(reach > cell * (1 + math.sqrt(0.5)) * (1 + 1e-6))))
+    listed = F.broadcast(listed) if listed.limit(SNAP_ROWS + 1).count() <= SNAP_ROWS else listed.hint("shuffle_merge")
+    around = points.withColumn("gx", F.floor(F.col("x") / cell)).withColumn("gy", F.floor(F.col("y") / cell))
     met = around.join(listed, ["gx", "gy"])
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
     along = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy) / (dx * dx + dy * dy)))
