@@ -36,3 +36,14 @@ def test_points_are_never_sent_and_every_nearest_arc_is_found(spark):
         assert all("BuildRight" in line for line in sent(on)) and bool(sent(on)) == (few > 0)
         got = {r.id: r for r in on.collect()}
         assert set(got) == set(want) and all((r.u, r.v) == want[k][1:] and r.distance == pytest.approx(want[k][0]) for k, r in got.items())
+
+
+def plan_of(spark, name):
+    import __spark_entry__ as entry
+
+    return sent(entry.queries()[name](spark, DATA))
+
+
+def test_positions_of_all_parts_send_arcs_only(spark):
+    lines = plan_of(spark, "j10_distinct_positions")
+    assert lines and all("BuildRight" in line for line in lines)
