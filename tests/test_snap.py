@@ -47,3 +47,8 @@ def plan_of(spark, name):
 def test_positions_of_all_parts_send_arcs_only(spark):
     lines = plan_of(spark, "j10_distinct_positions")
     assert lines and all("BuildRight" in line for line in lines)
+
+
+def test_split_arcs_of_all_parts_send_arcs_only(spark):
+    lines = plan_of(spark, "n03_split_arcs")
+    assert lines and all("BuildRight" in line for line in lines)
