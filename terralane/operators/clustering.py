@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-import sys
 
 import numpy as np
 import pandas as pd
@@ -18,8 +17,8 @@ from pyspark.sql import functions as F
 from terralane.operators.network import neighbour_graph
 from terralane.session import cut
 
-#: Neighbour pairs of one type beyond which clustering is refused.
-MAX_PAIRS = 20_000_000
+#: Candidate pairs that are expanded at once.
+CHUNK = 2_000_000
 #: Share of points without core distance up to which the radius may stop growing.
 CORE_TRUNCATION = 0.01
 
@@ -52,7 +51,11 @@ def hdbscan(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndar
     core = core_distances(n, a, b, d, weight, min_samples)
     m = np.maximum(np.maximum(core[a], core[b]), d)
     use = np.isfinite(m)
-    a, b, m = a[use], b[use], m[use]
+    return hierarchy(n, a[use], b[use], m[use], weight, min_cluster_size, leaf, whole)
+
+
+def hierarchy(n: int, a: np.ndarray, b: np.ndarray, m: np.ndarray, weight: np.ndarray, min_cluster_size: float, leaf: bool = False, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(labels, membership) of ``hdbscan`` from mutual reachability distances m of pairs (a, b), all pairs or a spanning forest."""
     order = np.lexsort((b, a, m))
     parent = list(range(n))
     node_of = list(range(n))
@@ -100,7 +103,6 @@ def hdbscan(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndar
         return out
 
     inverse = lambda h: math.inf if h <= 0 else 1.0 / h
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 20_000))
     # parts that no listed pair joins meet at infinite distance
     tops = sorted({node_of[find(v)] for v in range(n)})
     if n:
@@ -113,10 +115,12 @@ def hdbscan(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndar
         # condensed tree: clusters (birth, stability, falling points, child clusters)
         clusters: list[dict] = []
 
-        def grow(node: int, birth: float) -> int:
+        waiting: list[tuple[int, float, list[int]]] = [(top, 0.0, [])]
+        while waiting:
+            node, birth, siblings = waiting.pop()
             me = {"birth": birth, "stability": 0.0, "fall": {}, "kids": []}
+            siblings.append(len(clusters))
             clusters.append(me)
-            at = len(clusters) - 1
             current = [node]
             while current:
                 node = current.pop()
@@ -135,11 +139,9 @@ def hdbscan(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndar
                     for c in big:
                         gain = (lam - birth) * size[c]
                         me["stability"] += gain if not math.isnan(gain) else 0.0
-                        me["kids"].append(grow(c, lam))
+                    waiting += [(c, lam, me["kids"]) for c in reversed(big)]
             me["stability"] += sum((min(v, 1e300) - birth) * weight[p] for p, v in me["fall"].items())
-            return at
 
-        grow(top, 0.0)
         chosen = [False] * len(clusters)
         best = [0.0] * len(clusters)
         for c in range(len(clusters) - 1, -1, -1):
@@ -169,38 +171,213 @@ def hdbscan(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndar
     return labels, member
 
 
-def _pairs_within(xy: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of points at most ``radius`` apart, found cell by cell."""
-    cells: dict[tuple[int, int], list[int]] = {}
-    for i, (x, y) in enumerate(np.floor(xy / radius).astype(int)):
-        cells.setdefault((x, y), []).append(i)
-    left, right, dist = [], [], []
-    total = 0
-    for (x, y), own in cells.items():
-        near = [j for i in (-1, 0, 1) for k in (-1, 0, 1) for j in cells.get((x + i, y + k), ())]
-        near = np.array(near)
-        for i in own:
-            later = near[near > i]
-            d = np.hypot(*(xy[later] - xy[i]).T)
-            keep = d <= radius
-            left.append(np.full(keep.sum(), i))
-            right.append(later[keep])
-            dist.append(d[keep])
-            total += int(keep.sum())
-            if total > MAX_PAIRS:
-                raise ValueError(f"more than {MAX_PAIRS} neighbour pairs; lower the radius")
-    if not left:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    return np.concatenate(left), np.concatenate(right), np.concatenate(dist)
+class _Cells:
+    """Points in square cells, sorted by cell; a row of cells is one stretch."""
+
+    def __init__(self, xy: np.ndarray, size: float, reach: int):
+        at = np.floor((xy - xy.min(0)) / size).astype(np.int64) + reach
+        self.span = int(at[:, 1].max()) + reach + 1
+        self.key = at[:, 0] * self.span + at[:, 1]
+        self.order = np.argsort(self.key, kind="stable")
+        self.sorted = self.key[self.order]
+
+
+def _stretches(start: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the stretch, position) of every member of the stretches."""
+    which = np.repeat(np.arange(len(count)), count)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
 
 
-def cluster_by_type(points: DataFrame, radius: float, min_cluster_size: int = 5, min_samples: int = 3, leaf: bool = False, growth: float = 1.5, steps: int = 3) -> DataFrame:
+def _portions(cost: np.ndarray):
+    """Slices of consecutive items that cost about ``CHUNK`` together, one item at least."""
+    total, done = np.cumsum(cost), 0
+    while done < len(cost):
+        stop = max(done + 1, int(np.searchsorted(total, (total[done - 1] if done else 0) + CHUNK, "right")))
+        yield slice(done, stop)
+        done = stop
+
+
+def _around(xy: np.ndarray, some: np.ndarray, radius: float):
+    """(i, j, d): for every point of ``some`` all others at most ``radius`` away, in portions of whole points."""
+    cells = _Cells(xy, radius * (1 + 1e-9), 1)
+    rows = cells.key[some][:, None] + np.array([-1, 0, 1]) * cells.span
+    start, end = np.searchsorted(cells.sorted, rows - 1, "left"), np.searchsorted(cells.sorted, rows + 1, "right")
+    for part in _portions((end - start).sum(1)):
+        which, at = _stretches(start[part].ravel(), (end - start)[part].ravel())
+        i, j = some[part][which // 3], cells.order[at]
+        d = np.hypot(*(xy[j] - xy[i]).T)
+        keep = (d <= radius) & (i != j)
+        yield i[keep], j[keep], d[keep]
+
+
+def _kruskal(n: int, a: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Numbers of the edges of a minimum spanning forest, in order of m."""
+    parent, kept = list(range(n)), []
+    order = np.lexsort((b, a, m))
+    for k, x, y in zip(order.tolist(), a[order].tolist(), b[order].tolist()):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append(k)
+    return np.array(kept, int)
+
+
+def _parts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest member of every point's part."""
+    label = np.arange(n)
+    while True:
+        low = label.copy()
+        np.minimum.at(low, label[a], label[b])
+        np.minimum.at(low, label[b], label[a])
+        low = low[low]
+        if np.array_equal(low, label):
+            return label
+        label = low
+
+
+def _closest(xy: np.ndarray, core: np.ndarray, left: np.ndarray, right: np.ndarray, limit: float) -> tuple[float, int, int] | None:
+    """(m, i, j) of the least mutual reachability of two sets, if at most ``limit``: boxes are halved, far ones skipped."""
+    best: tuple[float, int, int] | None = None
+    todo = [(0.0, left, right)]
+    while todo:
+        low, i, j = todo.pop()
+        if low > limit * (1 + 1e-12):
+            continue
+        if len(i) * len(j) <= 4096:
+            d = np.hypot(xy[i, 0][:, None] - xy[j, 0], xy[i, 1][:, None] - xy[j, 1])
+            m = np.maximum(np.maximum(core[i][:, None], core[j]), d)
+            k = int(np.argmin(m))
+            if m.flat[k] <= limit and (best is None or m.flat[k] < best[0]):
+                best = (float(m.flat[k]), int(i[k // len(j)]), int(j[k % len(j)]))
+                limit = best[0]
+            continue
+        if len(i) < len(j):
+            i, j = j, i
+        axis = int(np.argmax(np.ptp(xy[i], axis=0)))
+        half = np.argpartition(xy[i, axis], len(i) // 2)
+        parts = []
+        for some in (i[half[: len(i) // 2]], i[half[len(i) // 2 :]]):
+            gap = np.maximum(0.0, np.maximum(xy[some].min(0) - xy[j].max(0), xy[j].min(0) - xy[some].max(0)))
+            parts.append((max(float(np.hypot(*gap)), core[some].min(), core[j].min()), some, j))
+        todo += sorted(parts, key=lambda p: -p[0])
+    return best
+
+
+def mutual_forest(xy: np.ndarray, weight: np.ndarray, min_samples: float, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(core, a, b, m): core distances and a minimum spanning forest of the mutual reachability of all pairs within ``radius``.
+
+    Merges at every distance are those of the whole list of pairs, which is never made: distances double
+    from a small one to ``radius``, and of two parts that smaller distances have joined only the least
+    pair counts.  Points meet by cells so small that members of one cell are already joined.
+    """
+    n = len(xy)
+    core = np.where(weight >= min_samples, 0.0, np.inf)
+    if not n:
+        return core, np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    extent, doublings = float(np.ptp(xy, axis=0).max()), 0
+    while extent / radius * 2 ** (doublings + 1) < 2**29:
+        count = np.unique(_Cells(xy, radius / 2**doublings, 1).key, return_counts=True)[1].astype(float)
+        if (count * count).sum() <= 8 * n:
+            break
+        doublings += 1
+    steps = [radius / 2**k for k in range(doublings, -1, -1)]
+    for r in steps:
+        some = np.flatnonzero(np.isinf(core))
+        if not len(some):
+            break
+        for i, j, d in _around(xy, some, r):
+            order = np.lexsort((d, i))
+            i, j, d = i[order], j[order], d[order]
+            run = np.cumsum(weight[j])
+            first = np.searchsorted(i, i, "left")
+            reached = np.flatnonzero(run - run[first] + weight[j[first]] + weight[i] >= min_samples)
+            _, at = np.unique(i[reached], return_index=True)
+            core[i[reached[at]]] = d[reached[at]]
+
+    a, b, m = np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    for i, j, d in _around(xy, np.arange(n), steps[0]):
+        d = np.maximum(np.maximum(core[i], core[j]), d)
+        use = (i < j) & (d <= steps[0])
+        a, b, m = np.concatenate((a, i[use])), np.concatenate((b, j[use])), np.concatenate((m, d[use]))
+        kept = _kruskal(n, a, b, m)
+        a, b, m = a[kept], b[kept], m[kept]
+    for low, high in zip(steps, steps[1:]):
+        part = _parts(n, a, b)
+        active = np.flatnonzero(core <= high)
+        if len(active) and (part[active] == part[active[0]]).all():
+            continue
+        i, j, d = _joining(xy[active], core[active], part[active], low, high)
+        a, b, m = np.concatenate((a, active[i])), np.concatenate((b, active[j])), np.concatenate((m, d))
+        kept = _kruskal(n, a, b, m)
+        a, b, m = a[kept], b[kept], m[kept]
+    return core, a, b, m
+
+
+def _joining(xy: np.ndarray, core: np.ndarray, part: np.ndarray, low: float, high: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, m): of every two parts that lie at most ``high`` apart a least pair; parts are joined up to ``low``."""
+    if not len(xy):
+        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+    reach = math.ceil(high / (low * 0.7)) + 1
+    cells = _Cells(xy, low * 0.7, reach)
+    order = np.lexsort((part, cells.key))
+    key, own = cells.key[order], part[order]
+    first = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]) | (own[1:] != own[:-1]))))
+    count = np.diff(np.append(first, len(order)))
+    key, own = key[first], own[first]
+    least, most = np.minimum.reduceat(xy[order], first, axis=0), np.maximum.reduceat(xy[order], first, axis=0)
+    slow = np.minimum.reduceat(core[order], first)
+    # groups of a cell and the following cells of its window, row by row
+    g, h = [], []
+    for dx in range(reach + 1):
+        start = np.searchsorted(key, key + dx * cells.span - (reach if dx else 0), "left")
+        end = np.searchsorted(key, key + dx * cells.span + reach, "right")
+        for some in _portions(end - start):
+            which, at = _stretches(start[some], (end - start)[some])
+            x = np.arange(len(key))[some][which]
+            use = own[x] != own[at]
+            x, at = x[use], at[use]
+            gap = np.maximum(0.0, np.maximum(least[x] - most[at], least[at] - most[x]))
+            use = np.maximum(np.hypot(*gap.T), np.maximum(slow[x], slow[at])) <= high * (1 + 1e-12)
+            g.append(x[use])
+            h.append(at[use])
+    g, h = np.concatenate(g), np.concatenate(h)
+    heavy = count[g] * count[h] > 4096
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def least_of_parts() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        i, j, d = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        x, y = np.minimum(part[i], part[j]), np.maximum(part[i], part[j])
+        by = np.lexsort((j, i, d, y, x))
+        lead = by[np.flatnonzero(np.concatenate(([True], (np.diff(x[by]) != 0) | (np.diff(y[by]) != 0))))] if len(by) else by
+        return i[lead], j[lead], d[lead]
+
+    x, y = g[~heavy], h[~heavy]
+    for some in _portions(count[x] * count[y]):
+        which, at = _stretches(np.zeros(len(x[some]), int), count[x[some]] * count[y[some]])
+        width = count[y[some]][which]
+        i, j = order[first[x[some]][which] + at // width], order[first[y[some]][which] + at % width]
+        d = np.maximum(np.maximum(core[i], core[j]), np.hypot(*(xy[j] - xy[i]).T))
+        use = d <= high
+        found.append((i[use], j[use], d[use]))
+        found[:] = [least_of_parts()]
+    known = {(min(part[i], part[j]), max(part[i], part[j])): d for i, j, d in zip(*least_of_parts())} if heavy.any() else {}
+    for x, y in zip(g[heavy], h[heavy]):
+        pair = (min(own[x], own[y]), max(own[x], own[y]))
+        best = _closest(xy, core, order[first[x] : first[x] + count[x]], order[first[y] : first[y] + count[y]], known.get(pair, high))
+        if best:
+            known[pair] = best[0]
+            found.append((np.array([best[1]]), np.array([best[2]]), np.array([best[0]])))
+    return least_of_parts()
+
+
+def cluster_by_type(points: DataFrame, radius: float, min_cluster_size: int = 5, min_samples: int = 3, leaf: bool = False) -> DataFrame:
     """(type, id, cluster, membership) per type; ``points`` is (type, id, x, y) with unique ids.
 
-    Points at one spot are one weighted position.  The radius starts at radius / growth ** steps and
-    grows until labels stay as they are and at most a share ``CORE_TRUNCATION`` of the points has no
-    core distance yet, so that most types never list the pairs of the full radius.
-    The order of rows makes no difference.
+    Points at one spot are one weighted position.  All pairs within ``radius`` count, by their spanning
+    forest (``mutual_forest``).  The order of rows makes no difference.
     """
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -212,15 +389,8 @@ def cluster_by_type(points: DataFrame, radius: float, min_cluster_size: int = 5,
         rank = np.argsort(np.argsort(first, kind="stable"), kind="stable")
         where, spots = rank[where], spots[np.argsort(first, kind="stable")]
         weight = np.bincount(where, minlength=len(spots)).astype(float)
-        before = None
-        for k in range(steps, -1, -1):
-            r = radius / growth**k
-            near = _pairs_within(spots, r)
-            labels, member = hdbscan(len(spots), *near, weight, min_cluster_size, min_samples, leaf)
-            truncated = weight[np.isinf(core_distances(len(spots), *near, weight, min_samples))].sum() / weight.sum()
-            if truncated <= CORE_TRUNCATION and before is not None and np.array_equal(labels, before[0]) and np.allclose(member, before[1]):
-                break
-            before = labels, member
+        _, a, b, m = mutual_forest(spots, weight, min_samples, radius)
+        labels, member = hierarchy(len(spots), a, b, m, weight, min_cluster_size, leaf)
         return pd.DataFrame({"type": pdf["type"], "id": pdf["id"], "cluster": labels[where].astype(np.int64), "membership": member[where]})
 
     return points.select("type", "id", "x", "y").groupBy("type").applyInPandas(run, "type string, id long, cluster long, membership double")

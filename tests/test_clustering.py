@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from terralane.operators import network as nw
-from terralane.operators.clustering import cell_budget, cluster_by_type, cluster_on_network, core_distances, hdbscan, gap_refinement, grid_cells, medoids, seed_of, territories, territory_areas
+from terralane.operators.clustering import cell_budget, cluster_by_type, cluster_on_network, core_distances, hdbscan, hierarchy, gap_refinement, grid_cells, medoids, mutual_forest, seed_of, territories, territory_areas
 
 
 def frame(spark, rows):
@@ -115,3 +115,35 @@ def test_bounded_searches_and_paths(spark):
         nodes = [n for _, n in sorted(steps)]
         assert nodes[0] == source and nodes[-1] == target and [k for k, _ in sorted(steps)] == list(range(len(nodes)))
         assert sum(length[min(x, y), max(x, y)] for x, y in zip(nodes, nodes[1:])) == pytest.approx(d[source, target])
+
+
+def test_pairs_beyond_a_settled_radius_count(spark):
+    # at 17.8 of 40 the labels stand as at 11.9, yet two pairs become a cluster of four at 25
+    rows = [("A", i, x, 0) for i, x in enumerate((0, 1, 2, 3, 4, 100, 101, 126, 127, 300, 301, 302, 303, 304))]
+    got = {r.id: (r.cluster, r.membership) for r in cluster_by_type(frame(spark, rows), 40.0, 4, 2).collect()}
+    place = {i: float(x) for _, i, x, _ in rows}
+    assert {i: c for i, (c, _) in got.items()} == brute(place, lambda p, q: abs(p - q), 40.0, 4, 2)
+    assert [got[i][0] for i in range(14)] == [0] * 5 + [1] * 4 + [2] * 5
+
+
+def forest_inputs():
+    rng = np.random.default_rng(9)
+    yield np.unique(np.floor(rng.uniform(0, 12, (150, 2))), axis=0)
+    yield np.exp(rng.normal(size=(200, 2)) * 3)
+    yield np.concatenate([rng.normal(size=(100, 2)) * 1e-3 + p for p in ((0, 0), (3, 0), (40, 40))] + [rng.uniform(0, 50, (60, 2))])
+
+
+def test_forest_stands_for_all_pairs():
+    for xy in forest_inputs():
+        n = len(xy)
+        weight = np.arange(n) % 3 + 1.0
+        i, j = np.triu_indices(n, 1)
+        d = np.hypot(*(xy[j] - xy[i]).T)
+        for radius in (0.5, 5.0, 1000.0):
+            near = d <= radius
+            for samples in (1, 2, 5):
+                core, a, b, m = mutual_forest(xy, weight, samples, radius)
+                assert np.array_equal(core, core_distances(n, i[near], j[near], d[near], weight, samples)) and len(a) < n
+                want = hdbscan(n, i[near], j[near], d[near], weight, 4, samples)
+                labels, member = hierarchy(n, a, b, m, weight, 4)
+                assert np.array_equal(labels, want[0]) and np.allclose(member, want[1])
