@@ -147,3 +147,11 @@ def test_forest_stands_for_all_pairs():
                 want = hdbscan(n, i[near], j[near], d[near], weight, 4, samples)
                 labels, member = hierarchy(n, a, b, m, weight, 4)
                 assert np.array_equal(labels, want[0]) and np.allclose(member, want[1])
+
+
+def test_more_pairs_than_a_list_may_hold():
+    # 25 million pairs within the smallest of the radii that were tried before
+    xy = np.random.default_rng(10).uniform(0, 1, (7_200, 2))
+    core, a, b, m = mutual_forest(xy, np.ones(len(xy)), 3, 10.0)
+    labels, _ = hierarchy(len(xy), a, b, m, np.ones(len(xy)), 5)
+    assert len(a) == len(xy) - 1 and m.max() < 0.1 and np.isfinite(core).all() and labels.max() > 10
