@@ -7,6 +7,7 @@ pairs within the radius, not all pairs, are what the group holds.  Territories a
 from __future__ import annotations
 
 import hashlib
+import heapq
 import math
 
 import numpy as np
@@ -19,8 +20,6 @@ from terralane.session import cut
 
 #: Candidate pairs that are expanded at once.
 CHUNK = 2_000_000
-#: Share of points without core distance up to which the radius may stop growing.
-CORE_TRUNCATION = 0.01
 
 
 def core_distances(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndarray, min_samples: float) -> np.ndarray:
@@ -409,12 +408,18 @@ def cluster_pairs(positions: DataFrame, pairs: DataFrame, min_cluster_size: int,
     nodes = cut(positions.select("type", "id", F.col("weight").cast("double").alias("weight"), key("type", "id").alias("node")))
     links = cut(pairs.select("type", "a", "b", "d", key("type", "a").alias("u"), key("type", "b").alias("v")))
     part = cut(components(nodes.select(F.col("node").alias("id")), links.select("u", "v", F.col("d").alias("length"))).withColumnRenamed("id", "node"))
-    placed = nodes.join(part, "node")
+    placed = nodes.join(part, "node").select("type", "id", "weight", "component")
+    joined = links.join(part.select(F.col("node").alias("u"), "component"), "u").select("type", "component", "a", "b", "d")
+    return _cluster_parts(placed, joined, min_cluster_size, min_samples, leaf)
+
+
+def _cluster_parts(placed: DataFrame, links: DataFrame, min_cluster_size: int, min_samples: int, leaf: bool) -> DataFrame:
+    """``cluster_pairs`` from positions (type, id, weight, component) and pairs (type, component, a, b, d) of known parts."""
     sizes = placed.groupBy("type", "component").agg(F.sum("weight").alias("size"))
-    big = sizes.filter(F.col("size") >= min_cluster_size)
+    big = cut(sizes.filter(F.col("size") >= min_cluster_size))
     several = big.groupBy("type").agg(F.count(F.lit(1)).alias("parts"))
     inside = placed.join(big.select("type", "component"), ["type", "component"]).join(several, "type")
-    joined = links.join(part.select(F.col("node").alias("u"), "component"), "u").select("type", "component", "a", "b", "d").join(big.select("type", "component"), ["type", "component"], "left_semi")
+    joined = links.join(big.select("type", "component"), ["type", "component"], "left_semi")
 
     inside, joined = (x.select(*[F.col(c).alias(c) for c in x.columns]) for x in (inside, joined))
 
@@ -427,49 +432,109 @@ def cluster_pairs(positions: DataFrame, pairs: DataFrame, min_cluster_size: int,
         core = np.isfinite(core_distances(len(ids), *pair, weight, min_samples))
         return pd.DataFrame({"type": own["type"], "id": ids, "component": own["component"], "label": labels.astype(np.int64), "membership": member, "core": core})
 
-    kind = dict(positions.dtypes)["type"]
+    kind = dict(placed.dtypes)["type"]
     local = inside.groupBy("type", "component").cogroup(joined.groupBy("type", "component")).applyInPandas(run, f"type {kind}, id long, component long, label long, membership double, core boolean")
     local = cut(local)
     clusters = local.filter("label >= 0").groupBy("type", "component", "label").agg(F.min("id").alias("first"))
     numbers = clusters.withColumn("cluster", F.row_number().over(Window.partitionBy("type").orderBy("first")).cast("long") - 1).drop("first")
     found = local.join(numbers, ["type", "component", "label"], "left").select("type", "id", "cluster", "membership", "core")
-    return positions.select("type", "id").join(found, ["type", "id"], "left").select("type", "id", F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("membership", F.lit(0.0)).alias("membership"), F.coalesce("core", F.lit(False)).alias("core"))
+    return placed.select("type", "id").join(found, ["type", "id"], "left").select("type", "id", F.coalesce("cluster", F.lit(-1)).alias("cluster"), F.coalesce("membership", F.lit(0.0)).alias("membership"), F.coalesce("core", F.lit(False)).alias("core"))
+
+
+def _network_forest(own: pd.DataFrame, arcs: pd.DataFrame, radius: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, d): a minimum spanning forest of the network distances up to ``radius`` between positions (u, v, offset).
+
+    Every node of the network is owned by its nearest position.  Neighbours on an arc, and the owners at both
+    ends of what lies between two positions, give pairs of which a spanning forest is one of all pairs.
+    """
+    names, ends = np.unique(arcs[["u", "v"]].to_numpy(np.int64), return_inverse=True)
+    ends, length = ends.reshape(-1, 2), arcs["length"].to_numpy(float)
+    place = pd.Index(pd.MultiIndex.from_frame(arcs[["u", "v"]]))
+    arc, offset = place.get_indexer(pd.MultiIndex.from_frame(own[["u", "v"]])), own["offset"].to_numpy(float)
+    order = np.lexsort((offset, arc))
+    by = arc[order]
+    same = by[1:] == by[:-1]
+    first, last = order[np.concatenate(([True], ~same))], order[np.concatenate((~same, [True]))]
+    pairs = [(order[:-1][same], order[1:][same], np.abs(np.diff(offset[order]))[same])]
+    empty = np.setdiff1d(np.arange(len(arcs)), by)
+    links: dict[int, list[tuple[int, float]]] = {}
+    for (x, y), along in zip(ends[empty].tolist(), length[empty].tolist()):
+        links.setdefault(x, []).append((y, along))
+        links.setdefault(y, []).append((x, along))
+    at = np.concatenate((ends[arc[first], 0], ends[arc[last], 1]))
+    near, gap = np.concatenate((first, last)), np.concatenate((offset[first], (length[arc] - offset)[last]))
+    heap = [(d, p, x) for d, p, x in zip(gap.tolist(), near.tolist(), at.tolist()) if d <= radius]
+    heapq.heapify(heap)
+    reach, owner = np.full(len(names), np.inf), np.full(len(names), -1)
+    while heap:
+        d, p, x = heapq.heappop(heap)
+        if owner[x] >= 0:
+            continue
+        reach[x], owner[x] = d, p
+        for y, along in links.get(x, ()):
+            if owner[y] < 0 and d + along <= radius:
+                heapq.heappush(heap, (d + along, p, y))
+    pairs.append((near, owner[at], gap + reach[at]))
+    x, y = ends[empty].T
+    pairs.append((owner[x], owner[y], reach[x] + length[empty] + reach[y]))
+    a, b, d = (np.concatenate(c) for c in zip(*pairs))
+    use = (a >= 0) & (b >= 0) & (a != b) & (d <= radius)
+    a, b, d = np.minimum(a, b)[use], np.maximum(a, b)[use], d[use]
+    kept = _kruskal(len(own), a, b, d)
+    return a[kept], b[kept], d[kept]
+
+
+def _clusters_by_forest(heads: DataFrame, arcs: DataFrame, vertices: DataFrame, radius: float, min_cluster_size: int, min_samples: int, leaf: bool) -> DataFrame:
+    """Clusters of positions (type, id, weight, u, v, offset) from spanning forests, for at most two samples.
+
+    Up to two samples a position's core distance is nothing or the way to its nearest, so mutual
+    reachability is the distance and its forest that of the distances.  A task holds the positions of one
+    type on one connected part of the network, and the arcs of that part.
+    """
+    from terralane.operators.network import components
+
+    net = cut(arcs.join(cut(components(vertices, arcs)).select(F.col("id").alias("u"), F.col("component").alias("net")), "u").select("u", "v", "length", "net"))
+    placed = cut(heads.join(net.drop("length"), ["u", "v"]))
+    roads = placed.select("type", "net").distinct().join(net, "net").select("type", "net", "u", "v", "length")
+    kind = dict(heads.dtypes)["type"]
+
+    def run(own: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        own = own.sort_values("id").reset_index(drop=True)
+        if not len(own):
+            return pd.DataFrame({"type": [], "component": [], "a": [], "b": [], "d": []})
+        a, b, d = _network_forest(own, near, radius)
+        part, ids = _parts(len(own), a, b), own["id"].to_numpy()
+        # a row for every position (b missing, d its weight) and every pair
+        first, kept = np.concatenate((np.arange(len(own)), a)), np.concatenate((own["weight"].to_numpy(float), d))
+        other = pd.array(np.concatenate((ids, ids[b])), dtype="Int64")
+        other[: len(own)] = pd.NA
+        return pd.DataFrame({"type": np.repeat(own["type"].to_numpy()[:1], len(first)), "component": ids[part[first]], "a": ids[first], "b": other, "d": kept})
+
+    sides = [x.select(*[F.col(c).alias(c) for c in x.columns]).groupBy("type", "net") for x in (placed.select("type", "net", "id", "weight", "u", "v", "offset"), roads)]
+    rows = cut(sides[0].cogroup(sides[1]).applyInPandas(run, f"type {kind}, component long, a long, b long, d double"))
+    points = rows.filter("b IS NULL").select("type", F.col("a").alias("id"), F.col("d").alias("weight"), "component")
+    return _cluster_parts(points, rows.filter("b IS NOT NULL").select("type", "component", "a", "b", "d"), min_cluster_size, min_samples, leaf)
 
 
 def cluster_on_network(points: DataFrame, arcs: DataFrame, vertices: DataFrame, radius: float, min_cluster_size: int = 5, min_samples: int = 3, leaf: bool = False, growth: float = 1.5, steps: int = 3) -> DataFrame:
     """(type, id, cluster, membership) by distances along a road network.
 
     ``points`` is (type, id, u, v, offset), snapped to arcs.  Points of one type at one place are one
-    position, weighted by their number.  The radius grows as in ``cluster_by_type``: a type is done when
-    its labels stand and at most a share ``CORE_TRUNCATION`` of its points lacks a core distance, and only
-    the types that are not done list the pairs of the next radius.
+    position, weighted by their number.  All pairs within the radius count: up to ``min_samples`` 2 by
+    their spanning forest, beyond by their list.  ``growth`` and ``steps`` no longer change anything.
     """
+    arcs = cut(arcs)
     ends = points.join(arcs, ["u", "v"])
     place = F.when(F.col("offset") <= 0, F.concat(F.lit("n"), "u")).when(F.col("offset") >= F.col("length"), F.concat(F.lit("n"), "v")).otherwise(F.concat_ws("/", "u", "v", "offset"))
     at = cut(ends.select("type", "id", "u", "v", "offset", place.alias("place")))
-    spots = at.groupBy("type", "place").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("weight"))
-    heads = cut(spots.join(at.select(F.col("id").alias("head"), "type", "u", "v", "offset"), ["type", "head"]).select("type", F.col("head").alias("id"), "weight", "u", "v", "offset", "place"))
-    left, before, done = heads, None, None
-    for k in range(steps, -1, -1):
-        pairs = neighbour_graph(arcs, left.select("type", "id", "u", "v", "offset"), radius / growth**k, vertices, by="type")
-        now = cut(cluster_pairs(left.select("type", "id", "weight"), pairs, min_cluster_size, min_samples, leaf).join(left.select("type", "id", "weight"), ["type", "id"]))
-        ready = now.groupBy("type").agg((F.sum(F.when(F.col("core"), 0).otherwise(F.col("weight"))) / F.sum("weight")).alias("lacking"))
-        if k == 0:
-            ready = ready.select("type")
-        elif before is None:
-            ready = ready.filter("false").select("type")
-        else:
-            both = now.join(before.select("type", "id", F.col("cluster").alias("c0"), F.col("membership").alias("m0")), ["type", "id"])
-            moved = both.filter("cluster <> c0 OR abs(membership - m0) > 1e-8").select("type").distinct()
-            ready = ready.filter(F.col("lacking") <= CORE_TRUNCATION).select("type").join(moved, "type", "left_anti")
-        ready = cut(ready)
-        finished = now.join(ready, "type", "left_semi")
-        done = finished if done is None else done.unionByName(finished)
-        before = now
-        left = cut(left.join(ready, "type", "left_anti"))
-        if left.isEmpty():
-            break
-    found = heads.select("type", "place", "id").join(done.select("type", "id", "cluster", "membership"), ["type", "id"]).drop("id")
+    spots = at.groupBy("type", "place").agg(F.min(F.struct("id", "u", "v", "offset")).alias("head"), F.count(F.lit(1)).alias("weight"))
+    heads = cut(spots.select("type", "head.*", "weight", "place"))
+    if min_samples <= 2:
+        found = _clusters_by_forest(heads, arcs, vertices, radius, min_cluster_size, min_samples, leaf)
+    else:
+        pairs = neighbour_graph(arcs, heads.select("type", "id", "u", "v", "offset"), radius, vertices, by="type")
+        found = cluster_pairs(heads.select("type", "id", "weight"), pairs, min_cluster_size, min_samples, leaf)
+    found = heads.select("type", "place", "id").join(found.select("type", "id", "cluster", "membership"), ["type", "id"]).drop("id")
     return at.join(found, ["type", "place"]).select("type", "id", "cluster", "membership")
 
 

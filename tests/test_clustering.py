@@ -155,3 +155,26 @@ def test_more_pairs_than_a_list_may_hold():
     core, a, b, m = mutual_forest(xy, np.ones(len(xy)), 3, 10.0)
     labels, _ = hierarchy(len(xy), a, b, m, np.ones(len(xy)), 5)
     assert len(a) == len(xy) - 1 and m.max() < 0.1 and np.isfinite(core).all() and labels.max() > 10
+
+
+def test_road_clusters_count_all_pairs_of_the_radius(spark):
+    """Loops, a second network, repeated places, positions at nodes; the labels stand at smaller radii before they change."""
+    rng = np.random.default_rng(12)
+    lines = [(f"r{k}", i, i * 100.0, k * 100.0) for k in range(4) for i in range(4)] + [(f"c{k}", i, k * 100.0, i * 100.0) for k in range(4) for i in range(4) if k != 2] + [("far", 0, 5000.0, 0.0), ("far", 1, 5400.0, 0.0)]
+    spots = [(float(x), 100.0 * y) for x, y in zip(rng.integers(0, 301, 60), rng.integers(0, 4, 60))] + [(5000.0 + x, 0.0) for x in (0, 1, 26, 27, 300, 301, 302, 303)]
+    on, v, a = snapped(spark, lines, [("A", k, *p) for k, p in enumerate(spots)])
+    near = {(r.a, r.b): r.d for r in nw.neighbour_graph(a, on.select("id", "u", "v", "offset"), 40.0).collect()}
+    i, j = np.array(sorted(near), int).T
+    d = np.array([near[p] for p in zip(i, j)])
+    same = np.arange(len(spots))
+    for x, y in zip(i[d == 0], j[d == 0]):
+        same[y] = min(same[y], same[x])
+    heads = np.unique(same)
+    at = np.searchsorted(heads, same)
+    use = (same[i] == i) & (same[j] == j)
+    for samples in (1, 2):
+        labels, member = hdbscan(len(heads), at[i[use]], at[j[use]], d[use], np.bincount(at).astype(float), 4, samples)
+        got = {r.id: (r.cluster, r.membership) for r in cluster_on_network(on, a, v, 40.0, 4, samples).collect()}
+        assert [got[k][0] for k in range(len(spots))] == labels[at].tolist()
+        assert [got[k][1] for k in range(len(spots))] == pytest.approx(member[at].tolist())
+    assert got[60][0] == got[63][0] >= 0
