@@ -7,6 +7,9 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+#: Pairs of texts whose similarity one task keeps at hand; the store is emptied when full.
+MEMO = 50_000
+
 
 def lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence by bit vectors over the letters of ``a``."""
@@ -33,13 +36,23 @@ def similarity(a: str | None, b: str | None) -> float:
 
 
 def with_similarity(df: DataFrame, left: str, right: str, name: str = "score") -> DataFrame:
-    """``df`` with the similarity of two folded columns as a last column; no shuffle."""
+    """``df`` with the similarity of two folded columns as a last column; no shuffle.
+
+    A task computes a pair of texts once, as long as it keeps no more than ``MEMO`` of them.
+    """
     fields = df.schema.fields
     i, j = df.columns.index(left), df.columns.index(right)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo: dict[tuple[str | None, str | None], float] = {}
         for batch in batches:
-            scores = [similarity(a, b) for a, b in zip(batch.column(i).to_pylist(), batch.column(j).to_pylist())]
+            scores = []
+            for pair in zip(batch.column(i).to_pylist(), batch.column(j).to_pylist()):
+                if (score := memo.get(pair)) is None:
+                    if len(memo) >= MEMO:
+                        memo.clear()
+                    score = memo[pair] = similarity(*pair)
+                scores.append(score)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*[f.name for f in fields], name])
 
     return df.mapInArrow(run, ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [f"{name} double"]))

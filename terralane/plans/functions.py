@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from terralane.functions import text as tx
+from terralane.functions.similarity import with_similarity
 from terralane.session import table as t
 
 _FOLD = "trim(regexp_replace(strip_accents(replace(lower({c}), '&', ' and ')), '[^a-z0-9]+', ' ', 'g'))"
@@ -18,7 +19,8 @@ def osm(s, d, *cols):
 
 def f08(s, d):
     a = t(s, d, "part").select("p_partkey", tx.fold("p_name").alias("a"), tx.fold(F.concat_ws(" ", F.reverse(F.split("p_name", " ")))).alias("b"), tx.fold(F.concat("p_brand", F.lit(" "), "p_type")).alias("c"))
-    return a.select("p_partkey", F.round(tx.name_similarity(F.col("a"), F.col("b")), 9).alias("turned"), F.round(tx.name_similarity(F.col("a"), F.col("c")), 9).alias("other"))
+    both = with_similarity(with_similarity(a, "a", "b", "turned"), "a", "c", "other")
+    return both.select("p_partkey", F.round("turned", 9).alias("turned"), F.round("other", 9).alias("other"))
 
 
 def f09(s, d):

@@ -41,3 +41,17 @@ def test_candidates_equal_brute_force(spark):
     schema = "id int, name string, lon double, lat double"
     got = rc.candidate_pairs(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()
     assert {(r.left_id, r.right_id) for r in got} == want and len(got) == len(want) > 20
+
+
+def test_names_of_parts_are_compared_in_batches(spark):
+    """f08 runs over Arrow batches, without a table per letter in an expression, and gives the expression's values."""
+    import __spark_entry__ as entry
+
+    got = entry.queries()["f08_name_similarity"](spark, "/root/testdata/sf0.001")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "lambdafunction(concat(" not in plan and "aggregate(" not in plan
+    part = spark.read.parquet("/root/testdata/sf0.001/part.parquet").limit(40)
+    a, b, c = tx.fold("p_name"), tx.fold(F.concat_ws(" ", F.reverse(F.split("p_name", " ")))), tx.fold(F.concat("p_brand", F.lit(" "), "p_type"))
+    want = {r[0]: (r[1], r[2]) for r in part.select("p_partkey", F.round(tx.name_similarity(a, b), 9), F.round(tx.name_similarity(a, c), 9)).collect()}
+    rows = {r.p_partkey: (r.turned, r.other) for r in got.collect()}
+    assert {k: rows[k] for k in want} == want and len(rows) == 200
