@@ -215,30 +215,43 @@ def crosswalk(texts: DataFrame, rules: DataFrame) -> DataFrame:
 
 def tf_idf(texts: DataFrame) -> DataFrame:
     """(id, term, w): L2-normalised weights (1 + ln tf) * (ln((1 + n) / (1 + df)) + 1) over words of two
-    letters or more and their pairs; ``texts`` is (id, text)."""
+    letters or more and their pairs; ``texts`` is (id, texts, copies), ``copies`` the documents with these texts."""
     words = F.filter(F.split(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}_]+", " "), " "), lambda w: F.length(w) >= 2)
-    tokens = texts.select("id", words.alias("w"))
+    tokens = texts.select("id", "copies", F.explode("texts").alias("text")).select("id", "copies", words.alias("w"))
     pairs = F.when(F.size("w") > 1, F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1)))).otherwise(F.array().cast("array<string>"))
-    counts = tokens.select("id", F.explode(F.concat("w", pairs)).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    n = texts.agg(F.countDistinct("id")).first()[0]
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counts = tokens.select("id", "copies", F.explode(F.concat("w", pairs)).alias("term")).groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("copies").alias("copies"))
+    n = texts.agg(F.sum("copies")).first()[0] or 0
+    df = counts.groupBy("term").agg(F.sum("copies").alias("df"))
     raw = counts.join(df, "term").select("id", "term", ((1 + F.log("tf")) * (F.log((1 + F.lit(n)) / (1 + F.col("df"))) + 1)).alias("w"))
     norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return raw.join(norm, "id").select("id", "term", (F.col("w") / F.col("norm")).alias("w"))
 
 
+#: Different texts of queries up to which their answers are sent to all tasks.
+ANSWERS = 20_000
+
+
 def retrieve(queries: DataFrame, targets: DataFrame, k: int, block: int = 5_000) -> DataFrame:
     """(query, target, score, rank) of the k most similar targets per query; ties to the smaller target.
 
-    Both are (id, text); the weights are those of queries and targets together.  Blocks of about
-    ``block`` queries meet blocks of as many targets, every pair of blocks once; a task holds one pair
-    of blocks and hands on the k best targets of each query, so products never leave their task.
+    Both are (id, text); the weights are those of queries and targets together.  Equal texts are compared
+    once: blocks of about ``block`` different texts of queries meet blocks of as many of targets, every pair of
+    blocks once; a task holds one pair of blocks and hands on the k best targets of each query, so products
+    never leave their task.  A text of targets stands for its smallest ids, of which k are enough.
     """
-    blocks = [max(1, math.ceil(side.count() / block)) for side in (queries, targets)]
-    named = targets.select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("id"), "text").unionByName(queries.select(F.concat(F.lit("q"), F.col("id").cast("string")).alias("id"), "text"))
-    weights = tf_idf(named)
-    q = weights.filter(F.startswith("id", F.lit("q"))).select(F.col("id").alias("query"), "term", F.col("w").alias("wq"))
-    g = weights.filter(F.startswith("id", F.lit("t"))).select(F.col("id").alias("target"), "term", F.col("w").alias("wt"))
+
+    def documents(side: DataFrame) -> DataFrame:
+        some = side.filter("id IS NOT NULL").groupBy(F.col("id").cast("string").alias("id")).agg(F.array_sort(F.collect_list("text")).alias("texts"))
+        return some.select("id", F.to_json("texts").alias("form"), "texts")
+
+    asked, given = documents(queries), documents(targets)
+    q_forms = cut(asked.groupBy("form").agg(F.first("texts").alias("texts"), F.count(F.lit(1)).alias("copies")))
+    g_forms = cut(given.groupBy("form").agg(F.first("texts").alias("texts"), F.count(F.lit(1)).alias("copies"), F.min("id").alias("target")))
+    blocks = [max(1, math.ceil(side.count() / block)) for side in (q_forms, g_forms)]
+    both = q_forms.select("form", "texts", "copies").unionByName(g_forms.select("form", "texts", "copies"))
+    weights = cut(tf_idf(both.groupBy(F.col("form").alias("id")).agg(F.first("texts").alias("texts"), F.sum("copies").alias("copies"))))
+    q = weights.join(q_forms.select(F.col("form").alias("id")), "id").select(F.col("id").alias("query"), "term", F.col("w").alias("wq"))
+    g = weights.join(g_forms.select(F.col("form").alias("id"), "target"), "id").select("target", "term", F.col("w").alias("wt"))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     q = q.select(F.pmod(F.xxhash64("query"), F.lit(blocks[0])).cast("int").alias("x"), spread(blocks[1]).alias("y"), "query", F.col("term").alias("word"), "wq")
     g = g.select(spread(blocks[0]).alias("x"), F.pmod(F.xxhash64("target"), F.lit(blocks[1])).cast("int").alias("y"), "target", F.col("term").alias("word"), "wt")
@@ -265,7 +278,16 @@ def retrieve(queries: DataFrame, targets: DataFrame, k: int, block: int = 5_000)
 
     dots = q.groupBy("x", "y").cogroup(g.groupBy("x", "y")).applyInPandas(best, "query string, target string, score double")
     rank = F.row_number().over(W.partitionBy("query").orderBy(F.col("score").desc(), "target"))
-    return dots.withColumn("rank", rank).filter(F.col("rank") <= k).select(F.substring("query", 2, 100).alias("query"), F.substring("target", 2, 100).alias("target"), "score", "rank")
+    near = cut(dots.withColumn("rank", rank).filter(F.col("rank") <= k).drop("rank"))
+    # the k smallest ids of every text that came near
+    needed = near.select("target").distinct().join(g_forms.select("form", "target"), "target")
+    ids = given.select("form", "id").join(F.broadcast(needed) if needed.limit(ANSWERS + 1).count() <= ANSWERS else needed.hint("shuffle_merge"), "form")
+    ids = ids.withColumn("n", F.row_number().over(W.partitionBy("form").orderBy("id"))).filter(F.col("n") <= k).select("target", "id")
+    answers = near.join(ids, "target").select("query", F.col("id").alias("target"), "score").withColumn("rank", rank).filter(F.col("rank") <= k)
+    answers = cut(answers.groupBy(F.col("query").alias("form")).agg(F.collect_list(F.struct("target", "score", "rank")).alias("answers")))
+    answers = F.broadcast(answers) if answers.limit(ANSWERS + 1).count() <= ANSWERS else answers.hint("shuffle_merge")
+    found = asked.select(F.col("id").alias("query"), "form").join(answers, "form").select("query", F.explode("answers").alias("a"))
+    return found.select("query", "a.target", "a.score", "a.rank")
 
 
 def resolve_by_name(rows: DataFrame, min_support: int = 2) -> DataFrame:

@@ -1,6 +1,7 @@
 """Queries over whole tables against brute force on small tables whose keys no modulo filter keeps."""
 
 import math
+from types import SimpleNamespace
 import struct
 from collections import Counter, defaultdict
 
@@ -211,3 +212,23 @@ def test_retrieval_of_every_part(spark, beyond, block):
 def test_retrieval_queries_read_every_part(spark, beyond):
     assert {r[0] for r in run(spark, beyond, "t04_retrieval")} == set(map(str, KEYS))
     assert {r[0] for r in run(spark, beyond, "t09_automatic_mapping")} == set(map(str, KEYS))
+
+
+@pytest.fixture
+def sizes(monkeypatch):
+    """Numbers of blocks before rounding that ``retrieve`` makes."""
+    seen = []
+    monkeypatch.setattr(tx, "math", SimpleNamespace(ceil=lambda x: seen.append(x) or math.ceil(x)))
+    return seen
+
+
+def test_equal_texts_are_compared_once(spark, sizes):
+    names = [(k, ("red bolt", "blue bolt", None)[k % 3]) for k in range(30)]
+    targets = [(k, ("red bolt new", "blue rod", "anvil")[k % 3]) for k in range(40)]
+    a, b = (spark.createDataFrame(x, "id long, text string") for x in (names, targets))
+    got = defaultdict(list)
+    for r in tx.retrieve(a, b, 5, 10).orderBy("query", "rank").collect():
+        got[r.query].append((r.target, r.score))
+    want = nearest([(k, n or "") for k, n in names], targets, 5)
+    assert got == {k: v for k, v in want.items() if v} and len(got) == 20
+    assert sizes == [0.3, 0.3]
