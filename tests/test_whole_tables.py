@@ -232,3 +232,8 @@ def test_equal_texts_are_compared_once(spark, sizes):
     want = nearest([(k, n or "") for k, n in names], targets, 5)
     assert got == {k: v for k, v in want.items() if v} and len(got) == 20
     assert sizes == [0.3, 0.3]
+
+
+def test_mapping_compares_equal_names_once(spark, sizes):
+    rows = run(spark, "/root/testdata/sf0.001", "t09_automatic_mapping")
+    assert len(rows) == 200 and len(sizes) == 2 and sizes[0] * 5_000 <= 64
