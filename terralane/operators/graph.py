@@ -292,25 +292,54 @@ def area_factors(areas: DataFrame, gamma: float) -> DataFrame:
     return areas.select("node", F.pow(checked, F.lit(-gamma)).alias("f"))
 
 
+def principal(push, n: int, most: int = 2_000) -> np.ndarray:
+    """The limit of x <- x + push(x) from equal values, for a symmetric matrix without negative values, length one.
+
+    Lanczos with full orthogonalisation, begun anew from the best vector of up to 64 products until that is
+    an eigenvector to rounding; what is still farther off than ``TOLERANCE`` after ``most`` spaces is an error.
+    """
+    x = np.full(n, 1.0 / math.sqrt(n))
+    width = max(4, min(64, n, 32_000_000 // n))
+    for _ in range(most):
+        basis, diagonal, beside = np.zeros((width, n)), [], []
+        basis[0] = x
+        for k in range(width):
+            y = push(basis[k])
+            diagonal.append(float(basis[k] @ y))
+            for _ in range(2):
+                y -= basis[: k + 1].T @ (basis[: k + 1] @ y)
+            length = float(np.sqrt(y @ y))
+            if k + 1 == width or length <= 1e-14 * max(map(abs, diagonal)):
+                break
+            beside.append(length)
+            basis[k + 1] = y / length
+        k = len(diagonal)
+        value, vectors = np.linalg.eigh(np.diag(diagonal) + np.diag(beside, 1) + np.diag(beside, -1))
+        x = vectors[:, -1] @ basis[:k]
+        x = np.maximum(x if x.sum() > 0 else -x, 0.0)
+        x /= np.sqrt(x @ x)
+        off = push(x) - value[-1] * x
+        off = float(np.sqrt(off @ off)) / value[-1]
+        if off <= 1e-13:
+            return x
+    if off <= TOLERANCE:
+        return x
+    raise RuntimeError("eigenvector centrality did not converge")
+
+
 def eigenvector(edges: DataFrame, nodes: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
-    """(node, x) of the undirected projection by x <- x + Ax, length one after every step; equal without edges.
+    """(node, x) of the undirected projection: where x <- x + Ax from equal values leads, length one; equal without edges.
 
-    The steps end when one changes less than n * ``TOLERANCE``; 5,000 steps without that are an error.
+    In one task the limit comes from Krylov spaces, however near the greatest eigenvalues lie (parts that are
+    not joined have their own).  By joins the steps end when one changes less than n * ``TOLERANCE``; 5,000
+    steps without that are an error.
     """
     pairs = cut(undirected(support(edges)))
 
     def kernel(g: Arrays) -> dict:
-        x = np.full(g.n, 1.0 / g.n)
-        other = g.s != g.t
         if len(g.s):
-            for _ in range(5_000):
-                y = x + np.bincount(g.s, g.w * x[g.t], g.n) + np.bincount(g.t[other], (g.w * x[g.s])[other], g.n)
-                y = y / np.sqrt((y * y).sum())
-                moved, x = np.abs(y - x).sum(), y
-                if moved < g.n * TOLERANCE:
-                    break
-            else:
-                raise RuntimeError("eigenvector centrality did not converge")
+            other = g.s != g.t
+            x = principal(lambda x: np.bincount(g.s, g.w * x[g.t], g.n) + np.bincount(g.t[other], (g.w * x[g.s])[other], g.n), g.n)
         else:
             x = np.full(g.n, 1.0 / math.sqrt(g.n))
         return {"node": g.names.tolist(), "x": x}

@@ -160,3 +160,23 @@ def test_hierarchy(spark):
     leaves = spark.createDataFrame([("a", "m", "t", 10), ("b", "m", "t", 2), ("c", "m", "t", 3), ("d", "k", "t", 3), ("e", "k", "t", 3), ("f", "l", "t", 1)], "leaf string, middle string, top string, n int")
     got = {r.leaf: r.key for r in ec.hierarchical_sectors(leaves, 5).collect()}
     assert got == {"a": "leaf:a", "b": "middle:m:OTHER", "c": "middle:m:OTHER", "d": "middle:k", "e": "middle:k", "f": "top:t:REST"}
+
+
+def test_eigenvector_of_parts_that_are_nearly_alike(spark):
+    """Power steps need millions where the greatest eigenvalues of two parts lie this near."""
+    e = edges(spark, [("A", "B", 1.0), ("C", "D", 1.00001)])
+    got = {r.node: r.x for r in gr.eigenvector(e, nodes(spark, "ABCDE")).collect()}
+    assert [got[k] for k in "ABCDE"] == pytest.approx([0, 0, math.sqrt(0.5), math.sqrt(0.5), 0], abs=1e-9)
+    # parts that are alike share the limit
+    even = {r.node: r.x for r in gr.eigenvector(edges(spark, [("A", "B", 1.0), ("C", "D", 1.0)]), nodes(spark, "ABCD")).collect()}
+    assert list(even.values()) == pytest.approx([0.5] * 4)
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    w = np.triu(rng.random((150, 150)) * (rng.random((150, 150)) < 0.05))
+    w = w + w.T
+    x = np.ones(150)
+    for _ in range(20_000):
+        x = x + w @ x
+        x /= np.sqrt(x @ x)
+    assert gr.principal(lambda v: w @ v, 150) == pytest.approx(x, abs=1e-12)
