@@ -20,6 +20,8 @@ from terralane.session import cut
 
 #: Candidate pairs that are expanded at once.
 CHUNK = 2_000_000
+#: Groups that hold the clusters of one type when they are refined.
+GAP_GROUPS = 48
 
 
 def core_distances(n: int, a: np.ndarray, b: np.ndarray, d: np.ndarray, weight: np.ndarray, min_samples: float) -> np.ndarray:
@@ -573,18 +575,16 @@ def gap_refinement(points: DataFrame, max_k: int = 4, draws: int = 8, min_size:
 
     The curve of the points is compared with reference draws from their bounding box, made by a seed of
     the cluster; the smallest k within one standard error of the next is taken.  Noise is left alone.
+    A task takes the clusters of a type in ``GAP_GROUPS`` groups, one after the other.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id").reset_index(drop=True)
-        xy = pdf[["x", "y"]].to_numpy(float)
-        kind, cluster = str(pdf["type"].iloc[0]), int(pdf["cluster"].iloc[0])
-        part, k = np.zeros(len(pdf), int), 1
-        if cluster >= 0 and len(pdf) >= min_size:
+    def refined(kind: str, cluster: int, xy: np.ndarray) -> tuple[np.ndarray, int]:
+        part, k = np.zeros(len(xy), int), 1
+        if cluster >= 0 and len(xy) >= min_size:
             dist = lambda p: np.hypot(p[:, None, 0] - p[None, :, 0], p[:, None, 1] - p[None, :, 1])
             own = dist(xy)
             rng = np.random.default_rng(seed_of(base, kind, cluster))
-            top = min(max_k, len(pdf) // 2)
+            top = min(max_k, len(xy) // 2)
             curve = [medoids(own, j)[1] for j in range(1, top + 1)]
             low, high = xy.min(0), xy.max(0)
             reference = np.log(np.maximum(1e-12, [[medoids(dist(low + rng.random(xy.shape) * (high - low)), j)[1] for j in range(1, top + 1)] for _ in range(draws)]))
@@ -593,9 +593,19 @@ def gap_refinement(points: DataFrame, max_k: int = 4, draws: int = 8, min_size:
             k = next((j for j in range(1, top) if gap[j - 1] >= gap[j] - error[j]), top)
             centres = medoids(own, k)[0]
             part = np.argmin(own[:, centres], axis=1)
-        return pd.DataFrame({"type": pdf["type"], "cluster": pdf["cluster"], "id": pdf["id"], "part": part.astype(np.int64), "k": k})
+        return part, k
 
-    return points.groupBy("type", "cluster").applyInPandas(run, "type string, cluster long, id long, part long, k long")
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["cluster", "id"]).reset_index(drop=True)
+        kind, cluster, xy = str(pdf["type"].iloc[0]), pdf["cluster"].to_numpy(), pdf[["x", "y"]].to_numpy(float)
+        part, ks = np.zeros(len(pdf), np.int64), np.ones(len(pdf), np.int64)
+        first = np.flatnonzero(np.concatenate(([True], cluster[1:] != cluster[:-1])))
+        for a, b in zip(first, np.append(first[1:], len(pdf))):
+            part[a:b], ks[a:b] = refined(kind, int(cluster[a]), xy[a:b])
+        return pd.DataFrame({"type": pdf["type"], "cluster": pdf["cluster"], "id": pdf["id"], "part": part, "k": ks})
+
+    bucket = F.pmod(F.xxhash64("cluster"), F.lit(GAP_GROUPS))
+    return points.select("type", "cluster", "id", "x", "y").groupBy("type", bucket).applyInPandas(run, "type string, cluster long, id long, part long, k long")
 
 
 def grid_cells(spark, x0: float, y0: float, x1: float, y1: float, size: float) -> DataFrame:

@@ -178,3 +178,11 @@ def test_road_clusters_count_all_pairs_of_the_radius(spark):
         assert [got[k][0] for k in range(len(spots))] == labels[at].tolist()
         assert [got[k][1] for k in range(len(spots))] == pytest.approx(member[at].tolist())
     assert got[60][0] == got[63][0] >= 0
+
+
+def test_refinement_of_a_type_beyond_a_list_of_pairs(spark):
+    xy = np.random.default_rng(11).uniform(0, 1, (7_200, 2))
+    points = spark.createDataFrame([("A", i, float(x), float(y)) for i, (x, y) in enumerate(xy)], "type string, id long, x double, y double")
+    clusters = cluster_by_type(points, 10.0, 20, 3).filter("cluster >= 0")
+    rows = gap_refinement(clusters.join(points, ["type", "id"]).select("type", "cluster", "id", "x", "y")).collect()
+    assert len({r.id for r in rows}) == len(rows) > 2_000 and all(0 <= r.part < r.k for r in rows)
