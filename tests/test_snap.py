@@ -52,3 +52,8 @@ def test_positions_of_all_parts_send_arcs_only(spark):
 def test_split_arcs_of_all_parts_send_arcs_only(spark):
     lines = plan_of(spark, "n03_split_arcs")
     assert lines and all("BuildRight" in line for line in lines)
+
+
+def test_neighbours_of_all_parts_send_arcs_only(spark):
+    lines = plan_of(spark, "n06_neighbour_graph")
+    assert lines and all("BuildRight" in line for line in lines)
