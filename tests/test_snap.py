@@ -57,3 +57,21 @@ def test_split_arcs_of_all_parts_send_arcs_only(spark):
 def test_neighbours_of_all_parts_send_arcs_only(spark):
     lines = plan_of(spark, "n06_neighbour_graph")
     assert lines and all("BuildRight" in line for line in lines)
+
+
+def test_pairs_of_neighbours_are_never_shuffled(spark):
+    import __spark_entry__ as entry
+
+    rows = entry.queries()["n06_neighbour_graph"](spark, DATA)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert "Project" in above and "Aggregate" not in above
+    found = [(r.a, r.b) for r in rows.collect()]
+    assert len(found) == len(set(found)) > 0
+
+
+def test_neighbours_of_repeated_ids_come_once(spark):
+    a = spark.createDataFrame([(1, 2, 100.0), (2, 3, 50.0), (1, 3, 60.0)], "u long, v long, length double")
+    on = spark.createDataFrame([(7, 1, 2, 10.0), (7, 2, 3, 5.0), (8, 1, 2, 95.0), (9, 1, 3, 0.0)], "id long, u long, v long, offset double")
+    assert {(r.a, r.b): r.d for r in nw.neighbour_graph(a, on, 100.0).collect()} == {(7, 8): 10.0, (7, 9): 10.0, (8, 9): 95.0}
+    assert {(r.a, r.b): r.d for r in nw.neighbour_graph(a, on, 10.0).collect()} == {(7, 8): 10.0, (7, 9): 10.0}
